@@ -86,24 +86,32 @@ def table_counts(tables: Mapping[str, DataFrame], name_col: str = "tabela",
 
 
 def nest(df: DataFrame, by: Sequence[str], fields: Sequence, order: Sequence[str],
-         name: str = "items", parts: int | None = None, chunk_col: str = "part") -> DataFrame:
+         name: str = "items", max_items: int = 50_000, parts: int | None = None,
+         chunk_col: str = "part") -> DataFrame:
     """Rows of each group as an ordered array of structs.
 
-    Never one unbounded array: rows are first range-partitioned on
-    ``by + order`` (balanced even when one group holds a third of the data),
-    and each (group, partition) becomes one chunk numbered ``part`` from 0 in
-    order.  A small group is one chunk; a hot group is split across tasks.
-    Elements are ``struct(order..., fields...)`` sorted by ``order``.
+    Never one unbounded array: group sizes come from a partial count; a group
+    of at most ``max_items`` rows is one array (``part`` 0); the rows of
+    bigger groups are range-partitioned on ``by + order`` -- balanced even
+    when one group holds a third of the data -- and each (group, partition)
+    becomes one chunk, numbered in order.  Elements are
+    ``struct(order..., fields...)`` sorted by ``order`` (order fields dropped).
     """
     by, order = list(by), list(order)
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flds = [F.col(f) if isinstance(f, str) else f for f in fields]
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in by + order])
-                .withColumn("_pid", F.spark_partition_id()))
-    grouped = (ranged.groupBy(*by, "_pid")
-                     .agg(F.sort_array(F.collect_list(F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                                                                *flds))).alias("_arr")))
-    w = Window.partitionBy(*by).orderBy("_pid")
-    return (grouped.withColumn(chunk_col, F.row_number().over(w) - 1)
-                   .select(*by, chunk_col,
-                           F.transform("_arr", lambda x: x.dropFields(*[f"_o{i}" for i in range(len(order))])).alias(name)))
+    elem = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *flds)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    sized = df.join(sizes, by)
+    small = (sized.filter(F.col("_n") <= max_items).groupBy(*by)
+                  .agg(F.sort_array(F.collect_list(elem)).alias("_arr"))
+                  .withColumn(chunk_col, F.lit(0)))
+    big = (sized.filter(F.col("_n") > max_items)
+                .repartitionByRange(n, *[F.col(c) for c in by + order])
+                .withColumn("_pid", F.spark_partition_id())
+                .groupBy(*by, "_pid").agg(F.sort_array(F.collect_list(elem)).alias("_arr")))
+    big = (big.withColumn(chunk_col, F.row_number().over(Window.partitionBy(*by).orderBy("_pid")) - 1)
+              .drop("_pid"))
+    drop = [f"_o{i}" for i in range(len(order))]
+    return (small.unionByName(big)
+                 .select(*by, chunk_col, F.transform("_arr", lambda x: x.dropFields(*drop)).alias(name)))

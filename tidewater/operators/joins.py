@@ -16,6 +16,7 @@ Scale rules used throughout:
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from functools import reduce
 
@@ -31,6 +32,15 @@ def _all(conds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+_TAG = itertools.count()
+
+
+def _tag() -> str:
+    """Unique suffix for join-side columns: joins resolve by name, never by a
+    DataFrame-qualified reference (which breaks on self-joins)."""
+    return f"_j{next(_TAG)}"
+
+
 def match_left(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
     """Equi-join; a string or list ``on`` merges the key (``USING``)."""
     return left.join(right, on, how)
@@ -64,23 +74,21 @@ def one_per_key(df: DataFrame, key, order, take: Sequence[str] | None = None,
               .select(*key, "_row.*"))
 
 
-def _null_typed(df: DataFrame, cols: Sequence[str]) -> list[Column]:
-    types = dict(df.dtypes)
-    return [F.lit(None).cast(types[c]).alias(c) for c in cols]
-
-
 def left_lookup(left: DataFrame, right_unique: DataFrame, left_keys, right_keys,
                 take: Sequence[str]) -> DataFrame:
     """Left join to a right side that is unique per key; rows with a NULL key
     skip the shuffle (they cannot match) and get NULLs."""
-    left_keys, right_keys = _list(left_keys), _list(right_keys)
-    r = right_unique.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(right_keys)],
-                            *[F.col(c) for c in take])
+    left_keys, right_keys, take = _list(left_keys), _list(right_keys), list(take)
+    g = _tag()
+    r = right_unique.select(*[F.col(k).alias(f"{g}k{i}") for i, k in enumerate(right_keys)],
+                            *[F.col(c).alias(f"{g}t{j}") for j, c in enumerate(take)])
     nonnull = _all([F.col(k).isNotNull() for k in left_keys])
-    cond = _all([left[lk] == r[f"_rk{i}"] for i, lk in enumerate(left_keys)])
+    cond = _all([F.col(lk) == F.col(f"{g}k{i}") for i, lk in enumerate(left_keys)])
     hit = (left.filter(nonnull).join(r, cond, "left")
-               .select(*[left[c] for c in left.columns], *[r[c] for c in take]))
-    miss = left.filter(~nonnull).select("*", *_null_typed(r, take))
+               .select(*[F.col(c) for c in left.columns],
+                       *[F.col(f"{g}t{j}").alias(c) for j, c in enumerate(take)]))
+    types = dict(r.dtypes)
+    miss = left.filter(~nonnull).select("*", *[F.lit(None).cast(types[f"{g}t{j}"]).alias(c) for j, c in enumerate(take)])
     return hit.unionByName(miss)
 
 
@@ -146,20 +154,21 @@ def with_exists(left: DataFrame, right: DataFrame, left_on, right_on, flag: str)
 def without(left: DataFrame, right: DataFrame, left_on, right_on=None) -> DataFrame:
     """Rows of ``left`` with no match in ``right``
     (``NOT EXISTS``; equals ``NOT IN`` when keys are non-null)."""
-    left_on = _list(left_on)
-    right_on = _list(right_on) if right_on is not None else left_on
-    r = right.select(*[F.col(c).alias(f"_ak{i}") for i, c in enumerate(right_on)])
-    cond = _all([left[l] == r[f"_ak{i}"] for i, l in enumerate(left_on)])
-    return left.join(r, cond, "left_anti")
+    return _filter_join(left, right, left_on, right_on, "left_anti")
 
 
 def only_matching(left: DataFrame, right: DataFrame, left_on, right_on=None) -> DataFrame:
     """Semi-join (``EXISTS`` as a filter)."""
+    return _filter_join(left, right, left_on, right_on, "left_semi")
+
+
+def _filter_join(left, right, left_on, right_on, how):
     left_on = _list(left_on)
     right_on = _list(right_on) if right_on is not None else left_on
-    r = right.select(*[F.col(c).alias(f"_sk{i}") for i, c in enumerate(right_on)])
-    cond = _all([left[l] == r[f"_sk{i}"] for i, l in enumerate(left_on)])
-    return left.join(r, cond, "left_semi")
+    g = _tag()
+    r = right.select(*[F.col(c).alias(f"{g}k{i}") for i, c in enumerate(right_on)])
+    cond = _all([F.col(l) == F.col(f"{g}k{i}") for i, l in enumerate(left_on)])
+    return left.join(r, cond, how)
 
 
 def missing_detail(bulk: DataFrame, detail: DataFrame, key: str, detail_key: str | None = None) -> DataFrame:

@@ -1,0 +1 @@
+from tidewater.streaming.ingest import ingest_day, ingest_stream

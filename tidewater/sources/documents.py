@@ -17,27 +17,29 @@ from tidewater.functions.scalar import clean_key, digits, map_code
 from tidewater.sources.files import strip_bom
 
 
-def _variant_map(json_text: Column) -> Column:
-    return F.try_variant_get(F.try_parse_json(json_text), "$", "map<string,variant>")
+def _as_map(v: Column) -> Column:
+    """A VARIANT object as map<string,variant>; NULL for anything else."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
 
-def _json_value(c: Column) -> Column:
-    """A scalar Column as a VARIANT holding its JSON value."""
-    return F.try_variant_get(F.parse_json(F.to_json(F.struct(c.alias("v")))), "$.v", "variant")
+def _with_fields(rec: Column, **cols: Column) -> Column:
+    """A3: ``{**added, **rec}`` as JSON text; ``rec`` is a VARIANT object and
+    wins on a clash."""
+    added = _as_map(F.to_variant_object(F.struct(*[c.alias(k) for k, c in cols.items()])))
+    return F.to_json(merge_record(added, _as_map(rec)))
 
 
-def _with_fields(rec_json: Column, **cols: Column) -> Column:
-    """A3: ``{**added, **rec}`` on JSON text; the record wins on a clash."""
-    kv = []
-    for k, c in cols.items():
-        kv += [F.lit(k), _json_value(c)]
-    return F.to_json(merge_record(F.create_map(*kv), _variant_map(rec_json)))
+def _elements(doc: Column, p: str) -> Column:
+    """Elements of the JSON array at path ``p`` of a VARIANT, as VARIANTs
+    (no rows when the path is missing or not an array)."""
+    return F.explode(F.coalesce(F.try_variant_get(doc, p, "array<variant>"), F.array()))
 
 
-def _objects_of(json_array_text: Column) -> Column:
-    """Elements of a JSON array that are objects, as JSON text."""
-    return F.filter(F.from_json(json_array_text, "array<string>"),
-                    lambda x: _variant_map(x).isNotNull())
+def _once(parsed: Column, name: str) -> Column:
+    """Parse once: a generator's output is never inlined back into later
+    filters and projections, so the parse runs once per document (predicate
+    pushdown would otherwise substitute the parse into every reference)."""
+    return F.explode(F.array(parsed)).alias(name)
 
 
 # ---------------------------------------------------------------- S1 / S2
@@ -45,15 +47,16 @@ def _objects_of(json_array_text: Column) -> Column:
 
 def parse_paged_envelopes(pages: DataFrame) -> DataFrame:
     """``data[]`` of every landed list page; ``included`` of list pages
-    is dropped (D18). Columns: key, data, page, total_pages, file_name."""
-    s = F.from_json("value", "struct<data: array<string>, meta: struct<pagination: "
-                             "struct<total_pages: int, current_page: int>>>")
-    return (pages.select("file_name", s.alias("p"))
-                 .select("file_name",
-                         F.coalesce(F.col("p.meta.pagination.current_page"), F.lit(1)).alias("page"),
-                         F.coalesce(F.col("p.meta.pagination.total_pages"), F.lit(1)).alias("total_pages"),
-                         F.explode(F.col("p.data")).alias("data"))
-                 .select(F.get_json_object("data", "$.id").alias("key"), "data", "page", "total_pages", "file_name"))
+    is dropped (D18). Columns: key, data, page, total_pages, file_name.
+    Each page is parsed once (VARIANT)."""
+    rows = pages.select("file_name", _once(F.try_parse_json("value"), "v"))
+    rows = rows.select(
+        "file_name",
+        F.coalesce(F.try_variant_get("v", "$.meta.pagination.current_page", "int"), F.lit(1)).alias("page"),
+        F.coalesce(F.try_variant_get("v", "$.meta.pagination.total_pages", "int"), F.lit(1)).alias("total_pages"),
+        _elements(F.col("v"), "$.data").alias("e"))
+    return rows.select(F.try_variant_get("e", "$.id", "string").alias("key"), F.to_json("e").alias("data"),
+                       "page", "total_pages", "file_name")
 
 
 def page_completeness(records: DataFrame) -> DataFrame:
@@ -62,15 +65,14 @@ def page_completeness(records: DataFrame) -> DataFrame:
 
 
 def parse_detail_envelopes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Detail envelopes; reject when ``data`` is missing; hoist
-    ``data.id`` to a root ``id``; ``included`` is kept."""
-    data_id = F.get_json_object("value", "$.data.id")
-    has = F.get_json_object("value", "$.data").isNotNull()
-    ok = docs.filter(has).select(data_id.alias("key"), _with_fields(F.col("value"), id=data_id).alias("data"),
-                                 "file_name")
-    # root fields of the envelope win over the hoisted id only if it had one
-    rejects = docs.filter(~has | data_id.isNull()).select("file_name", F.lit("envelope without data").alias("error"))
-    return ok.filter(F.col("key").isNotNull()), rejects
+    """Detail envelopes; reject when ``data`` (or its id) is missing;
+    hoist ``data.id`` to a root ``id``; ``included`` is kept."""
+    rows = docs.select("file_name", _once(F.try_parse_json("value"), "v"))
+    rows = rows.select("file_name", "v", F.try_variant_get("v", "$.data.id", "string").alias("key"))
+    ok = rows.filter(F.col("key").isNotNull()).select("key", _with_fields(F.col("v"), id=F.col("key")).alias("data"),
+                                                      "file_name")
+    rejects = rows.filter(F.col("key").isNull()).select("file_name", F.lit("envelope without data").alias("error"))
+    return ok, rejects
 
 
 # ---------------------------------------------------------------- S3 / S4
@@ -79,18 +81,18 @@ def parse_detail_envelopes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_sectioned_json(files: DataFrame, store_codes: Mapping[str, str],
                          key_field: str = "Invoice Data Info 8",
                          header_field: str = "Store Number") -> DataFrame:
-    """S3: POS file ``[[header],[{}],[records],[{}]]``.
+    """S3: POS file ``[[header],[{}],[records],[{}]]``, parsed once per file.
 
     Site = code map of the header's store number (fallback: the number itself,
     '' when absent); records from section 2, objects only, non-blank trimmed
     key; each record gains ``id, hotel, source_file`` (its own fields win)."""
-    store = F.coalesce(F.get_json_object("value", f"$[0][0]['{header_field}']"), F.lit(""))
-    rows = files.select("file_name", map_code(store, store_codes).alias("hotel"),
-                        F.explode(_objects_of(F.get_json_object("value", "$[2]"))).alias("rec"))
-    key = F.trim(F.coalesce(F.get_json_object("rec", f"$['{key_field}']"), F.lit("")))
-    rows = rows.withColumn("key", key).filter(F.col("key") != "")
+    files = files.select("file_name", _once(F.try_parse_json("value"), "v"))
+    store = F.coalesce(F.try_variant_get("v", f"$[0][0]['{header_field}']", "string"), F.lit(""))
+    rows = files.select("file_name", map_code(store, store_codes).alias("hotel"), _elements(F.col("v"), "$[2]").alias("e"))
+    key = F.trim(F.coalesce(F.try_variant_get("e", f"$['{key_field}']", "string"), F.lit("")))
+    rows = rows.filter(_as_map(F.col("e")).isNotNull()).withColumn("key", key).filter(F.col("key") != "")
     return rows.select("key", "hotel", F.col("file_name").alias("source_file"),
-                       _with_fields(F.col("rec"), id=F.col("key"), hotel=F.col("hotel"),
+                       _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
                                     source_file=F.col("file_name")).alias("data"))
 
 
@@ -99,15 +101,16 @@ def parse_nested_array_json(files: DataFrame, location_codes: Mapping[str, str],
                             code_field: str = "locationRef") -> DataFrame:
     """Line-item file ``[[rec, ...]]``; element 0; skip a falsy key
     (missing, null, 0, '', false); location code -> site, fallback the code."""
-    rows = files.select("file_name", F.explode(_objects_of(F.get_json_object("value", "$[0]"))).alias("rec"))
-    raw_key = F.get_json_object("rec", f"$.{key_field}")
+    files = files.select("file_name", _once(F.try_parse_json("value"), "v"))
+    rows = files.select("file_name", _elements(F.col("v"), "$[0]").alias("e"))
+    raw_key = F.try_variant_get("e", f"$.{key_field}", "string")
     falsy = raw_key.isNull() | raw_key.isin("0", "", "false", "0.0")
-    code = F.coalesce(F.get_json_object("rec", f"$.{code_field}"), F.lit(""))
-    rows = rows.filter(~falsy).select("file_name", "rec", raw_key.alias("key"),
-                                      map_code(code, location_codes).alias("hotel"))
-    key_value = F.coalesce(F.col("key").try_cast("bigint").cast("string"), F.col("key"))
-    return rows.select(F.col("key").try_cast("bigint").alias("key"), "hotel", F.col("file_name").alias("source_file"),
-                       _with_fields(F.col("rec"), id=F.col("key").try_cast("bigint"), hotel=F.col("hotel"),
+    code = F.coalesce(F.try_variant_get("e", f"$.{code_field}", "string"), F.lit(""))
+    rows = (rows.filter(_as_map(F.col("e")).isNotNull() & ~falsy)
+                .select("file_name", "e", F.try_variant_get("e", f"$.{key_field}", "bigint").alias("key"),
+                        map_code(code, location_codes).alias("hotel")))
+    return rows.select("key", "hotel", F.col("file_name").alias("source_file"),
+                       _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
                                     source_file=F.col("file_name")).alias("data"))
 
 
@@ -129,10 +132,9 @@ def parse_note_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataF
 
     Key = ``infNFe/@Id`` without the ``NFe`` prefix, else 44 digits of the file
     name; rejected unless 44 long. Keeps the whole XML in ``xml_content``."""
-    text = strip_bom("value")
-    x = F.from_xml(text, NOTE_XML_SCHEMA)
-    rows = files.select("file_name", text.alias("xml_content"), (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"),
-                        x.alias("x"))
+    rows = files.select("file_name", strip_bom("value").alias("xml_content"),
+                        (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"))
+    rows = rows.select("*", _once(F.from_xml("xml_content", NOTE_XML_SCHEMA), "x"))
     inf = F.coalesce(F.col("x.NFe.infNFe"), F.col("x.infNFe"))
     raw_id = inf.getField("_Id")
     key = F.when(F.coalesce(raw_id, F.lit("")) != "", clean_key(raw_id)).otherwise(
@@ -165,10 +167,9 @@ def parse_note_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataF
 def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Cancellation event ``envEvento/evento/infEvento``; rejects XML that
     does not parse or lacks ``evento`` / ``infEvento``."""
-    text = strip_bom("value")
-    rows = files.select("file_name", text.alias("xml_content"),
-                        (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"),
-                        F.from_xml(text, CANCEL_XML_SCHEMA).alias("x"))
+    rows = files.select("file_name", strip_bom("value").alias("xml_content"),
+                        (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"))
+    rows = rows.select("*", _once(F.from_xml("xml_content", CANCEL_XML_SCHEMA), "x"))
     inf = F.col("x.evento.infEvento")
     error = (F.when(F.col("x._corrupt_record").isNotNull() | F.col("x").isNull(), F.lit("invalid XML"))
               .when(F.col("x.evento").isNull(), F.lit("evento not found"))
@@ -194,9 +195,10 @@ def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[Dat
 def parse_json_array(files: DataFrame, key_field: str = "IDLANCAMENTOICMSBASE") -> DataFrame:
     """Flat JSON array of records; ``id = str(record[key_field])``.
     The record is kept whole (plus the root ``id``)."""
-    rows = files.select("file_name", F.explode(_objects_of(F.col("value"))).alias("rec"))
-    key = F.get_json_object("rec", f"$.{key_field}")
-    return rows.select(key.alias("key"), _with_fields(F.col("rec"), id=key).alias("data"), "file_name")
+    files = files.select("file_name", _once(F.try_parse_json("value"), "v"))
+    rows = files.select("file_name", _elements(F.col("v"), "$").alias("e")).filter(_as_map(F.col("e")).isNotNull())
+    key = F.try_variant_get("e", f"$.{key_field}", "string")
+    return rows.select(key.alias("key"), _with_fields(F.col("e"), id=key).alias("data"), "file_name")
 
 
 def ids_from_text(df: DataFrame, col: str = "value", name: str = "id") -> DataFrame:

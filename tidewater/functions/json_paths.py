@@ -102,6 +102,7 @@ def project(df: DataFrame, doc: str, spec: Sequence[tuple], keep: Sequence[str]
 
     ``doc`` names a JSON-text column. Columns in ``keep`` pass through first.
     """
+    keep = [k for k in keep if k in df.columns]  # audit columns such as extracted_at are optional
     parsed = [(name, split_path(p), t) for name, p, t in spec]
     schema = _schema_for(ps for _, ps, _ in parsed)
     s = F.from_json(F.col(doc), schema)

@@ -70,6 +70,11 @@ POS_SPEC = [
 ]
 
 
+def _opt(df: DataFrame, *cols: str) -> list[str]:
+    """Pass-through columns that exist (``extracted_at`` is optional)."""
+    return [c for c in cols if c in df.columns]
+
+
 def silver_ledger(raw: DataFrame, company_sites: Mapping[str, str]) -> DataFrame:
     """Typed ledger rows; one JSON parse per row."""
     s = project(raw, "data", LEDGER_SPEC, keep=["lancamento_id", "extracted_at"])
@@ -87,9 +92,8 @@ def silver_cancels(raw: DataFrame) -> DataFrame:
 
 def fact_pos(raw: DataFrame) -> DataFrame:
     """V9: POS notes, 18 columns."""
-    return (project(raw, "data", POS_SPEC, keep=["nota_id", "extracted_at"])
-            .withColumnRenamed("nota_id", "chave_nfe")
-            .select("chave_nfe", *[n for n, _, _ in POS_SPEC], "extracted_at"))
+    p = project(raw, "data", POS_SPEC, keep=["nota_id", "extracted_at"]).withColumnRenamed("nota_id", "chave_nfe")
+    return p.select("chave_nfe", *[n for n, _, _ in POS_SPEC], *[c for c in ["extracted_at"] if c in p.columns])
 
 
 def fact_ledger(ledger: DataFrame, notes: DataFrame, cancels: DataFrame, direct: bool = True) -> DataFrame:
@@ -112,7 +116,7 @@ def fact_ledger(ledger: DataFrame, notes: DataFrame, cancels: DataFrame, direct:
     return m.select(*cols,
                     F.col("nota_id").alias("chave_nfe"), F.col("cStat").alias("status_sefaz"),
                     F.col("nProt").alias("protocolo_sefaz"), instant("dhRecbto").alias("recebimento_sefaz"),
-                    "cancelada", "extracted_at")
+                    "cancelada", *_opt(m, "extracted_at"))
 
 
 def fact_notes(notes: DataFrame, cancels: DataFrame, pos: DataFrame, fan_out: bool = False) -> DataFrame:
@@ -143,7 +147,7 @@ def fact_notes(notes: DataFrame, cancels: DataFrame, pos: DataFrame, fan_out: bo
         F.col("cancelamento_id").isNotNull().alias("cancelada"),
         instant("dhEvento").alias("data_cancelamento"), "protocolo_cancelamento", "justificativa_cancelamento",
         F.coalesce(F.col("_pos"), F.lit(False)).alias("tem_pdv"), "data_venda_pdv", "valor_pdv", "ponto_venda",
-        "extracted_at")
+        *_opt(n, "extracted_at"))
 
 
 def fiscal_summary(ledger_fact: DataFrame, key: str = "chave_nfe", code: str = "cfop") -> DataFrame:

@@ -41,3 +41,15 @@ def fact_line_items(raw: DataFrame) -> DataFrame:
              .withColumn("colaborador", full_name("_first", "_last"))
              .withColumn("cancelado", is_one("_void"))
              .drop("_first", "_last", "_void"))
+
+
+def internal_consumption_export(raw: DataFrame, day: str, config: DataFrame | None = None,
+                                location: str | None = None) -> DataFrame:
+    """Q30 + K7: the day's internal-consumption documents, one per location
+    (``part`` > 0 only for a location too big for one document)."""
+    from tidewater.plans.audits import internal_items, items
+    from tidewater.sinks.export import export_documents, sale_record, with_config
+    it = internal_items(items(raw), day, location)
+    it = with_config(it, config, "location_name")
+    venda = sale_record("revenueCenterNum", "menuItemNum", "valor", "lineCount")
+    return export_documents(it, ["location_name"], ["comanda_id", "numero_linha"], venda, F.lit(day))

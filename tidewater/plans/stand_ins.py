@@ -819,3 +819,152 @@ def export_text(spark, d):
 
 
 QUERY_NAMES = list(QUERIES)
+
+
+# ------------------------------------------------------------------ more views and sources
+
+@query("ledger_fact", """
+WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+                    || '-' || CAST(l_suppkey AS VARCHAR) AS lancamento_id,
+                  CAST(l_orderkey AS VARCHAR) AS numero, '1' AS serie, l_linestatus AS hotel,
+                  NULLIF(trim(CASE WHEN l_returnflag = 'R' THEN lpad(CAST(l_partkey AS VARCHAR), 44, '0') ELSE '' END), '') AS direct
+           FROM lineitem),
+n AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS nota_id, CAST(o_orderkey AS VARCHAR) AS nNF, '1' AS serie,
+             o_orderstatus AS hotel, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '100' END AS cStat FROM orders),
+c AS (SELECT DISTINCT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS chNFe FROM orders WHERE o_orderstatus = 'F'),
+m AS (SELECT l.lancamento_id, l.hotel, COALESCE(nd.nota_id, nc.nota_id) AS chave_nfe,
+             COALESCE(nd.cStat, nc.cStat) AS status_sefaz
+      FROM l LEFT JOIN n nd ON nd.nota_id = l.direct
+      LEFT JOIN n nc ON nd.nota_id IS NULL AND nc.nNF = l.numero AND nc.serie = l.serie AND nc.hotel = l.hotel)
+SELECT m.*, EXISTS (SELECT 1 FROM c WHERE c.chNFe = m.chave_nfe) AS cancelada FROM m""")
+def ledger_fact(spark, d):
+    from tidewater.plans.fiscal import fact_ledger
+    li, o = t(spark, d, "lineitem"), t(spark, d, "orders")
+    s = lambda c: F.col(c).cast("string")
+    ledger = li.select(
+        F.concat_ws("-", s("l_orderkey"), s("l_linenumber"), s("l_partkey"), s("l_suppkey")).alias("lancamento_id"),
+        F.col("l_linestatus").alias("hotel"), F.lit(None).cast("string").alias("empresa"),
+        F.to_date("l_shipdate").alias("data_emissao"), F.lit("NFCE").alias("tipo_documento"),
+        s("l_orderkey").alias("numero_documento"), F.lit("1").alias("serie"), F.col("l_returnflag").alias("cfop"),
+        s("l_partkey").alias("codigo_produto"), F.lit(None).cast("string").alias("descricao_produto"),
+        decimal("l_quantity", 12, 4).alias("quantidade"), F.lit(None).cast("decimal(12,2)").alias("valor_unitario"),
+        decimal("l_extendedprice").alias("valor_total_item"), F.lit(None).cast("decimal(12,2)").alias("desconto"),
+        F.lit(None).cast("decimal(12,2)").alias("valor_total_documento"),
+        F.when(F.col("l_returnflag") == "R", _key44("l_partkey")).otherwise(F.lit("")).alias("chave_sefaz_raw"))
+    notes = o.select(_key44().alias("nota_id"), s("o_orderkey").alias("nNF"), F.lit("1").alias("serie"),
+                     F.col("o_orderstatus").alias("hotel"),
+                     F.when(F.col("o_orderstatus") != "P", F.lit("100")).alias("cStat"),
+                     F.lit(None).cast("string").alias("nProt"), F.lit(None).cast("string").alias("dhRecbto"))
+    cancels = o.filter(F.col("o_orderstatus") == "F").select(_key44().alias("chNFe"))
+    return fact_ledger(ledger, notes, cancels).select("lancamento_id", "hotel", "chave_nfe", "status_sefaz", "cancelada")
+
+
+@query("measures_by_calendar", SALES_SQL + """, b AS (SELECT min(CAST(data_emissao AS DATE)) AS s, max(CAST(data_emissao AS DATE)) AS e FROM sales),
+cal AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS data FROM b),
+per AS (SELECT CAST(data_emissao AS DATE) AS d,
+               SUM(valor_total) FILTER (WHERE status <> 'Cancelada') AS f,
+               count(*) FILTER (WHERE status = 'Autorizada') AS a, count(*) FILTER (WHERE status = 'Cancelada') AS c,
+               count(*) FILTER (WHERE status = 'Pendente SEFAZ') AS p,
+               count(*) FILTER (WHERE status = 'Autorizada' AND NOT tem_fiscal) AS sf,
+               count(*) FILTER (WHERE status = 'Autorizada' AND NOT tem_pdv) AS sp
+        FROM sales GROUP BY 1)
+SELECT cal.data, CAST(year(cal.data) AS INTEGER) AS ano, CAST(month(cal.data) AS INTEGER) AS mes,
+       strftime(cal.data, '%b/%Y') AS mes_nome, 'T' || CAST(quarter(cal.data) AS VARCHAR) AS trimestre,
+       CAST(per.f AS DOUBLE) AS faturamento_total, COALESCE(per.a, 0) AS notas_autorizadas,
+       COALESCE(per.c, 0) AS notas_canceladas, COALESCE(per.p, 0) AS pendentes_sefaz,
+       COALESCE(per.sf, 0) AS nfe_sem_fiscal, COALESCE(per.sp, 0) AS nfe_sem_pdv
+FROM cal LEFT JOIN per ON per.d = cal.data""")
+def measures_by_calendar_q(spark, d):
+    from tidewater.plans.measures import measures_by_calendar
+    s = sales(spark, d)
+    return measures_by_calendar(s, bounds(s, "data_emissao")).withColumn("faturamento_total", dbl("faturamento_total"))
+
+
+def _files(df, value, name):
+    return df.select(value.alias("value"), name.alias("file_path"), name.alias("file_name"))
+
+
+@query("paged_envelopes", """
+SELECT CAST(event_id AS VARCHAR) AS key, event_type AS type, 1 AS page, 2 AS total_pages FROM events
+UNION ALL
+SELECT CAST(event_id AS VARCHAR) || '-b', 'follow_up', 1, 2 FROM events""")
+def paged_envelopes(spark, d):
+    from tidewater.sources.documents import parse_paged_envelopes
+    e = t(spark, d, "events")
+    item = lambda i, ty: F.to_json(F.struct(i.alias("id"), ty.alias("type"),
+                                            F.struct(F.col("user_id").alias("user_id")).alias("attributes")))
+    page = F.concat(F.lit('{"data":['), item(F.col("event_id").cast("string"), F.col("event_type")), F.lit(","),
+                    item(F.concat(F.col("event_id").cast("string"), F.lit("-b")), F.lit("follow_up")),
+                    F.lit('],"included":[{"id":"x","type":"location"}],"meta":{"pagination":'
+                          '{"total_pages":2,"current_page":1,"per_page":200}}}'))
+    rows = parse_paged_envelopes(_files(e, page, F.concat(F.lit("events_"), F.col("event_id").cast("string"), F.lit(".json"))))
+    return rows.select("key", F.get_json_object("data", "$.type").alias("type"), "page", "total_pages")
+
+
+@query("detail_envelopes", """
+SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS priority, CAST(o_orderkey AS VARCHAR) AS root_id,
+       2 AS included_items FROM orders WHERE o_orderstatus <> 'P'""")
+def detail_envelopes(spark, d):
+    from tidewater.sources.documents import parse_detail_envelopes
+    o = t(spark, d, "orders")
+    body = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), F.lit("failure").alias("type"),
+                              F.struct(F.col("o_orderpriority").alias("priority")).alias("attributes")))
+    doc = F.when(F.col("o_orderstatus") == "P", F.lit('{"errors":[{"status":"404"}]}')).otherwise(
+        F.concat(F.lit('{"data":'), body, F.lit(',"included":[{"id":"1","type":"event","attributes":{"operator_id":'),
+                 F.col("o_custkey").cast("string"), F.lit('}},{"id":"2","type":"location","attributes":{"name":"n"}}]}')))
+    ok, _ = parse_detail_envelopes(_files(o, doc, F.concat(F.lit("failure_"), F.col("o_orderkey").cast("string"), F.lit(".json"))))
+    return ok.select("key", F.get_json_object("data", "$.data.attributes.priority").alias("priority"),
+                     F.get_json_object("data", "$.id").alias("root_id"),
+                     F.json_array_length(F.get_json_object("data", "$.included")).alias("included_items"))
+
+
+@query("json_array", """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+         || '-' || CAST(l_suppkey AS VARCHAR) AS key,
+       l_returnflag AS ANCFOP FROM lineitem""")
+def json_array(spark, d):
+    from tidewater.sources.documents import parse_json_array
+    li = t(spark, d, "lineitem")
+    s = lambda c: F.col(c).cast("string")
+    rec = F.to_json(F.struct(F.concat_ws("-", s("l_orderkey"), s("l_linenumber"), s("l_partkey"), s("l_suppkey"))
+                             .alias("IDLANCAMENTOICMSBASE"), F.col("l_returnflag").alias("ANCFOP")))
+    files = _files(li, F.concat(F.lit("["), rec, F.lit(',"noise",7]')),
+                   F.concat(F.lit("ledger_"), s("l_orderkey"), F.lit(".json")))
+    rows = parse_json_array(files)
+    return rows.select("key", F.get_json_object("data", "$.ANCFOP").alias("ANCFOP"))
+
+
+@query("dead_letters", """
+SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS logged_at, event_type AS resource_type,
+       CAST(event_id AS VARCHAR) AS id, 'falha ' || CAST(user_id AS VARCHAR) || chr(10) || chr(9) || 'detalhe' AS error
+FROM events
+UNION ALL
+SELECT CAST(date_trunc('second', ts) AS TIMESTAMP), 'retry', CAST(user_id AS VARCHAR), '404 Not Found' FROM events""")
+def dead_letters(spark, d):
+    from tidewater.sources.documents import parse_dead_letters
+    e = t(spark, d, "events")
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    text = F.concat(stamp, F.lit(" | "), F.col("event_type"), F.lit(" | ID: "), F.col("event_id").cast("string"),
+                    F.lit(" | Erro: falha "), F.col("user_id").cast("string"), F.lit("\n\tdetalhe\n\n"),
+                    stamp, F.lit(" | retry | ID: "), F.col("user_id").cast("string"), F.lit(" | Erro: 404 Not Found\n"))
+    return parse_dead_letters(_files(e, text, F.concat(F.lit("ids_"), F.col("event_id").cast("string"), F.lit(".log"))))
+
+
+@query("export_receipts", """
+SELECT c_mktsegment, count(DISTINCT o_orderkey) AS recibos, count(*) AS itens
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+def export_receipts(spark, d):
+    from tidewater.sinks.export import export_receipts_xml
+    li = (t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+          .join(t(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey")))
+    docs = export_receipts_xml(li, ["c_mktsegment"], "o_orderkey",
+                               {"NumeroCOO": F.col("o_orderkey"), "ValorTotal": decimal("o_totalprice")},
+                               {"CodigoProduto": F.col("l_partkey"), "Quantidade": F.col("l_quantity"),
+                                "ValorTotalLiquido": decimal("l_extendedprice")},
+                               ["l_linenumber", "l_partkey", "l_suppkey"])
+    count = lambda tag: F.size(F.split("document", tag)) - 1
+    return docs.groupBy("c_mktsegment").agg(F.sum(count("<PDVVenda>")).cast("bigint").alias("recibos"),
+                                            F.sum(count("<Item>")).cast("bigint").alias("itens"))
+
+
+QUERY_NAMES = list(QUERIES)

@@ -223,4 +223,4 @@ def parse_dead_letters(files: DataFrame) -> DataFrame:
     recs = recs.filter(F.regexp_like(F.col("r"), F.lit(r"^\d{4}-\d{2}-\d{2} ")))
     g = lambda i: F.regexp_extract(F.col("r"), _DEAD, i)
     return recs.select(F.to_timestamp_ntz(g(1)).alias("logged_at"), F.trim(g(2)).alias("resource_type"),
-                       F.trim(g(3)).alias("id"), F.rtrim(g(4)).alias("error"))
+                       F.trim(g(3)).alias("id"), F.regexp_replace(g(4), r"\s+$", "").alias("error"))

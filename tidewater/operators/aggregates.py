@@ -5,6 +5,7 @@ shuffle."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,12 +102,18 @@ def nest(df: DataFrame, by: Sequence[str], fields: Sequence, order: Sequence[str
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flds = [F.col(f) if isinstance(f, str) else f for f in fields]
     elem = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *flds)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    sized = df.join(sizes, by)
-    small = (sized.filter(F.col("_n") <= max_items).groupBy(*by)
-                  .agg(F.sort_array(F.collect_list(elem)).alias("_arr"))
-                  .withColumn(chunk_col, F.lit(0)))
-    big = (sized.filter(F.col("_n") > max_items)
+    # Keys of the big groups only: at most rows / max_items of them, so AQE
+    # normally broadcasts this side by its measured size and ``df`` is not
+    # shuffled for the join. Null-safe, so a hot NULL group is caught too.
+    big_keys = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+                  .filter(F.col("_n") > max_items)
+                  .select(*[F.col(b).alias(f"_bk{i}") for i, b in enumerate(by)], F.lit(True).alias("_big")))
+    cond = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"_bk{i}")) for i, b in enumerate(by)])
+    tagged = df.join(big_keys, cond, "left").drop(*[f"_bk{i}" for i in range(len(by))])
+    small = (tagged.filter(F.col("_big").isNull()).groupBy(*by)
+                   .agg(F.sort_array(F.collect_list(elem)).alias("_arr"))
+                   .withColumn(chunk_col, F.lit(0)))
+    big = (tagged.filter(F.col("_big"))
                 .repartitionByRange(n, *[F.col(c) for c in by + order])
                 .withColumn("_pid", F.spark_partition_id())
                 .groupBy(*by, "_pid").agg(F.sort_array(F.collect_list(elem)).alias("_arr")))

@@ -74,21 +74,53 @@ def one_per_key(df: DataFrame, key, order, take: Sequence[str] | None = None,
               .select(*key, "_row.*"))
 
 
+_SALTABLE = ("string", "bigint", "int", "smallint", "tinyint")
+
+
+def _salt_for(dtype: str, salt: Column) -> Column | None:
+    """A stand-in key value of ``dtype`` spread by ``salt``, or None if the
+    type has no cheap stand-in."""
+    if dtype == "string":
+        return salt.cast("string")
+    if dtype == "bigint":
+        return salt
+    if dtype in ("int", "smallint", "tinyint"):
+        bound = {"int": 2 ** 31 - 1, "smallint": 2 ** 15 - 1, "tinyint": 127}[dtype]
+        return F.pmod(salt, F.lit(bound)).cast(dtype)
+    return None
+
+
 def left_lookup(left: DataFrame, right_unique: DataFrame, left_keys, right_keys,
                 take: Sequence[str]) -> DataFrame:
-    """Left join to a right side that is unique per key; rows with a NULL key
-    skip the shuffle (they cannot match) and get NULLs."""
+    """Left join to a right side that is unique per key (so no fan-out).
+
+    Rows with a NULL key cannot match; in a plain join they would all hash to
+    one reducer. Here they join on a salted stand-in key (a hash of the row)
+    plus a ``null`` flag that the right side never has, so they spread over
+    all reducers and still never match -- one pass, no second scan. Key types
+    without a cheap stand-in fall back to splitting the NULL rows off.
+    """
     left_keys, right_keys, take = _list(left_keys), _list(right_keys), list(take)
     g = _tag()
+    ltypes = dict(left.dtypes)
     r = right_unique.select(*[F.col(k).alias(f"{g}k{i}") for i, k in enumerate(right_keys)],
+                            F.lit(False).alias(f"{g}n"),
                             *[F.col(c).alias(f"{g}t{j}") for j, c in enumerate(take)])
-    nonnull = _all([F.col(k).isNotNull() for k in left_keys])
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
+    salt = F.xxhash64(*[F.col(c) for c in left.columns])
+    stand_ins = [_salt_for(ltypes[k], salt) for k in left_keys]
+    out_cols = [*[F.col(c) for c in left.columns], *[F.col(f"{g}t{j}").alias(c) for j, c in enumerate(take)]]
+    if all(sv is not None for sv in stand_ins):
+        l = left.select("*", any_null.alias(f"{g}ln"),
+                        *[F.coalesce(F.col(k), sv).alias(f"{g}lk{i}") for i, (k, sv) in enumerate(zip(left_keys, stand_ins))])
+        cond = _all([F.col(f"{g}lk{i}") == F.col(f"{g}k{i}") for i in range(len(left_keys))]
+                    + [F.col(f"{g}ln") == F.col(f"{g}n")])
+        return l.join(r, cond, "left").select(*out_cols)
+    nonnull = ~any_null
     cond = _all([F.col(lk) == F.col(f"{g}k{i}") for i, lk in enumerate(left_keys)])
-    hit = (left.filter(nonnull).join(r, cond, "left")
-               .select(*[F.col(c) for c in left.columns],
-                       *[F.col(f"{g}t{j}").alias(c) for j, c in enumerate(take)]))
+    hit = left.filter(nonnull).join(r, cond, "left").select(*out_cols)
     types = dict(r.dtypes)
-    miss = left.filter(~nonnull).select("*", *[F.lit(None).cast(types[f"{g}t{j}"]).alias(c) for j, c in enumerate(take)])
+    miss = left.filter(any_null).select("*", *[F.lit(None).cast(types[f"{g}t{j}"]).alias(c) for j, c in enumerate(take)])
     return hit.unionByName(miss)
 
 

@@ -122,7 +122,7 @@ def test_notes_sales_daily(spark):
     daily = {(r.hotel, str(r.data)): r for r in sales_daily(sales).collect()}
     # 23:30 at -03:00 is the next day in UTC; the zone parameter moves it back
     assert ("SA", "2026-01-03") in daily
-    local = {(r.hotel, str(r.data)): r for r in sales_daily(sales, zone="America/Fortaleza").collect()}
+    local = {(r.hotel, str(r.data)): r for r in sales_daily(sales, zone="America/Recife").collect()}
     assert local[("SA", "2026-01-02")].total_notas == 2 and local[("SA", "2026-01-02")].valor_total_dia == Decimal("6.00")
     sb = local[("SB", "2026-01-03")]
     assert (sb.total_notas, sb.notas_canceladas, sb.notas_pendentes, sb.valor_total_dia) == (2, 1, 1, Decimal("2.00"))

@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from tidewater.fixed_values import (
+    AUTHORISED_CODE, NOTE_KEY_LENGTH, NOTE_KEY_PREFIX, STATUS_AUTHORISED, STATUS_CANCELLED, STATUS_PENDING,
+)
 
 
 def _c(x) -> Column:
@@ -48,12 +51,12 @@ def hotel_of(prefix_col, fallback_cols: Sequence, rules: Sequence[tuple[str, str
     return other if out is None else out.otherwise(other)
 
 
-def status_of(cancelled, sefaz_status, authorised_code: str = "100") -> Column:
+def status_of(cancelled, sefaz_status, authorised_code: str = AUTHORISED_CODE) -> Column:
     """note status; order matters -- a cancelled note is 'Cancelada' even
     if it was authorised first."""
-    return (F.when(_c(cancelled), F.lit("Cancelada"))
-            .when(_c(sefaz_status) == F.lit(authorised_code), F.lit("Autorizada"))
-            .otherwise(F.lit("Pendente SEFAZ")))
+    return (F.when(_c(cancelled), F.lit(STATUS_CANCELLED))
+            .when(_c(sefaz_status) == F.lit(authorised_code), F.lit(STATUS_AUTHORISED))
+            .otherwise(F.lit(STATUS_PENDING)))
 
 
 def unit_price(total, count) -> Column:
@@ -158,12 +161,12 @@ def only_digits(col) -> Column:
     return F.regexp_replace(_c(col), r"[^0-9]", "")
 
 
-def digits(col, n: int = 44) -> Column:
+def digits(col, n: int = NOTE_KEY_LENGTH) -> Column:
     """F16: first run of ``n`` digits, NULL if none."""
     return F.nullif(F.regexp_extract(_c(col), rf"(\d{{{n}}})", 1), F.lit(""))
 
 
-def clean_key(col, prefix: str = "NFe", n: int = 44) -> Column:
+def clean_key(col, prefix: str = NOTE_KEY_PREFIX, n: int = NOTE_KEY_LENGTH) -> Column:
     """drop the prefix; NULL unless exactly ``n`` long."""
     k = F.replace(_c(col), F.lit(prefix), F.lit(""))
     return F.when(F.length(k) == n, k)

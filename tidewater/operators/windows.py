@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.scalar import hours_between
+from tidewater.fixed_values import END_ACTIONS, START_ACTIONS
 
 
 def _bucket(df: DataFrame, col: str, width: float):
@@ -65,8 +66,8 @@ def work_intervals(registries: DataFrame, parent: str, event: str = "event_id",
                    time: str = "event_time", seq: str = "event_registry_id",
                    action: str = "action", owner: str = "operator_id",
                    events: DataFrame | None = None,
-                   starts: Sequence[str] = ("STARTED", "RESUMED"),
-                   ends: Sequence[str] = ("PAUSED", "COMPLETED"),
+                   starts: Sequence[str] = START_ACTIONS,
+                   ends: Sequence[str] = END_ACTIONS,
                    strategy: str = "bucket", width: float = 3600.0) -> DataFrame:
     """V4 / V5: worked intervals from state transitions.
 

@@ -21,6 +21,7 @@ from tidewater.operators.filters import (
 )
 from tidewater.operators.joins import missing_detail, without
 from tidewater.operators.ordering import sort, top
+from tidewater.fixed_values import INTERNAL_CONSUMPTION, STATUS_AUTHORISED, STATUS_PENDING
 
 # ------------------------------------------------------------ maintenance
 
@@ -145,7 +146,7 @@ def sales_recent(daily: DataFrame, as_of, days: int = 30) -> DataFrame:
 
 def value_gaps(sales: DataFrame, tol: float = 0.01) -> DataFrame:
     """Q16: authorised notes whose note and POS values differ by more than ``tol``."""
-    s = sales.filter((F.col("status") == "Autorizada") & F.col("tem_pdv") & differs("valor_total", "valor_pdv", tol))
+    s = sales.filter((F.col("status") == STATUS_AUTHORISED) & F.col("tem_pdv") & differs("valor_total", "valor_pdv", tol))
     s = s.select("nota_id", "hotel", "data_emissao", "valor_total", "valor_pdv",
                  (F.col("valor_total") - F.col("valor_pdv")).alias("diferenca"),
                  abs_diff("valor_total", "valor_pdv").alias("_gap"))
@@ -154,14 +155,14 @@ def value_gaps(sales: DataFrame, tol: float = 0.01) -> DataFrame:
 
 def pending_per_hotel(sales: DataFrame) -> DataFrame:
     """Q17."""
-    g = sales.filter(F.col("status") == "Pendente SEFAZ").groupBy("hotel").agg(
+    g = sales.filter(F.col("status") == STATUS_PENDING).groupBy("hotel").agg(
         F.count(F.lit(1)).alias("pendentes"), F.sum("valor_total").alias("valor_total"))
     return sort(g, ["-pendentes"])
 
 
 def missing_side(sales: DataFrame) -> DataFrame:
     """Q18: authorised notes missing the POS or the ledger side."""
-    s = missing_any(sales.filter(F.col("status") == "Autorizada"), ["tem_pdv", "tem_fiscal"])
+    s = missing_any(sales.filter(F.col("status") == STATUS_AUTHORISED), ["tem_pdv", "tem_fiscal"])
     return sort(s.select("nota_id", "hotel", "data_emissao", "valor_total", "status", "tem_pdv", "tem_fiscal"),
                 ["-data_emissao"])
 
@@ -226,7 +227,7 @@ def items_per_day(it: DataFrame) -> DataFrame:
     return sort(it.groupBy("hotel", "data").agg(F.count(F.lit(1)).alias("total_items")), ["-data", "hotel"])
 
 
-INTERNAL = "Consumo Interno"
+INTERNAL = INTERNAL_CONSUMPTION
 
 
 def internal_per_day(it: DataFrame, order_type: str = INTERNAL) -> DataFrame:

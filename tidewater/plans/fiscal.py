@@ -15,6 +15,7 @@ from tidewater.functions.json_paths import project
 from tidewater.functions.scalar import blank_to_null, instant, local_day, map_code, status_of
 from tidewater.operators.aggregates import count_where, main_value, mart, sum_where
 from tidewater.operators.joins import left_lookup, one_per_key, resolve, with_exists
+from tidewater.fixed_values import STATUS_AUTHORISED, STATUS_CANCELLED, STATUS_PENDING
 
 # Ledger company id -> site code is deployment data (D15: an
 # unmapped company keeps a NULL site). Pass it as ``company_sites``.
@@ -182,10 +183,10 @@ def sales_daily(sales: DataFrame, zone: str | None = None) -> DataFrame:
         [F.col("hotel"), local_day("data_emissao", zone).alias("data")],
         {
             "total_notas": F.count(F.lit(1)),
-            "notas_autorizadas": count_where(st == "Autorizada"),
-            "notas_canceladas": count_where(st == "Cancelada"),
-            "notas_pendentes": count_where(st == "Pendente SEFAZ"),
-            "valor_total_dia": sum_where(F.col("valor_total"), st != "Cancelada"),
+            "notas_autorizadas": count_where(st == STATUS_AUTHORISED),
+            "notas_canceladas": count_where(st == STATUS_CANCELLED),
+            "notas_pendentes": count_where(st == STATUS_PENDING),
+            "valor_total_dia": sum_where(F.col("valor_total"), st != STATUS_CANCELLED),
             "notas_com_pdv": count_where(F.col("tem_pdv")),
             "notas_com_fiscal": count_where(F.col("tem_fiscal")),
         })

@@ -18,9 +18,9 @@ from tidewater.functions.json_paths import project
 from tidewater.functions.scalar import hotel_of
 from tidewater.operators.joins import left_lookup, prefer
 from tidewater.operators.windows import work_intervals
+from tidewater.fixed_values import LOCATION_TYPES
 
 INCLUDED = "array<struct<id: string, type: string, attributes: map<string, string>>>"
-LOCATION_TYPES = ("location", "location-folder")
 
 OPERATOR_SPEC = [
     ("nome_operador", "attributes.full_name", "text"),
@@ -33,7 +33,7 @@ OPERATOR_SPEC = [
     ("entity_id", "attributes.entity_id", "integer"),
     ("fuso_horario", "attributes.timezone", "text"),
     ("is_from_network", "attributes.is_from_network", "boolean"),
-    ("data_criacao_infraspeak", "attributes.created_at", "timestamp"),
+    ("data_criacao_origem", "attributes.created_at", "timestamp"),
 ]
 
 PLAN_SPEC = [

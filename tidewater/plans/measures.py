@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.aggregates import count_where, mart
 from tidewater.operators.incremental import calendar
 from tidewater.operators.joins import left_lookup
+from tidewater.fixed_values import STATUS_AUTHORISED, STATUS_CANCELLED, STATUS_PENDING
 
 
 def measure_columns(status: str = "status", value: str = "valor_total") -> dict[str, Column]:
@@ -17,12 +18,12 @@ def measure_columns(status: str = "status", value: str = "valor_total") -> dict[
 
     An empty context sums to NULL (a blank in the BI tool); counts give 0."""
     st = F.col(status)
-    auth = st == "Autorizada"
+    auth = st == STATUS_AUTHORISED
     return {
-        "faturamento_total": F.sum(F.when(st != "Cancelada", F.col(value))),
+        "faturamento_total": F.sum(F.when(st != STATUS_CANCELLED, F.col(value))),
         "notas_autorizadas": count_where(auth),
-        "notas_canceladas": count_where(st == "Cancelada"),
-        "pendentes_sefaz": count_where(st == "Pendente SEFAZ"),
+        "notas_canceladas": count_where(st == STATUS_CANCELLED),
+        "pendentes_sefaz": count_where(st == STATUS_PENDING),
         "nfe_sem_fiscal": count_where(auth & ~F.col("tem_fiscal")),
         "nfe_sem_pdv": count_where(auth & ~F.col("tem_pdv")),
     }

@@ -16,15 +16,9 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.scalar import config_key, export_quantity, export_unit_price, int_or_zero
 from tidewater.operators.aggregates import nest
+from tidewater.fixed_values import EXPORT_REQUEST_CONSTANTS, EXPORT_UNIT
 
-# Fixed values of the stock-movement request (constant fields of every document).
-REQUEST_CONSTANTS = {
-    "TipoDeProcessamento": "ProcVendaParaBaixaEstoque",
-    "ExecucaoImediata": False,
-    "NomeParaArmazenamentoDoConteudo": "AlmoxVendaParaBaixaEstoque",
-    "ConteudoCompactado": False,
-    "MensagemDoSolicitante": "IncluirProcVendaParaBaixaEstoque",
-}
+REQUEST_CONSTANTS = EXPORT_REQUEST_CONSTANTS
 
 
 def with_config(items: DataFrame, config: DataFrame | None, name_col: str) -> DataFrame:
@@ -53,7 +47,7 @@ def sale_record(pdv_code, item_code, total, count, serial="EmissordoCupom") -> C
         c(pdv_code).cast("string").alias("CodigoPDV"),
         c(serial).alias("EmissordoCupom"),
         c(item_code).cast("string").alias("CodigoExterno"),
-        F.lit("UN").alias("UnidadeMedida"),
+        F.lit(EXPORT_UNIT).alias("UnidadeMedida"),
         export_quantity(c(count)).cast("double").alias("Quantidade"),
         export_unit_price(c(total), c(count)).cast("double").alias("ValorUnitario"))
 

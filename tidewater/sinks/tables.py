@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.joins import one_per_key, with_exists, without
+from tidewater.fixed_values import DELETED_MARKER
 
 
 def _list(x) -> list:
@@ -72,7 +73,7 @@ def set_path(doc: Column, parts: Sequence[str], value: str) -> Column:
 
 
 def soft_delete(df: DataFrame, ids: DataFrame, key: str, parts: Sequence[str],
-                marker: str = "EXCLUIDO", doc: str = "data", ids_key: str | None = None,
+                marker: str = DELETED_MARKER, doc: str = "data", ids_key: str | None = None,
                 stamp: str | None = None) -> DataFrame:
     """K5: mark documents of the given ids -- ``parts`` is the path of the
     state field (``['attributes','state']`` for bulk rows,

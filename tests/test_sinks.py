@@ -87,3 +87,19 @@ def test_export_receipts_xml(spark):
     (doc,) = [r.document for r in docs.collect()]
     assert doc.count("<PDVVenda>") == 2 and doc.count("<Item>") == 3
     assert doc.index("<DescricaoProduto>Tea") < doc.index("<DescricaoProduto>Cake")
+
+
+def test_upsert_partitioned_rewrites_only_touched_partitions(spark, tmp):
+    import os
+    from tidewater.sinks import note_month, upsert_partitioned
+    path = f"{tmp}/bronze/notes_p"
+    k = lambda ym, n: "23" + ym + str(n).zfill(38)
+    first = spark.createDataFrame([(k("2601", 1), "a"), (k("2601", 2), "b"), (k("2602", 3), "c")], "id string, data string")
+    upsert_partitioned(first, path, "id", note_month("id"))
+    stamp_2601 = sorted(os.listdir(f"{path}/part=2601"))
+    batch = spark.createDataFrame([(k("2602", 3), "c2"), (k("2602", 4), "d"), (k("2602", 4), "e")], "id string, data string")
+    out = rows(upsert_partitioned(batch, path, "id", note_month("id"), order="data"), "id", "data")
+    assert out == [(k("2601", 1), "a"), (k("2601", 2), "b"), (k("2602", 3), "c2"), (k("2602", 4), "e")]
+    assert sorted(os.listdir(f"{path}/part=2601")) == stamp_2601          # untouched partition not rewritten
+    again = upsert_partitioned(batch, path, "id", note_month("id"), order="data")
+    assert rows(again, "id", "data") == out                                # idempotent

@@ -30,3 +30,18 @@ def test_stream_ingest_upserts(spark, tmp):
     cur = {r.key: json.loads(r.data) for r in read_current(spark, table).collect()}
     assert sorted(cur) == ["a" * 44, "b" * 44, "c" * 44]
     assert cur["b" * 44]["Sub Total 1"] == 0 and cur["b" * 44]["source_file"] == "pos_2026-01-02.json"
+
+
+def test_stream_ingest_partitioned(spark, tmp):
+    from tidewater.sinks import note_month
+    land = os.path.join(tmp, "land2")
+    os.makedirs(land)
+    table = os.path.join(tmp, "bronze_pos_p")
+    parse = lambda df: parse_sectioned_json(df, {"ST1": "SITE1"}).select("key", "data")
+    k = lambda ym, n: "23" + ym + str(n).zfill(38)
+    write(land, "pos_a.json", [k("2601", 1), k("2602", 2)])
+    ingest_stream(spark, land, parse, table, "key", name=f"pos_p_{uuid.uuid4().hex}", partition=note_month("key"))
+    from pyspark.sql import functions as F
+    got = spark.read.parquet(table)
+    assert sorted(r.part for r in got.select("part").distinct().collect()) == ["2601", "2602"]
+    assert got.count() == 2

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import checkpoint_dir
-from tidewater.sinks.tables import upsert_table
+from pyspark.sql import Column
+
+from tidewater.sinks.tables import upsert_partitioned, upsert_table
 from tidewater.sources.files import landed, landed_stream, select_files
 
 Parser = Callable[[DataFrame], DataFrame]
@@ -24,7 +26,7 @@ Parser = Callable[[DataFrame], DataFrame]
 
 def ingest_stream(spark: SparkSession, source_dir: str, parse: Parser, table_base: str, key: str,
                   name: str, glob: str | None = None, order=None, max_files: int = 1000,
-                  checkpoint: str | None = None):
+                  checkpoint: str | None = None, partition: Column | None = None):
     """Drain ``source_dir`` into ``table_base`` and return the finished query.
 
     The stream checkpoint lives under ``spark.checkpoint.dir`` (shared
@@ -35,7 +37,10 @@ def ingest_stream(spark: SparkSession, source_dir: str, parse: Parser, table_bas
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         rows = parse(df)
-        upsert_table(rows, table_base, key, order)
+        if partition is not None:   # large tables: rewrite only the partitions the batch touches
+            upsert_partitioned(rows, table_base, key, partition, order)
+        else:
+            upsert_table(rows, table_base, key, order)
 
     q = (landed_stream(spark, source_dir, glob, max_files).writeStream
          .foreachBatch(batch).option("checkpointLocation", cp)
@@ -45,10 +50,12 @@ def ingest_stream(spark: SparkSession, source_dir: str, parse: Parser, table_bas
 
 
 def ingest_day(spark: SparkSession, source_dir: str, day: str, parse: Parser, table_base: str, key: str,
-               order=None) -> DataFrame:
+               order=None, partition: Column | None = None) -> DataFrame:
     """T1 batch form: the files whose name carries ``day`` (default
     yesterday is the caller's choice), parsed and upserted."""
     files = select_files(landed(spark, source_dir), include=day.replace("-", r"[-]?"))
+    if partition is not None:
+        return upsert_partitioned(parse(files), table_base, key, partition, order)
     return upsert_table(parse(files), table_base, key, order)
 
 

@@ -195,13 +195,15 @@ def upsert_partitioned(updates: DataFrame, path: str, key: str, partition: Colum
     batch = batch.withColumn(part_col, partition)
     fs, p = _fs(spark, path)
     exists = fs.exists(p) and any(st.getPath().getName().startswith(f"{part_col}=") for st in fs.listStatus(p))
+    # explicit schema: partition values stay text (no '0101' -> 101 inference)
+    read = lambda: spark.read.schema(batch.schema).parquet(path)
     if not exists:
         batch.write.mode("overwrite").partitionBy(part_col).parquet(path)
-        return spark.read.parquet(path)
+        return read()
     touched = [r[0] for r in batch.select(part_col).distinct().collect()]  # at most #partitions values
-    current = spark.read.parquet(path).filter(F.col(part_col).isin(touched))
+    current = read().filter(F.col(part_col).isin(touched))
     merged = upsert(current, batch.drop(part_col), key, order=order, stamp=None).withColumn(part_col, partition)
     merged = merged.checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(part_col).parquet(path))
-    return spark.read.parquet(path)
+    return read()

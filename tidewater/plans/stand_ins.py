@@ -838,6 +838,11 @@ m AS (SELECT l.lancamento_id, l.hotel, COALESCE(nd.nota_id, nc.nota_id) AS chave
       LEFT JOIN n nc ON nd.nota_id IS NULL AND nc.nNF = l.numero AND nc.serie = l.serie AND nc.hotel = l.hotel)
 SELECT m.*, EXISTS (SELECT 1 FROM c WHERE c.chNFe = m.chave_nfe) AS cancelada FROM m""")
 def ledger_fact(spark, d):
+    return ledger_fact_full(spark, d).select("lancamento_id", "hotel", "chave_nfe", "status_sefaz", "cancelada")
+
+
+def ledger_fact_full(spark, d):
+    """V6 over the stand-ins: ledger = line items, notes = orders."""
     from tidewater.plans.fiscal import fact_ledger
     li, o = t(spark, d, "lineitem"), t(spark, d, "orders")
     s = lambda c: F.col(c).cast("string")
@@ -856,7 +861,7 @@ def ledger_fact(spark, d):
                      F.when(F.col("o_orderstatus") != "P", F.lit("100")).alias("cStat"),
                      F.lit(None).cast("string").alias("nProt"), F.lit(None).cast("string").alias("dhRecbto"))
     cancels = o.filter(F.col("o_orderstatus") == "F").select(_key44().alias("chNFe"))
-    return fact_ledger(ledger, notes, cancels).select("lancamento_id", "hotel", "chave_nfe", "status_sefaz", "cancelada")
+    return fact_ledger(ledger, notes, cancels)
 
 
 @query("measures_by_calendar", SALES_SQL + """, b AS (SELECT min(CAST(data_emissao AS DATE)) AS s, max(CAST(data_emissao AS DATE)) AS e FROM sales),
@@ -967,4 +972,53 @@ def export_receipts(spark, d):
                                             F.sum(count("<Item>")).cast("bigint").alias("itens"))
 
 
+# ------------------------------------------------------------------ the reference's timed-out reads (Q29, Q15)
+
+LEDGER_SQL = """
+WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+                    || '-' || CAST(l_suppkey AS VARCHAR) AS lancamento_id,
+                  CAST(l_orderkey AS VARCHAR) AS numero, '1' AS serie, l_linestatus AS hotel, CAST(l_shipdate AS DATE) AS dia,
+                  NULLIF(trim(CASE WHEN l_returnflag = 'R' THEN lpad(CAST(l_partkey AS VARCHAR), 44, '0') ELSE '' END), '') AS direct
+           FROM lineitem),
+n AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS nota_id, CAST(o_orderkey AS VARCHAR) AS nNF, '1' AS serie,
+             o_orderstatus AS hotel, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '100' END AS cStat FROM orders),
+c AS (SELECT DISTINCT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS chNFe FROM orders WHERE o_orderstatus = 'F'),
+m AS (SELECT l.lancamento_id, l.hotel, l.dia, COALESCE(nd.nota_id, nc.nota_id) AS chave_nfe,
+             COALESCE(nd.cStat, nc.cStat) AS status_sefaz
+      FROM l LEFT JOIN n nd ON nd.nota_id = l.direct
+      LEFT JOIN n nc ON nd.nota_id IS NULL AND nc.nNF = l.numero AND nc.serie = l.serie AND nc.hotel = l.hotel)
+"""
+
+
+@query("ledger_recent", LEDGER_SQL + """
+SELECT m.lancamento_id, m.hotel, m.dia AS data_emissao, m.chave_nfe, m.status_sefaz,
+       EXISTS (SELECT 1 FROM c WHERE c.chNFe = m.chave_nfe) AS cancelada
+FROM m WHERE m.dia >= DATE '1998-07-03' AND m.dia < DATE '1998-08-03'""")
+def ledger_recent(spark, d):
+    from tidewater.plans.audits import ledger_recent as q29a
+    f = q29a(ledger_fact_full(spark, d), "1998-08-02", 30)
+    return f.select("lancamento_id", "hotel", "data_emissao", "chave_nfe", "status_sefaz", "cancelada")
+
+
+@query("sales_notes_recent", SALES_SQL + """
+SELECT nota_id, hotel, data_emissao, CAST(valor_total AS DOUBLE) AS valor_total, status, tem_pdv, tem_fiscal
+FROM sales WHERE data_emissao >= DATE '1998-07-03' AND data_emissao < DATE '1998-08-03'""")
+def sales_notes_recent(spark, d):
+    from tidewater.plans.audits import sales_notes_recent as q29b
+    s = q29b(sales(spark, d), "1998-08-02", 30, limit=None)
+    return s.select("nota_id", "hotel", "data_emissao", dbl("valor_total").alias("valor_total"), "status",
+                    "tem_pdv", "tem_fiscal")
+
+
+@query("daily_recent", SALES_SQL + """
+SELECT hotel, CAST(data_emissao AS DATE) AS data, count(*) AS total_notas,
+       count(*) FILTER (WHERE status = 'Autorizada') AS notas_autorizadas,
+       CAST(COALESCE(SUM(valor_total) FILTER (WHERE status <> 'Cancelada'), 0) AS DOUBLE) AS valor_total_dia
+FROM sales WHERE data_emissao IS NOT NULL
+GROUP BY 1, 2 HAVING CAST(data_emissao AS DATE) >= DATE '1998-07-03' AND CAST(data_emissao AS DATE) <= DATE '1998-08-02'""")
+def daily_recent(spark, d):
+    from tidewater.plans.audits import sales_recent
+    return sales_recent(sales_daily(sales(spark, d)), "1998-08-02", 30).withColumn("valor_total_dia", dbl("valor_total_dia"))
+
+
 QUERY_NAMES = list(QUERIES)

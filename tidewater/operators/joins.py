@@ -90,6 +90,17 @@ def _salt_for(dtype: str, salt: Column) -> Column | None:
     return None
 
 
+_ATOMIC = ("string", "bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date",
+           "timestamp", "timestamp_ntz")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """Deterministic hash of a row from up to eight atomic columns (maps,
+    variants and arrays are skipped: cheap, and every type hashes)."""
+    cols = [F.col(c) for c, t in df.dtypes if t in _ATOMIC or t.startswith("decimal")][:8]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
+
+
 def left_lookup(left: DataFrame, right_unique: DataFrame, left_keys, right_keys,
                 take: Sequence[str]) -> DataFrame:
     """Left join to a right side that is unique per key (so no fan-out).
@@ -107,7 +118,7 @@ def left_lookup(left: DataFrame, right_unique: DataFrame, left_keys, right_keys,
                             F.lit(False).alias(f"{g}n"),
                             *[F.col(c).alias(f"{g}t{j}") for j, c in enumerate(take)])
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
-    salt = F.xxhash64(*[F.col(c) for c in left.columns])
+    salt = _row_hash(left)
     stand_ins = [_salt_for(ltypes[k], salt) for k in left_keys]
     out_cols = [*[F.col(c) for c in left.columns], *[F.col(f"{g}t{j}").alias(c) for j, c in enumerate(take)]]
     if all(sv is not None for sv in stand_ins):
@@ -128,17 +139,11 @@ def lookup_first(left: DataFrame, right: DataFrame, left_key, right_key, order,
                  take: Sequence[str]) -> DataFrame:
     """``LEFT JOIN LATERAL (... WHERE r.key = l.key ORDER BY order LIMIT 1)``.
 
-    Blank keys should already be NULL (``blank_to_null``)."""
+    Blank keys should already be NULL (``blank_to_null``). ``take`` may name
+    the right key columns too; names must not clash with ``left``'s."""
     right_key = _list(right_key)
     first = one_per_key(right, right_key, order, take=[c for c in take if c not in right_key])
-    first = first.select(*right_key, *[c for c in take if c not in right_key],
-                         *[F.col(k).alias(f"_key_{k}") for k in right_key if k in take])
-    out = left_lookup(left, first, left_key, right_key,
-                      [c for c in take if c not in right_key] + [f"_key_{k}" for k in right_key if k in take])
-    for k in right_key:
-        if k in take:
-            out = out.withColumnRenamed(f"_key_{k}", k)
-    return out
+    return left_lookup(left, first, left_key, right_key, take)
 
 
 def resolve(left: DataFrame, right: DataFrame, direct: tuple, composite: tuple, order,
@@ -149,28 +154,24 @@ def resolve(left: DataFrame, right: DataFrame, direct: tuple, composite: tuple,
     The second join runs only on rows the first left unmatched; the result has
     the ``take`` columns of whichever match won (``COALESCE`` semantics) and,
     if ``matched_by`` is given, a column saying 'direct', 'composite' or NULL.
+    Both right sides are first reduced to one row per key (smallest by
+    ``order``, D4), so neither join can fan out.
     """
     lk, rk = direct
     lcs, rcs = list(composite[0]), list(composite[1])
     take = list(take)
-    probe = f"_hit_{rk}"
+    probe = "_hit_direct"
     r_direct = one_per_key(right.withColumn(probe, F.lit(True)), rk, order,
                            take=[c for c in take if c != rk] + [probe])
-    r_direct = r_direct.select(F.col(rk).alias("_dk"), *[c for c in take if c != rk],
-                               *([F.col(rk)] if rk in take else []), probe)
-    first = left_lookup(left, r_direct, lk, "_dk", take + [probe])
-    hit = first.filter(F.col(probe).isNotNull())
+    first = left_lookup(left, r_direct, lk, rk, take + [probe])
+    hit = first.filter(F.col(probe).isNotNull()).drop(probe)
     miss = first.filter(F.col(probe).isNull()).drop(*take, probe)
     r_comp = one_per_key(right, rcs, order, take=[c for c in take if c not in rcs])
-    r_comp = r_comp.select(*[F.col(c).alias(f"_ck{i}") for i, c in enumerate(rcs)],
-                           *[c for c in take if c not in rcs],
-                           *[F.col(c) for c in take if c in rcs])
-    second = left_lookup(miss, r_comp, lcs, [f"_ck{i}" for i in range(len(rcs))], take)
+    second = left_lookup(miss, r_comp, lcs, rcs, take)
     if matched_by:
         hit = hit.withColumn(matched_by, F.lit("direct"))
-        second = second.withColumn(
-            matched_by, F.when(_all([F.col(c).isNotNull() for c in take[:1]]), F.lit("composite")))
-    return hit.drop(probe).unionByName(second)
+        second = second.withColumn(matched_by, F.when(F.col(take[0]).isNotNull(), F.lit("composite")))
+    return hit.unionByName(second)
 
 
 def with_exists(left: DataFrame, right: DataFrame, left_on, right_on, flag: str) -> DataFrame:

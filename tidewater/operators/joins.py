@@ -199,7 +199,10 @@ def _filter_join(left, right, left_on, right_on, how):
     left_on = _list(left_on)
     right_on = _list(right_on) if right_on is not None else left_on
     g = _tag()
-    r = right.select(*[F.col(c).alias(f"{g}k{i}") for i, c in enumerate(right_on)])
+    # distinct keys: a partial aggregate whose shuffle already partitions by
+    # the join key, so a right-side key holding a third of the rows arrives
+    # as one row and the join needs no further exchange of that side
+    r = right.select(*[F.col(c).alias(f"{g}k{i}") for i, c in enumerate(right_on)]).distinct()
     cond = _all([F.col(l) == F.col(f"{g}k{i}") for i, l in enumerate(left_on)])
     return left.join(r, cond, how)
 

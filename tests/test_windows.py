@@ -41,3 +41,9 @@ def test_nest_keeps_order_and_all_rows(spark):
     assert docs.filter("g = 0").count() > 1                     # a big group is split into ordered parts
     small = nest(df, ["g"], ["o"], ["o"], parts=4)
     assert small.count() == 2 and set(r.part for r in small.collect()) == {0}
+
+
+def test_text_order_falls_back_to_window(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (1, "a", "y"), (2, "c", "z")], "g int, o string, v string")
+    got = {r.o: r.next_v for r in with_next(df, ["g"], ["o"], ["v"]).collect()}
+    assert got == {"a": "x", "b": None, "c": None}

@@ -11,13 +11,19 @@ from tidewater.functions.scalar import hours_between
 from tidewater.fixed_values import END_ACTIONS, START_ACTIONS
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def _bucket(df: DataFrame, col: str, width: float):
+    """Bucket monotone in ``col``; None when the type has no such bucket."""
     dt = dict(df.dtypes)[col]
     if dt.startswith("timestamp"):
         return F.floor(F.unix_micros(F.col(col).cast("timestamp")) / F.lit(width * 1e6))
     if dt == "date":
         return F.floor(F.unix_date(F.col(col)) / F.lit(width / 86400.0))
-    return F.floor(F.col(col) / F.lit(width))
+    if dt in _NUMERIC or dt.startswith("decimal"):
+        return F.floor(F.col(col) / F.lit(width))
+    return None
 
 
 def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str],
@@ -40,14 +46,16 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequ
        bucket), the window's own partitioning, so the big side is not
        shuffled again.
     ``order`` should be a total order within a group (ties make lead arbitrary,
-    as in SQL).
+    as in SQL). A text first order column has no monotone bucket; the plain
+    window is used then.
     """
     by, order, cols = list(by), list(order), list(cols)
-    if strategy == "group":
+    bucket = _bucket(df, order[0], width) if strategy != "group" else None
+    if bucket is None:  # 'group', or a first order column with no monotone bucket (text)
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
 
-    b = df.withColumn("_b", _bucket(df, order[0], width))
+    b = df.withColumn("_b", bucket)
     w = Window.partitionBy(*by, "_b").orderBy(*[F.col(o) for o in order])
     inner = b.select("*", F.lead(F.lit(1)).over(w).isNull().alias("_last"),
                      *[F.lead(c).over(w).alias(f"_in_{i}") for i, c in enumerate(cols)])

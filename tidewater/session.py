@@ -60,8 +60,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
     unset -- local runs and tests -- is ``fallback`` installed.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    ctx_dir = spark.sparkContext.getCheckpointDir()
+    if ctx_dir:
+        return ctx_dir
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
+        spark.sparkContext.setCheckpointDir(current)
         return current
     if not fallback:
         raise RuntimeError("spark.checkpoint.dir is not set; pass a shared fallback folder")

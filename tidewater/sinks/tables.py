@@ -188,6 +188,8 @@ def upsert_partitioned(updates: DataFrame, path: str, key: str, partition: Colum
     job leaves the old partitions in place; re-running the batch gives the
     same table."""
     spark = updates.sparkSession
+    from tidewater.session import checkpoint_dir
+    checkpoint_dir(spark)  # the shared folder must exist; fails clearly when unset
     partition = partition if partition is not None else key_bucket(key)
     batch = dedupe_last(updates, key, order)
     if stamp:

@@ -103,3 +103,11 @@ def test_upsert_partitioned_rewrites_only_touched_partitions(spark, tmp):
     assert sorted(os.listdir(f"{path}/part=2601")) == stamp_2601          # untouched partition not rewritten
     again = upsert_partitioned(batch, path, "id", note_month("id"), order="data")
     assert rows(again, "id", "data") == out                                # idempotent
+
+
+def test_observed_counts_a_write(spark, tmp):
+    from tidewater.sinks import observed
+    df = spark.createDataFrame([("1", None), ("2", "bad"), ("3", None)], "id string, error string")
+    df, obs = observed(df, "load", errors=F.count_if(F.col("error").isNotNull()))
+    df.write.parquet(f"{tmp}/obs")
+    assert obs.get == {"rows": 3, "errors": 1}

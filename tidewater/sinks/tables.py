@@ -86,6 +86,18 @@ def soft_delete(df: DataFrame, ids: DataFrame, key: str, parts: Sequence[str],
     return out.drop("_gone")
 
 
+def observed(df: DataFrame, name: str = "batch", **metrics: Column):
+    """K3: running totals and error counts of a load, from the same job.
+
+    Returns ``(df, observation)``; after the write (any action on ``df``)
+    ``observation.get`` holds ``rows`` plus the named metrics, e.g.
+    ``errors=F.count_if(F.col("error").isNotNull())``. No second pass over
+    the data and no bounded client-side batches."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in metrics.items()]), obs
+
+
 def write_rejects(rejects: DataFrame, path: str, job_date: str) -> None:
     """K6: append failures (``id, error, source``) to the dead-letter table,
     partitioned by job date; S14 / S10 read them back."""

@@ -86,16 +86,35 @@ def soft_delete(df: DataFrame, ids: DataFrame, key: str, parts: Sequence[str],
     return out.drop("_gone")
 
 
+class Metrics:
+    """Result of ``observed``: ``get`` is the metrics dict once an action ran.
+
+    Spark prunes a plan branch it proves empty (also at runtime, under AQE)
+    together with its observation; no metrics arrive then, which can only
+    mean that no row passed: ``rows`` reads 0 and other metrics None."""
+
+    def __init__(self, obs, names):
+        self._obs, self._names = obs, names
+
+    @property
+    def get(self) -> dict:
+        try:
+            return self._obs.get
+        except Exception:  # noqa: BLE001 -- pruned as empty, see above
+            return {"rows": 0, **{n: None for n in self._names}}
+
+
 def observed(df: DataFrame, name: str = "batch", **metrics: Column):
     """K3: running totals and error counts of a load, from the same job.
 
-    Returns ``(df, observation)``; after the write (any action on ``df``)
-    ``observation.get`` holds ``rows`` plus the named metrics, e.g.
+    Returns ``(df, metrics)``; after the write (any action on ``df``)
+    ``metrics.get`` holds ``rows`` plus the named metrics, e.g.
     ``errors=F.count_if(F.col("error").isNotNull())``. No second pass over
     the data and no bounded client-side batches."""
     from pyspark.sql import Observation
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in metrics.items()]), obs
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in metrics.items()])
+    return out, Metrics(obs, list(metrics))
 
 
 def write_rejects(rejects: DataFrame, path: str, job_date: str) -> None:

@@ -194,11 +194,16 @@ def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[Dat
 
 def parse_json_array(files: DataFrame, key_field: str = "IDLANCAMENTOICMSBASE") -> DataFrame:
     """Flat JSON array of records; ``id = str(record[key_field])``.
-    The record is kept whole (plus the root ``id``)."""
+
+    The record is kept whole (plus the root ``id``); ``file_name`` and the
+    element position ``pos`` are returned so that a batch can be
+    de-duplicated with the last occurrence winning (K2)."""
     files = files.select("file_name", _once(F.try_parse_json("value"), "v"))
-    rows = files.select("file_name", _elements(F.col("v"), "$").alias("e")).filter(_as_map(F.col("e")).isNotNull())
+    rows = (files.select("file_name", F.posexplode(F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array()))
+                         .alias("pos", "e"))
+                 .filter(_as_map(F.col("e")).isNotNull()))
     key = F.try_variant_get("e", f"$.{key_field}", "string")
-    return rows.select(key.alias("key"), _with_fields(F.col("e"), id=key).alias("data"), "file_name")
+    return rows.select(key.alias("key"), _with_fields(F.col("e"), id=key).alias("data"), "file_name", "pos")
 
 
 def ids_from_text(df: DataFrame, col: str = "value", name: str = "id") -> DataFrame:

@@ -83,3 +83,18 @@ def test_jobs_end_to_end(spark, tmp):
     det = spark.read.parquet(f"{bronze}/raw_failures_details").filter(F.col("failure_id") == "F2").first()
     assert json.loads(det.data)["data"]["attributes"]["status"] == "EXCLUIDO"
     assert audits.ledger_period(spark.table("v_fiscal_lancamentos"), "2026-02-19", "2026-02-19").count() == 2
+
+    # the guides' view-level SQL runs as written (schema prefix dropped)
+    pend = spark.sql("""SELECT hotel, COUNT(*) AS pendentes, SUM(valor_total) AS valor_total
+                        FROM v_vendas_notas WHERE status = 'Pendente SEFAZ' GROUP BY hotel ORDER BY pendentes DESC""").collect()
+    assert [(r.hotel, r.pendentes) for r in pend] == [("SA", 1)]
+    miss = spark.sql("""SELECT nota_id, hotel, data_emissao, valor_total, status, tem_pdv, tem_fiscal
+                        FROM v_vendas_notas WHERE status = 'Autorizada' AND (NOT tem_pdv OR NOT tem_fiscal)
+                        ORDER BY data_emissao DESC""").count()
+    assert miss == 0
+    monthly = spark.sql("""SELECT hotel, DATE_TRUNC('month', data) AS mes, SUM(valor_total_dia) AS receita
+                           FROM v_vendas_diario GROUP BY hotel, DATE_TRUNC('month', data) ORDER BY hotel, mes DESC""").collect()
+    assert len(monthly) == 1
+    hours = spark.sql("""SELECT operator_id, SUM(horas_decimais) AS total_horas
+                         FROM v_trabalho_analitico_operador_chamados GROUP BY operator_id ORDER BY total_horas DESC""").first()
+    assert (hours.operator_id, hours.total_horas) == (9, 2.5)

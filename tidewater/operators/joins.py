@@ -135,6 +135,29 @@ def left_lookup(left: DataFrame, right_unique: DataFrame, left_keys, right_keys,
     return hit.unionByName(miss)
 
 
+def left_lookup_many(left: DataFrame, left_key: str, rights: Sequence[tuple]) -> DataFrame:
+    """Several left lookups on the same key with ONE shuffle of ``left``.
+
+    ``rights`` is ``[(right_unique, right_key, take), ...]``; every right side
+    is unique per key. They are first merged into one row per key (a union
+    and a partial ``first(ignorenulls)`` aggregate over the small sides),
+    then joined once -- instead of re-shuffling the big side for each."""
+    cols, parts = [], []
+    for _, _, take in rights:
+        cols += list(take)
+    types = {}
+    for r, _, take in rights:
+        types.update({c: t for c, t in r.dtypes if c in take})
+    for r, rk, take in rights:
+        parts.append(r.select(F.col(rk).alias("_mk"),
+                              *[F.col(c) if c in take else F.lit(None).cast(types[c]).alias(c) for c in cols]))
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p)
+    merged = merged.groupBy("_mk").agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+    return left_lookup(left, merged, left_key, "_mk", cols)
+
+
 def lookup_first(left: DataFrame, right: DataFrame, left_key, right_key, order,
                  take: Sequence[str]) -> DataFrame:
     """``LEFT JOIN LATERAL (... WHERE r.key = l.key ORDER BY order LIMIT 1)``.

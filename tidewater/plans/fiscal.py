@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.json_paths import project
 from tidewater.functions.scalar import blank_to_null, instant, local_day, map_code, status_of
 from tidewater.operators.aggregates import count_where, main_value, mart, sum_where
-from tidewater.operators.joins import left_lookup, one_per_key, resolve, with_exists
+from tidewater.operators.joins import left_lookup, left_lookup_many, one_per_key, resolve, with_exists
 from tidewater.fixed_values import STATUS_AUTHORISED, STATUS_CANCELLED, STATUS_PENDING
 
 # Ledger company id -> site code is deployment data (D15: an
@@ -130,15 +130,16 @@ def fact_notes(notes: DataFrame, cancels: DataFrame, pos: DataFrame, fan_out: bo
                        F.col("nProt").alias("protocolo_cancelamento"),
                        F.col("xJust").alias("justificativa_cancelamento"))
     ccols = ["cancelamento_id", "dhEvento", "protocolo_cancelamento", "justificativa_cancelamento"]
+    p = pos.select(F.col("chave_nfe").alias("_pk"), F.lit(True).alias("_pos"),
+                   F.col("data_venda").alias("data_venda_pdv"), F.col("subtotal_1").alias("valor_pdv"),
+                   F.col("ponto_venda"))
+    pcols = ["_pos", "data_venda_pdv", "valor_pdv", "ponto_venda"]
     if fan_out:
         n = notes.join(c, notes["nota_id"] == c["chNFe"], "left").drop("chNFe")
+        n = left_lookup(n, p, "nota_id", "_pk", pcols)
     else:
         latest = one_per_key(c, "chNFe", ["dhEvento", "cancelamento_id"], take=ccols, largest=True)
-        n = left_lookup(notes, latest, "nota_id", "chNFe", ccols)
-    p = pos.select(F.col("chave_nfe").alias("_pk"), F.lit(True).alias("_pos"),
-                   F.col("data_venda").alias("data_venda_pdv"), F.col("subtotal_1").alias("valor_pdv"),
-                   F.col("ponto_venda"))
-    n = left_lookup(n, p, "nota_id", "_pk", ["_pos", "data_venda_pdv", "valor_pdv", "ponto_venda"])
+        n = left_lookup_many(notes, "nota_id", [(latest, "chNFe", ccols), (p, "_pk", pcols)])
     return n.select(
         "nota_id", "hotel", instant("dhEmi").alias("data_emissao"), F.col("nNF").alias("numero_nota"),
         "serie", F.col("mod").alias("modelo"), F.col("tpAmb").alias("ambiente"), "cnpj_emit",
@@ -162,13 +163,11 @@ def sales_notes(notes_fact: DataFrame, pos_fact: DataFrame | None, ledger_fact:
                                            "imposto_1", "quarto", "garcom"),
                 key: str = "nota_id", ledger_key: str = "chave_nfe", code: str = "cfop") -> DataFrame:
     """Note fact + POS columns + ledger summary + status, one row per note."""
-    n = notes_fact
+    f = fiscal_summary(ledger_fact, ledger_key, code).withColumn("tem_fiscal", F.lit(True))
+    rights = [(f, ledger_key, ["tem_fiscal", "qtd_itens", "cfop_principal"])]
     if pos_fact is not None and pos_cols:
-        p = pos_fact.select(F.col("chave_nfe").alias("_pk"), *pos_cols)
-        n = left_lookup(n, p, key, "_pk", list(pos_cols))
-    f = fiscal_summary(ledger_fact, ledger_key, code).select(
-        F.col(ledger_key).alias("_fk"), F.lit(True).alias("tem_fiscal"), "qtd_itens", "cfop_principal")
-    n = left_lookup(n, f, key, "_fk", ["tem_fiscal", "qtd_itens", "cfop_principal"])
+        rights.insert(0, (pos_fact, "chave_nfe", list(pos_cols)))
+    n = left_lookup_many(notes_fact, key, rights)   # one shuffle of the notes for both lookups
     return (n.withColumn("tem_fiscal", F.coalesce("tem_fiscal", F.lit(False)))
              .withColumn("qtd_itens", F.coalesce("qtd_itens", F.lit(0).cast("bigint")))
              .withColumn("status", status_of("cancelada", "status_sefaz")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.json_paths import project
 from tidewater.functions.scalar import abs_diff, differs, month_of
-from tidewater.operators.aggregates import count_distinct_tuple, coverage, count_where, sum_decimal, table_counts
+from tidewater.operators.aggregates import count_distinct_tuple, coverage, table_counts
 from tidewater.operators.filters import (
     by_key, in_period, last_days, missing_any, since, since_any, where_if, where_nonzero, where_path,
 )

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import (
-    blank_to_null, clean_key, decimal, differs, first_where, full_name, hotel_of, instant, is_one,
+    blank_to_null, decimal, differs, first_where, full_name, hotel_of, instant, is_one,
     iso_date, map_code, micros_between, month_of, present, project, slice_text, text_to_utc, unit_price,
 )
 from tidewater.functions.arrays import explode_type
 from tidewater.operators import (
     bounds, by_key, calendar, count_distinct_tuple, coverage, date_chunks, filter_sales, gone, in_period,
-    last_days, lookback, main_value, mart, match_inner, missing_any, missing_days, missing_detail, nest,
+    last_days, lookback, mart, match_inner, missing_any, missing_days, missing_detail, nest,
     not_future, one_per_key, prefer, resolve, since, sort, sum_decimal, table_counts, top, where_if,
     where_nonzero, where_path, with_exists, without,
 )

@@ -42,9 +42,9 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequ
        (``min_by``); a window over those rows (one per bucket, bounded by the
        time span, not by the data) gives each bucket the first row of the next
        non-empty bucket of its group;
-    4. the last row of a bucket takes that row. The join is on (group,
-       bucket), the window's own partitioning, so the big side is not
-       shuffled again.
+    4. that row is appended to the bucket as a sentinel sorting last, so the
+       bucket's last real row leads into it -- no join, one shuffle of the
+       data (the window's), NULL groups handled as the window handles them.
     ``order`` should be a total order within a group (ties make lead arbitrary,
     as in SQL). A text first order column has no monotone bucket; the plain
     window is used then.
@@ -55,19 +55,22 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequ
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
 
-    b = df.withColumn("_b", bucket)
-    w = Window.partitionBy(*by, "_b").orderBy(*[F.col(o) for o in order])
-    inner = b.select("*", F.lead(F.lit(1)).over(w).isNull().alias("_last"),
-                     *[F.lead(c).over(w).alias(f"_in_{i}") for i, c in enumerate(cols)])
+    b = df.withColumn("_b", bucket).withColumn("_s", F.lit(0))
     firsts = (b.groupBy(*by, "_b")
                .agg(F.min_by(F.struct(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)]),
                              F.struct(*[F.col(o) for o in order])).alias("_f")))
-    nxt = firsts.select(*by, "_b", F.lead("_f").over(Window.partitionBy(*by).orderBy("_b")).alias("_nf"))
-    j = inner.join(nxt, [*by, "_b"], "left")
-    return j.select(
-        *[F.col(c) for c in df.columns],
-        *[F.when(F.col("_last"), F.col("_nf").getField(f"_v{i}")).otherwise(F.col(f"_in_{i}")).alias(prefix + c)
-          for i, c in enumerate(cols)])
+    nxt = (firsts.select(*by, "_b", F.lead("_f").over(Window.partitionBy(*by).orderBy("_b")).alias("_nf"))
+                 .filter(F.col("_nf").isNotNull()))
+    # one sentinel row per bucket carrying the next bucket's first row; it
+    # sorts after the bucket's rows, so the last real row's lead reads it
+    sentinels = nxt.select(*by, "_b", *[F.col("_nf").getField(f"_v{i}").alias(c)
+                                        for i, c in enumerate(cols) if c not in by],
+                           F.lit(1).alias("_s"))
+    u = b.unionByName(sentinels, allowMissingColumns=True)
+    w = Window.partitionBy(*by, "_b").orderBy("_s", *[F.col(o) for o in order])
+    return (u.select(*[F.col(c) for c in df.columns], *[F.lead(c).over(w).alias(prefix + c) for c in cols],
+                     F.col("_s"))
+             .filter(F.col("_s") == 0).drop("_s"))
 
 
 def work_intervals(registries: DataFrame, parent: str, event: str = "event_id",

@@ -95,7 +95,8 @@ def nest(df: DataFrame, by: Sequence[str], fields: Sequence, order: Sequence[str
     of at most ``max_items`` rows is one array (``part`` 0); the rows of
     bigger groups are range-partitioned on ``by + order`` -- balanced even
     when one group holds a third of the data -- and each (group, partition)
-    becomes one chunk, numbered in order.  Elements are
+    becomes one chunk; ``part`` increases with the order (for a big group the
+    numbers are range-partition indexes, not always consecutive).  Elements are
     ``struct(order..., fields...)`` sorted by ``order`` (order fields dropped).
     """
     by, order = list(by), list(order)
@@ -117,8 +118,10 @@ def nest(df: DataFrame, by: Sequence[str], fields: Sequence, order: Sequence[str
                 .repartitionByRange(n, *[F.col(c) for c in by + order])
                 .withColumn("_pid", F.spark_partition_id())
                 .groupBy(*by, "_pid").agg(F.sort_array(F.collect_list(elem)).alias("_arr")))
-    big = (big.withColumn(chunk_col, F.row_number().over(Window.partitionBy(*by).orderBy("_pid")) - 1)
-              .drop("_pid"))
+    # the range partition index is the part number: it follows the order and
+    # needs no window (a window per group would move every chunk of a hot
+    # group into one task); parts of a big group increase, not always by 1
+    big = big.withColumnRenamed("_pid", chunk_col)
     drop = [f"_o{i}" for i in range(len(order))]
     return (small.unionByName(big)
                  .select(*by, chunk_col, F.transform("_arr", lambda x: x.dropFields(*drop)).alias(name)))

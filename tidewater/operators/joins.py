@@ -61,17 +61,20 @@ def one_per_key(df: DataFrame, key, order, take: Sequence[str] | None = None,
                 largest: bool = False) -> DataFrame:
     """One row per key: the smallest (or largest) by ``order``.
 
-    A partial aggregate (``min_by``/``max_by`` of a struct) -- combines map-side,
-    so a key holding a third of the rows costs one small buffer per task.
-    ``order`` must be a total order for a deterministic pick (D4).
-    """
+    Written as ``row_number() OVER (PARTITION BY key ORDER BY order) = 1``:
+    Catalyst plans it with a *partial* WindowGroupLimit before the shuffle,
+    so every map task keeps one row per key and a key holding a third of the
+    rows arrives as one row per task (same protection as a partial aggregate,
+    without packing rows into structs). ``order`` must be a total order for a
+    deterministic pick (D4)."""
+    from pyspark.sql import Window
     key, order = _list(key), _list(order)
     take = list(take) if take is not None else [c for c in df.columns if c not in key]
-    pick = F.max_by if largest else F.min_by
-    ordering = F.struct(*[F.col(c) for c in order])
-    return (df.groupBy(*[F.col(k) for k in key])
-              .agg(pick(F.struct(*[F.col(c) for c in take]), ordering).alias("_row"))
-              .select(*key, "_row.*"))
+    ordering = [F.col(c).desc_nulls_last() if largest else F.col(c).asc_nulls_last() for c in order]
+    w = Window.partitionBy(*[F.col(k) for k in key]).orderBy(*ordering)
+    return (df.select(*key, *[c for c in take if c not in key], *[c for c in order if c not in key and c not in take])
+              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+              .select(*key, *[c for c in take if c not in key]))
 
 
 _SALTABLE = ("string", "bigint", "int", "smallint", "tinyint")

@@ -3,6 +3,11 @@
 import json
 import os
 
+
+def as_json(v):
+    """VARIANT (bronze) or JSON text -> Python value."""
+    return json.loads(v.toJson() if hasattr(v, "toJson") else v)
+
 from pyspark.sql import functions as F
 
 from tidewater.plans import audits, jobs
@@ -81,7 +86,7 @@ def test_jobs_end_to_end(spark, tmp):
         spark.read.parquet(f"{bronze}/raw_failures"), "EXCLUIDO").select("failure_id", "state").collect()}
     assert states == {"F2": "EXCLUIDO"}
     det = spark.read.parquet(f"{bronze}/raw_failures_details").filter(F.col("failure_id") == "F2").first()
-    assert json.loads(det.data)["data"]["attributes"]["status"] == "EXCLUIDO"
+    assert as_json(det.data)["data"]["attributes"]["status"] == "EXCLUIDO"
     assert audits.ledger_period(spark.table("v_fiscal_lancamentos"), "2026-02-19", "2026-02-19").count() == 2
 
     # the guides' view-level SQL runs as written (schema prefix dropped)

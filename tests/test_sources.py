@@ -2,6 +2,11 @@
 
 import json
 
+
+def as_json(v):
+    """VARIANT (bronze) or JSON text -> Python value."""
+    return json.loads(v.toJson() if hasattr(v, "toJson") else v)
+
 from pyspark.sql import functions as F
 
 from tidewater.sources import (
@@ -32,10 +37,10 @@ def test_sectioned_pos_file(spark):
     rows = parse_sectioned_json(files(spark, ("a_2026-01-02.json", content), ("b.json", short)), {"ST1": "SITE1"}).collect()
     by = {r.key: r for r in rows}
     assert set(by) == {KEY, KEY2}
-    a = json.loads(by[KEY].data)
+    a = as_json(by[KEY].data)
     assert a["id"] == KEY and a["hotel"] == "SITE1" and a["source_file"] == "a_2026-01-02.json"
     assert a["Sub Total 1"] == 10.5 and a["Check Number"] == 7
-    assert json.loads(by[KEY2].data)["hotel"] == "OWN"  # the record's own field wins (A3)
+    assert as_json(by[KEY2].data)["hotel"] == "OWN"  # the record's own field wins (A3)
 
 
 def test_sectioned_unknown_store_keeps_code(spark):
@@ -53,7 +58,7 @@ def test_nested_array_line_items(spark):
     rows = {r.key: r for r in parse_nested_array_json(files(spark, ("GCM_1.json", content)), {"L1": "SITE1"}).collect()}
     assert set(rows) == {11, 12}
     assert rows[11].hotel == "SITE1" and rows[12].hotel == "L9"
-    assert json.loads(rows[11].data)["id"] == 11
+    assert as_json(rows[11].data)["id"] == 11
 
 
 NOTE = ('<?xml version="1.0" encoding="UTF-8"?><nfeProc xmlns="urn:x" versao="4.00"><NFe><infNFe Id="NFe{k}">'
@@ -77,7 +82,7 @@ def test_note_xml_variants(spark):
     a = ok[KEY]
     assert (a.nNF, a.serie, a.mod, a.vNF, a.cStat, a.nProt, a.hotel) == ("17", "1", "65", "12.30", "100", "99", "SITE1")
     assert ok[KEY2].nNF == "5" and ok[KEY2].cStat is None
-    assert json.loads(a.data)["xml_content"].startswith("<?xml")
+    assert as_json(a.data)["xml_content"].startswith("<?xml")
     errs = {r.file_name: r.error for r in rej.collect()}
     assert errs == {"short.xml": "invalid key", "noinf.xml": "infNFe not found", "bad.xml": "invalid XML"}
 
@@ -103,7 +108,7 @@ def test_ledger_array_and_envelopes(spark):
     ledger = json.dumps([{"IDLANCAMENTOICMSBASE": 5, "ANCHAVE": ""}, {"IDLANCAMENTOICMSBASE": "6"}])
     rows = parse_json_array(files(spark, ("l.json", ledger))).collect()
     assert sorted(r.key for r in rows) == ["5", "6"]
-    assert json.loads([r for r in rows if r.key == "5"][0].data)["id"] == "5"
+    assert as_json([r for r in rows if r.key == "5"][0].data)["id"] == "5"
 
     page = lambda n, ids: json.dumps({"data": [{"id": i, "type": "failure", "attributes": {}} for i in ids],
                                       "included": [{"id": "x"}], "meta": {"pagination": {"total_pages": 3, "current_page": n}}})
@@ -115,7 +120,7 @@ def test_ledger_array_and_envelopes(spark):
     det = json.dumps({"data": {"id": "9", "type": "failure", "attributes": {}}, "included": [{"id": "e", "type": "event"}]})
     ok, rej = parse_detail_envelopes(files(spark, ("d.json", det), ("e.json", json.dumps({"errors": ["404"]}))))
     (r,) = ok.collect()
-    assert r.key == "9" and json.loads(r.data)["id"] == "9" and json.loads(r.data)["included"][0]["type"] == "event"
+    assert r.key == "9" and as_json(r.data)["id"] == "9" and as_json(r.data)["included"][0]["type"] == "event"
     assert [x.file_name for x in rej.collect()] == ["e.json"]
 
 

@@ -97,16 +97,32 @@ def _schema_for(paths: Iterable[Sequence[str]]) -> T.StructType:
     return build(tree)
 
 
+def variant_path(parts: Sequence[str]) -> str:
+    """Parts -> a VARIANT path (``$.a['b c'].d``)."""
+    return "$" + "".join(f"['{k}']" if not k.isidentifier() else f".{k}" for k in parts)
+
+
+def is_variant(df: DataFrame, col: str) -> bool:
+    return dict(df.dtypes)[col] == "variant"
+
+
 def project(df: DataFrame, doc: str, spec: Sequence[tuple], keep: Sequence[str] = ()) -> DataFrame:
     """Compile a ``(name, path, type)`` spec into one select.
 
-    ``doc`` names a JSON-text column. Columns in ``keep`` pass through first.
-    """
+    ``doc`` names the document column: a VARIANT (bronze default -- parsed
+    once at ingest, each path is a cheap navigation of the binary value) or
+    JSON text (parsed once per row with one ``from_json`` for the whole spec).
+    Leaves are read as text, then ``try_cast`` to the spec type, so both forms
+    give the same values. Columns in ``keep`` pass through first."""
     keep = [k for k in keep if k in df.columns]  # audit columns such as extracted_at are optional
     parsed = [(name, split_path(p), t) for name, p, t in spec]
+    cols = [F.col(k) for k in keep]
+    if is_variant(df, doc):
+        for name, parts, t in parsed:
+            cols.append(typed(F.try_variant_get(F.col(doc), variant_path(parts), "string"), t).alias(name))
+        return df.select(*cols)
     schema = _schema_for(ps for _, ps, _ in parsed)
     s = F.from_json(F.col(doc), schema)
-    cols = [F.col(k) for k in keep]
     for name, parts, t in parsed:
         c = s
         for k in parts:
@@ -115,6 +131,21 @@ def project(df: DataFrame, doc: str, spec: Sequence[tuple], keep: Sequence[str]
     return df.select(*cols)
 
 
+def doc_path(df: DataFrame, doc: str, p: str, t="text") -> Column:
+    """One path of a document column of either form (VARIANT or JSON text)."""
+    if is_variant(df, doc):
+        return typed(F.try_variant_get(F.col(doc), variant_path(split_path(p)), "string"), t)
+    return path(F.col(doc), p, t)
+
+
+def doc_as(df: DataFrame, doc: str, p: str, ddl: str) -> Column:
+    """A sub-document of either form as a typed value (``ddl``), e.g. the
+    ``included`` array as array<struct<...>>."""
+    if is_variant(df, doc):
+        return F.try_variant_get(F.col(doc), p, ddl)
+    return F.from_json(F.get_json_object(F.col(doc), p), ddl)
+
+
 def struct_schema(spec: Sequence[tuple]) -> T.StructType:
     """Typed StructType of a spec's leaves (for writers and tests)."""
     return T.StructType([T.StructField(n, as_type(t), True) for n, _, t in spec])

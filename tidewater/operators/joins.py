@@ -70,10 +70,10 @@ def one_per_key(df: DataFrame, key, order, take: Sequence[str] | None = None,
     from pyspark.sql import Window
     key, order = _list(key), _list(order)
     take = list(take) if take is not None else [c for c in df.columns if c not in key]
-    ordering = [F.col(c).desc_nulls_last() if largest else F.col(c).asc_nulls_last() for c in order]
+    oc = [F.col(c) if isinstance(c, str) else c for c in order]
+    ordering = [c.desc_nulls_last() if largest else c.asc_nulls_last() for c in oc]
     w = Window.partitionBy(*[F.col(k) for k in key]).orderBy(*ordering)
-    return (df.select(*key, *[c for c in take if c not in key], *[c for c in order if c not in key and c not in take])
-              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
               .select(*key, *[c for c in take if c not in key]))
 
 

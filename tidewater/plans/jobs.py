@@ -5,8 +5,8 @@ bronze tables and (for the ledger) refreshes the gold table; ``views`` then
 registers every silver/gold view by name. Paths are folders on shared
 storage; table folders are created on first use.
 
-Bronze layout: ``<bronze>/<table>`` with columns ``(key column, data,
-extracted_at[, part])``. Tables keyed by a 44-digit tax-note key are
+Bronze layout: ``<bronze>/<table>`` with columns ``(key column, data VARIANT,
+extracted_at, part)``. Tables keyed by a 44-digit tax-note key are
 partitioned by its issue month (``note_month``) so a day's load rewrites one
 or two partitions; the others by a hash bucket of the key.
 """
@@ -18,6 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.json_paths import doc_path
 from tidewater.functions.scalar import map_code
 from tidewater.operators.incremental import gone
 from tidewater.plans import fiscal, maintenance
@@ -85,15 +86,15 @@ def load_notes(spark: SparkSession, shares: str, bronze: str, share_codes: Mappi
     S11, S12): skip what is loaded, parse, upsert, log rejects."""
     files = landed(spark, shares)
     site = map_code(folder_of(), share_codes)
-    notes_t = _table(spark, bronze, "nfe_raw_xmls", "nota_id string, data string, extracted_at timestamp")
-    cancels_t = _table(spark, bronze, "nfe_raw_cancelamentos", "cancelamento_id string, data string, extracted_at timestamp")
+    notes_t = _table(spark, bronze, "nfe_raw_xmls", "nota_id string, data variant, extracted_at timestamp")
+    cancels_t = _table(spark, bronze, "nfe_raw_cancelamentos", "cancelamento_id string, data variant, extracted_at timestamp")
 
     new_notes = only_new(select_files(files, **NOTE_FILES), notes_t, key_from_name(), "nota_id")
     ok, bad = parse_note_xml(new_notes, site)
     ok, obs_n = observed(ok.select("nota_id", "data"), "notes")
     _upsert(ok, bronze, "nfe_raw_xmls", "nota_id", by_month=True)
 
-    loaded_names = cancels_t.select(F.get_json_object("data", "$.source_file").alias("f"))
+    loaded_names = cancels_t.select(doc_path(cancels_t, "data", "source_file").alias("f"))
     new_cancels = only_new(select_files(files, **CANCEL_FILES), loaded_names, F.col("file_name"), "f")
     cok, cbad = parse_cancel_xml(new_cancels, site)
     cok, obs_c = observed(cok.select("cancelamento_id", "data"), "cancels")
@@ -118,7 +119,7 @@ def load_ledger(spark: SparkSession, landing: str, bronze: str, gold: str, compa
 def refresh_ledger_fact(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[str, str]) -> DataFrame:
     """K4: recompute V6 and swap it in, partitioned by issue day so that
     period reads (Q13, Q29) prune."""
-    t = lambda n, k: _table(spark, bronze, n, f"{k} string, data string, extracted_at timestamp")
+    t = lambda n, k: _table(spark, bronze, n, f"{k} string, data variant, extracted_at timestamp")
     fact = fiscal.fact_ledger(fiscal.silver_ledger(t("fiscal_raw_lancamentos", "lancamento_id"), company_sites),
                               fiscal.silver_notes(t("nfe_raw_xmls", "nota_id")),
                               fiscal.silver_cancels(t("nfe_raw_cancelamentos", "cancelamento_id")))
@@ -148,12 +149,12 @@ def reconcile_paused(spark: SparkSession, bronze: str, snapshot: DataFrame, key:
     """T5 + K5: tickets PAUSED locally that the source no longer lists are
     marked deleted, in the bulk (``attributes.state``) and detail
     (``data.attributes.status``) tables."""
-    bulk = _table(spark, bronze, "raw_failures", f"{key} string, data string, extracted_at timestamp")
-    paused = bulk.filter(F.get_json_object("data", "$.attributes.state") == "PAUSED").select(key)
+    bulk = _table(spark, bronze, "raw_failures", f"{key} string, data variant, extracted_at timestamp")
+    paused = bulk.filter(doc_path(bulk, "data", "attributes.state") == "PAUSED").select(key)
     ids = gone(paused, snapshot, key).checkpoint(eager=True)   # fixed set, independent of the rewrites below
     for name, parts in (("raw_failures", ["attributes", "state"]),
                         ("raw_failures_details", ["data", "attributes", "status"])):
-        t = _table(spark, bronze, name, f"{key} string, data string, extracted_at timestamp")
+        t = _table(spark, bronze, name, f"{key} string, data variant, extracted_at timestamp")
         touched = soft_delete(t.drop("part"), ids, key, parts, stamp="extracted_at")
         changed = touched.join(ids, key, "left_semi")
         upsert_partitioned(changed, f"{bronze}/{name}", key, key_bucket(key), stamp=None)
@@ -166,7 +167,7 @@ def views(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[st
           site_rules=()) -> dict[str, DataFrame]:
     """Every silver/gold view by name, registered as temp views."""
     from tidewater.sinks.tables import read_current
-    t = lambda n, k: _table(spark, bronze, n, f"{k} string, data string, extracted_at timestamp").drop("part")
+    t = lambda n, k: _table(spark, bronze, n, f"{k} string, data variant, extracted_at timestamp").drop("part")
     notes, cancels = fiscal.silver_notes(t("nfe_raw_xmls", "nota_id")), fiscal.silver_cancels(t("nfe_raw_cancelamentos", "cancelamento_id"))
     pos = fiscal.fact_pos(t("pdv_raw_notas", "nota_id"))
     ledger_fact = read_current(spark, f"{gold}/mv_fiscal_lancamentos")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.arrays import explode_type, first_of_type
-from tidewater.functions.json_paths import project
+from tidewater.functions.json_paths import doc_as, project
 from tidewater.functions.scalar import hotel_of
 from tidewater.operators.joins import left_lookup, prefer
 from tidewater.operators.windows import work_intervals
@@ -69,7 +69,7 @@ def dim_operators(raw: DataFrame, key: str = "operator_id") -> DataFrame:
 def _attrs(raw: DataFrame, key: str, spec, root: str, lookups: dict) -> DataFrame:
     """Typed attributes at ``root`` + first-of-type lookups in ``included``."""
     full = [(n, f"{root}.{p}" if root else f"attributes.{p}", t) for n, p, t in spec]
-    s = project(raw.withColumn("_inc", F.from_json(F.get_json_object("data", "$.included"), INCLUDED)),
+    s = project(raw.withColumn("_inc", doc_as(raw, "data", "$.included", INCLUDED)),
                 "data", full, keep=[key, "extracted_at", "_inc"])
     for name, (types, field) in lookups.items():
         s = s.withColumn(name, first_of_type("_inc", types).getField("attributes").getItem(field))
@@ -128,7 +128,7 @@ def work_hours(details: DataFrame, parent: str) -> DataFrame:
     Events and event registries are exploded out of ``included`` (A2), joined
     on (parent, event) with owner not null (J2), paired with the next action
     (W1) and turned into hours (F6)."""
-    inc = details.select(parent, F.from_json(F.get_json_object("data", "$.included"), INCLUDED).alias("inc"))
+    inc = details.select(parent, doc_as(details, "data", "$.included", INCLUDED).alias("inc"))
     ev = explode_type(inc, "inc", ["event"], keep=[parent]).select(
         parent, F.col("val.id").try_cast("bigint").alias("event_id"),
         F.col("val.attributes").getItem("operator_id").try_cast("int").alias("operator_id"))

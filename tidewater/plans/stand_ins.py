@@ -776,8 +776,8 @@ def sectioned_json(spark, d):
 
 
 def project_one(df, p, typ):
-    from tidewater.functions.json_paths import path
-    return path(F.col("data"), p, typ)
+    from tidewater.functions.json_paths import doc_path
+    return doc_path(df, "data", p, typ)
 
 
 @query("nested_array_json", """
@@ -903,7 +903,7 @@ def paged_envelopes(spark, d):
                     F.lit('],"included":[{"id":"x","type":"location"}],"meta":{"pagination":'
                           '{"total_pages":2,"current_page":1,"per_page":200}}}'))
     rows = parse_paged_envelopes(_files(e, page, F.concat(F.lit("events_"), F.col("event_id").cast("string"), F.lit(".json"))))
-    return rows.select("key", F.get_json_object("data", "$.type").alias("type"), "page", "total_pages")
+    return rows.select("key", F.try_variant_get("data", "$.type", "string").alias("type"), "page", "total_pages")
 
 
 @query("detail_envelopes", """
@@ -918,9 +918,9 @@ def detail_envelopes(spark, d):
         F.concat(F.lit('{"data":'), body, F.lit(',"included":[{"id":"1","type":"event","attributes":{"operator_id":'),
                  F.col("o_custkey").cast("string"), F.lit('}},{"id":"2","type":"location","attributes":{"name":"n"}}]}')))
     ok, _ = parse_detail_envelopes(_files(o, doc, F.concat(F.lit("failure_"), F.col("o_orderkey").cast("string"), F.lit(".json"))))
-    return ok.select("key", F.get_json_object("data", "$.data.attributes.priority").alias("priority"),
-                     F.get_json_object("data", "$.id").alias("root_id"),
-                     F.json_array_length(F.get_json_object("data", "$.included")).alias("included_items"))
+    return ok.select("key", F.try_variant_get("data", "$.data.attributes.priority", "string").alias("priority"),
+                     F.try_variant_get("data", "$.id", "string").alias("root_id"),
+                     F.size(F.try_variant_get("data", "$.included", "array<variant>")).alias("included_items"))
 
 
 @query("json_array", """
@@ -936,7 +936,7 @@ def json_array(spark, d):
     files = _files(li, F.concat(F.lit("["), rec, F.lit(',"noise",7]')),
                    F.concat(F.lit("ledger_"), s("l_orderkey"), F.lit(".json")))
     rows = parse_json_array(files)
-    return rows.select("key", F.get_json_object("data", "$.ANCFOP").alias("ANCFOP"))
+    return rows.select("key", F.try_variant_get("data", "$.ANCFOP", "string").alias("ANCFOP"))
 
 
 @query("dead_letters", """

@@ -31,8 +31,11 @@ def dedupe_last(df: DataFrame, key, order=None) -> DataFrame:
     every task before the shuffle. Without ``order`` the whole row orders
     (deterministic, arbitrary)."""
     key = _list(key)
-    order = _list(order) if order is not None else [c for c in df.columns if c not in key]
     cols = [c for c in df.columns if c not in key]
+    if order is None:  # whole row; VARIANT / map columns order by their JSON text
+        types = dict(df.dtypes)
+        order = [F.to_json(F.col(c)) if types[c] == "variant" or types[c].startswith("map") else c for c in cols]
+    order = _list(order) if isinstance(order, str) else list(order)
     return one_per_key(df, key, order, take=cols, largest=True).select(*df.columns)
 
 
@@ -63,7 +66,7 @@ def _set_in_variant(v: Column, parts: Sequence[str], value: Column) -> Column:
         child = F.coalesce(m[k], F.parse_json(F.lit("{}")))
         new = _set_in_variant(child, parts[1:], value)
     merged = F.map_concat(F.map_filter(m, lambda kk, _: kk != F.lit(k)), F.create_map(F.lit(k), new))
-    return F.parse_json(F.to_json(merged))
+    return F.to_variant_object(merged)
 
 
 def set_path(doc: Column, parts: Sequence[str], value: str) -> Column:
@@ -78,9 +81,15 @@ def soft_delete(df: DataFrame, ids: DataFrame, key: str, parts: Sequence[str],
     """K5: mark documents of the given ids -- ``parts`` is the path of the
     state field (``['attributes','state']`` for bulk rows,
     ``['data','attributes','status']`` for detail rows) -- and refresh
-    ``stamp``. Other rows pass unchanged."""
+    ``stamp``. Other rows pass unchanged. Works on VARIANT or JSON-text
+    documents; only the marked rows are rewritten."""
+    import json
     flagged = with_exists(df, ids, key, ids_key or key, "_gone")
-    out = flagged.withColumn(doc, F.when(F.col("_gone"), set_path(F.col(doc), parts, marker)).otherwise(F.col(doc)))
+    if dict(df.dtypes)[doc] == "variant":
+        new = _set_in_variant(F.col(doc), list(parts), F.parse_json(F.lit(json.dumps(marker))))
+    else:
+        new = set_path(F.col(doc), parts, marker)
+    out = flagged.withColumn(doc, F.when(F.col("_gone"), new).otherwise(F.col(doc)))
     if stamp:
         out = out.withColumn(stamp, F.when(F.col("_gone"), F.current_timestamp()).otherwise(F.col(stamp)))
     return out.drop("_gone")

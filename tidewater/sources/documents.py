@@ -1,7 +1,9 @@
 """Document parsers (S1-S7, S10, S14). Each takes rows of
 ``(value, file_path, file_name)`` -- batch or stream -- and returns bronze
-rows ``(key, data JSON text)`` plus, where the reference raises, a reject
-frame ``(file_name, error)`` instead of an exception.
+rows ``(key, data VARIANT)`` plus, where the reference raises, a reject
+frame ``(file_name, error)`` instead of an exception. Each file is parsed
+once; documents stay binary VARIANT from there on (``to_json`` when text is
+needed).
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ def _as_map(v: Column) -> Column:
 
 
 def _with_fields(rec: Column, **cols: Column) -> Column:
-    """A3: ``{**added, **rec}`` as JSON text; ``rec`` is a VARIANT object and
-    wins on a clash."""
+    """A3: ``{**added, **rec}`` as a VARIANT object; ``rec`` is a VARIANT
+    object and wins on a clash. No text is produced: bronze documents are
+    stored as VARIANT (``to_json`` gives the JSON text when needed)."""
     added = _as_map(F.to_variant_object(F.struct(*[c.alias(k) for k, c in cols.items()])))
-    return F.to_json(merge_record(added, _as_map(rec)))
+    return F.to_variant_object(merge_record(added, _as_map(rec)))
 
 
 def _elements(doc: Column, p: str) -> Column:
@@ -55,7 +58,7 @@ def parse_paged_envelopes(pages: DataFrame) -> DataFrame:
         F.coalesce(F.try_variant_get("v", "$.meta.pagination.current_page", "int"), F.lit(1)).alias("page"),
         F.coalesce(F.try_variant_get("v", "$.meta.pagination.total_pages", "int"), F.lit(1)).alias("total_pages"),
         _elements(F.col("v"), "$.data").alias("e"))
-    return rows.select(F.try_variant_get("e", "$.id", "string").alias("key"), F.to_json("e").alias("data"),
+    return rows.select(F.try_variant_get("e", "$.id", "string").alias("key"), F.col("e").alias("data"),
                        "page", "total_pages", "file_name")
 
 
@@ -159,7 +162,7 @@ def parse_note_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataF
     }
     ok = rows.filter(F.col("error").isNull()).select(
         *[c.alias(n) for n, c in fields.items() if n != "id"],
-        F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"))
+        F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"))
     rejects = rows.filter(F.col("error").isNotNull()).select("file_name", "error")
     return ok, rejects
 
@@ -185,7 +188,7 @@ def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[Dat
     }
     ok = rows.filter(F.col("error").isNull()).select(
         *[c.alias(n) for n, c in fields.items() if n != "id"],
-        F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"))
+        F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"))
     return ok, rows.filter(F.col("error").isNotNull()).select("file_name", "error")
 
 

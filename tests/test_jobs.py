@@ -103,3 +103,9 @@ def test_jobs_end_to_end(spark, tmp):
     hours = spark.sql("""SELECT operator_id, SUM(horas_decimais) AS total_horas
                          FROM v_trabalho_analitico_operador_chamados GROUP BY operator_id ORDER BY total_horas DESC""").first()
     assert (hours.operator_id, hours.total_horas) == (9, 2.5)
+
+    marts = jobs.refresh_marts(spark, bronze, gold, COMPANY)
+    assert marts["v_vendas_notas"].count() == 3
+    assert sorted(r.data.isoformat() for r in marts["v_vendas_diario"].select("data").distinct().collect()) == \
+        sorted(r.data.isoformat() for r in spark.table("v_vendas_diario").select("data").distinct().collect())
+    assert any(n.startswith("dia=") for n in os.listdir(f"{gold}/vendas_notas/v=0"))

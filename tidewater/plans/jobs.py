@@ -160,6 +160,21 @@ def reconcile_paused(spark: SparkSession, bronze: str, snapshot: DataFrame, key:
         upsert_partitioned(changed, f"{bronze}/{name}", key, key_bucket(key), stamp=None)
 
 
+# ------------------------------------------------------------------ gold marts
+
+
+def refresh_marts(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[str, str]) -> dict[str, DataFrame]:
+    """K4 for the sales marts: V10 (one row per note) and V11 (site x day)
+    written as gold tables, partitioned by day, so that BI reads and the
+    30-day queries prune instead of recomputing the joins per read."""
+    v = views(spark, bronze, gold, company_sites)
+    sales = v["v_vendas_notas"].withColumn("dia", F.to_date("data_emissao"))
+    return {
+        "v_vendas_notas": refresh(sales, f"{gold}/vendas_notas", partition_by=["dia"]),
+        "v_vendas_diario": refresh(v["v_vendas_diario"], f"{gold}/vendas_diario", partition_by=["data"]),
+    }
+
+
 # ------------------------------------------------------------------ views
 
 

@@ -87,6 +87,12 @@ def test_export_receipts_xml(spark):
     (doc,) = [r.document for r in docs.collect()]
     assert doc.count("<PDVVenda>") == 2 and doc.count("<Item>") == 3
     assert doc.index("<DescricaoProduto>Tea") < doc.index("<DescricaoProduto>Cake")
+    import xml.etree.ElementTree as ET
+    root = ET.fromstring(doc)                                   # well-formed, one document
+    assert root.tag == "Vendas"
+    receipts = root.findall("PDVVenda")
+    assert [r.findtext("NumeroCOO") for r in receipts] == ["1", "2"]
+    assert [i.findtext("ValorTotalLiquido") for i in receipts[0].find("Itens").findall("Item")] == ["3.00", "4.50"]
 
 
 def test_upsert_partitioned_rewrites_only_touched_partitions(spark, tmp):

@@ -147,3 +147,13 @@ def test_id_list_dead_letters_and_files(spark, tmp):
         fh.write(b'{"x": "caf\xe9"}')  # invalid UTF-8 byte -> U+FFFD (S11)
     (r,) = landed(spark, f"{tmp}/share").collect()
     assert "�" in r.value and r.file_name == "a.json"
+
+
+def test_days_without_files(spark):
+    import datetime as dt
+    from tidewater.operators import missing_days
+    from tidewater.sources import file_day
+    f = files(spark, ("A_2026-02-01.json", ""), ("A_2026-02-03.json", ""), ("B_2026-02-03.json", ""), ("notes.txt", ""))
+    span = spark.createDataFrame([(dt.date(2026, 2, 1), dt.date(2026, 2, 4))], "start date, end date")
+    days = missing_days(f.withColumn("day", file_day()).filter("day IS NOT NULL"), "day", span)
+    assert sorted(r.dia.isoformat() for r in days.collect()) == ["2026-02-02", "2026-02-04"]

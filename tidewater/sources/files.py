@@ -68,6 +68,11 @@ def only_new(files: DataFrame, loaded: DataFrame, file_key, loaded_key: str) ->
     return without(f, loaded, "_file_key", loaded_key).drop("_file_key")
 
 
+def file_day(col: str = "file_name"):
+    """Day carried by a file name (``..._2026-02-19.json``), NULL if none."""
+    return F.to_date(F.nullif(F.regexp_extract(F.col(col), r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")))
+
+
 def folder_of(col: str = "file_path"):
     """Name of the folder holding the file."""
     return F.regexp_extract(F.col(col), r"/([^/]+)/[^/]+$", 1)

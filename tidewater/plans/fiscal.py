@@ -158,6 +158,16 @@ def fiscal_summary(ledger_fact: DataFrame, key: str = "chave_nfe", code: str = "
                       name="cfop_principal", count_name="qtd_itens")
 
 
+# V10's output columns, in order (when its input is V8).
+SALES_COLUMNS = [
+    "nota_id", "hotel", "data_emissao", "numero_nota", "serie", "modelo", "valor_total", "status_sefaz",
+    "protocolo_autorizacao", "data_recebimento_sefaz", "cancelada", "data_cancelamento",
+    "justificativa_cancelamento", "tem_pdv", "data_venda_pdv", "valor_pdv", "ponto_venda",
+    "subtotal_1", "subtotal_2", "subtotal_3", "subtotal_6", "imposto_1", "quarto", "garcom",
+    "tem_fiscal", "qtd_itens", "cfop_principal", "status",
+]
+
+
 def sales_notes(notes_fact: DataFrame, pos_fact: DataFrame | None, ledger_fact: DataFrame,
                 pos_cols: Sequence[str] = ("subtotal_1", "subtotal_2", "subtotal_3", "subtotal_6",
                                            "imposto_1", "quarto", "garcom"),
@@ -168,9 +178,12 @@ def sales_notes(notes_fact: DataFrame, pos_fact: DataFrame | None, ledger_fact:
     if pos_fact is not None and pos_cols:
         rights.insert(0, (pos_fact, "chave_nfe", list(pos_cols)))
     n = left_lookup_many(notes_fact, key, rights)   # one shuffle of the notes for both lookups
-    return (n.withColumn("tem_fiscal", F.coalesce("tem_fiscal", F.lit(False)))
-             .withColumn("qtd_itens", F.coalesce("qtd_itens", F.lit(0).cast("bigint")))
-             .withColumn("status", status_of("cancelada", "status_sefaz")))
+    out = (n.withColumn("tem_fiscal", F.coalesce("tem_fiscal", F.lit(False)))
+            .withColumn("qtd_itens", F.coalesce("qtd_itens", F.lit(0).cast("bigint")))
+            .withColumn("status", status_of("cancelada", "status_sefaz")))
+    if all(c in out.columns for c in SALES_COLUMNS):   # V8 input: the reference's column list
+        return out.select(*SALES_COLUMNS)
+    return out
 
 
 def sales_daily(sales: DataFrame, zone: str | None = None) -> DataFrame:

@@ -4,11 +4,15 @@ resolution, existence flags, anti-joins.
 Scale rules used throughout:
 * never an ``OR`` join (Spark plans it as a nested loop) -- the two-stage
   match is two equi-joins and the second sees only the rows the first missed;
-* the right side of a lookup is first reduced to one row per key with a
-  partial (map-side) ``min_by`` aggregate, so a hot key on the right never
-  reaches one task whole, and the join can only fan out by one;
-* left rows whose key is NULL cannot match: they bypass the shuffle instead of
-  all hashing to one reducer;
+* the right side of a lookup is first reduced to one row per key with
+  ``row_number() = 1``, which Catalyst plans with a partial (map-side)
+  WindowGroupLimit, so a hot key on the right never reaches one task whole,
+  and the join can only fan out by one;
+* left rows whose key is NULL cannot match: they join on a salted stand-in
+  key and a null flag, so they spread over reducers instead of all hashing
+  to one (see ``left_lookup``);
+* several lookups on the same key are merged into one join
+  (``left_lookup_many``), so the big side is shuffled once;
 * no broadcast hints: AQE turns a join into a broadcast join only when the
   measured size of a side is under ``spark.sql.autoBroadcastJoinThreshold``,
   and splits skewed partitions of the rest.

@@ -27,8 +27,9 @@ def _list(x) -> list:
 def dedupe_last(df: DataFrame, key, order=None) -> DataFrame:
     """K2: one row per key, the LAST by ``order`` wins.
 
-    A partial ``max_by`` aggregate (no window), so a hot key is reduced in
-    every task before the shuffle. Without ``order`` the whole row orders
+    ``row_number() = 1`` by descending ``order``, planned by Catalyst with a
+    partial WindowGroupLimit, so a hot key is reduced to one row in every map
+    task before the shuffle. Without ``order`` the whole row orders
     (deterministic, arbitrary)."""
     key = _list(key)
     cols = [c for c in df.columns if c not in key]

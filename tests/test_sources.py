@@ -157,3 +157,9 @@ def test_days_without_files(spark):
     span = spark.createDataFrame([(dt.date(2026, 2, 1), dt.date(2026, 2, 4))], "start date, end date")
     days = missing_days(f.withColumn("day", file_day()).filter("day IS NOT NULL"), "day", span)
     assert sorted(r.dia.isoformat() for r in days.collect()) == ["2026-02-02", "2026-02-04"]
+
+
+def test_repeated_key_keeps_last_value(spark):
+    from tidewater.sources.documents import parse_json_array
+    (r,) = parse_json_array(files(spark, ("l.json", '[{"IDLANCAMENTOICMSBASE": 1, "ANCFOP": "1", "ANCFOP": "2"}]'))).collect()
+    assert as_json(r.data)["ANCFOP"] == "2"

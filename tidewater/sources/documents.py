@@ -8,7 +8,6 @@ needed).
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame

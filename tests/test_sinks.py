@@ -117,3 +117,18 @@ def test_observed_counts_a_write(spark, tmp):
     df, obs = observed(df, "load", errors=F.count_if(F.col("error").isNotNull()))
     df.write.parquet(f"{tmp}/obs")
     assert obs.get == {"rows": 3, "errors": 1}
+
+
+def test_export_one_pretty_file_per_document(spark, tmp):
+    import glob
+    items = spark.createDataFrame([("Site A", 1, 1, 10, "2.00", 1), ("Site B", 2, 1, 11, "3.00", 1)],
+                                  "loc string, chk int, line int, item int, total string, cnt int")
+    docs = export_documents(with_config(items, None, "loc"), ["loc"], ["chk", "line"],
+                            sale_record(F.lit(5), "item", "total", "cnt"), F.lit("2026-03-26"), pretty=True)
+    write_documents(docs, f"{tmp}/pretty", ["loc"], file_per_document=True)
+    files = sorted(f for f in glob.glob(f"{tmp}/pretty/loc=*/part=*/*.txt"))
+    assert len(files) == 2
+    for f in files:
+        text = open(f, encoding="utf-8").read()
+        assert "\n" in text.strip()                          # pretty-printed
+        assert json.loads(text)["Vendas"]["Venda"][0]["UnidadeMedida"] == "UN"

@@ -53,7 +53,7 @@ def sale_record(pdv_code, item_code, total, count, serial="EmissordoCupom") -> C
 
 
 def export_documents(items: DataFrame, group: Sequence[str], order: Sequence[str], venda: Column,
-                     movement_date: Column, parts: int | None = None) -> DataFrame:
+                     movement_date: Column, parts: int | None = None, pretty: bool = False) -> DataFrame:
     """K7: ``(group..., part, document)``, one JSON document per group part.
 
     ``items`` carries the F18 config columns (``with_config``) and the order
@@ -70,7 +70,8 @@ def export_documents(items: DataFrame, group: Sequence[str], order: Sequence[str
               first.getField("CodigoDaEmpresa").alias("CodigoDaEmpresa"),
               first.getField("ChaveDeAcesso").alias("ChaveDeAcesso")]
     body = F.struct(F.transform("_items", lambda x: x.getField("_venda")).alias("Venda")).alias("Vendas")
-    return docs.select(*group, "part", F.to_json(F.struct(*header, body)).alias("document"))
+    opts = {"pretty": "true"} if pretty else {}
+    return docs.select(*group, "part", F.to_json(F.struct(*header, body), opts).alias("document"))
 
 
 def export_receipts_xml(items: DataFrame, group: Sequence[str], check: str, check_fields: Mapping[str, Column],
@@ -90,6 +91,12 @@ def export_receipts_xml(items: DataFrame, group: Sequence[str], check: str, chec
                                 {"rowTag": "Vendas"}).alias("document"))
 
 
-def write_documents(docs: DataFrame, out: str, group: Sequence[str]) -> None:
-    """One folder per group; each line of a part file is one document."""
-    docs.select(*group, "document").write.mode("overwrite").partitionBy(*group).text(out)
+def write_documents(docs: DataFrame, out: str, group: Sequence[str], file_per_document: bool = False) -> None:
+    """One folder per group; each line of a part file is one document.
+
+    ``file_per_document=True`` partitions by ``part`` too: a document is one
+    row, so every ``<group>/part=<n>/`` folder holds exactly one file with one
+    (possibly pretty-printed) document -- the reference's one file per site
+    and day."""
+    cols = list(group) + (["part"] if file_per_document else [])
+    docs.select(*cols, "document").write.mode("overwrite").partitionBy(*cols).text(out)

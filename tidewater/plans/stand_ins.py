@@ -1021,4 +1021,67 @@ def daily_recent(spark, d):
     return sales_recent(sales_daily(sales(spark, d)), "1998-08-02", 30).withColumn("valor_total_dia", dbl("valor_total_dia"))
 
 
+# ------------------------------------------------------------------ maintenance views over documents (V2, V3)
+
+MAINTENANCE_RULES = [("nation 1 ", "ONE")]
+
+
+def _inc(*items):
+    """An ``included`` array: (id, type, name, full_name) tuples of Columns."""
+    return F.array(*[F.struct(i.alias("id"), ty.alias("type"),
+                              F.struct(n.alias("name"), fn.alias("full_name")).alias("attributes"))
+                     for i, ty, n, fn in items])
+
+
+@query("maintenance_views", """
+WITH pd AS (SELECT CAST(c_custkey AS VARCHAR) AS work_id, 'Plano ' || c_name AS nome_plano,
+                   'Local ' || CAST(c_nationkey AS VARCHAR) AS local_name,
+                   'Nation ' || CAST(c_nationkey AS VARCHAR) || ' - ' || c_mktsegment AS local_full_name
+            FROM customer WHERE c_acctbal > 0),
+pb AS (SELECT CAST(c_custkey AS VARCHAR) AS work_id, c_name AS nome_plano, CAST(NULL AS VARCHAR) AS local_name,
+              CAST(NULL AS VARCHAR) AS local_full_name
+       FROM customer c WHERE NOT EXISTS (SELECT 1 FROM pd WHERE pd.work_id = CAST(c.c_custkey AS VARCHAR))),
+p AS (SELECT * FROM pd UNION ALL SELECT * FROM pb),
+od AS (SELECT CAST(o_orderkey AS VARCHAR) AS scheduled_work_id, CAST(o_custkey AS INTEGER) AS work_id,
+              o_orderstatus AS status, o_orderdate AS data_agendada, 'Trabalho ' || CAST(o_orderkey AS VARCHAR) AS nome_plano,
+              'Sala ' || o_orderpriority AS local_name, CAST(NULL AS VARCHAR) AS local_full_name
+       FROM orders WHERE o_orderstatus = 'F'),
+ob AS (SELECT CAST(o_orderkey AS VARCHAR) AS scheduled_work_id, CAST(o_custkey AS INTEGER) AS work_id,
+              o_orderstatus AS status, o_orderdate AS data_agendada, CAST(NULL AS VARCHAR) AS nome_plano,
+              CAST(NULL AS VARCHAR) AS local_name, CAST(NULL AS VARCHAR) AS local_full_name
+       FROM orders o WHERE NOT EXISTS (SELECT 1 FROM od WHERE od.scheduled_work_id = CAST(o.o_orderkey AS VARCHAR))),
+u AS (SELECT * FROM od UNION ALL SELECT * FROM ob)
+SELECT u.scheduled_work_id, u.work_id, u.status, u.data_agendada,
+       COALESCE(u.nome_plano, p.nome_plano) AS nome_plano, COALESCE(u.local_name, p.local_name) AS local_name,
+       COALESCE(u.local_full_name, p.local_full_name) AS local_full_name,
+       CASE WHEN COALESCE(u.local_full_name, p.local_full_name) ILIKE 'nation 1 %' THEN 'ONE'
+            ELSE trim(split_part(COALESCE(u.local_full_name, u.local_name, p.local_full_name, p.local_name), '-', 1))
+       END AS hotel
+FROM u LEFT JOIN p ON CAST(u.work_id AS VARCHAR) = p.work_id""")
+def maintenance_views(spark, d):
+    from tidewater.plans.maintenance import dim_plans, fact_occurrences
+    c, o = t(spark, d, "customer"), t(spark, d, "orders")
+    s = lambda x: F.col(x).cast("string")
+    none = F.lit(None).cast("string")
+    plan_bulk = c.select(s("c_custkey").alias("work_id"), F.to_json(F.struct(
+        F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("type")).alias("attributes"))).alias("data"))
+    plan_det = c.filter(F.col("c_acctbal") > 0).select(s("c_custkey").alias("work_id"), F.to_json(F.struct(
+        F.struct(s("c_custkey").alias("id"), F.struct(F.concat(F.lit("Plano "), "c_name").alias("name")).alias("attributes"))
+        .alias("data"),
+        _inc((F.lit("w"), F.lit("work_type"), F.col("c_mktsegment"), none),
+             (F.lit("l"), F.lit("location"), F.concat(F.lit("Local "), s("c_nationkey")),
+              F.concat(F.lit("Nation "), s("c_nationkey"), F.lit(" - "), "c_mktsegment"))).alias("included"))).alias("data"))
+    start = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    attrs = F.struct(F.col("o_custkey").alias("work_id"), F.col("o_orderstatus").alias("state"), start.alias("start_date"))
+    occ_bulk = o.select(s("o_orderkey").alias("scheduled_work_id"), F.to_json(F.struct(attrs.alias("attributes"))).alias("data"))
+    occ_det = o.filter(F.col("o_orderstatus") == "F").select(s("o_orderkey").alias("scheduled_work_id"), F.to_json(F.struct(
+        F.struct(attrs.alias("attributes")).alias("data"),
+        _inc((F.lit("l"), F.lit("location"), F.concat(F.lit("Sala "), "o_orderpriority"), none),
+             (F.lit("w"), F.lit("work"), F.concat(F.lit("Trabalho "), s("o_orderkey")), none)).alias("included"))).alias("data"))
+    plans = dim_plans(plan_det, plan_bulk, MAINTENANCE_RULES)
+    occ = fact_occurrences(occ_det, occ_bulk, plans, MAINTENANCE_RULES)
+    return occ.select("scheduled_work_id", "work_id", "status", "data_agendada", "nome_plano", "local_name",
+                      "local_full_name", "hotel")
+
+
 QUERY_NAMES = list(QUERIES)

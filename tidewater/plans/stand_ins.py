@@ -1084,4 +1084,43 @@ def maintenance_views(spark, d):
                       "local_full_name", "hotel")
 
 
+# Fixed values of the stand-in: event type -> registry action.
+ACTION_OF_EVENT = {"view": "STARTED", "purchase": "PAUSED", "signup": "RESUMED", "error": "COMPLETED", "click": "CREATED"}
+
+
+@query("work_hours_docs", """
+WITH r AS (SELECT user_id, CAST(ts AS DATE) AS dia, event_id, ts,
+                  CASE event_type WHEN 'view' THEN 'STARTED' WHEN 'purchase' THEN 'PAUSED' WHEN 'signup' THEN 'RESUMED'
+                                  WHEN 'error' THEN 'COMPLETED' WHEN 'click' THEN 'CREATED' END AS action
+           FROM events),
+o AS (SELECT *, lead(ts) OVER w AS next_ts, lead(action) OVER w AS next_action
+      FROM r WINDOW w AS (PARTITION BY user_id, dia ORDER BY ts, event_id))
+SELECT CAST(user_id AS VARCHAR) || '-' || strftime(dia, '%Y-%m-%d') || '-0' AS failure_id,
+       CAST(user_id AS INTEGER) AS operator_id, action AS status_inicio, next_action AS status_fim,
+       ts AS data_inicio, next_ts AS data_fim,
+       (epoch_us(next_ts) - epoch_us(ts)) / CAST(3600000000 AS DOUBLE) AS horas_decimais
+FROM o WHERE action IN ('STARTED', 'RESUMED') AND next_action IN ('PAUSED', 'COMPLETED') AND next_ts IS NOT NULL""")
+def work_hours_docs(spark, d):
+    """V4 over detail documents: one ticket document per user and day
+    (bounded ``nest``), whose ``included`` holds the event (owner = user) and
+    its registries."""
+    from tidewater.plans.maintenance import work_hours
+    e = t(spark, d, "events").withColumn("dia", F.to_date("ts"))
+    attrs = lambda op, ev, act, dt: F.struct(op.alias("operator_id"), ev.alias("event_id"), act.alias("action"),
+                                             dt.alias("date"))
+    reg = F.struct(F.col("event_id").cast("string").alias("id"), F.lit("event_registry").alias("type"),
+                   attrs(F.col("user_id"), F.lit(1).cast("bigint"), map_code("event_type", ACTION_OF_EVENT, fallback=None),
+                         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("attributes"))
+    docs = nest(e.withColumn("reg", reg), ["user_id", "dia"], ["reg"], ["ts", "event_id"], name="regs")
+    fid = F.concat_ws("-", F.col("user_id").cast("string"), F.col("dia").cast("string"), F.col("part").cast("string"))
+    owner = F.struct(F.lit("1").alias("id"), F.lit("event").alias("type"),
+                     attrs(F.col("user_id"), F.lit(None).cast("bigint"), F.lit(None).cast("string"),
+                           F.lit(None).cast("string")).alias("attributes"))
+    included = F.concat(F.array(owner), F.transform("regs", lambda x: x["reg"]))
+    details = docs.select(fid.alias("failure_id"),
+                          F.to_json(F.struct(F.struct(fid.alias("id")).alias("data"), included.alias("included"))).alias("data"))
+    return work_hours(details, "failure_id").select("failure_id", "operator_id", "status_inicio", "status_fim",
+                                                    "data_inicio", "data_fim", "horas_decimais")
+
+
 QUERY_NAMES = list(QUERIES)

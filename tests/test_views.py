@@ -137,3 +137,14 @@ def test_line_items(spark):
     r = {x.line_item_id: x for x in fact_line_items(raw).collect()}
     assert round(float(r["1"].valor_unitario), 6) == 3.333333 and r["1"].colaborador == "A B" and r["1"].cancelado
     assert r["2"].valor_unitario == 0 and r["2"].colaborador is None and r["2"].cancelado is False
+
+
+def test_local_day_independent_of_session_zone(spark):
+    from tidewater.functions.scalar import instant, local_day
+    df = spark.createDataFrame([("2026-01-02T23:30:00-03:00",)], "t string").select(instant("t").alias("i"))
+    try:
+        for tz in ("UTC", "Asia/Tokyo", "America/Recife"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert str(df.select(local_day("i", "America/Recife").alias("d")).first().d) == "2026-01-02"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -124,10 +124,13 @@ def instant(col) -> Column:
 
 
 def local_day(col, zone: str | None = None) -> Column:
-    """instant -> calendar day in ``zone`` (default: session zone, D11)."""
+    """instant -> calendar day in ``zone`` (default: session zone, D11).
+
+    The instant's wall time in the session zone is converted to ``zone``, so
+    the result does not depend on the session setting."""
     c = _c(col)
     if zone:
-        c = F.from_utc_timestamp(c, zone)
+        c = F.convert_timezone(F.current_timezone(), F.lit(zone), c.cast("timestamp_ntz"))
     return F.to_date(c)
 
 

@@ -105,12 +105,16 @@ def fact_ledger(ledger: DataFrame, notes: DataFrame, cancels: DataFrame, direct:
     is ``silver_cancels``. Keeps the ledger row count (one note at most).
     """
     left = ledger.withColumn("_direct", blank_to_null("chave_sefaz_raw") if direct else F.lit(None).cast("string"))
-    right = notes.select("nota_id", "nNF", "serie", F.col("hotel").alias("_nhotel"),
-                         "cStat", "nProt", "dhRecbto")
+    # the cancellation EXISTS is a property of the note: flag the (small)
+    # notes side once and carry the flag through the match, instead of a
+    # third shuffle of the (large) ledger on the resolved key
+    right = with_exists(notes.select("nota_id", "nNF", "serie", F.col("hotel").alias("_nhotel"),
+                                     "cStat", "nProt", "dhRecbto"),
+                        cancels, "nota_id", "chNFe", "_cancelled")
     m = resolve(left, right, direct=("_direct", "nota_id"),
                 composite=(["numero_documento", "serie", "hotel"], ["nNF", "serie", "_nhotel"]),
-                order=["nota_id"], take=["nota_id", "cStat", "nProt", "dhRecbto"])
-    m = with_exists(m, cancels, "nota_id", "chNFe", "cancelada")
+                order=["nota_id"], take=["nota_id", "cStat", "nProt", "dhRecbto", "_cancelled"])
+    m = m.withColumn("cancelada", F.coalesce(F.col("_cancelled"), F.lit(False)))
     cols = ["lancamento_id", "hotel", "empresa", "data_emissao", "tipo_documento", "numero_documento",
             "serie", "cfop", "codigo_produto", "descricao_produto", "quantidade", "valor_unitario",
             "valor_total_item", "desconto", "valor_total_documento", "chave_sefaz_raw"]

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.arrays import explode_type, first_of_type
+from tidewater.functions.arrays import first_of_type
 from tidewater.functions.json_paths import doc_as, project
 from tidewater.functions.scalar import hotel_of
 from tidewater.operators.joins import left_lookup, prefer
@@ -125,16 +125,21 @@ def fact_occurrences(details: DataFrame, bulk: DataFrame, plans: DataFrame,
 def work_hours(details: DataFrame, parent: str) -> DataFrame:
     """V4 (``parent='failure_id'``) and V5 (``'scheduled_work_id'``).
 
-    Events and event registries are exploded out of ``included`` (A2), joined
-    on (parent, event) with owner not null (J2), paired with the next action
-    (W1) and turned into hours (F6)."""
-    inc = details.select(parent, doc_as(details, "data", "$.included", INCLUDED).alias("inc"))
-    ev = explode_type(inc, "inc", ["event"], keep=[parent]).select(
-        parent, F.col("val.id").try_cast("bigint").alias("event_id"),
-        F.col("val.attributes").getItem("operator_id").try_cast("int").alias("operator_id"))
-    reg = explode_type(inc, "inc", ["event_registry"], keep=[parent]).select(
-        parent, F.col("val.attributes").getItem("event_id").try_cast("bigint").alias("event_id"),
-        F.col("val.attributes").getItem("action").alias("action"),
-        F.col("val.attributes").getItem("date").try_cast("timestamp_ntz").alias("event_time"),
-        F.col("val.id").try_cast("bigint").alias("event_registry_id"))
-    return work_intervals(reg, parent=parent, events=ev)
+    Events and their registries live in the same document's ``included``
+    array, so each registry gets its event's owner inside the document
+    (a higher-order lookup, J2 on (parent, event) without a shuffle); the
+    registries are then exploded (A2), those without an owner dropped (D17),
+    paired with the next action (W1, the only shuffle) and turned into hours
+    (F6)."""
+    inc = F.coalesce(doc_as(details, "data", "$.included", INCLUDED), F.array())
+    events = F.filter(inc, lambda x: x["type"] == "event")
+    eid = lambda x: x["attributes"].getItem("event_id").try_cast("bigint")
+    owner = lambda r: F.get(F.filter(events, lambda e: e["id"].try_cast("bigint") == eid(r)), 0)["attributes"] \
+        .getItem("operator_id").try_cast("int")
+    regs = F.transform(F.filter(inc, lambda x: x["type"] == "event_registry"),
+                       lambda r: F.struct(eid(r).alias("event_id"), r["attributes"].getItem("action").alias("action"),
+                                          r["attributes"].getItem("date").try_cast("timestamp_ntz").alias("event_time"),
+                                          r["id"].try_cast("bigint").alias("event_registry_id"),
+                                          owner(r).alias("operator_id")))
+    reg = details.select(parent, F.explode(regs).alias("r")).select(parent, "r.*")
+    return work_intervals(reg, parent=parent)

@@ -41,3 +41,14 @@ def test_exists_without_prefer_coverage(spark):
     assert sorted(map(tuple, prefer(det, bulk, "id").collect())) == [(1, "detail"), (2, "bulk")]
     cov = coverage(left.withColumn("g", F.lit("x")), right, "id", ["g"], right_key="rid").first()
     assert (cov.total, cov.com, cov.sem) == (3, 1, 2)
+
+
+def test_left_lookup_many_one_join(spark):
+    from tidewater.operators import left_lookup_many
+    left = spark.createDataFrame([(1,), (2,), (3,), (None,)], "id int")
+    a = spark.createDataFrame([(1, "a1"), (2, None)], "k int, va string")        # a NULL value stays NULL
+    b = spark.createDataFrame([(2, 20.0), (3, 30.0)], "k int, vb double")
+    out = {r.id: (r.va, r.vb) for r in left_lookup_many(left, "id", [(a, "k", ["va"]), (b, "k", ["vb"])]).collect()}
+    assert out == {1: ("a1", None), 2: (None, 20.0), 3: (None, 30.0), None: (None, None)}
+    plan = left_lookup_many(left, "id", [(a, "k", ["va"]), (b, "k", ["vb"])])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1                                     # one join, not one per lookup

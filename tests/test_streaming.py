@@ -50,3 +50,16 @@ def test_stream_ingest_partitioned(spark, tmp):
     got = spark.read.schema("key string, data string, extracted_at timestamp, part string").parquet(table)
     assert sorted(r.part for r in got.select("part").distinct().collect()) == ["2601", "2602"]
     assert got.count() == 2
+
+
+def test_lookback_and_backfill_by_file_day(spark, tmp):
+    from tidewater.streaming import ingest_days, ingest_lookback
+    land = os.path.join(tmp, "land3")
+    os.makedirs(land)
+    parse = lambda df: parse_sectioned_json(df, {"ST1": "SITE1"}).select("key", "data")
+    for day, k in (("2026-02-10", "a"), ("2026-02-12", "b"), ("2026-02-13", "c")):
+        write(land, f"pos_{day}.json", [k * 44])
+    got = ingest_lookback(spark, land, "2026-02-13", 1, parse, os.path.join(tmp, "t_lb"), "key")
+    assert sorted(r.key[0] for r in got.collect()) == ["b", "c"]                 # 12th and 13th only
+    got = ingest_days(spark, land, "2026-02-01", "2026-02-10", parse, os.path.join(tmp, "t_bf"), "key")
+    assert [r.key[0] for r in got.collect()] == ["a"]

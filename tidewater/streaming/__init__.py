@@ -1 +1 @@
-from tidewater.streaming.ingest import ingest_day, ingest_stream
+from tidewater.streaming.ingest import ingest_day, ingest_days, ingest_lookback, ingest_stream

@@ -59,5 +59,29 @@ def ingest_day(spark: SparkSession, source_dir: str, day: str, parse: Parser, ta
     return upsert_table(parse(files), table_base, key, order)
 
 
+def ingest_days(spark: SparkSession, source_dir: str, start: str, end: str, parse: Parser, table_base: str,
+                key: str, order=None, partition: Column | None = None) -> DataFrame:
+    """T3 backfill: every landed file whose name carries a day in
+    [``start``, ``end``] -- one read over the whole range, one idempotent
+    upsert (the reference loops over 30-day chunks; a failed chunk there is
+    a failed task here, retried by Spark)."""
+    from tidewater.sources.files import file_day
+    files = landed(spark, source_dir)
+    files = files.filter(file_day().between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    rows = parse(files)
+    if partition is not None:
+        return upsert_partitioned(rows, table_base, key, partition, order)
+    return upsert_table(rows, table_base, key, order)
+
+
+def ingest_lookback(spark: SparkSession, source_dir: str, as_of: str, days: int, parse: Parser, table_base: str,
+                    key: str, order=None, partition: Column | None = None) -> DataFrame:
+    """Re-load the ``days`` days up to ``as_of`` to catch late changes
+    (3 days for maintenance, 7 for the ledger in the reference); safe because
+    the upsert is idempotent."""
+    start = spark.range(1).select(F.date_sub(F.lit(as_of).cast("date"), days).cast("string")).first()[0]
+    return ingest_days(spark, source_dir, start, as_of, parse, table_base, key, order, partition)
+
+
 def yesterday(spark: SparkSession) -> str:
     return spark.range(1).select(F.date_sub(F.current_date(), 1).cast("string")).first()[0]

@@ -22,7 +22,10 @@ BOM = "﻿"
 
 def landed(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """Whole files under ``path`` (optionally ``pathGlobFilter``)."""
-    r = spark.read.option("wholetext", True)
+    # a file that cannot be read, or that vanished after listing, is skipped
+    # instead of failing the whole load (one bad file must not stop the others)
+    r = (spark.read.option("wholetext", True).option("ignoreCorruptFiles", True)
+         .option("ignoreMissingFiles", True))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
@@ -33,7 +36,8 @@ def landed(spark: SparkSession, path: str, glob: str | None = None, recursive: b
 
 def landed_stream(spark: SparkSession, path: str, glob: str | None = None, max_files: int = 1000) -> DataFrame:
     """The same rows as a file stream (T1); the checkpoint remembers files seen."""
-    r = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", max_files)
+    r = (spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", max_files)
+         .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True))
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(path).select(

@@ -56,7 +56,7 @@ def test_nest_and_lead_on_hot_group(spark, hot):
     assert len(hot_parts) > 1 and all(len(d["items"]) <= N // 3 for d in hot_parts)
     flat = [x.seq for d in hot_parts for x in d["items"]]
     assert flat == sorted(flat) and len(flat) == N // 3
-    got = with_next(hot, ["k"], ["t", "seq"], ["seq"], width=600)
+    got = with_next(hot, ["k"], ["t", "seq"], ["seq"], width=600, big_rows=500)
     pdf = hot.toPandas().sort_values(["t", "seq"])
     pdf["want"] = pdf.groupby("k", dropna=False)["seq"].shift(-1)
     merged = got.toPandas().merge(pdf[["seq", "want"]], on="seq")

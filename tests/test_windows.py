@@ -18,7 +18,7 @@ def test_bucketed_lead_equals_window(spark):
         t = base + dt.timedelta(seconds=rnd.randint(0, 3 * 86400))
         data.append((g, t, i, rnd.choice(["A", "B", "C"])))
     df = spark.createDataFrame(data, "g int, t timestamp_ntz, id int, a string")
-    got = with_next(df, ["g"], ["t", "id"], ["t", "a"], width=600)
+    got = with_next(df, ["g"], ["t", "id"], ["t", "a"], width=600, big_rows=100)
     want = with_next(df, ["g"], ["t", "id"], ["t", "a"], strategy="group")
     key = ["id", "next_t", "next_a"]
     assert sorted(map(tuple, got.select(key).collect()), key=str) == sorted(map(tuple, want.select(key).collect()), key=str)

@@ -58,7 +58,7 @@ def main():
         "mode (two partial aggregates)": lambda: main_value(hot, "l_orderkey", "l_returnflag", "m"),
         "mode naive (mode aggregate)": lambda: hot.groupBy("l_orderkey").agg(F.mode("l_returnflag").alias("m")),
         "lead bucketed": lambda: with_next(hot, ["l_orderkey"], ["l_shipdate", "l_partkey", "l_suppkey", "l_linenumber"],
-                                           ["l_shipdate"], width=86400 * 30),
+                                           ["l_shipdate"], width=86400 * 30, big_rows=20_000),
         "lead naive (window per group)": lambda: with_next(hot, ["l_orderkey"], ["l_shipdate", "l_partkey", "l_suppkey",
                                                                                  "l_linenumber"], ["l_shipdate"], strategy="group"),
         "nest bounded": lambda: nest(hot, ["l_orderkey"], ["l_partkey"], ["l_linenumber", "l_partkey", "l_suppkey"],

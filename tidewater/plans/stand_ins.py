@@ -256,7 +256,8 @@ def order_documents(spark, d) -> DataFrame:
 WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
            FROM lineitem WHERE l_returnflag = 'R')
-SELECT o.o_orderkey, r.l_linenumber AS first_line, r.l_partkey AS first_part, r.l_suppkey AS first_supp
+SELECT o.o_orderkey, CAST(r.l_linenumber AS DOUBLE) AS first_line, CAST(r.l_partkey AS DOUBLE) AS first_part,
+       CAST(r.l_suppkey AS DOUBLE) AS first_supp
 FROM orders o LEFT JOIN r ON r.l_orderkey = o.o_orderkey AND r.rn = 1""")
 def first_in_array(spark, d):
     docs = order_documents(spark, d)
@@ -264,9 +265,10 @@ def first_in_array(spark, d):
                 .filter(F.col("f").isNotNull()))
     first = one_per_key(hits, "l_orderkey", ["part"], take=["f"])
     o = t(spark, d, "orders").select("o_orderkey")
+    # nullable integers leave as DOUBLE in both engines (pandas renders them alike)
     return left_lookup(o, first, "o_orderkey", "l_orderkey", ["f"]).select(
-        "o_orderkey", F.col("f.l_linenumber").alias("first_line"), F.col("f.l_partkey").alias("first_part"),
-        F.col("f.l_suppkey").alias("first_supp"))
+        "o_orderkey", dbl("f.l_linenumber").alias("first_line"), dbl("f.l_partkey").alias("first_part"),
+        dbl("f.l_suppkey").alias("first_supp"))
 
 
 @query("explode_filter", """
@@ -319,15 +321,15 @@ def hours_per_operator(spark, d):
 # ------------------------------------------------------------------ joins
 
 @query("prefer_detail", """
-SELECT l_orderkey AS o_orderkey, 'detail' AS origem, count(*) AS n_itens FROM lineitem GROUP BY 1
+SELECT l_orderkey AS o_orderkey, 'detail' AS origem, CAST(count(*) AS DOUBLE) AS n_itens FROM lineitem GROUP BY 1
 UNION ALL
-SELECT o_orderkey, 'bulk' AS origem, CAST(NULL AS BIGINT) AS n_itens FROM orders o
+SELECT o_orderkey, 'bulk' AS origem, CAST(NULL AS DOUBLE) AS n_itens FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def prefer_detail(spark, d):
     details = (t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-               .agg(F.count(F.lit(1)).alias("n_itens")).select("o_orderkey", F.lit("detail").alias("origem"), "n_itens"))
+               .agg(dbl(F.count(F.lit(1))).alias("n_itens")).select("o_orderkey", F.lit("detail").alias("origem"), "n_itens"))
     bulk = t(spark, d, "orders").select("o_orderkey", F.lit("bulk").alias("origem"),
-                                        F.lit(None).cast("bigint").alias("n_itens"))
+                                        F.lit(None).cast("double").alias("n_itens"))
     return prefer(details, bulk, "o_orderkey")
 
 
@@ -360,7 +362,7 @@ WITH e AS (SELECT event_id, user_id,
 d AS (SELECT CAST(c_custkey AS VARCHAR) AS ckey, c_custkey, c_name FROM customer),
 c AS (SELECT c_nationkey, c_mktsegment, c_custkey, c_name,
              row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS rn FROM customer)
-SELECT e.event_id, e.user_id, COALESCE(d.c_custkey, c.c_custkey) AS c_custkey,
+SELECT e.event_id, e.user_id, CAST(COALESCE(d.c_custkey, c.c_custkey) AS DOUBLE) AS c_custkey,
        COALESCE(d.c_name, c.c_name) AS c_name,
        CASE WHEN d.c_custkey IS NOT NULL THEN 'direct' WHEN c.c_custkey IS NOT NULL THEN 'composite' END AS via
 FROM e LEFT JOIN d ON d.ckey = e.chave
@@ -376,7 +378,7 @@ def resolve_two_stage(spark, d):
                                           "c_nationkey", "c_mktsegment")
     r = resolve(ev, cust, direct=("chave", "ckey"), composite=(["nation", "segment"], ["c_nationkey", "c_mktsegment"]),
                 order=["c_custkey"], take=["c_custkey", "c_name"], matched_by="via")
-    return r.select("event_id", "user_id", "c_custkey", "c_name", "via")
+    return r.select("event_id", "user_id", dbl("c_custkey").alias("c_custkey"), "c_name", "via")
 
 
 @query("exists_flag", """
@@ -1123,4 +1125,35 @@ def work_hours_docs(spark, d):
                                                     "data_inicio", "data_fim", "horas_decimais")
 
 
+# ------------------------------------------------------------------ output presentation
+
+# Day columns of the registered outputs leave as midnight TIMESTAMPs in both
+# engines: Spark hands a DATE to pandas as datetime.date objects, DuckDB as
+# datetime64, so a value-level comparison would see '2024-01-01' against
+# '2024-01-01 00:00:00'. As timestamps both are datetime64 (the library
+# functions themselves still return DATE).
+DAY_COLUMNS = {
+    "daily_mart": ["data"], "monthly_revenue": ["mes"], "counts_by_group": ["dia"], "ledger_by_day": ["dia"],
+    "mart_filters": ["data"], "missing_days": ["dia"], "date_chunks": ["chunk_inicio", "chunk_fim"],
+    "calendar": ["data"], "date_parts": ["dia"], "measures_by_calendar": ["data"],
+    "ledger_recent": ["data_emissao"], "daily_recent": ["data"],
+}
+
+
+def _days_as_timestamps(name: str, cols: list[str]) -> None:
+    fn = QUERIES[name]
+
+    def run(spark, d, _fn=fn, _cols=tuple(cols)):
+        df = _fn(spark, d)
+        return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in _cols else F.col(c) for c in df.columns])
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    QUERIES[name] = run
+    repl = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    ORACLE[name] = f"SELECT * REPLACE ({repl}) FROM (\n{ORACLE[name]}\n) AS q"
+
+
+for _name, _cols in DAY_COLUMNS.items():
+    _days_as_timestamps(_name, _cols)
+
+
 QUERY_NAMES = list(QUERIES)

@@ -44,3 +44,8 @@ def test_export_text_is_valid_json(spark):
         doc = json.loads(r["document"])
         assert doc["TipoDeProcessamento"] == "ProcVendaParaBaixaEstoque"
         assert doc["Vendas"]["Venda"][0]["UnidadeMedida"] == "UN"
+
+
+def test_every_query_names_its_operators():
+    from tidewater.plans.stand_ins import COVERS
+    assert set(COVERS) == set(E.queries())

@@ -57,7 +57,7 @@ def test_soft_delete_keeps_other_fields(spark):
 def test_export_json_documents(spark, tmp):
     items = spark.createDataFrame([
         ("Site Alpha", 1, 2, 10, "10.05", 2), ("Site Alpha", 1, 1, 11, "2.675", 1),
-        ("Site Beta", 2, 1, 12, "5", None), ("Site Beta", 2, 2, 13, "5", 0)],
+        ("Site Beta", 2, 1, 12, "5", None), ("Site Beta", 2, 2, None, "5", 0)],
         "loc string, chk int, line int, item int, total string, cnt int")
     config = spark.createDataFrame([("SITE_ALPHA", "6", "C1", "K1", "SER-1")],
                                    "config_key string, EmpresaId string, CodigoDaEmpresa string, ChaveDeAcesso string, EmissordoCupom string")
@@ -74,6 +74,7 @@ def test_export_json_documents(spark, tmp):
     assert a["Vendas"]["Venda"][1]["ValorUnitario"] == 5.03                                # 10.05 / 2 half up
     b = out["Site Beta"]
     assert b["EmpresaId"] == 0 and [v["Quantidade"] for v in b["Vendas"]["Venda"]] == [1.0, 1.0]  # null/0 -> 1
+    assert b["Vendas"]["Venda"][1]["CodigoExterno"] == ""                                 # missing code -> 
     write_documents(docs, f"{tmp}/export", ["loc"])
     back = spark.read.text(f"{tmp}/export")
     assert back.count() == 2

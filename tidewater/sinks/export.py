@@ -40,13 +40,14 @@ def with_config(items: DataFrame, config: DataFrame | None, name_col: str) -> Da
 
 
 def sale_record(pdv_code, item_code, total, count, serial="EmissordoCupom") -> Column:
-    """one ``Venda`` -- code as text, unit 'UN', quantity ``count or 1``,
-    unit price HALF_UP to 2 places (D9: decimal, not binary float)."""
+    """one ``Venda`` -- codes as text ('' when missing, so every Venda has
+    the same keys), unit 'UN', quantity ``count or 1``, unit price HALF_UP to
+    2 places (D9: decimal, not binary float)."""
     c = lambda x: F.col(x) if isinstance(x, str) else x
     return F.struct(
-        c(pdv_code).cast("string").alias("CodigoPDV"),
-        c(serial).alias("EmissordoCupom"),
-        c(item_code).cast("string").alias("CodigoExterno"),
+        F.coalesce(c(pdv_code).cast("string"), F.lit("")).alias("CodigoPDV"),
+        F.coalesce(c(serial), F.lit("")).alias("EmissordoCupom"),
+        F.coalesce(c(item_code).cast("string"), F.lit("")).alias("CodigoExterno"),
         F.lit(EXPORT_UNIT).alias("UnidadeMedida"),
         export_quantity(c(count)).cast("double").alias("Quantidade"),
         export_unit_price(c(total), c(count)).cast("double").alias("ValorUnitario"))

@@ -148,3 +148,15 @@ def test_local_day_independent_of_session_zone(spark):
             assert str(df.select(local_day("i", "America/Recife").alias("d")).first().d) == "2026-01-02"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_text_to_utc_drops_offset_in_any_session_zone(spark):
+    from tidewater.functions.scalar import iso_date, text_to_utc
+    df = spark.createDataFrame([("2026-01-02T10:00:00-03:00",)], "t string")
+    try:
+        for tz in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(F.unix_timestamp(text_to_utc("t")).alias("u"), iso_date("t").alias("d")).first()
+            assert r.u == 1767348000 and str(r.d) == "2026-01-02"        # 2026-01-02 10:00:00 read as UTC (X2, X1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -109,3 +109,11 @@ def test_jobs_end_to_end(spark, tmp):
     assert sorted(r.data.isoformat() for r in marts["v_vendas_diario"].select("data").distinct().collect()) == \
         sorted(r.data.isoformat() for r in spark.table("v_vendas_diario").select("data").distinct().collect())
     assert any(n.startswith("dia=") for n in os.listdir(f"{gold}/vendas_notas/v=0"))
+
+    silver = f"{tmp}/silver"
+    sv = jobs.refresh_silver(spark, bronze, silver, COMPANY)
+    assert sv["notes"].count() == 3 and sv["ledger"].count() == 2 and sv["pos"].count() == 2
+    assert any(n.startswith("dia=") for n in os.listdir(f"{silver}/notes/v=0"))
+    vs = jobs.views(spark, bronze, gold, COMPANY, silver=silver)
+    key = lambda df: sorted(map(tuple, df.select("nota_id", "status", "tem_pdv", "tem_fiscal").collect()))
+    assert key(vs["v_vendas_notas"]) == key(v["v_vendas_notas"])          # same marts from silver as from bronze

@@ -116,13 +116,42 @@ def load_ledger(spark: SparkSession, landing: str, bronze: str, gold: str, compa
     return obs.get
 
 
-def refresh_ledger_fact(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[str, str]) -> DataFrame:
+def refresh_silver(spark: SparkSession, bronze: str, silver: str, company_sites: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Typed silver tables, partitioned by day: notes (issue day), ledger
+    (issue day), POS notes (sale day) and cancellations. Parquet cannot prune
+    fields inside a VARIANT column, so at scale the views read these typed
+    columns instead of re-projecting the bronze documents on every read;
+    day filters prune partitions and the scan reads only the columns used."""
+    t = lambda n, k: _table(spark, bronze, n, f"{k} string, data variant, extracted_at timestamp").drop("part")
+    notes = fiscal.silver_notes(t("nfe_raw_xmls", "nota_id")).withColumn("dia", F.to_date(F.substring("dhEmi", 1, 10)))
+    return {
+        "notes": refresh(notes, f"{silver}/notes", partition_by=["dia"]),
+        "cancels": refresh(fiscal.silver_cancels(t("nfe_raw_cancelamentos", "cancelamento_id")), f"{silver}/cancels"),
+        "ledger": refresh(fiscal.silver_ledger(t("fiscal_raw_lancamentos", "lancamento_id"), company_sites),
+                          f"{silver}/ledger", partition_by=["data_emissao"]),
+        "pos": refresh(fiscal.fact_pos(t("pdv_raw_notas", "nota_id")), f"{silver}/pos", partition_by=["data_venda"]),
+    }
+
+
+def _silver_inputs(spark: SparkSession, bronze: str, company_sites: Mapping[str, str], silver: str | None) -> dict:
+    """(notes, cancels, ledger, pos) typed frames: from the silver tables when
+    given, else projected from bronze."""
+    from tidewater.sinks.tables import read_current
+    if silver:
+        return {n: read_current(spark, f"{silver}/{n}") for n in ("notes", "cancels", "ledger", "pos")}
+    t = lambda n, k: _table(spark, bronze, n, f"{k} string, data variant, extracted_at timestamp").drop("part")
+    return {"notes": fiscal.silver_notes(t("nfe_raw_xmls", "nota_id")),
+            "cancels": fiscal.silver_cancels(t("nfe_raw_cancelamentos", "cancelamento_id")),
+            "ledger": fiscal.silver_ledger(t("fiscal_raw_lancamentos", "lancamento_id"), company_sites),
+            "pos": fiscal.fact_pos(t("pdv_raw_notas", "nota_id"))}
+
+
+def refresh_ledger_fact(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[str, str],
+                        silver: str | None = None) -> DataFrame:
     """K4: recompute V6 and swap it in, partitioned by issue day so that
     period reads (Q13, Q29) prune."""
-    t = lambda n, k: _table(spark, bronze, n, f"{k} string, data variant, extracted_at timestamp")
-    fact = fiscal.fact_ledger(fiscal.silver_ledger(t("fiscal_raw_lancamentos", "lancamento_id"), company_sites),
-                              fiscal.silver_notes(t("nfe_raw_xmls", "nota_id")),
-                              fiscal.silver_cancels(t("nfe_raw_cancelamentos", "cancelamento_id")))
+    s = _silver_inputs(spark, bronze, company_sites, silver)
+    fact = fiscal.fact_ledger(s["ledger"], s["notes"], s["cancels"])
     return refresh(fact, f"{gold}/mv_fiscal_lancamentos", partition_by=["data_emissao"])
 
 
@@ -163,11 +192,12 @@ def reconcile_paused(spark: SparkSession, bronze: str, snapshot: DataFrame, key:
 # ------------------------------------------------------------------ gold marts
 
 
-def refresh_marts(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[str, str]) -> dict[str, DataFrame]:
+def refresh_marts(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[str, str],
+                  silver: str | None = None) -> dict[str, DataFrame]:
     """K4 for the sales marts: V10 (one row per note) and V11 (site x day)
     written as gold tables, partitioned by day, so that BI reads and the
     30-day queries prune instead of recomputing the joins per read."""
-    v = views(spark, bronze, gold, company_sites)
+    v = views(spark, bronze, gold, company_sites, silver=silver)
     sales = v["v_vendas_notas"].withColumn("dia", F.to_date("data_emissao"))
     return {
         "v_vendas_notas": refresh(sales, f"{gold}/vendas_notas", partition_by=["dia"]),
@@ -179,15 +209,16 @@ def refresh_marts(spark: SparkSession, bronze: str, gold: str, company_sites: Ma
 
 
 def views(spark: SparkSession, bronze: str, gold: str, company_sites: Mapping[str, str],
-          site_rules=()) -> dict[str, DataFrame]:
-    """Every silver/gold view by name, registered as temp views."""
+          site_rules=(), silver: str | None = None) -> dict[str, DataFrame]:
+    """Every silver/gold view by name, registered as temp views (typed
+    inputs from ``silver`` when given, else projected from bronze)."""
     from tidewater.sinks.tables import read_current
     t = lambda n, k: _table(spark, bronze, n, f"{k} string, data variant, extracted_at timestamp").drop("part")
-    notes, cancels = fiscal.silver_notes(t("nfe_raw_xmls", "nota_id")), fiscal.silver_cancels(t("nfe_raw_cancelamentos", "cancelamento_id"))
-    pos = fiscal.fact_pos(t("pdv_raw_notas", "nota_id"))
+    s = _silver_inputs(spark, bronze, company_sites, silver)
+    notes, cancels, pos = s["notes"].drop("dia"), s["cancels"], s["pos"]
     ledger_fact = read_current(spark, f"{gold}/mv_fiscal_lancamentos")
     if ledger_fact is None:
-        ledger_fact = refresh_ledger_fact(spark, bronze, gold, company_sites)
+        ledger_fact = refresh_ledger_fact(spark, bronze, gold, company_sites, silver)
     note_fact = fiscal.fact_notes(notes, cancels, pos)
     sales = fiscal.sales_notes(note_fact, pos, ledger_fact)
     plans = maintenance.dim_plans(t("raw_works_details", "work_id"), t("raw_works", "work_id"), site_rules)

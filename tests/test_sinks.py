@@ -133,3 +133,16 @@ def test_export_one_pretty_file_per_document(spark, tmp):
         text = open(f, encoding="utf-8").read()
         assert "\n" in text.strip()                          # pretty-printed
         assert json.loads(text)["Vendas"]["Venda"][0]["UnidadeMedida"] == "UN"
+
+
+def test_commit_after_a_crashed_write(spark, tmp):
+    import os
+    base = f"{tmp}/bronze/crash"
+    df = spark.createDataFrame([("1", "a")], "id string, data string")
+    commit_version(df, base)
+    os.makedirs(f"{base}/v=1")                                        # a write that died before _SUCCESS
+    open(f"{base}/v=1/part-0.parquet", "w").close()
+    assert versions(spark, base) == [0]                              # readers ignore it
+    commit_version(df.withColumn("data", F.lit("b")), base)         # the retry does not collide with it
+    assert versions(spark, base) == [0, 2]
+    assert read_current(spark, base).first().data == "b"

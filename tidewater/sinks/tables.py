@@ -143,15 +143,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def versions(spark: SparkSession, base: str) -> list[int]:
-    """Complete versions of a table folder, oldest first (metadata only)."""
+def versions(spark: SparkSession, base: str, complete: bool = True) -> list[int]:
+    """Versions of a table folder, oldest first (metadata only). By default
+    only complete ones (with ``_SUCCESS``); ``complete=False`` lists every
+    version folder, including one a crashed write left behind."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         m = _VERSION.search(st.getPath().getName())
-        if m and fs.exists(st.getPath().suffix("/_SUCCESS")):
+        if m and (not complete or fs.exists(st.getPath().suffix("/_SUCCESS"))):
             out.append(int(m.group(1)))
     return sorted(out)
 
@@ -168,7 +170,7 @@ def commit_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -
     Readers of the previous version are never disturbed (no in-place
     overwrite); a failed write leaves no ``_SUCCESS`` and is ignored."""
     spark = df.sparkSession
-    vs = versions(spark, base)
+    vs = versions(spark, base, complete=False)   # skip folders of crashed writes too
     n = (vs[-1] + 1) if vs else 0
     w = df.write.mode("error")
     if partition_by:

@@ -31,6 +31,9 @@ SCALE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # lineage cuts (reliable checkpoints in the shared folder) are removed
+    # once nothing references them, so daily upserts do not pile them up
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -48,6 +48,10 @@ def select_files(df: DataFrame, include: str | None = None, exclude: str | None
                  col: str = "file_name") -> DataFrame:
     """Keep file names matching regex ``include`` and not ``exclude``.
 
+    The predicate is on ``_metadata.file_name``, which Spark evaluates while
+    listing: files it rejects are never opened (the scan's ``numFiles`` counts
+    only the selected ones).
+
     Catalogue of the reference's selections:
     POS notes ``include=r'\\d{4}-\\d{2}-\\d{2}.*\\.json$'`` (plus ``exclude='GCM'``, D21);
     line items ``include='GCM'``; tax notes ``include=r'\\.xml$', exclude=r'(-can\\.xml$)|(^CFe)'``;
@@ -67,7 +71,9 @@ def key_from_name(col: str = "file_name", n: int = 44):
 def only_new(files: DataFrame, loaded: DataFrame, file_key, loaded_key: str) -> DataFrame:
     """Files whose key is not loaded yet (anti-join). ``file_key``
     is a Column computed from the file row (e.g. ``key_from_name()`` or the
-    file name itself)."""
+    file name itself). The anti-join runs after the read, so loaded files are
+    still opened; for large landing areas use ``ingest_stream``, whose
+    checkpoint skips seen files before reading them."""
     f = files.withColumn("_file_key", file_key)
     return without(f, loaded, "_file_key", loaded_key).drop("_file_key")
 

@@ -4,9 +4,12 @@ Stand-ins: order = tax note; line item = ledger item; order status F/O/P =
 cancelled / authorised / pending; events = state registries; customer
 segment or order priority = site. Every query reads whole tables.
 
-Output conventions, shared with the DuckDB oracles in ``ORACLE``: money is
-summed as exact DECIMAL(12,2) and cast to DOUBLE once at the end; hours come
-from an exact microsecond count.
+Output conventions, shared with the DuckDB oracles in ``ORACLE`` so that
+both engines give the same Arrow types and pandas values: money is summed as
+exact DECIMAL(12,2) and cast to DOUBLE once at the end; hours come from an
+exact microsecond count; integers that can be NULL leave as DOUBLE; day
+columns leave as midnight TIMESTAMPs (``DAY_COLUMNS``). ``COVERS`` names the
+SURVEY §2 ids each query runs.
 """
 
 from __future__ import annotations

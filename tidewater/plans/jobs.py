@@ -30,7 +30,7 @@ from tidewater.sources.documents import (
     parse_cancel_xml, parse_detail_envelopes, parse_json_array, parse_nested_array_json, parse_note_xml,
     parse_paged_envelopes, parse_sectioned_json,
 )
-from tidewater.sources.files import folder_of, key_from_name, landed, only_new, select_files
+from tidewater.sources.files import folder_of, key_from_name, landed, new_files, select_files
 
 # File-name selections (S8), as regular expressions over the file name.
 POS_FILES = dict(include=r"\d{4}-\d{2}-\d{2}.*\.json$", exclude="GCM")
@@ -84,18 +84,17 @@ def load_notes(spark: SparkSession, shares: str, bronze: str, share_codes: Mappi
                rejects: str, job_date: str) -> dict:
     """Tax notes and cancellations from per-site share folders (S5, S6, S9,
     S11, S12): skip what is loaded, parse, upsert, log rejects."""
-    files = landed(spark, shares)
     site = map_code(folder_of(), share_codes)
     notes_t = _table(spark, bronze, "nfe_raw_xmls", "nota_id string, data variant, extracted_at timestamp")
     cancels_t = _table(spark, bronze, "nfe_raw_cancelamentos", "cancelamento_id string, data variant, extracted_at timestamp")
 
-    new_notes = only_new(select_files(files, **NOTE_FILES), notes_t, key_from_name(), "nota_id")
+    new_notes = new_files(spark, shares, notes_t, "nota_id", key_from_name(), **NOTE_FILES)   # loaded files stay unopened
     ok, bad = parse_note_xml(new_notes, site)
     ok, obs_n = observed(ok.select("nota_id", "data"), "notes")
     _upsert(ok, bronze, "nfe_raw_xmls", "nota_id", by_month=True)
 
     loaded_names = cancels_t.select(doc_path(cancels_t, "data", "source_file").alias("f"))
-    new_cancels = only_new(select_files(files, **CANCEL_FILES), loaded_names, F.col("file_name"), "f")
+    new_cancels = new_files(spark, shares, loaded_names, "f", **CANCEL_FILES)
     cok, cbad = parse_cancel_xml(new_cancels, site)
     cok, obs_c = observed(cok.select("cancelamento_id", "data"), "cancels")
     _upsert(cok, bronze, "nfe_raw_cancelamentos", "cancelamento_id", by_month=False)

@@ -4,6 +4,6 @@ from tidewater.sources.documents import (
     parse_sectioned_json, read_id_list,
 )
 from tidewater.sources.files import (
-    file_day, folder_of, key_from_name, landed, landed_stream, only_new, select_files, strip_bom,
+    file_day, folder_of, key_from_name, landed, landed_stream, new_files, only_new, select_files, strip_bom,
     with_folder_code,
 )

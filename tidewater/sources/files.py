@@ -83,6 +83,33 @@ def file_day(col: str = "file_name"):
     return F.to_date(F.nullif(F.regexp_extract(F.col(col), r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")))
 
 
+def new_files(spark: SparkSession, path: str, loaded: DataFrame, loaded_key: str, file_key=None,
+              include: str | None = None, exclude: str | None = None) -> DataFrame:
+    """S8 + S9 without opening loaded files: ``(value, file_path, file_name)``
+    of the files under ``path`` that pass the name selection and whose key
+    (``file_key``, a Column over ``file_name``; default the file name) is not
+    in ``loaded``.
+
+    Candidates come from the ``binaryFile`` source with only ``path``
+    selected, so no content is read; the selection and the anti-join run on
+    that listing. The surviving paths are then read -- the only file contents
+    opened. The path list goes through the driver, which already holds the
+    whole listing (Spark lists files there), so it is bounded by it."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                    .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
+                    .select(F.col("path").alias("file_path"),
+                            F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("file_name")))
+    listing = select_files(listing, include, exclude)
+    fresh = only_new(listing, loaded, file_key if file_key is not None else F.col("file_name"), loaded_key)
+    paths = [r.file_path for r in fresh.select("file_path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "value string, file_path string, file_name string")
+    return (spark.read.option("wholetext", True).option("ignoreCorruptFiles", True)
+                 .option("ignoreMissingFiles", True).text(paths)
+                 .select("value", F.col("_metadata.file_path").alias("file_path"),
+                         F.col("_metadata.file_name").alias("file_name")))
+
+
 def folder_of(col: str = "file_path"):
     """Name of the folder holding the file."""
     return F.regexp_extract(F.col(col), r"/([^/]+)/[^/]+$", 1)

@@ -224,7 +224,9 @@ _DEAD = r"(?s)^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) \| ([^|]*?) \| ID: ([^|]*?)
 
 def parse_dead_letters(files: DataFrame) -> DataFrame:
     """``time | type | ID: n | Erro: msg`` records; a message may span
-    lines (the next record starts with a timestamp at line start)."""
+    lines (the next record starts with a timestamp at line start). This reads
+    the legacy text log, one file per row; new failures are written by K6 as
+    a typed, date-partitioned table instead."""
     recs = files.select(F.explode(F.split(F.col("value"),
                                           r"\r?\n(?=\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2} \| )")).alias("r"))
     recs = recs.filter(F.regexp_like(F.col("r"), F.lit(r"^\d{4}-\d{2}-\d{2} ")))

@@ -163,3 +163,12 @@ def test_repeated_key_keeps_last_value(spark):
     from tidewater.sources.documents import parse_json_array
     (r,) = parse_json_array(files(spark, ("l.json", '[{"IDLANCAMENTOICMSBASE": 1, "ANCFOP": "1", "ANCFOP": "2"}]'))).collect()
     assert as_json(r.data)["ANCFOP"] == "2"
+
+
+def test_page_without_meta_is_page_one_of_one(spark):
+    recs = parse_paged_envelopes(files(spark, ("p.json", json.dumps({"data": [{"id": "7"}]})),
+                                       ("bad.json", "not json")))
+    (r,) = recs.collect()
+    assert (r.key, r.page, r.total_pages) == ("7", 1, 1)
+    c = page_completeness(recs).first()
+    assert (c.pages_seen, c.total_pages) == (1, 1)

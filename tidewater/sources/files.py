@@ -104,10 +104,10 @@ def new_files(spark: SparkSession, path: str, loaded: DataFrame, loaded_key: str
     paths = [r.file_path for r in fresh.select("file_path").collect()]
     if not paths:
         return spark.createDataFrame([], "value string, file_path string, file_name string")
-    return (spark.read.option("wholetext", True).option("ignoreCorruptFiles", True)
-                 .option("ignoreMissingFiles", True).text(paths)
-                 .select("value", F.col("_metadata.file_path").alias("file_path"),
-                         F.col("_metadata.file_name").alias("file_name")))
+    # one listing of the folder; the path set is a metadata predicate that
+    # Spark applies while listing, so only these files are opened (passing
+    # the paths themselves would list each one as a root: a job per path)
+    return landed(spark, path).filter(F.col("file_path").isin(paths))
 
 
 def folder_of(col: str = "file_path"):

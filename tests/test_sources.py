@@ -172,3 +172,30 @@ def test_page_without_meta_is_page_one_of_one(spark):
     assert (r.key, r.page, r.total_pages) == ("7", 1, 1)
     c = page_completeness(recs).first()
     assert (c.pages_seen, c.total_pages) == (1, 1)
+
+
+def test_new_files_opens_only_unloaded_files(spark, tmp):
+    import os
+    from tidewater.sources import new_files
+    share = f"{tmp}/share/SITE"
+    os.makedirs(share)
+    for name, text in ((f"NFe{KEY}-nfe.xml", "old"), (f"NFe{KEY2}-nfe.xml", "new"), ("x-can.xml", "c")):
+        with open(os.path.join(share, name), "w") as fh:
+            fh.write(text)
+    loaded = spark.createDataFrame([(KEY,)], "nota_id string")
+    got = new_files(spark, f"{tmp}/share", loaded, "nota_id", key_from_name(),
+                    include=r"\.xml$", exclude=r"-can\.xml$")
+    rows = got.collect()
+    assert [(r.file_name, r.value) for r in rows] == [(f"NFe{KEY2}-nfe.xml", "new")]
+    plan = got._jdf.queryExecution().executedPlan()
+    files_read = []
+
+    def walk(p):
+        m = p.metrics()
+        if m.contains("numFiles"):
+            files_read.append(m.apply("numFiles").value())
+        it = p.children().iterator()
+        while it.hasNext():
+            walk(it.next())
+    walk(plan)
+    assert files_read == [1]                                   # the loaded file was never opened

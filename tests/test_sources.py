@@ -34,7 +34,10 @@ def test_sectioned_pos_file(spark):
          {"Record Type": "FISID", "Invoice Data Info 8": KEY2, "hotel": "OWN"}],
         [{}]])
     short = json.dumps([[{"Store Number": "ZZ"}], [{}]])
-    rows = parse_sectioned_json(files(spark, ("a_2026-01-02.json", content), ("b.json", short)), {"ST1": "SITE1"}).collect()
+    f = files(spark, ("a_2026-01-02.json", content), ("b.json", short))
+    rows = parse_sectioned_json(f, {"ST1": "SITE1"}).collect()
+    again = parse_sectioned_json(f, {"ST1": "SITE1"}).collect()
+    assert sorted((r.key, r.data.toJson()) for r in rows) == sorted((r.key, r.data.toJson()) for r in again)  # repeatable
     by = {r.key: r for r in rows}
     assert set(by) == {KEY, KEY2}
     a = as_json(by[KEY].data)

@@ -74,3 +74,11 @@ def row_key(doc_id: Column, text: Column) -> Column:
     included, else different but for a clash of two 64-bit hashes."""
     return F.struct(F.xxhash64(doc_id.cast("string"), doc_id.isNull()).alias("a"),
                     F.xxhash64(text, text.isNull(), F.lit(7)).alias("b"))
+
+
+SMALL_SIDE = 2_000_000  # rows of a few numbers that may be broadcast; larger sides are shuffled
+
+
+def small(df: DataFrame, rows: int = SMALL_SIDE) -> DataFrame:
+    """``df`` (already written), to be broadcast if it is known to be small, else shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df

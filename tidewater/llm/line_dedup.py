@@ -13,9 +13,9 @@ recurring template's lines only the first stays: the one in the document with
 the smallest doc_id (then text hash, then line number); all others are dropped
 from their texts. Copies with another doc_id are other documents.
 
-Template keys are 64-bit hashes. One pass over the texts gives (key, row, line)
-rows without text, counted by partial aggregation, so that a line that stands
-in a third of all documents shuffles few rows; a second pass drops the lines.
+Template keys are 64-bit hashes. One pass over the texts gives key lists
+without text, counted by partial aggregation, so that a line that stands in a
+third of all documents shuffles few rows; a second pass drops the lines.
 
 Defined cases: NULL and empty texts stay as they are; lines without a token
 stay; rows equal in doc_id and text count as one document and get the same
@@ -27,50 +27,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import SPACE, col, cut, id_text, positional, row_key
+from tidewater.llm.common import SMALL_SIDE, SPACE, cut, id_text, positional, row_key, small, staged
 
 LEAD, PARTS, GENERAL, MIN_DOCS = 3, 5, 13, 3
 
 
-def tokens(line: Column) -> Column:
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>")).otherwise(line)
-    return F.array_remove(F.split(masked, SPACE), "")
-
-
-def template_keys(t: Column) -> Column:
-    """Keys of the templates of a token array: the line's own, and those with one part variable."""
-    n, m = F.size(t), F.size(t) - LEAD
-    lead = F.slice(t, 1, LEAD)
-    part = [F.xxhash64(F.slice(t, (m * j / PARTS).cast("int") + LEAD + 1,
-                               (m * (j + 1) / PARTS).cast("int") - (m * j / PARTS).cast("int"))) for j in range(PARTS)]
-    own = F.xxhash64(n, F.lit(-1), t)
-    wide = [F.xxhash64(n, F.lit(j), lead, *[p for i, p in enumerate(part) if i != j]) for j in range(PARTS)]
-    return F.when(n >= GENERAL, F.array(own, *wide)).otherwise(F.array(own))
-
-
 def line_keys(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, line, key) for every line with a token and each of its templates."""
-    lines = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "doc_id",
-                        F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    toks = lines.select("row", "doc_id", "line", tokens(F.col("text")).alias("t")).where(F.size("t") > 0)
-    return toks.select("row", "doc_id", "line", F.explode(template_keys(F.col("t"))).alias("key"))
+    """(a, b, doc_id, line, keys) for every line: the keys of its templates, the
+    line's own first. a, b stand for the row (see ``row_key``)."""
+    row = docs.withColumn("row", row_key(F.col("doc_id"), F.col("text")))
+    lines = row.select(F.col("row.a").alias("a"), F.col("row.b").alias("b"), "doc_id",
+                       F.posexplode(F.split("text", "\n")).alias("line", "x"))
+    masked = F.when(F.col("x").rlike("[0-9]"), F.regexp_replace("x", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>")).otherwise(F.col("x"))
+    bare = lines.select("a", "b", "doc_id", "line", F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")).alias("x"))
+    t = bare.select("a", "b", "doc_id", "line", F.when(F.col("x") != "", F.split("x", SPACE)).alias("t"))
+    # hashes of the lead and of the parts, each computed once
+    n, m = F.size("t"), F.size("t") - LEAD
+    cuts = [F.floor(m * j / PARTS).cast("int") for j in range(PARTS + 1)]
+    general = lambda c: F.when(n >= GENERAL, c)
+    parts = t.select("a", "b", "doc_id", "line", n.alias("n"), F.when(n > 0, F.xxhash64(n, F.lit(-1), "t")).alias("own"),
+                     general(F.xxhash64(F.slice("t", 1, LEAD))).alias("lead"),
+                     *[general(F.xxhash64(F.slice("t", cuts[j] + LEAD + 1, cuts[j + 1] - cuts[j]))).alias(f"p{j}") for j in range(PARTS)])
+    wide = [F.xxhash64("n", F.lit(j), "lead", *[f"p{i}" for i in range(PARTS) if i != j]) for j in range(PARTS)]
+    keys = F.when(F.col("n") >= GENERAL, F.array("own", *wide)).when(F.col("n") > 0, F.array("own")).otherwise(
+        F.array().cast("array<bigint>"))
+    return parts.select("a", "b", "doc_id", "line", keys.alias("keys"))
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(row, drop): the line numbers to drop from each document that loses any."""
-    keys = cut(line_keys(docs).groupBy("key", "row", "doc_id", "line").count().drop("count"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "line"))
-    per_doc = keys.groupBy("key", "row").agg(first.alias("first"))
-    recurring = (per_doc.groupBy("key").agg(F.count("*").alias("docs"), F.min("first").alias("first"))
-                 .where(F.col("docs") >= min_docs)
-                 .select("key", F.col("first.row").alias("first_row"), F.col("first.line").alias("first_line")))
-    lost = keys.join(recurring, "key").where((F.col("row") != F.col("first_row")) | (F.col("line") != F.col("first_line")))
-    return lost.groupBy("row").agg(F.collect_set("line").alias("drop"))
+    """(a, b, drop): the line numbers to drop from each document that loses any.
+
+    The texts are parsed once, to a table of key lists. Only keys of enough
+    lines, found by partial counts, are looked at by document."""
+    lines = staged(line_keys(docs), "lines")
+    often = cut(lines.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(
+        F.col("n") >= min_docs).select("key"))
+    found = staged(lines.select("a", "b", "doc_id", "line", F.explode("keys").alias("key")).join(small(often), "key"), "recurring")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "a", "b", "line"))
+    per_doc = found.groupBy("key", "a", "b").agg(first.alias("first"))
+    recurring = cut(per_doc.groupBy("key").agg(F.count("*").alias("docs"), F.min("first").alias("first")).where(
+        F.col("docs") >= min_docs).select("key", F.col("first.a").alias("fa"), F.col("first.b").alias("fb"), F.col("first.line").alias("fl")))
+    lost = found.join(small(recurring, SMALL_SIDE // 2), "key").where("a <> fa or b <> fb or line <> fl")
+    return cut(lost.groupBy("a", "b").agg(F.collect_set("line").alias("drop")))
 
 
 def without_lines(df: DataFrame, key: Column, text: Column, drops: DataFrame) -> DataFrame:
     """``df`` with ``kept_text`` and ``drop`` (NULL where nothing goes)."""
-    joined = df.withColumn("row", key).join(drops, "row", "left")
+    joined = df.withColumns({"a": key["a"], "b": key["b"]}).join(small(drops, SMALL_SIDE // 8), ["a", "b"], "left")
     kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("drop", i))
     return joined.withColumn("kept_text", F.when(F.col("drop").isNull(), text).otherwise(F.array_join(kept, "\n")))
 

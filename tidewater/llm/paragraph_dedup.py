@@ -35,13 +35,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, id_text, python_tasks, row_key, staged
+from tidewater.llm.common import SMALL_SIDE, cut, id_text, python_tasks, row_key, small, staged
 from tidewater.llm.components import components
 from tidewater.llm.decontamination import words_of
 from tidewater.llm.links import spanning_links
 
 SHINGLE, SIMILARITY, MIN_WORDS = 5, 0.8, 20
-SMALL_SIDE = 2_000_000  # rows of (two numbers) that may be broadcast; larger sides are shuffled
 
 
 def tune(similarity: float, recall: float = 0.9995, unlike: float = 0.3, most: float = 0.15) -> tuple[int, int]:
@@ -127,11 +126,6 @@ def paragraph_table(docs: DataFrame, minhash: MinHash, min_words: int) -> DataFr
     return keyed.mapInArrow(tasks, f"a long, b long, doc_id {kind}, line int, par long, " + ", ".join(f"{k} long" for k in bands))
 
 
-def small(df: DataFrame, rows: int = SMALL_SIDE) -> DataFrame:
-    """``df`` (already written), to be broadcast if it is known to be small, else shuffled."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def candidate_groups(pars: DataFrame, bands: int) -> DataFrame:
     """(v, c): paragraphs that share a band with another, and their group."""
     names = [f"k{i}" for i in range(bands)]

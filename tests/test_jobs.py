@@ -117,3 +117,52 @@ def test_jobs_end_to_end(spark, tmp):
     vs = jobs.views(spark, bronze, gold, COMPANY, silver=silver)
     key = lambda df: sorted(map(tuple, df.select("nota_id", "status", "tem_pdv", "tem_fiscal").collect()))
     assert key(vs["v_vendas_notas"]) == key(v["v_vendas_notas"])          # same marts from silver as from bronze
+
+
+def test_later_arrivals_win_and_bad_files_are_reported(spark, tmp):
+    land, bronze, rej = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/rejects"
+    page = lambda state, n, total: {"data": [{"id": "F1", "attributes": {"state": state}}] if state else [],
+                                    "meta": {"pagination": {"current_page": n, "total_pages": total}}}
+    write(f"{land}/m/failures/list", "p1_2026-03-01.json", page("PAUSED", 1, 2))
+    write(f"{land}/m/failures/list", "p2_2026-03-01.json", page(None, 2, 2))           # an empty page counts as seen
+    write(f"{land}/m/failures/list", "p1_2026-03-02.json", page("COMPLETED", 1, 1))
+    write(f"{land}/m/failures/list", "bad_2026-03-02.json", '{"data": [')
+    write(f"{land}/m/failures/detail", "d1.json", {"data": {"id": "F1", "attributes": {}}})
+    write(f"{land}/m/failures/detail", "d2.json", {"errors": []})
+    for _ in range(2):                                                                  # again: the same rows
+        got = jobs.load_maintenance(spark, f"{land}/m", bronze, "failures", "failure_id", rej, "2026-03-02")
+        assert got == {"rows": 2, "errors": 1, "detail_errors": 1}
+    assert sorted(r.error for r in spark.read.parquet(rej).collect()) == ["envelope without data", "not JSON"]
+    (row,) = spark.read.parquet(f"{bronze}/raw_failures").collect()
+    assert as_json(row.data)["attributes"]["state"] == "COMPLETED"
+    for name, text in (("a_2026-03-01.json", [[{"Store Number": "S"}], [{}], [{"Invoice Data Info 8": k(1), "Sub Total 1": 90.0}]]),
+                       ("a_2026-03-02.json", [[{"Store Number": "S"}], [{}], [{"Invoice Data Info 8": k(1), "Sub Total 1": 10.0}]]),
+                       ("b_2026-03-02.json", '[[{"Store'), ("c_2026-03-02.json", [[{}]]), ("d_2026-03-02.json", {"x": 1})):
+        write(f"{land}/pos", name, text)
+    got = jobs.load_pos(spark, f"{land}/pos", bronze, {}, rejects_to=rej, job_date="2026-03-02")
+    assert got == {"rows": 2, "errors": 2}
+    (row,) = spark.read.parquet(f"{bronze}/pdv_raw_notas").collect()
+    assert as_json(row.data)["Sub Total 1"] == 10.0
+    write(f"{land}/items", "x_GCM.json", "{")
+    assert jobs.load_line_items(spark, f"{land}/items", bronze, {}) == {"rows": 0, "errors": 1}
+
+
+def test_incomplete_lists_stop_the_load_and_the_reconciliation(spark, tmp):
+    import pytest
+    from tidewater.sources import landed, parse_paged_envelopes
+    write(f"{tmp}/m/failures/list", "p1.json", {"data": [{"id": "F1", "attributes": {"state": "PAUSED"}}],
+                                                "meta": {"pagination": {"current_page": 1, "total_pages": 3}}})
+    with pytest.raises(jobs.IncompleteList):
+        jobs.load_maintenance(spark, f"{tmp}/m", f"{tmp}/b", "failures", "failure_id")
+    assert not os.path.exists(f"{tmp}/b")
+    pages = parse_paged_envelopes(landed(spark, f"{tmp}/m/failures/list"), errors=True)
+    with pytest.raises(jobs.IncompleteList):
+        jobs.reconcile_paused(spark, f"{tmp}/b", pages)
+
+
+def test_listed_files_that_were_not_read(spark, tmp):
+    from tidewater.sources import listed_files, unread_files
+    write(tmp, "a.json", "[]")
+    write(tmp, "b.json", "[]")
+    read = spark.createDataFrame([("a.json",)], "file_name string")
+    assert [(r.file_name, r.error) for r in unread_files(listed_files(spark, tmp), read).collect()] == [("b.json", "file cannot be read")]

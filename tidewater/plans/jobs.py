@@ -28,9 +28,10 @@ from tidewater.sinks.tables import (
 )
 from tidewater.sources.documents import (
     parse_cancel_xml, parse_detail_envelopes, parse_json_array, parse_nested_array_json, parse_note_xml,
-    parse_paged_envelopes, parse_sectioned_json,
+    incomplete_lists, parse_paged_envelopes, parse_sectioned_json, records, rejects,
 )
-from tidewater.sources.files import folder_of, key_from_name, landed, new_files, select_files
+from tidewater.session import checkpoint_dir
+from tidewater.sources.files import folder_of, key_from_name, landed, listed_files, new_files, select_files, unread_files
 
 # File-name selections (S8), as regular expressions over the file name.
 POS_FILES = dict(include=r"\d{4}-\d{2}-\d{2}.*\.json$", exclude="GCM")
@@ -48,71 +49,85 @@ def _table(spark: SparkSession, bronze: str, name: str, schema: str) -> DataFram
     return spark.createDataFrame([], schema)
 
 
-def _upsert(rows: DataFrame, bronze: str, name: str, key: str, by_month: bool) -> DataFrame:
+def _upsert(rows: DataFrame, bronze: str, name: str, key: str, by_month: bool) -> None:
+    """The last arrival of a key in the batch wins (K2), and the batch over the table (K1)."""
     part = note_month(key) if by_month else key_bucket(key)
-    return upsert_partitioned(rows, f"{bronze}/{name}", key, part)
+    upsert_partitioned(dedupe_last(rows, key, "arrival").select(key, "data"), f"{bronze}/{name}", key, part, ())
+
+
+def _load(parsed: DataFrame, files: DataFrame, bronze: str, name: str, key: str, by_month: bool,
+          dead_letters: str | None, job_date: str | None) -> dict:
+    """Parse once (a checkpoint in the shared folder), upsert what is good,
+    report what is not: K3's counts, and K6's rejects if ``dead_letters`` is given.
+    ``files`` is the content-free listing of the files that should have been read."""
+    spark = parsed.sparkSession
+    checkpoint_dir(spark)
+    staged = parsed.checkpoint(eager=True)
+    good = records(staged).withColumnRenamed("key", key)
+    _upsert(good, bronze, name, key, by_month)
+    bad = rejects(staged).unionByName(unread_files(files, staged)).checkpoint(eager=True)
+    if dead_letters:
+        write_rejects(bad, dead_letters, job_date, name)
+    return {"rows": good.count(), "errors": bad.count()}
 
 
 # ------------------------------------------------------------------ E1
 
 
 def load_pos(spark: SparkSession, landing: str, bronze: str, store_codes: Mapping[str, str],
-             day: str | None = None) -> dict:
+             day: str | None = None, rejects_to: str | None = None, job_date: str | None = None) -> dict:
     """POS note files -> ``pdv_raw_notas`` (keyed by the note key)."""
-    files = select_files(landed(spark, landing), **POS_FILES)
-    if day:
-        files = files.filter(F.col("file_name").contains(day))
-    rows = parse_sectioned_json(files, store_codes).select(F.col("key").alias("nota_id"), "data")
-    rows, obs = observed(rows, "pos")
-    _upsert(rows, bronze, "pdv_raw_notas", "nota_id", by_month=True)
-    return obs.get
+    def chosen(df: DataFrame) -> DataFrame:
+        df = select_files(df, **POS_FILES)
+        return df.filter(F.col("file_name").contains(day)) if day else df
+    parsed = parse_sectioned_json(chosen(landed(spark, landing)), store_codes, errors=True)
+    return _load(parsed, chosen(listed_files(spark, landing)), bronze, "pdv_raw_notas", "nota_id", True, rejects_to, job_date or day)
 
 
-def load_line_items(spark: SparkSession, landing: str, bronze: str, location_codes: Mapping[str, str]) -> dict:
+def load_line_items(spark: SparkSession, landing: str, bronze: str, location_codes: Mapping[str, str],
+                    rejects_to: str | None = None, job_date: str | None = None) -> dict:
     """E1 for line items -> ``gcm_raw_line_items`` (keyed by line item id)."""
-    files = select_files(landed(spark, landing), **LINE_ITEM_FILES)
-    rows = parse_nested_array_json(files, location_codes).select(F.col("key").alias("line_item_id"), "data")
-    rows, obs = observed(rows, "line_items")
-    _upsert(rows, bronze, "gcm_raw_line_items", "line_item_id", by_month=False)
-    return obs.get
+    parsed = parse_nested_array_json(select_files(landed(spark, landing), **LINE_ITEM_FILES), location_codes, errors=True)
+    return _load(parsed, select_files(listed_files(spark, landing), **LINE_ITEM_FILES), bronze, "gcm_raw_line_items",
+                 "line_item_id", False, rejects_to, job_date)
 
 
 # ------------------------------------------------------------------ E2
 
 
 def load_notes(spark: SparkSession, shares: str, bronze: str, share_codes: Mapping[str, str],
-               rejects: str, job_date: str) -> dict:
+               rejects_to: str, job_date: str) -> dict:
     """Tax notes and cancellations from per-site share folders (S5, S6, S9,
     S11, S12): skip what is loaded, parse, upsert, log rejects."""
     site = map_code(folder_of(), share_codes)
     notes_t = _table(spark, bronze, "nfe_raw_xmls", "nota_id string, data variant, extracted_at timestamp")
     cancels_t = _table(spark, bronze, "nfe_raw_cancelamentos", "cancelamento_id string, data variant, extracted_at timestamp")
+    checkpoint_dir(spark)
+
+    def load(files: DataFrame, parse, table: str, key: str, by_month: bool) -> dict:
+        ok, bad = parse(files.checkpoint(eager=True), site)   # loaded files stay unopened, new ones are read once
+        ok, obs = observed(ok.select(key, "data", "arrival"), table)
+        _upsert(ok.checkpoint(eager=True), bronze, table, key, by_month)
+        bad, obs_bad = observed(bad, f"{table}_bad")
+        write_rejects(bad, rejects_to, job_date, table)
+        return {**obs.get, "errors": obs_bad.get["rows"]}
+
+    notes = load(new_files(spark, shares, notes_t, "nota_id", key_from_name(), **NOTE_FILES), parse_note_xml,
+                 "nfe_raw_xmls", "nota_id", True)
+    loaded_names = cancels_t.select(doc_path(cancels_t, "data", "source_file").alias("f"))
+    cancels = load(new_files(spark, shares, loaded_names, "f", **CANCEL_FILES), parse_cancel_xml,
+                   "nfe_raw_cancelamentos", "cancelamento_id", False)
+    return {"notes": notes, "cancels": cancels}
 
-    new_notes = new_files(spark, shares, notes_t, "nota_id", key_from_name(), **NOTE_FILES)   # loaded files stay unopened
-    ok, bad = parse_note_xml(new_notes, site)
-    ok, obs_n = observed(ok.select("nota_id", "data"), "notes")
-    _upsert(ok, bronze, "nfe_raw_xmls", "nota_id", by_month=True)
 
-    loaded_names = cancels_t.select(doc_path(cancels_t, "data", "source_file").alias("f"))
-    new_cancels = new_files(spark, shares, loaded_names, "f", **CANCEL_FILES)
-    cok, cbad = parse_cancel_xml(new_cancels, site)
-    cok, obs_c = observed(cok.select("cancelamento_id", "data"), "cancels")
-    _upsert(cok, bronze, "nfe_raw_cancelamentos", "cancelamento_id", by_month=False)
-
-    write_rejects(bad.unionByName(cbad), rejects, job_date)
-    return {"notes": obs_n.get, "cancels": obs_c.get}
-
-
-def load_ledger(spark: SparkSession, landing: str, bronze: str, gold: str, company_sites: Mapping[str, str]) -> dict:
-    """Ledger arrays -> ``fiscal_raw_lancamentos`` (last occurrence wins,
-    K2 inside the upsert), then refresh the gold ledger fact (K4)."""
-    rows = parse_json_array(landed(spark, landing)).withColumnRenamed("key", "lancamento_id")
-    rows, obs = observed(rows, "ledger")
-    # last occurrence wins: later file name, then later position in the file
-    rows = dedupe_last(rows, "lancamento_id", ["file_name", "pos"]).select("lancamento_id", "data")
-    _upsert(rows, bronze, "fiscal_raw_lancamentos", "lancamento_id", by_month=False)
+def load_ledger(spark: SparkSession, landing: str, bronze: str, gold: str, company_sites: Mapping[str, str],
+                rejects_to: str | None = None, job_date: str | None = None) -> dict:
+    """Ledger arrays -> ``fiscal_raw_lancamentos`` (last occurrence wins),
+    then refresh the gold ledger fact (K4)."""
+    got = _load(parse_json_array(landed(spark, landing), errors=True), listed_files(spark, landing), bronze,
+                "fiscal_raw_lancamentos", "lancamento_id", False, rejects_to, job_date)
     refresh_ledger_fact(spark, bronze, gold, company_sites)
-    return obs.get
+    return got
 
 
 def refresh_silver(spark: SparkSession, bronze: str, silver: str, company_sites: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -157,26 +172,45 @@ def refresh_ledger_fact(spark: SparkSession, bronze: str, gold: str, company_sit
 # ------------------------------------------------------------------ E3
 
 
-def load_maintenance(spark: SparkSession, landing: str, bronze: str, kind: str, key: str) -> dict:
+class IncompleteList(Exception):
+    """Pages of a list are missing: it may not be loaded, nor tell which records are gone."""
+
+
+def load_maintenance(spark: SparkSession, landing: str, bronze: str, kind: str, key: str,
+                     rejects_to: str | None = None, job_date: str | None = None) -> dict:
     """List pages (bulk) and detail envelopes of one resource kind
     (``failures``, ``works``, ``scheduled_works``, ``operators``) under
-    ``landing/<kind>/list`` and ``landing/<kind>/detail``."""
-    bulk = parse_paged_envelopes(landed(spark, f"{landing}/{kind}/list")).select(F.col("key").alias(key), "data")
-    bulk, obs = observed(bulk, kind)
-    _upsert(bulk, bronze, f"raw_{kind}", key, by_month=False)
+    ``landing/<kind>/list`` and ``landing/<kind>/detail``. A list that lacks
+    pages raises ``IncompleteList`` before anything is written."""
+    lists = f"{landing}/{kind}/list"
+    checkpoint_dir(spark)
+    parsed = parse_paged_envelopes(landed(spark, lists), errors=True).checkpoint(eager=True)
+    short = incomplete_lists(parsed).first()
+    if short:
+        raise IncompleteList(f"{kind}: {short['pages_seen']} of {short['total_pages']} pages of the list of {short['day']}")
+    got = _load(parsed, listed_files(spark, lists), bronze, f"raw_{kind}", key, False, rejects_to, job_date)
     detail_dir = f"{landing}/{kind}/detail"
     from tidewater.sinks.tables import _fs
     fs, p = _fs(spark, detail_dir)
     if fs.exists(p):
-        ok, _ = parse_detail_envelopes(landed(spark, detail_dir))
-        _upsert(ok.select(F.col("key").alias(key), "data"), bronze, f"raw_{kind}_details", key, by_month=False)
-    return obs.get
+        ok, bad = parse_detail_envelopes(landed(spark, detail_dir).checkpoint(eager=True))
+        _upsert(ok.withColumnRenamed("key", key), bronze, f"raw_{kind}_details", key, by_month=False)
+        bad, obs = observed(bad, f"{kind}_bad")
+        if rejects_to:
+            write_rejects(bad, rejects_to, job_date, f"raw_{kind}_details")
+        got["detail_errors"] = obs.get["rows"] if rejects_to else bad.count()
+    return got
 
 
 def reconcile_paused(spark: SparkSession, bronze: str, snapshot: DataFrame, key: str = "failure_id") -> None:
     """T5 + K5: tickets PAUSED locally that the source no longer lists are
     marked deleted, in the bulk (``attributes.state``) and detail
-    (``data.attributes.status``) tables."""
+    (``data.attributes.status``) tables. ``snapshot`` is a complete list: its
+    ids, or the parsed list pages, which are then checked (``IncompleteList``)."""
+    if "total_pages" in snapshot.columns:
+        if incomplete_lists(snapshot).first():
+            raise IncompleteList("the snapshot lacks pages")
+        snapshot = snapshot.filter(F.col("key").isNotNull()).select(F.col("key").alias(key))
     bulk = _table(spark, bronze, "raw_failures", f"{key} string, data variant, extracted_at timestamp")
     paused = bulk.filter(doc_path(bulk, "data", "attributes.state") == "PAUSED").select(key)
     ids = gone(paused, snapshot, key).checkpoint(eager=True)   # fixed set, independent of the rewrites below
@@ -185,7 +219,7 @@ def reconcile_paused(spark: SparkSession, bronze: str, snapshot: DataFrame, key:
         t = _table(spark, bronze, name, f"{key} string, data variant, extracted_at timestamp")
         touched = soft_delete(t.drop("part"), ids, key, parts, stamp="extracted_at")
         changed = touched.join(ids, key, "left_semi")
-        upsert_partitioned(changed, f"{bronze}/{name}", key, key_bucket(key), stamp=None)
+        upsert_partitioned(changed, f"{bronze}/{name}", key, key_bucket(key), (), stamp=None)
 
 
 # ------------------------------------------------------------------ gold marts

@@ -24,32 +24,29 @@ def _list(x) -> list:
     return [x] if isinstance(x, str) else list(x)
 
 
-def dedupe_last(df: DataFrame, key, order=None) -> DataFrame:
+def dedupe_last(df: DataFrame, key, order) -> DataFrame:
     """K2: one row per key, the LAST by ``order`` wins.
 
     ``row_number() = 1`` by descending ``order``, planned by Catalyst with a
     partial WindowGroupLimit, so a hot key is reduced to one row in every map
-    task before the shuffle. Without ``order`` the whole row orders
-    (deterministic, arbitrary)."""
+    task before the shuffle. Parsers return ``arrival``, the order for landed
+    files: day in the file name, time of the file, file name, place in it."""
     key = _list(key)
     cols = [c for c in df.columns if c not in key]
-    if order is None:  # whole row; VARIANT / map columns order by their JSON text
-        types = dict(df.dtypes)
-        order = [F.to_json(F.col(c)) if types[c] == "variant" or types[c].startswith("map") else c for c in cols]
-    order = _list(order) if isinstance(order, str) else list(order)
-    return one_per_key(df, key, order, take=cols, largest=True).select(*df.columns)
+    return one_per_key(df, key, _list(order), take=cols, largest=True).select(*df.columns)
 
 
-def upsert(target: DataFrame, updates: DataFrame, key, order=None,
+def upsert(target: DataFrame, updates: DataFrame, key, order,
            stamp: str | None = None) -> DataFrame:
     """K1: ``INSERT ... ON CONFLICT (key) DO UPDATE``.
 
-    The batch is first de-duplicated (K2, D13); its rows replace the target's
-    rows of the same key, the rest of the target is kept. With ``stamp`` the
-    batch rows get ``stamp = current_timestamp()`` (``extracted_at``).
-    Idempotent: applying the same batch twice gives the same table."""
+    The batch is first de-duplicated (K2, D13; not if ``order`` is empty, for a
+    batch that has one row per key); its rows replace the target's rows of the
+    same key, the rest of the target is kept. With ``stamp`` the batch rows get
+    ``stamp = current_timestamp()`` (``extracted_at``). Idempotent: applying
+    the same batch twice gives the same table."""
     key = _list(key)
-    batch = dedupe_last(updates, key, order)
+    batch = dedupe_last(updates, key, order) if order else updates
     if stamp:
         batch = batch.withColumn(stamp, F.current_timestamp())
     kept = without(target, batch.select(*key), key)
@@ -127,11 +124,12 @@ def observed(df: DataFrame, name: str = "batch", **metrics: Column):
     return out, Metrics(obs, list(metrics))
 
 
-def write_rejects(rejects: DataFrame, path: str, job_date: str) -> None:
-    """K6: append failures (``id, error, source``) to the dead-letter table,
-    partitioned by job date; S14 / S10 read them back."""
-    (rejects.withColumn("job_date", F.lit(job_date))
-            .write.mode("append").partitionBy("job_date").parquet(path))
+def write_rejects(rejects: DataFrame, path: str, job_date: str, job: str) -> None:
+    """K6: failures (``file_name, error``) of one job and day, as the folder
+    ``job_date=<day>/job=<name>`` of the dead-letter table (S14 / S10 read it
+    back). The folder is replaced, so a job that is run again does not double
+    its rows, and one that now succeeds clears them."""
+    rejects.write.mode("overwrite").parquet(f"{path}/job_date={job_date}/job={job}")
 
 
 _VERSION = re.compile(r"v=(\d+)$")
@@ -164,28 +162,41 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     return spark.read.parquet(f"{base}/v={vs[-1]}") if vs else None
 
 
-def commit_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def commit_version(df: DataFrame, base: str, partition_by: Sequence[str] = (), keep: int = 3) -> DataFrame:
     """K1/K4 swap: write ``df`` as the next version and return it read back.
 
     Readers of the previous version are never disturbed (no in-place
-    overwrite); a failed write leaves no ``_SUCCESS`` and is ignored."""
+    overwrite); a failed write leaves no ``_SUCCESS`` and is ignored. The
+    newest ``keep`` complete versions stay, older ones are removed."""
     spark = df.sparkSession
     vs = versions(spark, base, complete=False)   # skip folders of crashed writes too
     n = (vs[-1] + 1) if vs else 0
-    w = df.write.mode("error")
+    w = by_partition(df, partition_by).write.mode("error")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{base}/v={n}")
+    for old in versions(spark, base)[:-keep]:
+        fs, p = _fs(spark, f"{base}/v={old}")
+        fs.delete(p, True)
     return spark.read.parquet(f"{base}/v={n}")
 
 
-def upsert_table(updates: DataFrame, base: str, key, order=None, stamp: str | None = "extracted_at") -> DataFrame:
-    """K1 on a versioned table folder: current version + batch -> next version."""
+def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a table partition meet in few tasks (as many as its size asks
+    for: Spark splits large ones and joins small ones), so a write makes few
+    files per partition instead of tasks x partitions."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
+def upsert_table(updates: DataFrame, base: str, key, order, stamp: str | None = "extracted_at") -> DataFrame:
+    """K1 on a versioned table folder: current version + batch -> next version.
+    For small tables: it rewrites the whole table (else ``upsert_partitioned``)."""
     spark = updates.sparkSession
     current = read_current(spark, base)
-    merged = (dedupe_last(updates, key, order).withColumn(stamp, F.current_timestamp()) if stamp
-              else dedupe_last(updates, key, order)) if current is None else upsert(current, updates, key, order, stamp)
-    return commit_version(merged, base)
+    batch = dedupe_last(updates, key, order) if order else updates
+    if stamp:
+        batch = batch.withColumn(stamp, F.current_timestamp())
+    return commit_version(batch if current is None else upsert(current, batch, key, ()), base)
 
 
 def refresh(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -217,38 +228,36 @@ def note_month(key: str) -> Column:
     return F.substring(F.col(key), 3, 4)
 
 
-def upsert_partitioned(updates: DataFrame, path: str, key: str, partition: Column | None = None,
-                       order=None, stamp: str | None = "extracted_at", part_col: str = "part") -> DataFrame:
+def upsert_partitioned(updates: DataFrame, path: str, key: str, partition: Column, order,
+                       stamp: str | None = "extracted_at", part_col: str = "part") -> DataFrame:
     """K1 at scale: rewrite only the partitions a batch touches.
 
     The table at ``path`` is partitioned by ``part_col`` = ``partition``, an
     expression of the key alone (so a key never moves). The batch is
-    de-duplicated (K2), the touched partitions of the table are read (static
-    partition pruning on a list bounded by the number of partitions), merged,
-    cut from their lineage with a reliable ``checkpoint()`` under
-    ``spark.checkpoint.dir`` (the write then no longer reads the files it
-    replaces) and written back with dynamic partition overwrite. A failed
-    job leaves the old partitions in place; re-running the batch gives the
-    same table."""
+    de-duplicated (K2; not if ``order`` is empty) and computed once, as a
+    reliable ``checkpoint()`` under ``spark.checkpoint.dir``. The touched
+    partitions of the table are read (static partition pruning on a list
+    bounded by the number of partitions), merged, cut from their lineage in the
+    same way (the write then no longer reads the files it replaces) and written
+    back with dynamic partition overwrite. A failed job leaves the old
+    partitions in place; re-running the batch gives the same table."""
     spark = updates.sparkSession
     from tidewater.session import checkpoint_dir
     checkpoint_dir(spark)  # the shared folder must exist; fails clearly when unset
-    partition = partition if partition is not None else key_bucket(key)
-    batch = dedupe_last(updates, key, order)
+    batch = dedupe_last(updates, key, order) if order else updates
     if stamp:
         batch = batch.withColumn(stamp, F.current_timestamp())
-    batch = batch.withColumn(part_col, partition)
+    batch = batch.withColumn(part_col, partition).checkpoint(eager=True)
     fs, p = _fs(spark, path)
     exists = fs.exists(p) and any(st.getPath().getName().startswith(f"{part_col}=") for st in fs.listStatus(p))
     # explicit schema: partition values stay text (no '0101' -> 101 inference)
     read = lambda: spark.read.schema(batch.schema).parquet(path)
     if not exists:
-        batch.write.mode("overwrite").partitionBy(part_col).parquet(path)
+        by_partition(batch, [part_col]).write.mode("overwrite").partitionBy(part_col).parquet(path)
         return read()
     touched = [r[0] for r in batch.select(part_col).distinct().collect()]  # at most #partitions values
     current = read().filter(F.col(part_col).isin(touched))
-    merged = upsert(current, batch.drop(part_col), key, order=order, stamp=None).withColumn(part_col, partition)
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    merged = upsert(current, batch, key, ()).checkpoint(eager=True)
+    (by_partition(merged, [part_col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(part_col).parquet(path))
     return read()

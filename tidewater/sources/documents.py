@@ -1,9 +1,14 @@
 """Document parsers (S1-S7, S10, S14). Each takes rows of
 ``(value, file_path, file_name)`` -- batch or stream -- and returns bronze
-rows ``(key, data VARIANT)`` plus, where the reference raises, a reject
-frame ``(file_name, error)`` instead of an exception. Each file is parsed
-once; documents stay binary VARIANT from there on (``to_json`` when text is
-needed).
+rows ``(key, data VARIANT, arrival)`` plus, where the reference raises, rejects
+``(file_name, error)`` instead of an exception. Each file is parsed once;
+documents stay binary VARIANT from there on (``to_json`` when text is needed).
+
+The parsers of JSON files take ``errors=True``: their output then has a column
+``error`` and at least one row for every file that was read: a file of the
+wrong shape gives one row with its error, a file without records one row
+without key and error. ``records`` and ``rejects`` tell them apart, so that a
+job parses once, keeps what is good and reports what is not.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.arrays import merge_record
 from tidewater.functions.scalar import clean_key, digits, map_code
-from tidewater.sources.files import strip_bom
+from tidewater.sources.files import arrival, strip_bom
 
 
 def _as_map(v: Column) -> Column:
@@ -31,10 +36,39 @@ def _with_fields(rec: Column, **cols: Column) -> Column:
     return F.to_variant_object(merge_record(added, _as_map(rec)))
 
 
-def _elements(doc: Column, p: str) -> Column:
-    """Elements of the JSON array at path ``p`` of a VARIANT, as VARIANTs
-    (no rows when the path is missing or not an array)."""
-    return F.explode(F.coalesce(F.try_variant_get(doc, p, "array<variant>"), F.array()))
+def _elements(files: DataFrame, p: str) -> DataFrame:
+    """Adds ``pos``, ``e`` (elements of the JSON array at path ``p`` of the VARIANT
+    ``v``) and ``error``; one row with a NULL ``e`` where there are none."""
+    arr = F.try_variant_get("v", p, "array<variant>")
+    error = (F.when(F.col("v").isNull(), F.lit("not JSON"))
+              .when(arr.isNull(), F.lit(f"no array at {p}")))
+    rows = files.select("*", error.alias("error"), arr.alias("_arr"))
+    return rows.select(*files.columns, "error", F.posexplode_outer("_arr").alias("pos", "e"))
+
+
+def _when(files: DataFrame) -> list[Column]:
+    """The parts of ``arrival`` that a file has, as plain columns (see ``_arrived``)."""
+    at = arrival(files)
+    return [at["day"].alias("_day"), at["time"].alias("_time")]
+
+
+def _arrived() -> Column:
+    return F.struct(F.col("_day").alias("day"), F.col("_time").alias("time"), F.col("file_name").alias("name"),
+                    F.coalesce("pos", F.lit(0)).alias("pos")).alias("arrival")
+
+
+def _out(rows: DataFrame, errors: bool) -> DataFrame:
+    return rows if errors else rows.filter(F.col("error").isNull() & F.col("key").isNotNull()).drop("error")
+
+
+def records(parsed: DataFrame) -> DataFrame:
+    """The good rows of a parse with ``errors=True``."""
+    return _out(parsed, False)
+
+
+def rejects(parsed: DataFrame) -> DataFrame:
+    """``(file_name, error)`` of a parse with ``errors=True``."""
+    return parsed.filter(F.col("error").isNotNull()).select("file_name", "error")
 
 
 def _once(parsed: Column, name: str) -> Column:
@@ -47,32 +81,41 @@ def _once(parsed: Column, name: str) -> Column:
 # ---------------------------------------------------------------- S1 / S2
 
 
-def parse_paged_envelopes(pages: DataFrame) -> DataFrame:
+def parse_paged_envelopes(pages: DataFrame, errors: bool = False) -> DataFrame:
     """``data[]`` of every landed list page; ``included`` of list pages
-    is dropped (D18). Columns: key, data, page, total_pages, file_name.
+    is dropped (D18). Columns: key, data, page, total_pages, file_name, arrival.
     Each page is parsed once (VARIANT)."""
-    rows = pages.select("file_name", _once(F.try_parse_json("value"), "v"))
+    rows = pages.select("file_name", *_when(pages), _once(F.try_parse_json("value"), "v"))
     rows = rows.select(
-        "file_name",
+        "file_name", "_day", "_time", "v",
         F.coalesce(F.try_variant_get("v", "$.meta.pagination.current_page", "int"), F.lit(1)).alias("page"),
-        F.coalesce(F.try_variant_get("v", "$.meta.pagination.total_pages", "int"), F.lit(1)).alias("total_pages"),
-        _elements(F.col("v"), "$.data").alias("e"))
-    return rows.select(F.try_variant_get("e", "$.id", "string").alias("key"), F.col("e").alias("data"),
-                       "page", "total_pages", "file_name")
+        F.coalesce(F.try_variant_get("v", "$.meta.pagination.total_pages", "int"), F.lit(1)).alias("total_pages"))
+    rows = _elements(rows, "$.data")
+    return _out(rows.select(F.try_variant_get("e", "$.id", "string").alias("key"), F.col("e").alias("data"),
+                            "page", "total_pages", "file_name", _arrived(),
+                            "error"), errors)
+
+
+def page_completeness(rows: DataFrame) -> DataFrame:
+    """S1 check, per list (the day in the file name): pages seen vs the last page
+    announced. ``rows`` of ``errors=True`` count pages without records too."""
+    return rows.groupBy(F.col("arrival.day").alias("day")).agg(
+        F.count_distinct(F.when(F.col("error").isNull(), F.col("page")) if "error" in rows.columns else F.col("page")).alias("pages_seen"),
+        F.max("total_pages").alias("total_pages"))
 
 
-def page_completeness(records: DataFrame) -> DataFrame:
-    """S1 check: pages seen vs the last page announced."""
-    return records.agg(F.count_distinct("page").alias("pages_seen"), F.max("total_pages").alias("total_pages"))
+def incomplete_lists(rows: DataFrame) -> DataFrame:
+    """The lists that lack pages; a load or a reconciliation must not use them."""
+    return page_completeness(rows).filter(F.col("pages_seen") < F.col("total_pages"))
 
 
 def parse_detail_envelopes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Detail envelopes; reject when ``data`` (or its id) is missing;
     hoist ``data.id`` to a root ``id``; ``included`` is kept."""
-    rows = docs.select("file_name", _once(F.try_parse_json("value"), "v"))
-    rows = rows.select("file_name", "v", F.try_variant_get("v", "$.data.id", "string").alias("key"))
+    rows = docs.select("file_name", arrival(docs), _once(F.try_parse_json("value"), "v"))
+    rows = rows.select("file_name", "arrival", "v", F.try_variant_get("v", "$.data.id", "string").alias("key"))
     ok = rows.filter(F.col("key").isNotNull()).select("key", _with_fields(F.col("v"), id=F.col("key")).alias("data"),
-                                                      "file_name")
+                                                      "file_name", "arrival")
     rejects = rows.filter(F.col("key").isNull()).select("file_name", F.lit("envelope without data").alias("error"))
     return ok, rejects
 
@@ -82,38 +125,45 @@ def parse_detail_envelopes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def parse_sectioned_json(files: DataFrame, store_codes: Mapping[str, str],
                          key_field: str = "Invoice Data Info 8",
-                         header_field: str = "Store Number") -> DataFrame:
+                         header_field: str = "Store Number", errors: bool = False) -> DataFrame:
     """S3: POS file ``[[header],[{}],[records],[{}]]``, parsed once per file.
 
     Site = code map of the header's store number (fallback: the number itself,
     '' when absent); records from section 2, objects only, non-blank trimmed
-    key; each record gains ``id, hotel, source_file`` (its own fields win)."""
-    files = files.select("file_name", _once(F.try_parse_json("value"), "v"))
+    key; each record gains ``id, hotel, source_file`` (its own fields win).
+    A file of fewer sections has no records; one that is no JSON array is an error."""
+    files = files.select("file_name", *_when(files), _once(F.try_parse_json("value"), "v"))
     store = F.coalesce(F.try_variant_get("v", f"$[0][0]['{header_field}']", "string"), F.lit(""))
-    rows = files.select("file_name", map_code(store, store_codes).alias("hotel"), _elements(F.col("v"), "$[2]").alias("e"))
+    sections = F.try_variant_get("v", "$", "array<variant>")
+    rows = _elements(files.select("*", map_code(store, store_codes).alias("hotel"), sections.isNotNull().alias("_list"),
+                                  (F.size(sections) > 2).alias("_has")), "$[2]")
+    rows = rows.withColumn("error", F.when(F.col("_list") & ~F.col("_has"), None).otherwise(F.col("error")))
     key = F.trim(F.coalesce(F.try_variant_get("e", f"$['{key_field}']", "string"), F.lit("")))
-    rows = rows.filter(_as_map(F.col("e")).isNotNull()).withColumn("key", key).filter(F.col("key") != "")
-    return rows.select("key", "hotel", F.col("file_name").alias("source_file"),
-                       _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
-                                    source_file=F.col("file_name")).alias("data"))
+    rows = rows.withColumn("key", F.when(_as_map(F.col("e")).isNotNull(), F.nullif(key, F.lit(""))))
+    return _out(rows.select("key", "hotel", F.col("file_name").alias("source_file"),
+                            F.when(F.col("key").isNotNull(), _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
+                                                                          source_file=F.col("file_name"))).alias("data"),
+                            _arrived(),
+                            *(["file_name"] if errors else []), "error"), errors)
 
 
 def parse_nested_array_json(files: DataFrame, location_codes: Mapping[str, str],
                             key_field: str = "guestCheckLineItemID",
-                            code_field: str = "locationRef") -> DataFrame:
+                            code_field: str = "locationRef", errors: bool = False) -> DataFrame:
     """Line-item file ``[[rec, ...]]``; element 0; skip a falsy key
     (missing, null, 0, '', false); location code -> site, fallback the code."""
-    files = files.select("file_name", _once(F.try_parse_json("value"), "v"))
-    rows = files.select("file_name", _elements(F.col("v"), "$[0]").alias("e"))
+    files = files.select("file_name", *_when(files), _once(F.try_parse_json("value"), "v"))
+    rows = _elements(files, "$[0]")
     raw_key = F.try_variant_get("e", f"$.{key_field}", "string")
     falsy = raw_key.isNull() | raw_key.isin("0", "", "false", "0.0")
     code = F.coalesce(F.try_variant_get("e", f"$.{code_field}", "string"), F.lit(""))
-    rows = (rows.filter(_as_map(F.col("e")).isNotNull() & ~falsy)
-                .select("file_name", "e", F.try_variant_get("e", f"$.{key_field}", "bigint").alias("key"),
-                        map_code(code, location_codes).alias("hotel")))
-    return rows.select("key", "hotel", F.col("file_name").alias("source_file"),
-                       _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
-                                    source_file=F.col("file_name")).alias("data"))
+    rows = rows.select("file_name", "_day", "_time", "pos", "e", "error", map_code(code, location_codes).alias("hotel"),
+                       F.when(_as_map(F.col("e")).isNotNull() & ~falsy, F.try_variant_get("e", f"$.{key_field}", "bigint")).alias("key"))
+    return _out(rows.select("key", "hotel", F.col("file_name").alias("source_file"),
+                            F.when(F.col("key").isNotNull(), _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
+                                                                          source_file=F.col("file_name"))).alias("data"),
+                            _arrived(),
+                            *(["file_name"] if errors else []), "error"), errors)
 
 
 # ---------------------------------------------------------------- S5 / S6
@@ -134,7 +184,7 @@ def parse_note_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataF
 
     Key = ``infNFe/@Id`` without the ``NFe`` prefix, else 44 digits of the file
     name; rejected unless 44 long. Keeps the whole XML in ``xml_content``."""
-    rows = files.select("file_name", strip_bom("value").alias("xml_content"),
+    rows = files.select("file_name", arrival(files), strip_bom("value").alias("xml_content"),
                         (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"))
     rows = rows.select("*", _once(F.from_xml("xml_content", NOTE_XML_SCHEMA), "x"))
     inf = F.coalesce(F.col("x.NFe.infNFe"), F.col("x.infNFe"))
@@ -161,7 +211,7 @@ def parse_note_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataF
     }
     ok = rows.filter(F.col("error").isNull()).select(
         *[c.alias(n) for n, c in fields.items() if n != "id"],
-        F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"))
+        F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"), "arrival")
     rejects = rows.filter(F.col("error").isNotNull()).select("file_name", "error")
     return ok, rejects
 
@@ -169,7 +219,7 @@ def parse_note_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataF
 def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Cancellation event ``envEvento/evento/infEvento``; rejects XML that
     does not parse or lacks ``evento`` / ``infEvento``."""
-    rows = files.select("file_name", strip_bom("value").alias("xml_content"),
+    rows = files.select("file_name", arrival(files), strip_bom("value").alias("xml_content"),
                         (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"))
     rows = rows.select("*", _once(F.from_xml("xml_content", CANCEL_XML_SCHEMA), "x"))
     inf = F.col("x.evento.infEvento")
@@ -187,25 +237,27 @@ def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[Dat
     }
     ok = rows.filter(F.col("error").isNull()).select(
         *[c.alias(n) for n, c in fields.items() if n != "id"],
-        F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"))
+        F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("data"), "arrival")
     return ok, rows.filter(F.col("error").isNotNull()).select("file_name", "error")
 
 
 # ---------------------------------------------------------------- S7 / S10 / S14
 
 
-def parse_json_array(files: DataFrame, key_field: str = "IDLANCAMENTOICMSBASE") -> DataFrame:
+def parse_json_array(files: DataFrame, key_field: str = "IDLANCAMENTOICMSBASE", errors: bool = False) -> DataFrame:
     """Flat JSON array of records; ``id = str(record[key_field])``.
 
-    The record is kept whole (plus the root ``id``); ``file_name`` and the
-    element position ``pos`` are returned so that a batch can be
-    de-duplicated with the last occurrence winning (K2)."""
-    files = files.select("file_name", _once(F.try_parse_json("value"), "v"))
-    rows = (files.select("file_name", F.posexplode(F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array()))
-                         .alias("pos", "e"))
-                 .filter(_as_map(F.col("e")).isNotNull()))
+    The record is kept whole (plus the root ``id``); ``arrival`` lets a batch be
+    de-duplicated with the last occurrence winning (K2). Records without the
+    key keep a NULL key."""
+    files = files.select("file_name", *_when(files), _once(F.try_parse_json("value"), "v"))
+    rows = _elements(files, "$")
     key = F.try_variant_get("e", f"$.{key_field}", "string")
-    return rows.select(key.alias("key"), _with_fields(F.col("e"), id=key).alias("data"), "file_name", "pos")
+    rows = rows.filter(F.col("error").isNotNull() | F.col("e").isNull() | _as_map(F.col("e")).isNotNull())
+    rows = rows.select(key.alias("key"), F.when(F.col("e").isNotNull(), _with_fields(F.col("e"), id=key)).alias("data"), "file_name",
+                       F.coalesce("pos", F.lit(0)).alias("pos"), _arrived(),
+                       "error")
+    return rows if errors else rows.filter(F.col("error").isNull() & F.col("data").isNotNull()).drop("error")
 
 
 def ids_from_text(df: DataFrame, col: str = "value", name: str = "id") -> DataFrame:

@@ -20,18 +20,22 @@ from tidewater.operators.joins import without
 BOM = "﻿"
 
 
+def _file_columns() -> list:
+    return ["value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_modification_time").alias("file_time")]
+
+
 def landed(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """Whole files under ``path`` (optionally ``pathGlobFilter``)."""
-    # a file that cannot be read, or that vanished after listing, is skipped
-    # instead of failing the whole load (one bad file must not stop the others)
+    # a file that cannot be read, or that vanished after listing, does not stop
+    # the others; ``unread_files`` finds those and the jobs report them
     r = (spark.read.option("wholetext", True).option("ignoreCorruptFiles", True)
          .option("ignoreMissingFiles", True))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    return r.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"))
+    return r.text(path).select(*_file_columns())
 
 
 def landed_stream(spark: SparkSession, path: str, glob: str | None = None, max_files: int = 1000) -> DataFrame:
@@ -40,8 +44,7 @@ def landed_stream(spark: SparkSession, path: str, glob: str | None = None, max_f
          .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True))
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(path).select(
-        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"))
+    return r.load(path).select(*_file_columns())
 
 
 def select_files(df: DataFrame, include: str | None = None, exclude: str | None = None,
@@ -80,7 +83,7 @@ def only_new(files: DataFrame, loaded: DataFrame, file_key, loaded_key: str) ->
 
 def file_day(col: str = "file_name"):
     """Day carried by a file name (``..._2026-02-19.json``), NULL if none."""
-    return F.to_date(F.nullif(F.regexp_extract(F.col(col), r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")))
+    return F.nullif(F.regexp_extract(F.col(col), r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")).try_cast("date")
 
 
 def new_files(spark: SparkSession, path: str, loaded: DataFrame, loaded_key: str, file_key=None,
@@ -103,13 +106,33 @@ def new_files(spark: SparkSession, path: str, loaded: DataFrame, loaded_key: str
     fresh = only_new(listing, loaded, file_key if file_key is not None else F.col("file_name"), loaded_key)
     paths = [r.file_path for r in fresh.select("file_path").collect()]
     if not paths:
-        return spark.createDataFrame([], "value string, file_path string, file_name string")
+        return spark.createDataFrame([], "value string, file_path string, file_name string, file_time timestamp")
     # one listing of the folder; the path set is a metadata predicate that
     # Spark applies while listing, so only these files are opened (passing
     # the paths themselves would list each one as a root: a job per path)
     return landed(spark, path).filter(F.col("file_path").isin(paths))
 
 
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file_path, file_name)`` of all files under ``path``, from a listing that opens none."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            .select(F.col("path").alias("file_path"), F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("file_name")))
+
+
+def unread_files(listed: DataFrame, read: DataFrame) -> DataFrame:
+    """``(file_name, error)`` of listed files of which no row came out of the
+    read (``read`` has at least one row per file that could be opened)."""
+    return without(listed.select("file_name").distinct(), read, "file_name").select("file_name", F.lit("file cannot be read").alias("error"))
+
+
+def arrival(files: DataFrame, pos=None):
+    """Order in which documents arrived: day in the file name, time of the
+    file, file name, place in the file. The last one wins an upsert (K1, K2)."""
+    time = F.col("file_time") if "file_time" in files.columns else F.lit(None).cast("timestamp")
+    return F.struct(file_day().alias("day"), time.alias("time"), F.col("file_name").alias("name"),
+                    (pos if pos is not None else F.lit(0)).cast("int").alias("pos")).alias("arrival")
+
+
 def folder_of(col: str = "file_path"):
     """Name of the folder holding the file."""
     return F.regexp_extract(F.col(col), r"/([^/]+)/[^/]+$", 1)

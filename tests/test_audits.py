@@ -106,7 +106,8 @@ def test_line_item_audits_and_export(spark):
     assert A.volume_per_order_type(it, "2026-03-26").count() == 2
     assert [r.produto for r in A.top_items(it, "2026-03-26", "ALPHA").collect()] == ["P2", "P1", "P3"]
     assert [r.line_item_id for r in A.internal_items(it, "2026-03-26").collect()] == ["2", "1"]
-    (doc,) = internal_consumption_export(raw, "2026-03-26").collect()
+    from tidewater.sinks.export import document_text
+    (doc,) = document_text(internal_consumption_export(raw, "2026-03-26"), ["location_name"]).collect()
     v = json.loads(doc.document)["Vendas"]["Venda"]
     assert [x["CodigoExterno"] for x in v] == ["102", "101"] and v[0]["ValorUnitario"] == 3.0 and v[0]["Quantidade"] == 2.0
     counts = {r.tabela: r.registros for r in A.raw_counts({"items": raw, "ledger": raw.limit(1)}).collect()}

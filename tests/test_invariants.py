@@ -34,8 +34,8 @@ def test_overlap_with_plus_without_is_total(spark):
 def test_upsert_twice_is_once_on_whole_table(spark):
     o = table(spark, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     batch = o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderstatus", F.lit("O"))
-    once = upsert(o, batch, "o_orderkey")
-    twice = upsert(once, batch, "o_orderkey")
+    once = upsert(o, batch, "o_orderkey", "o_totalprice")
+    twice = upsert(once, batch, "o_orderkey", "o_totalprice")
     assert once.count() == o.count() == twice.count()
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
 

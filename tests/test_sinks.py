@@ -5,7 +5,9 @@ import json
 from pyspark.sql import functions as F
 
 from tidewater.sinks import commit_version, dedupe_last, read_current, soft_delete, upsert, upsert_table, versions
-from tidewater.sinks.export import export_documents, export_receipts_xml, sale_record, with_config, write_documents
+from tidewater.sinks.export import (
+    document_text, export_documents, export_receipts_xml, sale_record, with_config, write_documents,
+)
 
 
 def rows(df, *cols):
@@ -30,8 +32,8 @@ def test_upsert_replaces_and_is_idempotent(spark):
 def test_versioned_table(spark, tmp):
     base = f"{tmp}/bronze/notes"
     b1 = spark.createDataFrame([("1", "a")], "id string, data string")
-    upsert_table(b1, base, "id")
-    upsert_table(spark.createDataFrame([("1", "b"), ("2", "c")], "id string, data string"), base, "id")
+    upsert_table(b1, base, "id", ())
+    upsert_table(spark.createDataFrame([("1", "b"), ("2", "c")], "id string, data string"), base, "id", ())
     assert versions(spark, base) == [0, 1]
     cur = read_current(spark, base)
     assert rows(cur, "id", "data") == [("1", "b"), ("2", "c")]
@@ -64,7 +66,7 @@ def test_export_json_documents(spark, tmp):
     items = with_config(items, config, "loc")
     docs = export_documents(items, ["loc"], ["chk", "line"], sale_record(F.lit(7), "item", "total", "cnt"),
                             F.lit("2026-03-26"))
-    out = {r.loc: json.loads(r.document) for r in docs.collect()}
+    out = {r.loc: json.loads(r.document) for r in document_text(docs, ["loc"]).collect()}
     a = out["Site Alpha"]
     assert a["EmpresaId"] == 6 and a["CodigoDaEmpresa"] == "C1" and a["DataDoMovimento"] == "2026-03-26"
     assert a["ExecucaoImediata"] is False
@@ -76,8 +78,57 @@ def test_export_json_documents(spark, tmp):
     assert b["EmpresaId"] == 0 and [v["Quantidade"] for v in b["Vendas"]["Venda"]] == [1.0, 1.0]  # null/0 -> 1
     assert b["Vendas"]["Venda"][1]["CodigoExterno"] == ""                                 # missing code -> 
     write_documents(docs, f"{tmp}/export", ["loc"])
-    back = spark.read.text(f"{tmp}/export")
-    assert back.count() == 2
+    assert files_as_text(f"{tmp}/export/loc=Site Alpha") and json.loads(files_as_text(f"{tmp}/export/loc=Site Alpha")) == a
+
+
+def files_as_text(folder):
+    """A group's document: its part files in name order."""
+    import glob
+    return "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{folder}/part-*")))
+
+
+def test_one_document_of_any_size(spark, tmp):
+    """A check of 60,000 lines is one receipt, and a site of 60,000 items one document, over many part files."""
+    import xml.etree.ElementTree as ET
+    n = 60_000
+    items = spark.range(n).selectExpr("'S' as site", "1 as chk", "id as line", "'Tea ' || id as name", "'3.00' as total", "1 as cnt")
+    docs = export_receipts_xml(items, ["site"], "chk", {"NumeroCOO": F.col("chk"), "ValorTotal": F.lit("180000.00")},
+                               {"DescricaoProduto": F.col("name")}, ["line"])
+    write_documents(docs, f"{tmp}/xml", ["site"])
+    receipts = ET.fromstring(files_as_text(f"{tmp}/xml/site=S")).findall("PDVVenda")
+    assert len(receipts) == 1 and receipts[0].findtext("ValorTotal") == "180000.00"
+    assert [i.findtext("DescricaoProduto") for i in receipts[0].iter("Item")] == [f"Tea {i}" for i in range(n)]
+    docs = export_documents(with_config(items, None, "site"), ["site"], ["line"], sale_record(F.lit(5), "line", "total", "cnt"),
+                            F.lit("2026-03-26"))
+    write_documents(docs, f"{tmp}/json", ["site"])
+    venda = json.loads(files_as_text(f"{tmp}/json/site=S"))["Vendas"]["Venda"]
+    assert [v["CodigoExterno"] for v in venda] == [str(i) for i in range(n)]
+
+
+def test_rejects_of_a_job_that_runs_again(spark, tmp):
+    from tidewater.sinks import write_rejects
+    bad = spark.createDataFrame([("f.xml", "invalid XML")], "file_name string, error string")
+    for df in (bad, bad):
+        write_rejects(df, f"{tmp}/rej", "2026-02-20", "notes")
+    write_rejects(bad, f"{tmp}/rej", "2026-02-20", "ledger")
+    assert spark.read.parquet(f"{tmp}/rej").count() == 2
+    write_rejects(bad.limit(0), f"{tmp}/rej", "2026-02-20", "notes")
+    assert [r.job for r in spark.read.parquet(f"{tmp}/rej").collect()] == ["ledger"]
+
+
+def test_few_files_per_partition(spark, tmp):
+    import glob
+    from tidewater.sinks import key_bucket, upsert_partitioned
+    df = spark.range(20_000).selectExpr("cast(id as string) as id", "'x' as data").repartition(16)
+    upsert_partitioned(df, f"{tmp}/t", "id", key_bucket("id", 20), ())
+    assert len(glob.glob(f"{tmp}/t/part=*/*.parquet")) <= 40
+
+
+def test_old_versions_go(spark, tmp):
+    df = spark.createDataFrame([("1",)], "id string")
+    for _ in range(5):
+        commit_version(df, f"{tmp}/v")
+    assert versions(spark, f"{tmp}/v") == [2, 3, 4]
 
 
 def test_export_receipts_xml(spark):
@@ -85,7 +136,7 @@ def test_export_receipts_xml(spark):
                                   "site string, chk int, line int, name string, total string")
     docs = export_receipts_xml(items, ["site"], "chk", {"NumeroCOO": F.col("chk")},
                                {"DescricaoProduto": F.col("name"), "ValorTotalLiquido": F.col("total")}, ["line"])
-    (doc,) = [r.document for r in docs.collect()]
+    (doc,) = [r.document for r in document_text(docs, ["site"]).collect()]
     assert doc.count("<PDVVenda>") == 2 and doc.count("<Item>") == 3
     assert doc.index("<DescricaoProduto>Tea") < doc.index("<DescricaoProduto>Cake")
     import xml.etree.ElementTree as ET
@@ -102,7 +153,7 @@ def test_upsert_partitioned_rewrites_only_touched_partitions(spark, tmp):
     path = f"{tmp}/bronze/notes_p"
     k = lambda ym, n: "23" + ym + str(n).zfill(38)
     first = spark.createDataFrame([(k("2601", 1), "a"), (k("2601", 2), "b"), (k("2602", 3), "c")], "id string, data string")
-    upsert_partitioned(first, path, "id", note_month("id"))
+    upsert_partitioned(first, path, "id", note_month("id"), ())
     stamp_2601 = sorted(os.listdir(f"{path}/part=2601"))
     batch = spark.createDataFrame([(k("2602", 3), "c2"), (k("2602", 4), "d"), (k("2602", 4), "e")], "id string, data string")
     out = rows(upsert_partitioned(batch, path, "id", note_month("id"), order="data"), "id", "data")
@@ -120,21 +171,6 @@ def test_observed_counts_a_write(spark, tmp):
     assert obs.get == {"rows": 3, "errors": 1}
 
 
-def test_export_one_pretty_file_per_document(spark, tmp):
-    import glob
-    items = spark.createDataFrame([("Site A", 1, 1, 10, "2.00", 1), ("Site B", 2, 1, 11, "3.00", 1)],
-                                  "loc string, chk int, line int, item int, total string, cnt int")
-    docs = export_documents(with_config(items, None, "loc"), ["loc"], ["chk", "line"],
-                            sale_record(F.lit(5), "item", "total", "cnt"), F.lit("2026-03-26"), pretty=True)
-    write_documents(docs, f"{tmp}/pretty", ["loc"], file_per_document=True)
-    files = sorted(f for f in glob.glob(f"{tmp}/pretty/loc=*/part=*/*.txt"))
-    assert len(files) == 2
-    for f in files:
-        text = open(f, encoding="utf-8").read()
-        assert "\n" in text.strip()                          # pretty-printed
-        assert json.loads(text)["Vendas"]["Venda"][0]["UnidadeMedida"] == "UN"
-
-
 def test_commit_after_a_crashed_write(spark, tmp):
     import os
     base = f"{tmp}/bronze/crash"

@@ -18,7 +18,7 @@ def test_bucketed_lead_equals_window(spark):
         t = base + dt.timedelta(seconds=rnd.randint(0, 3 * 86400))
         data.append((g, t, i, rnd.choice(["A", "B", "C"])))
     df = spark.createDataFrame(data, "g int, t timestamp_ntz, id int, a string")
-    got = with_next(df, ["g"], ["t", "id"], ["t", "a"], width=600, big_rows=100)
+    got = with_next(df, ["g"], ["t", "id"], ["t", "a"], width=600)
     want = with_next(df, ["g"], ["t", "id"], ["t", "a"], strategy="group")
     key = ["id", "next_t", "next_a"]
     assert sorted(map(tuple, got.select(key).collect()), key=str) == sorted(map(tuple, want.select(key).collect()), key=str)
@@ -33,14 +33,9 @@ def test_mode_ties_and_nulls(spark):
 
 def test_nest_keeps_order_and_all_rows(spark):
     df = spark.range(0, 500).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"))
-    docs = nest(df, ["g"], ["o"], ["o"], max_items=40, parts=4)
-    got = {}
-    for r in docs.orderBy("g", "part").collect():
-        got.setdefault(r.g, []).extend(x.o for x in r["items"])
-    assert got[0] == list(range(0, 500, 2)) and got[1] == list(range(1, 500, 2))
-    assert docs.filter("g = 0").count() > 1                     # a big group is split into ordered parts
-    small = nest(df, ["g"], ["o"], ["o"], parts=4)
-    assert small.count() == 2 and set(r.part for r in small.collect()) == {0}
+    docs = nest(df.repartition(7), ["g"], ["o"], ["o"])
+    got = {r.g: [x.o for x in r["items"]] for r in docs.collect()}
+    assert got == {0: list(range(0, 500, 2)), 1: list(range(1, 500, 2))}
 
 
 def test_text_order_falls_back_to_window(spark):

@@ -144,8 +144,3 @@ def doc_as(df: DataFrame, doc: str, p: str, ddl: str) -> Column:
     if is_variant(df, doc):
         return F.try_variant_get(F.col(doc), p, ddl)
     return F.from_json(F.get_json_object(F.col(doc), p), ddl)
-
-
-def struct_schema(spec: Sequence[tuple]) -> T.StructType:
-    """Typed StructType of a spec's leaves (for writers and tests)."""
-    return T.StructType([T.StructField(n, as_type(t), True) for n, _, t in spec])

@@ -92,14 +92,9 @@ def _sql(x) -> str:
     raise TypeError("pass column names to hours_between/micros_between")
 
 
-def first_present(*cols) -> Column:
-    """COALESCE with ``NULLIF(x, '')`` on each text input."""
-    return F.coalesce(*[F.nullif(_c(c), F.lit("")) for c in cols])
-
-
 def blank_to_null(col) -> Column:
-    """``NULLIF(trim(x), '')`` -- blank keys must not meet in one task."""
-    return F.nullif(F.trim(_c(col)), F.lit(""))
+    """``NULLIF(x, '')`` -- blank keys must not meet in one task."""
+    return F.nullif(_c(col), F.lit(""))
 
 
 def full_name(a, b) -> Column:
@@ -113,8 +108,9 @@ def iso_date(col) -> Column:
 
 
 def text_to_utc(col) -> Column:
-    """Read the local date-time of an ISO text as UTC, dropping any offset."""
-    local = F.to_timestamp_ntz(F.substring(F.regexp_replace(_c(col), "T", " "), 1, 19))
+    """Read the local date-time of an ISO text as UTC, dropping any offset;
+    fractional seconds are kept."""
+    local = F.regexp_replace(_c(col), r"(:\d{2}(?:\.\d+)?)\s*(?:Z|[+-]\d{2}(?::?\d{2})?)$", "$1").cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), local).cast("timestamp")
 
 

@@ -11,7 +11,7 @@ from tidewater.operators.incremental import (
 )
 from tidewater.operators.joins import (
     left_lookup, left_lookup_many, lookup_first, match_inner, match_left, missing_detail, one_per_key,
-    only_matching, prefer, reconcile, resolve, with_exists, without,
+    prefer, reconcile, resolve, with_exists, without,
 )
 from tidewater.operators.ordering import sort, top
 from tidewater.operators.windows import with_next, work_intervals

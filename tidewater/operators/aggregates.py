@@ -5,7 +5,6 @@ shuffle."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,42 +85,16 @@ def table_counts(tables: Mapping[str, DataFrame], name_col: str = "tabela",
     return out
 
 
-def nest(df: DataFrame, by: Sequence[str], fields: Sequence, order: Sequence[str],
-         name: str = "items", max_items: int = 50_000, parts: int | None = None,
-         chunk_col: str = "part") -> DataFrame:
-    """Rows of each group as an ordered array of structs.
+def nest(df: DataFrame, by: Sequence[str], fields: Sequence, order: Sequence[str], name: str = "items") -> DataFrame:
+    """Rows of each group as one ordered array of structs, in one pass.
 
-    Never one unbounded array: group sizes come from a partial count; a group
-    of at most ``max_items`` rows is one array (``part`` 0); the rows of
-    bigger groups are range-partitioned on ``by + order`` -- balanced even
-    when one group holds a third of the data -- and each (group, partition)
-    becomes one chunk; ``part`` increases with the order (for a big group the
-    numbers are range-partition indexes, not always consecutive).  Elements are
-    ``struct(order..., fields...)`` sorted by ``order`` (order fields dropped).
-    """
+    For groups that are one record by nature (an order's lines, a document's
+    events): the array must fit in a row. A group without such a bound is not
+    nested but written as ordered lines (``sinks.export``). Elements are
+    ``struct(fields...)`` in the order of ``order``."""
     by, order = list(by), list(order)
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flds = [F.col(f) if isinstance(f, str) else f for f in fields]
     elem = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *flds)
-    # Keys of the big groups only: at most rows / max_items of them, so AQE
-    # normally broadcasts this side by its measured size and ``df`` is not
-    # shuffled for the join. Null-safe, so a hot NULL group is caught too.
-    big_keys = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-                  .filter(F.col("_n") > max_items)
-                  .select(*[F.col(b).alias(f"_bk{i}") for i, b in enumerate(by)], F.lit(True).alias("_big")))
-    cond = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"_bk{i}")) for i, b in enumerate(by)])
-    tagged = df.join(big_keys, cond, "left").drop(*[f"_bk{i}" for i in range(len(by))])
-    small = (tagged.filter(F.col("_big").isNull()).groupBy(*by)
-                   .agg(F.sort_array(F.collect_list(elem)).alias("_arr"))
-                   .withColumn(chunk_col, F.lit(0)))
-    big = (tagged.filter(F.col("_big"))
-                .repartitionByRange(n, *[F.col(c) for c in by + order])
-                .withColumn("_pid", F.spark_partition_id())
-                .groupBy(*by, "_pid").agg(F.sort_array(F.collect_list(elem)).alias("_arr")))
-    # the range partition index is the part number: it follows the order and
-    # needs no window (a window per group would move every chunk of a hot
-    # group into one task); parts of a big group increase, not always by 1
-    big = big.withColumnRenamed("_pid", chunk_col)
     drop = [f"_o{i}" for i in range(len(order))]
-    return (small.unionByName(big)
-                 .select(*by, chunk_col, F.transform("_arr", lambda x: x.dropFields(*drop)).alias(name)))
+    arr = F.transform(F.sort_array(F.collect_list(elem)), lambda x: x.dropFields(*drop))
+    return df.groupBy(*by).agg(arr.alias(name))

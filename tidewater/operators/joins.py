@@ -3,7 +3,7 @@ resolution, existence flags, anti-joins.
 
 Scale rules used throughout:
 * never an ``OR`` join (Spark plans it as a nested loop) -- the two-stage
-  match is two equi-joins and the second sees only the rows the first missed;
+  match is a chain of two equi-joins, the second with NULL keys where the first hit;
 * the right side of a lookup is first reduced to one row per key with
   ``row_number() = 1``, which Catalyst plans with a partial (map-side)
   WindowGroupLimit, so a hot key on the right never reaches one task whole,
@@ -181,27 +181,28 @@ def resolve(left: DataFrame, right: DataFrame, direct: tuple, composite: tuple,
     """J4 + J5: top-1 by a direct key, else top-1 by a composite key.
 
     ``direct = (left_col, right_col)``; ``composite = ([left cols], [right cols])``.
-    The second join runs only on rows the first left unmatched; the result has
-    the ``take`` columns of whichever match won (``COALESCE`` semantics) and,
-    if ``matched_by`` is given, a column saying 'direct', 'composite' or NULL.
-    Both right sides are first reduced to one row per key (smallest by
-    ``order``, D4), so neither join can fan out.
+    One chain of two lookups over one read of ``left``: where the direct key
+    hit, the composite keys are NULL, so those rows cannot match again (and are
+    spread by ``left_lookup``). The result has the ``take`` columns of whichever
+    match won and, if ``matched_by`` is given, a column saying 'direct',
+    'composite' or NULL. Both right sides are first reduced to one row per key
+    (smallest by ``order``, D4), so neither join can fan out.
     """
     lk, rk = direct
     lcs, rcs = list(composite[0]), list(composite[1])
-    take = list(take)
-    probe = "_hit_direct"
-    r_direct = one_per_key(right.withColumn(probe, F.lit(True)), rk, order,
-                           take=[c for c in take if c != rk] + [probe])
-    first = left_lookup(left, r_direct, lk, rk, take + [probe])
-    hit = first.filter(F.col(probe).isNotNull()).drop(probe)
-    miss = first.filter(F.col(probe).isNull()).drop(*take, probe)
-    r_comp = one_per_key(right, rcs, order, take=[c for c in take if c not in rcs])
-    second = left_lookup(miss, r_comp, lcs, rcs, take)
-    if matched_by:
-        hit = hit.withColumn(matched_by, F.lit("direct"))
-        second = second.withColumn(matched_by, F.when(F.col(take[0]).isNotNull(), F.lit("composite")))
-    return hit.unionByName(second)
+    take, g = list(take), _tag()
+    sides = []
+    for n, keys in (("d", [rk]), ("c", rcs)):
+        one = one_per_key(right, keys, order, take=[c for c in take if c not in keys])
+        sides.append(one.select(*[F.col(k).alias(f"{g}{n}k{i}") for i, k in enumerate(keys)],
+                                *[F.col(c).alias(f"{g}{n}{i}") for i, c in enumerate(take)], F.lit(True).alias(f"{g}{n}hit")))
+    cols = lambda n: [f"{g}{n}{i}" for i in range(len(take))] + [f"{g}{n}hit"]
+    first = left_lookup(left, sides[0], lk, f"{g}dk0", cols("d"))
+    first = first.select("*", *[F.when(F.col(f"{g}dhit").isNull(), F.col(c)).alias(f"{g}l{i}") for i, c in enumerate(lcs)])
+    both = left_lookup(first, sides[1], [f"{g}l{i}" for i in range(len(lcs))], [f"{g}ck{i}" for i in range(len(rcs))], cols("c"))
+    won = [F.when(F.col(f"{g}dhit"), F.col(f"{g}d{i}")).otherwise(F.col(f"{g}c{i}")).alias(c) for i, c in enumerate(take)]
+    via = [F.when(F.col(f"{g}dhit"), F.lit("direct")).when(F.col(f"{g}chit"), F.lit("composite")).alias(matched_by)] if matched_by else []
+    return both.select(*[F.col(c) for c in left.columns], *won, *via)
 
 
 def with_exists(left: DataFrame, right: DataFrame, left_on, right_on, flag: str) -> DataFrame:
@@ -220,11 +221,6 @@ def without(left: DataFrame, right: DataFrame, left_on, right_on=None) -> DataFr
     return _filter_join(left, right, left_on, right_on, "left_anti")
 
 
-def only_matching(left: DataFrame, right: DataFrame, left_on, right_on=None) -> DataFrame:
-    """Semi-join (``EXISTS`` as a filter)."""
-    return _filter_join(left, right, left_on, right_on, "left_semi")
-
-
 def _filter_join(left, right, left_on, right_on, how):
     left_on = _list(left_on)
     right_on = _list(right_on) if right_on is not None else left_on

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,30 +27,24 @@ def _bucket(df: DataFrame, col: str, width: float):
 
 
 def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str],
-              prefix: str = "next_", strategy: str = "bucket", width: float = 3600.0,
-              big_rows: int = 1_000_000) -> DataFrame:
+              prefix: str = "next_", strategy: str = "bucket", width: float = 3600.0) -> DataFrame:
     """``lead(col) OVER (PARTITION BY by ORDER BY order)`` for each col.
 
     ``strategy='group'`` is the plain window: one shuffle on ``by``, but one
-    task holds a whole group.  ``strategy='bucket'`` (default) survives a
-    group that holds a third of all rows, and costs a plain window for the
-    rest; it is deterministic (no partition ids, no sampling):
-
-    0. group sizes come from a partial count; only groups of more than
-       ``big_rows`` rows are split (their keys are at most rows / big_rows,
-       joined back by AQE's size-checked broadcast); every other group is a
-       single bucket;
-    1. rows of a big group get a bucket of the first order column (``width``
-       seconds for times, units for numbers) -- the hot group spreads over
-       its buckets;
-    2. ``lead`` runs inside (group, bucket);
-    3. the first row of every bucket of a big group is a partial aggregate
-       (``min_by``); a window over those rows (one per bucket, bounded by the
-       time span, not by the data) gives each bucket the first row of the
-       next non-empty bucket of its group;
-    4. that row is appended to the bucket as a sentinel sorting last, so the
-       bucket's last real row leads into it -- no join, one shuffle of the
-       data (the window's), NULL groups handled as the window handles them.
+    task holds a whole group.  ``strategy='bucket'`` (default) has the same plan
+    for every group, of any size, and survives one that holds a third of all
+    rows; it is deterministic (no partition ids, no sampling):
+
+    1. every row gets a bucket of the first order column (``width`` seconds for
+       times, units for numbers), so a hot group spreads over its buckets;
+    2. the first row of every bucket is a partial aggregate (``min_by``); a
+       window over those rows (one per bucket, bounded by the time span, not by
+       the data) gives each bucket the first row of the next non-empty bucket
+       of its group;
+    3. that row is appended to the bucket as a sentinel sorting last, and
+       ``lead`` runs inside (group, bucket): the bucket's last real row leads
+       into the sentinel -- no join, one shuffle of the data (the window's),
+       NULL groups handled as the window handles them.
     ``order`` should be a total order within a group (ties make lead arbitrary,
     as in SQL). A text first order column has no monotone bucket; the plain
     window is used then.
@@ -62,13 +55,8 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequ
         w = Window.partitionBy(*by).orderBy(*order)
         return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
 
-    big_keys = (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > big_rows)
-                  .select(*[F.col(c).alias(f"_bk{i}") for i, c in enumerate(by)], F.lit(True).alias("_big")))
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_bk{i}")) for i, c in enumerate(by)])
-    tagged = df.join(big_keys, cond, "left").drop(*[f"_bk{i}" for i in range(len(by))])
-    b = (tagged.withColumn("_b", F.when(F.col("_big"), bucket).otherwise(F.lit(0)).cast("bigint"))
-               .withColumn("_s", F.lit(0)))
-    firsts = (b.filter(F.col("_big")).groupBy(*by, "_b")
+    b = df.withColumn("_b", bucket.cast("bigint")).withColumn("_s", F.lit(0))
+    firsts = (b.groupBy(*by, "_b")
                .agg(F.min_by(F.struct(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)]),
                              F.struct(*[F.col(o) for o in order])).alias("_f")))
     nxt = (firsts.select(*by, "_b", F.lead("_f").over(Window.partitionBy(*by).orderBy("_b")).alias("_nf"))
@@ -78,7 +66,7 @@ def with_next(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequ
     sentinels = nxt.select(*by, "_b", *[F.col("_nf").getField(f"_v{i}").alias(c)
                                         for i, c in enumerate(cols) if c not in by],
                            F.lit(1).alias("_s"))
-    u = b.drop("_big").unionByName(sentinels, allowMissingColumns=True)
+    u = b.unionByName(sentinels, allowMissingColumns=True)
     w = Window.partitionBy(*by, "_b").orderBy("_s", *[F.col(o) for o in order])
     return (u.select(*[F.col(c) for c in df.columns], *[F.lead(c).over(w).alias(prefix + c) for c in cols],
                      F.col("_s"))

@@ -1,7 +1,8 @@
 """POS / tax-note / ledger views (V6-V11) and their bronze -> silver specs.
 
-Bronze tables are ``(key, data JSON text, extracted_at)``. The specs below are
-the reference's projections as data: ``(column, JSON path, type)``.
+Bronze tables are ``(key, data VARIANT, extracted_at)``. The specs below are
+the reference's projections as data: ``(column, JSON path, type)``; their names
+are fixed values, since users' SQL and the landed documents have them.
 """
 
 from __future__ import annotations

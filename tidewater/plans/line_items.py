@@ -45,8 +45,7 @@ def fact_line_items(raw: DataFrame) -> DataFrame:
 
 def internal_consumption_export(raw: DataFrame, day: str, config: DataFrame | None = None,
                                 location: str | None = None) -> DataFrame:
-    """Q30 + K7: the day's internal-consumption documents, one per location
-    (``part`` > 0 only for a location too big for one document)."""
+    """Q30 + K7: the day's internal-consumption documents, one per location, as ordered lines."""
     from tidewater.plans.audits import internal_items, items
     from tidewater.sinks.export import export_documents, sale_record, with_config
     it = internal_items(items(raw), day, location)

@@ -1,10 +1,10 @@
-"""K7 / K8: one nested document per group (site, day).
+"""K7 / K8: one nested document per group (site, day), as ordered lines.
 
-Documents are built on the executors (``nest`` + ``to_json``/``to_xml``) and
-written with ``partitionBy(group)``; nothing passes through the driver. A
-group bigger than one partition is split into numbered parts (``part``), each
-a complete document with the same header -- no group is ever collected whole
-into one task.
+A document is written as text lines, never as one array or string that holds a
+group: a header line, a line per item, a footer line, each with the place it
+has in its group. ``write_documents`` range-partitions the lines by (group,
+place), so the part files of a group's folder, read in name order, are the one
+document of that group, whatever its size and however many tasks wrote it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.scalar import config_key, export_quantity, export_unit_price, int_or_zero
-from tidewater.operators.aggregates import nest
 from tidewater.fixed_values import EXPORT_REQUEST_CONSTANTS, EXPORT_UNIT
 
 REQUEST_CONSTANTS = EXPORT_REQUEST_CONSTANTS
@@ -53,51 +52,83 @@ def sale_record(pdv_code, item_code, total, count, serial="EmissordoCupom") -> C
         export_unit_price(c(total), c(count)).cast("double").alias("ValorUnitario"))
 
 
+def _place(section: int, *keys: Column, sub: int = 0) -> Column:
+    return F.struct(F.lit(section).alias("section"), *[k.alias(f"o{i}") for i, k in enumerate(keys)], F.lit(sub).alias("sub"))
+
+
+def _no_keys(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    types = dict(df.dtypes)
+    return [F.lit(None).cast(types[c]) for c in cols]
+
+
 def export_documents(items: DataFrame, group: Sequence[str], order: Sequence[str], venda: Column,
-                     movement_date: Column, parts: int | None = None, pretty: bool = False) -> DataFrame:
-    """K7: ``(group..., part, document)``, one JSON document per group part.
+                     movement_date: Column) -> DataFrame:
+    """K7: ``(group..., place, line)``, one JSON document per group.
 
     ``items`` carries the F18 config columns (``with_config``) and the order
-    columns; ``venda`` is the per-item struct (``sale_record``)."""
+    columns, a total order within a group; ``venda`` is the per-item struct
+    (``sale_record``). The header has the settings of the first item."""
     group, order = list(group), list(order)
     hdr = ["EmpresaId", "CodigoDaEmpresa", "ChaveDeAcesso"]
-    docs = nest(items.withColumn("_venda", venda).withColumn("_date", movement_date),
-                by=group, fields=[F.col("_venda"), *[F.col(h) for h in hdr], F.col("_date")],
-                order=order, name="_items", parts=parts)
-    first = F.col("_items").getItem(0)
-    header = [first.getField("EmpresaId").alias("EmpresaId"),
-              *[F.lit(v).alias(k) for k, v in REQUEST_CONSTANTS.items()],
-              first.getField("_date").alias("DataDoMovimento"),
-              first.getField("CodigoDaEmpresa").alias("CodigoDaEmpresa"),
-              first.getField("ChaveDeAcesso").alias("ChaveDeAcesso")]
-    body = F.struct(F.transform("_items", lambda x: x.getField("_venda")).alias("Venda")).alias("Vendas")
-    opts = {"pretty": "true"} if pretty else {}
-    return docs.select(*group, "part", F.to_json(F.struct(*header, body), opts).alias("document"))
+    rows = items.select(*group, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *hdr,
+                        venda.alias("_venda"), movement_date.alias("_date"))
+    keys = [f"_o{i}" for i in range(len(order))]
+    at = F.struct(*keys)
+    heads = rows.groupBy(*group).agg(F.min(at).alias("_first"), F.min_by(F.struct(*hdr, "_date"), at).alias("_h"))
+    fields = F.struct(F.col("_h.EmpresaId").alias("EmpresaId"), *[F.lit(v).alias(k) for k, v in REQUEST_CONSTANTS.items()],
+                      F.col("_h._date").alias("DataDoMovimento"), F.col("_h.CodigoDaEmpresa").alias("CodigoDaEmpresa"),
+                      F.col("_h.ChaveDeAcesso").alias("ChaveDeAcesso"))
+    opening = F.concat(F.regexp_replace(F.to_json(fields), r"\}$", ""), F.lit(',"Vendas":{"Venda":['))
+    none = _no_keys(rows, keys)
+    firsts = heads.select(*[F.col(x).alias(f"_g{i}") for i, x in enumerate(group)], "_first")
+    same = [F.col(x).eqNullSafe(F.col(f"_g{i}")) for i, x in enumerate(group)]
+    joined = rows.join(firsts, same, "left")
+    item = F.concat(F.when(at == F.col("_first"), F.lit("")).otherwise(F.lit(",")), F.to_json("_venda"))
+    return (heads.select(*group, _place(0, *none).alias("place"), opening.alias("line"))
+            .unionByName(joined.select(*group, _place(1, *[F.col(k) for k in keys]).alias("place"), item.alias("line")))
+            .unionByName(heads.select(*group, _place(2, *none).alias("place"), F.lit("]}}").alias("line"))))
 
 
 def export_receipts_xml(items: DataFrame, group: Sequence[str], check: str, check_fields: Mapping[str, Column],
-                        item_fields: Mapping[str, Column], order: Sequence[str], parts: int | None = None) -> DataFrame:
-    """K8: ``Vendas/PDVVenda[...]/Itens/Item[...]`` -- a receipt per check with
-    header fields and its items, one XML document per group part."""
-    group = list(group)
-    per_check = nest(items.select(*group, check, *order, *[c.alias(n) for n, c in check_fields.items()],
-                                  F.struct(*[c.alias(n) for n, c in item_fields.items()]).alias("_item")),
-                     by=group + [check] + list(check_fields), fields=["_item"], order=list(order),
-                     name="Item", parts=parts, chunk_col="_cpart")
-    receipts = per_check.select(*group, check, F.struct(*[F.col(n) for n in check_fields],
-                                                        F.struct(F.transform("Item", lambda x: x.getField("_item")).alias("Item")).alias("Itens")).alias("_r"))
-    docs = nest(receipts, by=group, fields=["_r"], order=[check], name="PDVVenda", parts=parts)
-    return docs.select(*group, "part",
-                       F.to_xml(F.struct(F.transform("PDVVenda", lambda x: x.getField("_r")).alias("PDVVenda")),
-                                {"rowTag": "Vendas"}).alias("document"))
-
-
-def write_documents(docs: DataFrame, out: str, group: Sequence[str], file_per_document: bool = False) -> None:
-    """One folder per group; each line of a part file is one document.
-
-    ``file_per_document=True`` partitions by ``part`` too: a document is one
-    row, so every ``<group>/part=<n>/`` folder holds exactly one file with one
-    (possibly pretty-printed) document -- the reference's one file per site
-    and day."""
-    cols = list(group) + (["part"] if file_per_document else [])
-    docs.select(*cols, "document").write.mode("overwrite").partitionBy(*cols).text(out)
+                        item_fields: Mapping[str, Column], order: Sequence[str]) -> DataFrame:
+    """K8: ``(group..., place, line)`` of ``Vendas/PDVVenda[...]/Itens/Item[...]``:
+    one XML document per group, one receipt per check with header fields (those
+    of its first item) and its items."""
+    group, order = list(group), list(order)
+    rows = items.select(*group, F.col(check).alias("_check"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+                        F.struct(*[c.alias(n) for n, c in check_fields.items()]).alias("_head"),
+                        F.struct(*[c.alias(n) for n, c in item_fields.items()]).alias("_item"))
+    keys = [f"_o{i}" for i in range(len(order))]
+    c, none = F.col("_check"), _no_keys(rows, keys)
+    flat = lambda x, tag: F.regexp_replace(F.to_xml(x, {"rowTag": tag}), r"\n\s*", "")
+    checks = rows.groupBy(*group, "_check").agg(F.min_by("_head", F.struct(*keys)).alias("_head"))
+    groups = checks.select(*group).distinct()
+    no_check = _no_keys(rows, ["_check"])
+    lines = [groups.select(*group, _place(0, *no_check, *none).alias("place"), F.lit("<Vendas>").alias("line")),
+             checks.select(*group, _place(1, c, *none, sub=0).alias("place"),
+                           F.regexp_replace(flat(F.col("_head"), "PDVVenda"), "</PDVVenda>$", "<Itens>").alias("line")),
+             rows.select(*group, _place(1, c, *[F.col(k) for k in keys], sub=1).alias("place"), flat(F.col("_item"), "Item").alias("line")),
+             checks.select(*group, _place(2, c, *none).alias("place"), F.lit("</Itens></PDVVenda>").alias("line")),
+             groups.select(*group, _place(3, *no_check, *none).alias("place"), F.lit("</Vendas>").alias("line"))]
+    # a receipt's closing line follows its items: sections 1 and 2 are one, told apart by ``end``
+    out = lines[0]
+    for x in lines[1:]:
+        out = out.unionByName(x)
+    p = F.col("place")
+    body = p["section"].isin(1, 2)
+    return out.withColumn("place", F.struct(
+        F.when(body, 1).otherwise(p["section"]).alias("section"), p["o0"].alias("check"),
+        F.when(p["section"] == 2, 1).otherwise(0).alias("end"), *[p[f"o{i + 1}"].alias(f"o{i}") for i in range(len(order))], p["sub"].alias("sub")))
+
+
+def write_documents(lines: DataFrame, out: str, group: Sequence[str]) -> None:
+    """One folder per group; its part files, in name order, are its document."""
+    places = [F.col(f"place.{f.name}") for f in lines.schema["place"].dataType.fields]
+    ordered = lines.repartitionByRange(*[F.col(g) for g in group], *places).sortWithinPartitions(*[F.col(g) for g in group], *places)
+    ordered.select(*group, "line").write.mode("overwrite").partitionBy(*group).text(out)
+
+
+def document_text(lines: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``(group..., document)``: each document as one string, for groups known to be small (tests, previews)."""
+    return lines.groupBy(*group).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "line"))),
+                                                              lambda x: x["line"]), "\n").alias("document"))

@@ -248,8 +248,7 @@ def json_roundtrip(spark, d):
 # ------------------------------------------------------------------ arrays
 
 def order_documents(spark, d) -> DataFrame:
-    """Line items nested per order (G9), range-chunked so no order is one
-    unbounded array."""
+    """Line items nested per order."""
     return nest(t(spark, d, "lineitem"), by=["l_orderkey"],
                 fields=["l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"],
                 order=["l_linenumber", "l_partkey", "l_suppkey"], name="items")
@@ -264,9 +263,7 @@ SELECT o.o_orderkey, CAST(r.l_linenumber AS DOUBLE) AS first_line, CAST(r.l_part
 FROM orders o LEFT JOIN r ON r.l_orderkey = o.o_orderkey AND r.rn = 1""")
 def first_in_array(spark, d):
     docs = order_documents(spark, d)
-    hits = (docs.select("l_orderkey", "part", first_where("items", lambda x: x["l_returnflag"] == "R").alias("f"))
-                .filter(F.col("f").isNotNull()))
-    first = one_per_key(hits, "l_orderkey", ["part"], take=["f"])
+    first = docs.select("l_orderkey", first_where("items", lambda x: x["l_returnflag"] == "R").alias("f"))
     o = t(spark, d, "orders").select("o_orderkey")
     # nullable integers leave as DOUBLE in both engines (pandas renders them alike)
     return left_lookup(o, first, "o_orderkey", "l_orderkey", ["f"]).select(
@@ -357,7 +354,7 @@ SEGMENT_OF_EVENT = {"view": "BUILDING", "click": "AUTOMOBILE", "purchase": "MACH
 
 @query("resolve_two_stage", """
 WITH e AS (SELECT event_id, user_id,
-                  NULLIF(trim(CASE WHEN event_type IN ('purchase', 'signup') THEN CAST(user_id AS VARCHAR) ELSE ' ' END), '') AS chave,
+                  NULLIF(CASE WHEN event_type IN ('purchase', 'signup') THEN CAST(user_id AS VARCHAR) ELSE '' END, '') AS chave,
                   CAST(user_id // 6 AS INTEGER) AS nation,
                   CASE event_type WHEN 'view' THEN 'BUILDING' WHEN 'click' THEN 'AUTOMOBILE'
                        WHEN 'purchase' THEN 'MACHINERY' WHEN 'signup' THEN 'HOUSEHOLD'
@@ -374,7 +371,7 @@ def resolve_two_stage(spark, d):
     ev = t(spark, d, "events").select(
         "event_id", "user_id",
         blank_to_null(F.when(F.col("event_type").isin("purchase", "signup"), F.col("user_id").cast("string"))
-                      .otherwise(F.lit(" "))).alias("chave"),
+                      .otherwise(F.lit(""))).alias("chave"),
         F.floor(F.col("user_id") / 6).cast("int").alias("nation"),
         map_code("event_type", SEGMENT_OF_EVENT, fallback=None).alias("segment"))
     cust = t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("ckey"), "c_custkey", "c_name",
@@ -622,15 +619,15 @@ def unit_price_q(spark, d):
 
 
 @query("date_parts", """
-SELECT event_id, CAST(ts AS DATE) AS dia, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch_utc,
-       CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 10800 AS epoch_instante, TRUE AS tem_texto
-FROM events""")
+SELECT event_id, CAST(ts AS DATE) AS dia, epoch_us(ts) + 987654 AS micros_utc,
+       epoch_us(ts) + 987654 + 10800000000 AS micros_instante, TRUE AS tem_texto
+FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events)""")
 def date_parts(spark, d):
     e = t(spark, d, "events").select(
-        "event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-03:00")).alias("txt"))
+        "event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".987654-03:00")).alias("txt"))
     return e.select("event_id", iso_date("txt").alias("dia"),
-                    F.unix_timestamp(text_to_utc("txt")).alias("epoch_utc"),
-                    F.unix_timestamp(instant("txt")).alias("epoch_instante"),
+                    F.unix_micros(text_to_utc("txt")).alias("micros_utc"),
+                    F.unix_micros(instant("txt")).alias("micros_instante"),
                     present("txt").alias("tem_texto"))
 
 
@@ -669,7 +666,7 @@ WHERE NOT EXISTS (SELECT 1 FROM orders u WHERE u.o_orderstatus = 'P' AND u.o_ord
 def upsert_state(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     batch = o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderstatus", F.lit("O"))
-    return upsert(o, batch, "o_orderkey").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return upsert(o, batch, "o_orderkey", "o_totalprice").select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 @query("soft_delete", """
@@ -804,26 +801,60 @@ def nested_array_json(spark, d):
 
 
 def export_docs(spark, d) -> DataFrame:
+    """K7 over the stand-ins: one document per segment and year of orders, with settings for some segments."""
     items = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    items = with_config(items, None, "c_mktsegment")
-    venda = sale_record("c_nationkey", "o_orderkey", "o_totalprice", F.lit(None).cast("int"))
-    return export_documents(items, ["c_mktsegment"], ["o_orderkey"], venda, F.lit("1998-08-02"))
-
-
-@query("export_groups", """
-SELECT c_mktsegment, count(*) AS itens FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
-def export_groups(spark, d):
-    docs = export_docs(spark, d)
-    n = F.json_array_length(F.get_json_object("document", "$.Vendas.Venda"))
-    return docs.groupBy("c_mktsegment").agg(F.sum(n).cast("bigint").alias("itens"))
+    settings = t(spark, d, "nation").filter(F.col("n_nationkey") < 3).select(
+        F.element_at(F.array(F.lit("BUILDING"), F.lit("MACHINERY"), F.lit("HOUSEHOLD")), F.col("n_nationkey") + 1).alias("config_key"),
+        F.when(F.col("n_nationkey") == 2, F.lit("x")).otherwise(F.col("n_nationkey").cast("string")).alias("EmpresaId"),
+        F.col("n_name").alias("CodigoDaEmpresa"), F.lit("K").alias("ChaveDeAcesso"), F.lit("SER").alias("EmissordoCupom"))
+    items = with_config(items.withColumn("ano", F.year("o_orderdate")), settings, "c_mktsegment")
+    venda = sale_record("c_nationkey", "o_orderkey", "o_totalprice", F.nullif(F.col("c_nationkey"), F.lit(7)))
+    return export_documents(items, ["c_mktsegment", "ano"], ["o_orderkey"], venda, F.lit("1998-08-02"))
+
+
+EXPORT_SQL = """
+WITH cfg AS (SELECT CASE n_nationkey WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' ELSE 'HOUSEHOLD' END AS k,
+                    CASE n_nationkey WHEN 2 THEN 0 ELSE n_nationkey END AS empresa, n_name AS codigo FROM nation WHERE n_nationkey < 3),
+i AS (SELECT c_mktsegment, CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderkey, CAST(c_nationkey AS VARCHAR) AS pdv,
+             CASE WHEN c_nationkey IN (7, 0) THEN 1 ELSE c_nationkey END AS q, round(o_totalprice * 100) AS cents,
+             coalesce(empresa, 0) AS empresa, coalesce(codigo, '') AS codigo, CASE WHEN k IS NULL THEN '' ELSE 'SER' END AS serie
+      FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN cfg ON k = c_mktsegment)
+"""
 
 
-@query("export_text")
+@query("export_text", EXPORT_SQL + """
+SELECT c_mktsegment, ano, 0 AS secao, CAST(NULL AS DOUBLE) AS o_orderkey, CAST(empresa AS DOUBLE) AS numero, codigo AS texto,
+       '1998-08-02' AS outro FROM i GROUP BY ALL
+UNION ALL SELECT c_mktsegment, ano, 1, CAST(o_orderkey AS DOUBLE), CAST(q AS DOUBLE),
+       pdv || '|' || serie || '|' || CAST(o_orderkey AS VARCHAR),
+       CAST((2 * CAST(cents AS BIGINT) + q) // (2 * q) AS VARCHAR) FROM i
+UNION ALL SELECT c_mktsegment, ano, 2, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), ']}}', NULL FROM i GROUP BY ALL""")
 def export_text(spark, d):
-    return export_docs(spark, d)
-
-
-QUERY_NAMES = list(QUERIES)
+    """Every line of the documents: header fields, item values and footer."""
+    x = export_docs(spark, d).withColumn("secao", F.col("place.section"))
+    item = F.from_json(F.regexp_replace("line", "^,", ""), "CodigoPDV string, EmissordoCupom string, CodigoExterno string, "
+                                                           "Quantidade double, ValorUnitario double")
+    head = F.from_json(F.concat("line", F.lit("]}}")), "EmpresaId int, CodigoDaEmpresa string, DataDoMovimento string")
+    x = x.withColumns({"i": F.when(F.col("secao") == 1, item), "h": F.when(F.col("secao") == 0, head)})
+    return x.select("c_mktsegment", "ano", "secao", dbl("place.o0").alias("o_orderkey"),
+                    F.coalesce(dbl("h.EmpresaId"), "i.Quantidade").alias("numero"),
+                    F.coalesce("h.CodigoDaEmpresa", F.concat_ws("|", *[F.when(F.col("secao") == 1, F.col(f"i.{c}")) for c in
+                                                                       ("CodigoPDV", "EmissordoCupom", "CodigoExterno")]).substr(F.when(F.col("secao") == 1, 1), F.lit(999)),
+                               F.when(F.col("secao") == 2, F.col("line"))).alias("texto"),
+                    F.coalesce("h.DataDoMovimento", F.round(F.col("i.ValorUnitario") * 100).cast("bigint").cast("string")).alias("outro"))
+
+
+@query("export_groups", EXPORT_SQL + """
+SELECT c_mktsegment, ano, count(*) AS itens, CAST(min(o_orderkey) AS VARCHAR) AS primeiro, CAST(max(o_orderkey) AS VARCHAR) AS ultimo
+FROM i GROUP BY 1, 2""")
+def export_groups(spark, d):
+    """Each whole document is valid JSON with its items in order."""
+    from tidewater.sinks.export import document_text
+    docs = document_text(export_docs(spark, d), ["c_mktsegment", "ano"])
+    venda = F.from_json("document", "Vendas struct<Venda: array<struct<CodigoExterno: string>>>")["Vendas"]["Venda"]
+    return docs.select("c_mktsegment", "ano", F.size(venda).cast("bigint").alias("itens"),
+                       F.get(venda, F.lit(0))["CodigoExterno"].alias("primeiro"),
+                       F.get(venda, F.size(venda) - 1)["CodigoExterno"].alias("ultimo"))
 
 
 # ------------------------------------------------------------------ more views and sources
@@ -832,7 +863,7 @@ QUERY_NAMES = list(QUERIES)
 WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
                     || '-' || CAST(l_suppkey AS VARCHAR) AS lancamento_id,
                   CAST(l_orderkey AS VARCHAR) AS numero, '1' AS serie, l_linestatus AS hotel,
-                  NULLIF(trim(CASE WHEN l_returnflag = 'R' THEN lpad(CAST(l_partkey AS VARCHAR), 44, '0') ELSE '' END), '') AS direct
+                  NULLIF(CASE WHEN l_returnflag = 'R' THEN lpad(CAST(l_partkey AS VARCHAR), 44, '0') ELSE '' END, '') AS direct
            FROM lineitem),
 n AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS nota_id, CAST(o_orderkey AS VARCHAR) AS nNF, '1' AS serie,
              o_orderstatus AS hotel, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '100' END AS cStat FROM orders),
@@ -850,16 +881,16 @@ def ledger_fact_full(spark, d):
     """V6 over the stand-ins: ledger = line items, notes = orders."""
     from tidewater.plans.fiscal import fact_ledger
     li, o = t(spark, d, "lineitem"), t(spark, d, "orders")
-    s = lambda c: F.col(c).cast("string")
+    s = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
     ledger = li.select(
         F.concat_ws("-", s("l_orderkey"), s("l_linenumber"), s("l_partkey"), s("l_suppkey")).alias("lancamento_id"),
-        F.col("l_linestatus").alias("hotel"), F.lit(None).cast("string").alias("empresa"),
+        F.col("l_linestatus").alias("hotel"), F.concat(F.lit("Empresa "), s(F.col("l_suppkey") % 5)).alias("empresa"),
         F.to_date("l_shipdate").alias("data_emissao"), F.lit("NFCE").alias("tipo_documento"),
         s("l_orderkey").alias("numero_documento"), F.lit("1").alias("serie"), F.col("l_returnflag").alias("cfop"),
-        s("l_partkey").alias("codigo_produto"), F.lit(None).cast("string").alias("descricao_produto"),
+        s("l_partkey").alias("codigo_produto"), F.concat(F.lit("P"), s("l_partkey")).alias("descricao_produto"),
         decimal("l_quantity", 12, 4).alias("quantidade"), F.lit(None).cast("decimal(12,2)").alias("valor_unitario"),
         decimal("l_extendedprice").alias("valor_total_item"), F.lit(None).cast("decimal(12,2)").alias("desconto"),
-        F.lit(None).cast("decimal(12,2)").alias("valor_total_documento"),
+        decimal("l_extendedprice").alias("valor_total_documento"),
         F.when(F.col("l_returnflag") == "R", _key44("l_partkey")).otherwise(F.lit("")).alias("chave_sefaz_raw"))
     notes = o.select(_key44().alias("nota_id"), s("o_orderkey").alias("nNF"), F.lit("1").alias("serie"),
                      F.col("o_orderstatus").alias("hotel"),
@@ -961,8 +992,14 @@ def dead_letters(spark, d):
 
 
 @query("export_receipts", """
-SELECT c_mktsegment, count(DISTINCT o_orderkey) AS recibos, count(*) AS itens
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+WITH i AS (SELECT c_mktsegment, o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS total, l_linenumber, l_partkey, l_quantity,
+                  CAST(l_extendedprice AS DECIMAL(12,2)) AS v
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey)
+SELECT c_mktsegment, CAST(o_orderkey AS DOUBLE) AS comanda, 'recibo' AS linha, CAST(total AS DOUBLE) AS valor, CAST(NULL AS DOUBLE) AS quantidade,
+       count(*) AS linhas FROM (SELECT DISTINCT c_mktsegment, o_orderkey, total FROM i) GROUP BY ALL
+UNION ALL SELECT c_mktsegment, CAST(o_orderkey AS DOUBLE), CAST(l_partkey AS VARCHAR), CAST(v AS DOUBLE), CAST(l_quantity AS DOUBLE), count(*) FROM i GROUP BY ALL
+UNION ALL SELECT c_mktsegment, CAST(o_orderkey AS DOUBLE), 'fim', NULL, NULL, count(*) FROM (SELECT DISTINCT c_mktsegment, o_orderkey FROM i) GROUP BY ALL
+UNION ALL SELECT DISTINCT c_mktsegment, CAST(NULL AS DOUBLE), 'documento', NULL, NULL, 2 FROM i""")
 def export_receipts(spark, d):
     from tidewater.sinks.export import export_receipts_xml
     li = (t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
@@ -972,9 +1009,13 @@ def export_receipts(spark, d):
                                {"CodigoProduto": F.col("l_partkey"), "Quantidade": F.col("l_quantity"),
                                 "ValorTotalLiquido": decimal("l_extendedprice")},
                                ["l_linenumber", "l_partkey", "l_suppkey"])
-    count = lambda tag: F.size(F.split("document", tag)) - 1
-    return docs.groupBy("c_mktsegment").agg(F.sum(count("<PDVVenda>")).cast("bigint").alias("recibos"),
-                                            F.sum(count("<Item>")).cast("bigint").alias("itens"))
+    tag = lambda name: F.nullif(F.regexp_extract("line", f"<{name}>([^<]*)</{name}>", 1), F.lit(""))
+    kind = (F.when(F.col("line").startswith("<PDVVenda>"), F.lit("recibo")).when(F.col("line") == "</Itens></PDVVenda>", F.lit("fim"))
+            .when(F.col("line").isin("<Vendas>", "</Vendas>"), F.lit("documento")).otherwise(tag("CodigoProduto")))
+    return docs.select("c_mktsegment", dbl("place.check").alias("comanda"), kind.alias("linha"),
+                       dbl(F.coalesce(tag("ValorTotal"), tag("ValorTotalLiquido"))).alias("valor"),
+                       dbl(tag("Quantidade")).alias("quantidade")).groupBy("c_mktsegment", "comanda", "linha", "valor", "quantidade").agg(
+        F.count(F.lit(1)).alias("linhas"))
 
 
 # ------------------------------------------------------------------ the reference's timed-out reads (Q29, Q15)
@@ -983,7 +1024,7 @@ LEDGER_SQL = """
 WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
                     || '-' || CAST(l_suppkey AS VARCHAR) AS lancamento_id,
                   CAST(l_orderkey AS VARCHAR) AS numero, '1' AS serie, l_linestatus AS hotel, CAST(l_shipdate AS DATE) AS dia,
-                  NULLIF(trim(CASE WHEN l_returnflag = 'R' THEN lpad(CAST(l_partkey AS VARCHAR), 44, '0') ELSE '' END), '') AS direct
+                  NULLIF(CASE WHEN l_returnflag = 'R' THEN lpad(CAST(l_partkey AS VARCHAR), 44, '0') ELSE '' END, '') AS direct
            FROM lineitem),
 n AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS nota_id, CAST(o_orderkey AS VARCHAR) AS nNF, '1' AS serie,
              o_orderstatus AS hotel, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '100' END AS cStat FROM orders),
@@ -1100,15 +1141,15 @@ WITH r AS (SELECT user_id, CAST(ts AS DATE) AS dia, event_id, ts,
            FROM events),
 o AS (SELECT *, lead(ts) OVER w AS next_ts, lead(action) OVER w AS next_action
       FROM r WINDOW w AS (PARTITION BY user_id, dia ORDER BY ts, event_id))
-SELECT CAST(user_id AS VARCHAR) || '-' || strftime(dia, '%Y-%m-%d') || '-0' AS failure_id,
+SELECT CAST(user_id AS VARCHAR) || '-' || strftime(dia, '%Y-%m-%d') AS failure_id,
        CAST(user_id AS INTEGER) AS operator_id, action AS status_inicio, next_action AS status_fim,
        ts AS data_inicio, next_ts AS data_fim,
        (epoch_us(next_ts) - epoch_us(ts)) / CAST(3600000000 AS DOUBLE) AS horas_decimais
 FROM o WHERE action IN ('STARTED', 'RESUMED') AND next_action IN ('PAUSED', 'COMPLETED') AND next_ts IS NOT NULL""")
 def work_hours_docs(spark, d):
     """V4 over detail documents: one ticket document per user and day
-    (bounded ``nest``), whose ``included`` holds the event (owner = user) and
-    its registries."""
+    (``nest``), whose ``included`` holds the event (owner = user) and its
+    registries."""
     from tidewater.plans.maintenance import work_hours
     e = t(spark, d, "events").withColumn("dia", F.to_date("ts"))
     attrs = lambda op, ev, act, dt: F.struct(op.alias("operator_id"), ev.alias("event_id"), act.alias("action"),
@@ -1117,7 +1158,7 @@ def work_hours_docs(spark, d):
                    attrs(F.col("user_id"), F.lit(1).cast("bigint"), map_code("event_type", ACTION_OF_EVENT, fallback=None),
                          F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("attributes"))
     docs = nest(e.withColumn("reg", reg), ["user_id", "dia"], ["reg"], ["ts", "event_id"], name="regs")
-    fid = F.concat_ws("-", F.col("user_id").cast("string"), F.col("dia").cast("string"), F.col("part").cast("string"))
+    fid = F.concat_ws("-", F.col("user_id").cast("string"), F.col("dia").cast("string"))
     owner = F.struct(F.lit("1").alias("id"), F.lit("event").alias("type"),
                      attrs(F.col("user_id"), F.lit(None).cast("bigint"), F.lit(None).cast("string"),
                            F.lit(None).cast("string")).alias("attributes"))
@@ -1181,6 +1222,3 @@ COVERS = {
     "export_receipts": "K8 G9", "ledger_recent": "Q29 V6 P8", "sales_notes_recent": "Q29 V10 P8",
     "daily_recent": "Q15 V11 P8", "maintenance_views": "V2 V3 U1 A1 F4", "work_hours_docs": "V4 A2 J2 W1 F6 G9",
 }
-
-
-QUERY_NAMES = list(QUERIES)

@@ -1200,25 +1200,23 @@ for _name, _cols in DAY_COLUMNS.items():
     _days_as_timestamps(_name, _cols)
 
 
-# SURVEY §2 ids each registered query runs.
+# SURVEY §2 ids whose own function a registered query runs; ``audit_queries`` adds the named queries and views.
 COVERS = {
-    "daily_mart": "V11 G1 F11", "sales_status": "V10 F5 G3 J1 J6", "missing_side": "Q18 P10",
-    "measures": "G10", "monthly_revenue": "Q19 F12", "counts_by_group": "Q6 Q7 Q17 Q20 Q21 Q23 G7",
-    "ledger_by_day": "Q12 G6", "checks_items_value": "Q24 Q26 G4", "overlap": "Q9 G2",
-    "distinct_tuple": "G5 Q28", "table_counts": "G8 U2 Q28", "top_products": "Q14 Q27 O3 G6",
-    "json_projection": "F1 F2 V9", "json_roundtrip": "V1 F1 F2", "first_in_array": "A1 J10 O5 G9",
-    "explode_filter": "A2 J11 G9", "work_intervals": "V4 V5 W1 F6 P2 P4", "hours_per_operator": "Q5 G6",
-    "prefer_detail": "U1 J7", "location_to_hotel": "F4 P3 F9", "resolve_two_stage": "V6 V6b J4 J5 F7 C1",
-    "exists_flag": "J6", "gap_anti": "Q1 Q2 Q3 Q8 J8 J9 P5", "orphans": "Q10 J7", "value_gap": "Q16 P9 F13",
-    "owner_join": "J2 J13 K2", "note_facts": "V8 V7 J3 F15", "plans_occurrences": "V3 F4 D1",
-    "by_state": "Q4 P1", "period_rows": "Q13 P6", "recent_days": "Q15 Q29 P8 O4", "key_lookup": "Q11 Q22 Q25 P14 O1",
-    "group_items_ordered": "Q30 P11 P12 O2", "mart_filters": "P13 P15 T7", "lookback": "T2 P8",
-    "missing_days": "T4 F21", "date_chunks": "T3", "calendar": "F21", "unit_price": "V12 F3 F8 F14",
-    "date_parts": "F10 F15 X1 X2", "text_slice": "F22", "id_list": "S10 U3 F16", "dedupe_last": "K2",
-    "upsert_state": "K1 K2", "soft_delete": "K5 T5 F20", "xml_notes": "S5 F16 F17", "xml_cancels": "S6 S11",
-    "sectioned_json": "S3 C1 A3", "nested_array_json": "S4 C1 A3", "export_groups": "K7 G9 F18 F19",
-    "export_text": "K7 G9 F18 F19", "ledger_fact": "V6 J4 J5 J6", "measures_by_calendar": "Q31 G10 F21",
-    "paged_envelopes": "S1", "detail_envelopes": "S2", "json_array": "S7", "dead_letters": "S14",
-    "export_receipts": "K8 G9", "ledger_recent": "Q29 V6 P8", "sales_notes_recent": "Q29 V10 P8",
-    "daily_recent": "Q15 V11 P8", "maintenance_views": "V2 V3 U1 A1 F4", "work_hours_docs": "V4 A2 J2 W1 F6 G9",
+    "daily_mart": "V11 G1 F11", "sales_status": "V10 F5 G3 J1 J6", "missing_side": "P10", "measures": "G10",
+    "monthly_revenue": "F12", "counts_by_group": "G7", "ledger_by_day": "G6", "checks_items_value": "G4",
+    "overlap": "G2", "distinct_tuple": "G5", "table_counts": "G8 U2", "top_products": "O3 G6",
+    "json_projection": "F1 F2", "json_roundtrip": "F1 F2", "first_in_array": "A1 J10 O5 G9",
+    "explode_filter": "A2 J11 G9", "work_intervals": "W1 F6", "hours_per_operator": "G6", "prefer_detail": "U1 J7",
+    "location_to_hotel": "F4 P3 F9", "resolve_two_stage": "J4 J5 F7 C1", "exists_flag": "J6", "gap_anti": "J8 J9 P5",
+    "orphans": "J7", "value_gap": "P9 F13", "owner_join": "J2 K2", "note_facts": "V8 J3 F15",
+    "plans_occurrences": "F4 D1", "by_state": "P1", "period_rows": "P6", "recent_days": "P8", "key_lookup": "P14 O1",
+    "group_items_ordered": "P11 P12", "mart_filters": "P13 T7", "lookback": "T2 P8", "missing_days": "T4 F21",
+    "date_chunks": "T3", "calendar": "F21", "unit_price": "F3 F8 F14", "date_parts": "F10 F15 X1 X2",
+    "text_slice": "F22", "id_list": "S10 U3 F16", "dedupe_last": "K2", "upsert_state": "K1 K2",
+    "soft_delete": "K5 T5 F20", "xml_notes": "S5 F16 F17", "xml_cancels": "S6", "sectioned_json": "S3 C1 A3",
+    "nested_array_json": "S4 C1 A3", "export_groups": "K7 G9 F18 F19", "export_text": "K7 G9 F18 F19",
+    "ledger_fact": "V6 J4 J5 J6", "measures_by_calendar": "Q31 G10 F21", "paged_envelopes": "S1",
+    "detail_envelopes": "S2", "json_array": "S7", "dead_letters": "S14", "export_receipts": "K8 G9",
+    "ledger_recent": "Q29 V6 P8", "sales_notes_recent": "Q29 V10 P8", "daily_recent": "Q15 V11 P8",
+    "maintenance_views": "V2 V3 U1 A1 F4", "work_hours_docs": "V4 A2 J2 W1 F6 G9",
 }

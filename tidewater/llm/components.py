@@ -14,27 +14,42 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import cut
 
 
+TASK_EDGES = 500_000  # edges that one task reads
+
+
+def packed(edges: DataFrame, n: int) -> DataFrame:
+    """Few edges are read by few tasks: a round of a nearly contracted graph costs little."""
+    return edges.coalesce(max(1, -(-n // TASK_EDGES)))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(v, c): for every vertex of ``edges`` the smallest vertex it reaches.
     Self-loops keep their vertex; an empty table gives an empty result."""
-    both = edges.select(F.least(a, b).alias("c"), F.greatest(a, b).alias("v")).distinct()
-    e = cut(both)
-    sign = None
-    while True:
+    both = cut(edges.select(F.least(a, b).alias("c"), F.greatest(a, b).alias("v")).distinct())
+    n = both.count()
+    e, sign = packed(both, n), None
+    while n:
         # large star: every larger neighbour of u, and u itself, moves to u's smallest neighbour
-        out = e.select(F.col("v").alias("u"), F.col("c").alias("w")).unionByName(
-            e.select(F.col("c").alias("u"), F.col("v").alias("w")))
+        out = e.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("c").alias("w")),
+                                         F.struct(F.col("c").alias("u"), F.col("v").alias("w")))).alias("x")).select("x.*")
         least = out.groupBy("u").agg(F.least(F.min("w"), F.col("u")).alias("m"))
-        large = out.join(least, "u").where(F.col("w") > F.col("u")).select(F.col("w").alias("v"), F.col("m").alias("c"))
-        large = large.unionByName(least.where("m < u").select(F.col("u").alias("v"), F.col("m").alias("c"))).distinct()
-        # small star: the smaller neighbours of u, and u, move to the smallest of them
+        large = out.join(least, "u").where("w > u or m < u").select(
+            F.explode(F.array(F.when(F.col("w") > F.col("u"), F.struct(F.col("w").alias("v"), F.col("m").alias("c"))),
+                              F.when(F.col("m") < F.col("u"), F.struct(F.col("u").alias("v"), F.col("m").alias("c"))))).alias("x")
+        ).where("x is not null").select("x.*").distinct()
+        large = packed(cut(packed(large, 2 * n)), 2 * n)
+        # small star: the smaller neighbours of v, and v, move to the smallest of them
         low = large.groupBy("v").agg(F.min("c").alias("m"))
-        small = large.join(low, "v").select(F.col("c").alias("v"), F.col("m").alias("c")).where("v <> c").unionByName(
-            low.select("v", F.col("m").alias("c"))).distinct()
-        e = cut(small)
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("v", "c").cast("decimal(38,0)"))).first())
-        if now == sign:
+        small = large.join(low, "v").select(F.explode(F.array(
+            F.when(F.col("c") != F.col("m"), F.struct(F.col("c").alias("v"), F.col("m").alias("c"))),
+            F.struct(F.col("v").alias("v"), F.col("m").alias("c")))).alias("x")).where("x is not null").select("x.*").distinct()
+        e = cut(packed(small, 2 * n))
+        n, mark = e.agg(F.count("*"), F.sum(F.xxhash64("v", "c").cast("decimal(38,0)"))).first()
+        e = packed(e, n)
+        if (n, mark) == sign:
             break
-        sign = now
-    centres = both.select(F.explode(F.array("v", "c")).alias("v")).distinct()
-    return centres.join(e.select("v", "c"), "v", "left").select("v", F.coalesce("c", "v").alias("c"))
+        sign = n, mark
+    vertices = both.select(F.explode(F.array("v", "c")).alias("v")).distinct()
+    if not n:
+        return vertices.select("v", F.col("v").alias("c"))
+    return vertices.join(e.select("v", "c"), "v", "left").select("v", F.coalesce("c", "v").alias("c"))

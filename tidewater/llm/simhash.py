@@ -97,10 +97,11 @@ def embedding(fp: Column) -> Column:
 
 def grid(n: int, max_bits: int) -> tuple[list[int], list[tuple[int, ...]]]:
     """(masks of the groups of segments, choices of groups that make a cell) for
-    ``n`` vectors: the g that costs least in cell rows and chance neighbours."""
+    ``n`` vectors: the g that costs least in cell rows, which are shuffled, and
+    chance neighbours, of which about 75 cost as much as a row to compare."""
     def cost(g: int) -> float:
         equal = g - max_bits
-        return math.comb(g, equal) * (1 + 0.05 * n / 2 ** (0.6 * 64 * equal / g))
+        return math.comb(g, equal) * (1 + n / 75 / 2 ** (0.6 * 64 * equal / g))
 
     g = min(range(max_bits + 1, max_bits + 8), key=cost)
     masks = [sum(3 << 2 * s for s in range(32) if s * g // 32 == j) for j in range(g)]

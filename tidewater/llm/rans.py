@@ -152,8 +152,20 @@ class LibraryEncoder:
                          for x in self.split(text)]) if text else b""
 
 
-def tokens(docs: DataFrame, path: str, end_id: int | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id and its ids (little-endian unsigned 32-bit integers), with ``end_id`` last."""
+def narrow(ids: bytes) -> bytes:
+    """Ids as they are staged and sorted: 16 bits each if all fit, else 32; the first byte tells."""
+    x = np.frombuffer(ids, "<u4")
+    return b"\x02" + x.astype("<u2").tobytes() if not len(x) or x.max() < 1 << 16 else b"\x04" + ids
+
+
+def wide(ids: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2" if x[:1] == b"\x02" else "<u4", offset=1) for x in ids]
+
+
+def tokens(docs: DataFrame, path: str, end_id: int | None = None, *, id_col: str = "doc_id", text_col: str = "text",
+           pack=bytes) -> DataFrame:
+    """One row per document: doc_id and its ids (little-endian unsigned 32-bit
+    integers, or what ``pack`` makes of them), with ``end_id`` last."""
     python_tasks(docs.sparkSession)
     with open(path, encoding="utf-8") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file, of fixed size
@@ -162,7 +174,7 @@ def tokens(docs: DataFrame, path: str, end_id: int | None = None, *, id_col: str
     def tasks(batches):
         encode = LibraryEncoder(file.value)
         for batch in batches:
-            ids = pa.array([encode(x.as_py()) + tail for x in batch.column(1)], pa.binary())
+            ids = pa.array([pack(encode(x.as_py()) + tail) for x in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
     df = id_text(docs, id_col, text_col)
@@ -170,11 +182,11 @@ def tokens(docs: DataFrame, path: str, end_id: int | None = None, *, id_col: str
 
 
 def id_counts(ids: DataFrame) -> dict[int, int]:
-    """How often each id occurs in the whole corpus (bounded by the vocabulary)."""
+    """How often each of the packed ids occurs in the whole corpus (bounded by the vocabulary)."""
     def count(batches):
         total = np.zeros(1, dtype=np.int64)
         for batch in batches:
-            got = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4"))
+            got = np.bincount(np.concatenate(wide(batch.column(0).to_pylist())))
             if len(got) > len(total):
                 got, total = total, got.astype(np.int64)
             total[:len(got)] += got
@@ -187,6 +199,17 @@ def id_counts(ids: DataFrame) -> dict[int, int]:
 
 def write(ids: DataFrame, folder: str) -> None:
     """Write (doc_id, ids binary) in ascending doc_id order as a folder of the format."""
+    python_tasks(ids.sparkSession)
+
+    def pack(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([narrow(x) for x in batch.column(1).to_pylist()], pa.binary())],
+                                             names=["doc_id", "ids"])
+
+    write_packed(ids.select("doc_id", "ids").mapInArrow(pack, ids.select("doc_id", "ids").schema), folder)
+
+
+def write_packed(ids: DataFrame, folder: str) -> None:
     spark = ids.sparkSession
     python_tasks(spark)
     rows = staged(ids.withColumn("uid", F.monotonically_increasing_id()), "ids")
@@ -200,18 +223,18 @@ def write(ids: DataFrame, folder: str) -> None:
         ids, doc_ids, sizes, n = [], [], [], 0
 
         def made():
-            coded = coder.value.encode(np.frombuffer(b"".join(ids), "<u4"))
+            coded = coder.value.encode(np.concatenate(ids).astype(np.uint32))
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first": first, "n_ids": n, "doc_ids": doc_ids,
                                                 "sizes": sizes, "coded": coded, "crc": zlib.crc32(coded)}], schema=shape)
         for batch in batches:
             shape = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()),
                                ("doc_ids", pa.list_(batch.schema.field(0).type)), ("sizes", pa.list_(pa.int64())),
                                ("coded", pa.binary()), ("crc", pa.int64())])
-            for doc_id, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, x in zip(batch.column(0).to_pylist(), wide(batch.column(1).to_pylist())):
                 ids.append(x)
                 doc_ids.append(doc_id)
-                sizes.append(len(x) // 4)
-                n += len(x) // 4
+                sizes.append(len(x))
+                n += len(x)
                 if n >= BLOCK_IDS:
                     yield made()
                     block, first, n = block + 1, first + n, 0
@@ -257,5 +280,5 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 def token_folder(docs: DataFrame, path: str, end_id: int, folder: str | None = None) -> str:
     """Encode ``docs`` and write them; the folder (a new one in the shared folder unless given)."""
     folder = folder or f"{shared_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
-    write(tokens(docs, path, end_id), folder)
+    write_packed(tokens(docs, path, end_id, pack=narrow), folder)
     return folder

@@ -135,7 +135,7 @@ class LibraryEncoder:
         self.model = Tokenizer.from_str(file).model
         self.split = Splitter(parse(file)[2])
         self.symbols = byte_symbols()
-        self.cache = WordCache(self.piece)
+        self.cache = WordCache(self.piece, size=600_000)
 
     def piece(self, word: str) -> bytes:
         parts = exact_runs(word) if not word.isascii() and word[0].isalnum() else [word]
@@ -144,7 +144,7 @@ class LibraryEncoder:
             plain = p.isascii() and p.isprintable()
             p = p if plain else "".join([self.symbols[b] for b in p.encode("utf-8", "surrogatepass")])
             ids += [t.id for t in self.model.tokenize(p)]
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str | None) -> bytes:
         cache = self.cache

@@ -231,3 +231,37 @@ def test_paragraph_edge_rows(clashing, empty):
     assert {(str(r["doc_id"]), r["text"]) for r in got} == want and len(got) == len(EDGES)
     assert P.dedup_passages(empty).count() == 0
     assert words_of(None) == []
+
+
+# ------------------------------------------------------------------ verbatim passages
+
+def test_verbatim_passages_whatever_their_lines(spark):
+    rng = random.Random(6)
+    passage = [f"w{rng.randrange(900)}" for _ in range(60)]
+    other = lambda n: " ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(n))
+    wrap = lambda n: "\n".join(" ".join(passage[i:i + n]) for i in range(0, 60, n))
+    around = [(other(30), other(30)) for _ in range(5)]
+    texts = [wrap(8), wrap(8), wrap(11), " ".join(passage), wrap(8)]
+    joins = ["\n", "\n", "\n", " ", " "]  # in lines of their own, and embedded in longer ones
+    rows = [(i, f"{a}{j}{t}{j}{b}") for i, ((a, b), t, j) in enumerate(zip(around, texts, joins))]
+    got = {r["doc_id"]: r for r in P.dedup_text(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0]["text"] == rows[0][1] and got[0]["n_removed"] == 0
+    for i in range(1, 5):
+        assert got[i]["text"] == f"{around[i][0]}{joins[i]}{around[i][1]}"
+        assert (got[i]["n_removed"], got[i]["kept_in"]) == (1, [0])
+
+
+def test_no_window_stands_in_two_documents(spark):
+    left = {}
+    for r in QUERIES["op8_substring_dedup"](spark, "/root/testdata/sf0.01").collect():
+        w = words_of(r["text"])
+        for i in range(len(w) - 49):
+            left.setdefault(b" ".join(w[i:i + 50]), set()).add(r["doc_id"])
+    assert left and not [x for x, ids in left.items() if len(ids) > 1]
+
+
+def test_verbatim_edge_rows(clashing, empty):
+    got = P.dedup_text(clashing).collect()
+    want = {(str(r[0]), r[1]) for r in EDGES}
+    assert {(str(r["doc_id"]), r["text"]) for r in got} == want and len(got) == len(EDGES)
+    assert P.dedup_text(empty).count() == 0

@@ -18,6 +18,8 @@ shingles.
 4. Components of the verified links are classes. Of a class's occurrences in
    all documents the first stays (smallest doc_id, NULL last; then text hash,
    line); the others are cut from their texts.
+5. ``dedup_text`` then cuts verbatim passages that stand in other lines: wrapped,
+   embedded, or with moved line breaks (see ``passages``).
 
 Defined cases: NULL and empty texts stay as they are; rows equal in doc_id and
 text count as one document and get the same result; a paragraph repeated within
@@ -39,6 +41,7 @@ from tidewater.llm.common import SMALL_SIDE, cut, id_text, python_tasks, row_key
 from tidewater.llm.components import components
 from tidewater.llm.decontamination import words_of
 from tidewater.llm.links import spanning_links
+from tidewater.llm.passages import cut_windows, repeated_windows
 
 SHINGLE, SIMILARITY, MIN_WORDS = 5, 0.8, 20
 
@@ -190,11 +193,8 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SI
     return each.groupBy("a", "b").agg(F.count("*").alias("n_paragraphs")), drops
 
 
-def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                   similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, n_paragraphs, n_removed, kept_in (doc_ids that
-    keep what it lost) and the text without the removed paragraphs."""
-    df = id_text(docs, id_col, text_col)
+def without_paragraphs(df: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """(a, b, doc_id, n_paragraphs, n_removed, kept_in, text) of every row of ``df`` (doc_id, text)."""
     sizes, drops = removals(df, min_words, similarity)
     key = row_key(F.col("doc_id"), F.col("text"))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("drop", i)), "\n")
@@ -203,4 +203,22 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         F.coalesce("kept_in", F.array().cast(drops.schema["kept_in"].dataType)).alias("kept_in"),
         F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias("text"))
     return keyed.join(small(cut(sizes), SMALL_SIDE // 2), ["a", "b"], "left").select(
-        "doc_id", F.coalesce("n_paragraphs", F.lit(0)).cast("long").alias("n_paragraphs"), "n_removed", "kept_in", "text")
+        "a", "b", "doc_id", F.coalesce("n_paragraphs", F.lit(0)).cast("long").alias("n_paragraphs"), "n_removed", "kept_in", "text")
+
+
+def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                   similarity: float = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, n_paragraphs, n_removed, kept_in (doc_ids that
+    keep what it lost) and the text without the removed paragraphs."""
+    return without_paragraphs(id_text(docs, id_col, text_col), min_words, similarity).drop("a", "b")
+
+
+def dedup_text(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+               similarity: float = SIMILARITY) -> DataFrame:
+    """The whole operator: ``dedup_passages``, then the verbatim passages that its
+    lines do not show (see ``passages``). Columns as there; runs of words that go
+    count in n_removed, and the documents that hold them are in kept_in."""
+    left = staged(without_paragraphs(id_text(docs, id_col, text_col), min_words, similarity), "left")
+    out = cut_windows(left, repeated_windows(left))
+    return out.select("doc_id", "n_paragraphs", (F.col("n_removed") + F.col("n_cut")).alias("n_removed"),
+                      F.array_sort(F.array_union("kept_in", "held_in")).alias("kept_in"), "text")

@@ -90,7 +90,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.dedup_passages(table(spark, sf_dir, "documents"))
+    return paragraph_dedup.dedup_text(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -182,3 +182,20 @@ def test_commit_after_a_crashed_write(spark, tmp):
     commit_version(df.withColumn("data", F.lit("b")), base)         # the retry does not collide with it
     assert versions(spark, base) == [0, 2]
     assert read_current(spark, base).first().data == "b"
+
+
+def test_documents_are_checked_by_line(spark):
+    from tidewater.plans.stand_ins import export_groups
+    from tidewater.sinks.export import checked_documents
+    head, foot = '{"EmpresaId":1,"Vendas":{"Venda":[', "]}}"
+    item = lambda i: f'{{"CodigoExterno":"{i}"}}'
+    docs = {"good": [item(1), "," + item(2), "," + item(10)], "one": [item(5)], "none": [], "no comma": [item(1), item(2)],
+            "comma first": ["," + item(1), item(2)], "broken": [item(1), ',{"CodigoExterno":"2"'], "two in one": [item(1) + "," + item(2)]}
+    rows = [(g, (0, None), head) for g in docs] + [(g, (2, None), foot) for g in docs if g != "one"]
+    rows += [(g, (1, i), x) for g, xs in docs.items() for i, x in enumerate(xs)] + [("one", (2, None), "]}")]
+    lines = spark.createDataFrame(rows, "g string, place struct<section: int, o0: int>, line string")
+    got = {r["g"]: tuple(r)[1:] for r in checked_documents(lines, ["g"]).collect()}
+    assert got["good"] == (True, 3, "1", "10") and got["none"] == (True, 0, None, None)
+    assert not any(got[g][0] for g in docs if g not in ("good", "none"))
+    plan = export_groups(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "from_json" not in plan

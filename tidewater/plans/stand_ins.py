@@ -849,12 +849,9 @@ SELECT c_mktsegment, ano, count(*) AS itens, CAST(min(o_orderkey) AS VARCHAR) AS
 FROM i GROUP BY 1, 2""")
 def export_groups(spark, d):
     """Each whole document is valid JSON with its items in order."""
-    from tidewater.sinks.export import document_text
-    docs = document_text(export_docs(spark, d), ["c_mktsegment", "ano"])
-    venda = F.from_json("document", "Vendas struct<Venda: array<struct<CodigoExterno: string>>>")["Vendas"]["Venda"]
-    return docs.select("c_mktsegment", "ano", F.size(venda).cast("bigint").alias("itens"),
-                       F.get(venda, F.lit(0))["CodigoExterno"].alias("primeiro"),
-                       F.get(venda, F.size(venda) - 1)["CodigoExterno"].alias("ultimo"))
+    from tidewater.sinks.export import checked_documents
+    return checked_documents(export_docs(spark, d), ["c_mktsegment", "ano"]).select(
+        "c_mktsegment", "ano", F.when(F.col("valid"), F.col("items")).alias("itens"), F.col("first").alias("primeiro"), F.col("last").alias("ultimo"))
 
 
 # ------------------------------------------------------------------ more views and sources

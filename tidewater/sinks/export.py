@@ -132,3 +132,27 @@ def document_text(lines: DataFrame, group: Sequence[str]) -> DataFrame:
     """``(group..., document)``: each document as one string, for groups known to be small (tests, previews)."""
     return lines.groupBy(*group).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "line"))),
                                                               lambda x: x["line"]), "\n").alias("document"))
+
+
+def checked_documents(lines: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``(group..., valid, items, first, last)`` of K7 documents of any size, from
+    their lines: whether header, items and footer make one JSON document, the
+    number of items, and ``CodigoExterno`` of the first and last by place. Each
+    line is parsed in its own row; only counts, minima and maxima meet."""
+    section, place = F.col("place.section"), F.col("place")
+    item = section == 1
+    # the rest of the document as it would close around the line: a line that is not one value fails or counts as more
+    whole = F.when(section == 0, F.concat("line", F.lit("]}}"))).when(item, F.concat(F.lit('{"Vendas":{"Venda":['), F.regexp_replace("line", "^,", ""), F.lit("]}}")))
+    x = lines.select(*group, "line", "place", F.try_parse_json(whole).alias("_doc"))
+    venda = F.try_variant_get("_doc", "$.Vendas.Venda", "array<struct<CodigoExterno: string>>")
+    x = x.withColumn("_venda", venda)
+    good = F.when(section == 0, F.size("_venda") == 0).when(item, F.size("_venda") == 1).otherwise(F.col("line") == "]}}")
+    comma = F.col("line").startswith(",")
+    code, at = F.get("_venda", F.lit(0))["CodigoExterno"], F.when(item, place)
+    count = lambda c: F.count(F.when(c, True))
+    found = x.groupBy(*group).agg(
+        count(item).alias("items"), count(section == 0).alias("_heads"), count(section == 2).alias("_feet"),
+        count(~F.coalesce(good, F.lit(False))).alias("_bad"), count(item & ~comma).alias("_bare"),
+        F.min_by(comma, at).alias("_comma"), F.min_by(code, at).alias("first"), F.max_by(code, at).alias("last"))
+    valid = "_heads = 1 and _feet = 1 and _bad = 0 and _bare = least(items, 1) and not coalesce(_comma, false)"
+    return found.select(*group, F.expr(valid).alias("valid"), "items", "first", "last")

@@ -44,3 +44,9 @@ def test_dedupe_one_row_per_key(spark):
     d = E.queries()["dedupe_last"](spark, SF)
     keys = table(spark, "lineitem").select("l_orderkey", "l_linenumber").distinct().count()
     assert d.count() == keys
+
+
+def test_ticket_documents_collect_no_group(spark):
+    from tidewater.plans.stand_ins import work_hours_docs
+    plan = work_hours_docs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan

@@ -129,3 +129,11 @@ def test_decontamination_edge_rows(spark, clashing, edges, empty):
     assert D.decontaminate(edges, bench).count() == len(EDGES) - 3
     assert D.contamination(empty, bench).count() == 0
     assert D.contamination(edges, bench.where("item_id = 'none'")).where("n_hit > 0").count() == 0
+
+
+def test_repeated_benchmark_rows_share_a_block(spark):
+    from tidewater.llm.decontamination import benchmark_blocks
+    rows = [("same", "word " * 300)] * 6 + [(f"item{i}", f"text {i} " * 100) for i in range(4)]
+    bench = spark.createDataFrame(rows, "item_id string, text string")
+    blocks = list(benchmark_blocks(bench, "item_id", "text", 0.001))
+    assert sorted(x for b in blocks for x in b) == sorted(set(rows))

@@ -95,6 +95,7 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_mb:
     """The items, as lists of (id, text) of about ``block_mb`` each (one item more at most)."""
     items = benchmark.select(F.coalesce(col(benchmark, id_col).cast("string"), F.lit("")).alias("item"),
                              col(benchmark, text_col).alias("text")).where("text is not null")
+    items = cut(items.distinct())  # equal rows share every hash block: without this no n could part them
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / (block_mb * 2 ** 20)))
     while n > 1:  # hash blocks are uneven: measure, and cut finer while one is too large

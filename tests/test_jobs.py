@@ -166,3 +166,19 @@ def test_listed_files_that_were_not_read(spark, tmp):
     write(tmp, "b.json", "[]")
     read = spark.createDataFrame([("a.json",)], "file_name string")
     assert [(r.file_name, r.error) for r in unread_files(listed_files(spark, tmp), read).collect()] == [("b.json", "file cannot be read")]
+
+
+def test_skipped_note_and_detail_files_are_reported(spark, tmp, monkeypatch):
+    for folder in ("SHARE_A", "SHARE_B"):
+        write(f"{tmp}/shares/{folder}", "same-name.xml", "<broken")
+        write(f"{tmp}/shares/{folder}", "same-name-can.xml", "<broken")
+    read = jobs.new_files
+    monkeypatch.setattr(jobs, "new_files", lambda *a, **k: read(*a, **k).where("file_path not like '%SHARE_B%'"))
+    got = jobs.load_notes(spark, f"{tmp}/shares", f"{tmp}/b", {}, f"{tmp}/rej", "2026-02-20")
+    assert (got["notes"]["errors"], got["cancels"]["errors"]) == (2, 2)
+    bad = spark.read.parquet(f"{tmp}/rej").where("error = 'file cannot be read'")
+    assert sorted(r.file_name for r in bad.collect()) == ["same-name-can.xml", "same-name.xml"]
+    write(f"{tmp}/m/works/list", "p1.json", {"data": [{"id": "W1"}], "meta": {"pagination": {"current_page": 1, "total_pages": 1}}})
+    write(f"{tmp}/m/works/detail", "W1.json.gz", "not compressed")
+    got = jobs.load_maintenance(spark, f"{tmp}/m", f"{tmp}/b", "works", "work_id", f"{tmp}/rej2", "2026-02-20")
+    assert got["detail_errors"] == 1

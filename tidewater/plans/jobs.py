@@ -31,7 +31,7 @@ from tidewater.sources.documents import (
     incomplete_lists, parse_paged_envelopes, parse_sectioned_json, records, rejects,
 )
 from tidewater.session import checkpoint_dir
-from tidewater.sources.files import folder_of, key_from_name, landed, listed_files, new_files, select_files, unread_files
+from tidewater.sources.files import folder_of, fresh_files, key_from_name, landed, listed_files, new_files, select_files, unread_files
 
 # File-name selections (S8), as regular expressions over the file name.
 POS_FILES = dict(include=r"\d{4}-\d{2}-\d{2}.*\.json$", exclude="GCM")
@@ -104,19 +104,20 @@ def load_notes(spark: SparkSession, shares: str, bronze: str, share_codes: Mappi
     cancels_t = _table(spark, bronze, "nfe_raw_cancelamentos", "cancelamento_id string, data variant, extracted_at timestamp")
     checkpoint_dir(spark)
 
-    def load(files: DataFrame, parse, table: str, key: str, by_month: bool) -> dict:
-        ok, bad = parse(files.checkpoint(eager=True), site)   # loaded files stay unopened, new ones are read once
+    def load(loaded: DataFrame, loaded_key: str, file_key, chosen: dict, parse, table: str, key: str, by_month: bool) -> dict:
+        fresh = fresh_files(spark, shares, loaded, loaded_key, file_key, **chosen).checkpoint(eager=True)
+        read = new_files(spark, shares, loaded, loaded_key, file_key, **chosen).checkpoint(eager=True)
+        unread = unread_files(fresh, read, "file_path")
+        ok, bad = parse(read, site)   # loaded files stay unopened, new ones are read once
         ok, obs = observed(ok.select(key, "data", "arrival"), table)
         _upsert(ok.checkpoint(eager=True), bronze, table, key, by_month)
-        bad, obs_bad = observed(bad, f"{table}_bad")
+        bad, obs_bad = observed(bad.unionByName(unread), f"{table}_bad")
         write_rejects(bad, rejects_to, job_date, table)
         return {**obs.get, "errors": obs_bad.get["rows"]}
 
-    notes = load(new_files(spark, shares, notes_t, "nota_id", key_from_name(), **NOTE_FILES), parse_note_xml,
-                 "nfe_raw_xmls", "nota_id", True)
+    notes = load(notes_t, "nota_id", key_from_name(), NOTE_FILES, parse_note_xml, "nfe_raw_xmls", "nota_id", True)
     loaded_names = cancels_t.select(doc_path(cancels_t, "data", "source_file").alias("f"))
-    cancels = load(new_files(spark, shares, loaded_names, "f", **CANCEL_FILES), parse_cancel_xml,
-                   "nfe_raw_cancelamentos", "cancelamento_id", False)
+    cancels = load(loaded_names, "f", None, CANCEL_FILES, parse_cancel_xml, "nfe_raw_cancelamentos", "cancelamento_id", False)
     return {"notes": notes, "cancels": cancels}
 
 
@@ -193,9 +194,11 @@ def load_maintenance(spark: SparkSession, landing: str, bronze: str, kind: str,
     from tidewater.sinks.tables import _fs
     fs, p = _fs(spark, detail_dir)
     if fs.exists(p):
-        ok, bad = parse_detail_envelopes(landed(spark, detail_dir).checkpoint(eager=True))
+        listed = listed_files(spark, detail_dir).checkpoint(eager=True)
+        read = landed(spark, detail_dir).checkpoint(eager=True)
+        ok, bad = parse_detail_envelopes(read)
         _upsert(ok.withColumnRenamed("key", key), bronze, f"raw_{kind}_details", key, by_month=False)
-        bad, obs = observed(bad, f"{kind}_bad")
+        bad, obs = observed(bad.unionByName(unread_files(listed, read, "file_path")), f"{kind}_bad")
         if rejects_to:
             write_rejects(bad, rejects_to, job_date, f"raw_{kind}_details")
         got["detail_errors"] = obs.get["rows"] if rejects_to else bad.count()

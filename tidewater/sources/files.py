@@ -98,12 +98,7 @@ def new_files(spark: SparkSession, path: str, loaded: DataFrame, loaded_key: str
     that listing. The surviving paths are then read -- the only file contents
     opened. The path list goes through the driver, which already holds the
     whole listing (Spark lists files there), so it is bounded by it."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                    .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
-                    .select(F.col("path").alias("file_path"),
-                            F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("file_name")))
-    listing = select_files(listing, include, exclude)
-    fresh = only_new(listing, loaded, file_key if file_key is not None else F.col("file_name"), loaded_key)
+    fresh = fresh_files(spark, path, loaded, loaded_key, file_key, include, exclude)
     paths = [r.file_path for r in fresh.select("file_path").collect()]
     if not paths:
         return spark.createDataFrame([], "value string, file_path string, file_name string, file_time timestamp")
@@ -113,16 +108,29 @@ def new_files(spark: SparkSession, path: str, loaded: DataFrame, loaded_key: str
     return landed(spark, path).filter(F.col("file_path").isin(paths))
 
 
+def fresh_files(spark: SparkSession, path: str, loaded: DataFrame, loaded_key: str, file_key=None,
+                include: str | None = None, exclude: str | None = None) -> DataFrame:
+    """``(file_path, file_name)`` of the files that ``new_files`` is to read, from a listing that opens none."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                    .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
+                    .select(F.col("path").alias("file_path"),
+                            F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("file_name")))
+    listing = select_files(listing, include, exclude)
+    return only_new(listing, loaded, file_key if file_key is not None else F.col("file_name"), loaded_key)
+
+
 def listed_files(spark: SparkSession, path: str) -> DataFrame:
     """``(file_path, file_name)`` of all files under ``path``, from a listing that opens none."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
             .select(F.col("path").alias("file_path"), F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("file_name")))
 
 
-def unread_files(listed: DataFrame, read: DataFrame) -> DataFrame:
+def unread_files(listed: DataFrame, read: DataFrame, by: str = "file_name") -> DataFrame:
     """``(file_name, error)`` of listed files of which no row came out of the
-    read (``read`` has at least one row per file that could be opened)."""
-    return without(listed.select("file_name").distinct(), read, "file_name").select("file_name", F.lit("file cannot be read").alias("error"))
+    read (``read`` has at least one row per file that could be opened). With
+    ``by='file_path'`` files of one name in several folders are told apart."""
+    return without(listed.select(by, "file_name").distinct() if by != "file_name" else listed.select(by).distinct(), read, by).select(
+        "file_name", F.lit("file cannot be read").alias("error"))
 
 
 def arrival(files: DataFrame, pos=None):

@@ -174,3 +174,13 @@ def test_slots_over_many_buckets(spark):
 def test_sharding_runs_no_python(spark):
     plan = QUERIES["op7_sharding"](spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_copies_of_a_text_do_not_steer_the_language_sample(spark):
+    path = vocabulary_file("piece_bpe_32k.model")
+    rows = [("a text of very many copies", "aa")] * 3000 + [("another one, that stands once", "aa"), ("ein Satz", "bb")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.train(df, path, max_docs=20, rounds=1)
+    once = langid.train(df.distinct(), path, max_docs=20, rounds=1)
+    assert model.langs == once.langs and np.allclose(model.chances, once.chances)
+    assert model.chances[:-1, 0].max() > 2 * model.chances[:-1, 0].min()  # not flat

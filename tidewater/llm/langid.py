@@ -220,7 +220,8 @@ def train(labelled: DataFrame, path: str, max_docs: int = 2000, rounds: int = RO
     python_tasks(spark)
     vocab = vocabulary(path)
     rows = labelled.select("text", "lang", F.xxhash64("text", "lang").alias("h")).where("text is not null and lang is not null")
-    found = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # equal texts count once: a text of many copies neither thins out the sample of its language nor fills it
+    found = {r["lang"]: r["n"] for r in rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(found)
     if not langs:
         return Model([], np.zeros((len(vocab.pieces) + 2, 0)))
@@ -239,7 +240,7 @@ def train(labelled: DataFrame, path: str, max_docs: int = 2000, rounds: int = RO
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
                                           pa.array([total[k] for k in keys], pa.int64())], names=["lang", "word", "n"])
 
-    each = rows.where(taken).select("text", "lang").mapInArrow(count, "lang string, word string, n long")
+    each = rows.where(taken).dropDuplicates(["lang", "h"]).select("text", "lang").mapInArrow(count, "lang string, word string, n long")
     by_word = cut(each.groupBy("word").agg(*[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{k}")
                                              for k, x in enumerate(langs)]))
     chances = normalised(np.ones((len(vocab.pieces) + 1, len(langs))))

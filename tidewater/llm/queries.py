@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, crf, decontamination, langid, line_dedup, paragraph_dedup, quality_rules, rans, sharding, simhash
+from tidewater.llm import (bpe, crf, decontamination, filter_audit, langid, line_dedup, merkle, paragraph_dedup, quality_rules, rans,
+                           sharding, simhash, warc)
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,37 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(table(spark, sf_dir, "pages"))
+    return warc.pages(warc.records(spark, folder, payload=False))
+
+
+ORACLE["op11_warc"] = """
+WITH d AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS x FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS top FROM d)
+SELECT page_id, n AS payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(x, 1 + 10 * (i // 8)::int, 10))::bigint >> (35 - 5 * (i % 8))) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM g"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    return merkle.audit(docs, F.when(hit, F.translate("text", "\n", "")).otherwise(F.col("text")))
+
+
+ORACLE["op12_merkle_manifest"] = merkle.oracle()
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op13_filter_audit"] = filter_audit.oracle()

@@ -103,20 +103,20 @@ def full_name(a, b) -> Column:
 
 
 def iso_date(col) -> Column:
-    """Date of an ISO text, taking the literal date (offset ignored)."""
-    return F.to_date(F.substring(_c(col), 1, 10), "yyyy-MM-dd")
+    """Date of an ISO text, taking the literal date (offset ignored); NULL if it is none."""
+    return F.try_to_date(F.substring(_c(col), 1, 10), "yyyy-MM-dd")
 
 
 def text_to_utc(col) -> Column:
     """Read the local date-time of an ISO text as UTC, dropping any offset;
-    fractional seconds are kept."""
-    local = F.regexp_replace(_c(col), r"(:\d{2}(?:\.\d+)?)\s*(?:Z|[+-]\d{2}(?::?\d{2})?)$", "$1").cast("timestamp_ntz")
+    fractional seconds are kept. NULL if the text is no date-time."""
+    local = F.regexp_replace(_c(col), r"(:\d{2}(?:\.\d+)?)\s*(?:Z|[+-]\d{2}(?::?\d{2})?)$", "$1").try_cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), local).cast("timestamp")
 
 
 def instant(col) -> Column:
-    """``text::timestamptz``: ISO text with offset -> instant."""
-    return F.to_timestamp(_c(col))
+    """``text::timestamptz``: ISO text with offset -> instant; NULL if it is none."""
+    return F.try_to_timestamp(_c(col))
 
 
 def local_day(col, zone: str | None = None) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.json_paths import project
-from tidewater.functions.scalar import abs_diff, differs, month_of
+from tidewater.functions.scalar import abs_diff, differs, iso_date, month_of
 from tidewater.operators.aggregates import count_distinct_tuple, coverage, table_counts
 from tidewater.operators.filters import (
     by_key, in_period, last_days, missing_any, since, since_any, where_if, where_nonzero, where_path,
@@ -82,7 +82,7 @@ def cancels_per_hotel(cancels_raw: DataFrame) -> DataFrame:
 def notes_without_pos(notes: DataFrame, pos: DataFrame, day) -> DataFrame:
     """Q8: notes issued since ``day`` with no POS record (``notes`` is
     ``silver_notes``; the date is the literal date of ``dhEmi``)."""
-    n = notes.withColumn("_d", F.to_date(F.substring("dhEmi", 1, 10)))
+    n = notes.withColumn("_d", iso_date("dhEmi"))
     n = without(since(n, "_d", day), pos, "nota_id", "chave_nfe")
     return sort(n.select("nota_id", "hotel", F.col("dhEmi").alias("data_emissao"), F.col("nNF").alias("numero_nota"),
                          F.col("vNF").alias("valor")), ["-data_emissao"])
@@ -90,7 +90,7 @@ def notes_without_pos(notes: DataFrame, pos: DataFrame, day) -> DataFrame:
 
 def pos_overlap(notes: DataFrame, pos: DataFrame, day) -> DataFrame:
     """Q9: per site, notes since ``day``, with and without POS."""
-    n = since(notes.withColumn("_d", F.to_date(F.substring("dhEmi", 1, 10))), "_d", day)
+    n = since(notes.withColumn("_d", iso_date("dhEmi")), "_d", day)
     return sort(coverage(n, pos, "nota_id", ["hotel"], right_key="chave_nfe", names=("total_nfe", "com_pdv", "sem_pdv")),
                 ["hotel"])
 

@@ -24,7 +24,7 @@ from tidewater.fixed_values import STATUS_AUTHORISED, STATUS_CANCELLED, STATUS_P
 LEDGER_SPEC = [
     ("fkempresa", "FKEMPRESA", "text"),
     ("empresa", "EMPRESA", "text"),
-    ("data_emissao", "DTDATAEMISSAO", "text"),
+    ("data_emissao", "DTDATAEMISSAO", "iso_date"),
     ("tipo_documento", "TIPODEDOCUMENTO", "text"),
     ("numero_documento", "ANNUMERODOCUMENTO", "text"),
     ("serie", "ANSERIE", "text"),
@@ -40,15 +40,15 @@ LEDGER_SPEC = [
 ]
 
 NOTE_SPEC = [
-    ("hotel", "hotel", "text"), ("dhEmi", "dhEmi", "text"), ("nNF", "nNF", "text"),
+    ("hotel", "hotel", "text"), ("dhEmi", "dhEmi", "text", "instant", "iso_date"), ("nNF", "nNF", "text"),
     ("serie", "serie", "text"), ("mod", "mod", "text"), ("tpAmb", "tpAmb", "text"),
     ("cnpj_emit", "cnpj_emit", "text"), ("nome_emit", "nome_emit", "text"),
     ("vNF", "vNF", "numeric(12,2)"), ("nProt", "nProt", "text"), ("cStat", "cStat", "text"),
-    ("dhRecbto", "dhRecbto", "text"),
+    ("dhRecbto", "dhRecbto", "text", "instant"),
 ]
 
 CANCEL_SPEC = [
-    ("chNFe", "chNFe", "text"), ("dhEvento", "dhEvento", "text"),
+    ("chNFe", "chNFe", "text"), ("dhEvento", "dhEvento", "text", "instant"),
     ("nProt", "nProt", "text"), ("xJust", "xJust", "text"),
 ]
 
@@ -77,25 +77,24 @@ def _opt(df: DataFrame, *cols: str) -> list[str]:
     return [c for c in cols if c in df.columns]
 
 
-def silver_ledger(raw: DataFrame, company_sites: Mapping[str, str]) -> DataFrame:
-    """Typed ledger rows; one JSON parse per row."""
-    s = project(raw, "data", LEDGER_SPEC, keep=["lancamento_id", "extracted_at"])
-    return (s.withColumn("hotel", map_code("fkempresa", company_sites, fallback=None))
-             .withColumn("data_emissao", F.to_date(F.substring("data_emissao", 1, 10))))
+def silver_ledger(raw: DataFrame, company_sites: Mapping[str, str], malformed: str | None = None) -> DataFrame:
+    """Typed ledger rows; one JSON parse per row. ``malformed`` as in ``project``."""
+    s = project(raw, "data", LEDGER_SPEC, keep=["lancamento_id", "extracted_at"], malformed=malformed)
+    return s.withColumn("hotel", map_code("fkempresa", company_sites, fallback=None))
 
 
-def silver_notes(raw: DataFrame) -> DataFrame:
-    return project(raw, "data", NOTE_SPEC, keep=["nota_id", "extracted_at"])
+def silver_notes(raw: DataFrame, malformed: str | None = None) -> DataFrame:
+    return project(raw, "data", NOTE_SPEC, keep=["nota_id", "extracted_at"], malformed=malformed)
 
 
-def silver_cancels(raw: DataFrame) -> DataFrame:
-    return project(raw, "data", CANCEL_SPEC, keep=["cancelamento_id", "extracted_at"])
+def silver_cancels(raw: DataFrame, malformed: str | None = None) -> DataFrame:
+    return project(raw, "data", CANCEL_SPEC, keep=["cancelamento_id", "extracted_at"], malformed=malformed)
 
 
-def fact_pos(raw: DataFrame) -> DataFrame:
+def fact_pos(raw: DataFrame, malformed: str | None = None) -> DataFrame:
     """V9: POS notes, 18 columns."""
-    p = project(raw, "data", POS_SPEC, keep=["nota_id", "extracted_at"]).withColumnRenamed("nota_id", "chave_nfe")
-    return p.select("chave_nfe", *[n for n, _, _ in POS_SPEC], *[c for c in ["extracted_at"] if c in p.columns])
+    p = project(raw, "data", POS_SPEC, keep=["nota_id", "extracted_at"], malformed=malformed).withColumnRenamed("nota_id", "chave_nfe")
+    return p.select("chave_nfe", *[n for n, *_ in POS_SPEC], *_opt(p, "extracted_at", *([malformed] if malformed else [])))
 
 
 def fact_ledger(ledger: DataFrame, notes: DataFrame, cancels: DataFrame, direct: bool = True) -> DataFrame:

@@ -10,11 +10,14 @@ table's own shared location), never on a machine-local disk.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.operators.joins import one_per_key, with_exists, without
 from tidewater.fixed_values import DELETED_MARKER
@@ -69,7 +72,6 @@ def _set_in_variant(v: Column, parts: Sequence[str], value: Column) -> Column:
 
 def set_path(doc: Column, parts: Sequence[str], value: str) -> Column:
     """``jsonb_set(doc, '{a,b}', '"value"')`` on JSON text."""
-    import json
     return F.to_json(_set_in_variant(F.parse_json(doc), list(parts), F.parse_json(F.lit(json.dumps(value)))))
 
 
@@ -81,7 +83,6 @@ def soft_delete(df: DataFrame, ids: DataFrame, key: str, parts: Sequence[str],
     ``['data','attributes','status']`` for detail rows) -- and refresh
     ``stamp``. Other rows pass unchanged. Works on VARIANT or JSON-text
     documents; only the marked rows are rewritten."""
-    import json
     flagged = with_exists(df, ids, key, ids_key or key, "_gone")
     if dict(df.dtypes)[doc] == "variant":
         new = _set_in_variant(F.col(doc), list(parts), F.parse_json(F.lit(json.dumps(marker))))
@@ -159,7 +160,40 @@ def versions(spark: SparkSession, base: str, complete: bool = True) -> list[int]
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     """The newest complete version of a bronze/gold table."""
     vs = versions(spark, base)
-    return spark.read.parquet(f"{base}/v={vs[-1]}") if vs else None
+    return read_folder(spark, f"{base}/v={vs[-1]}") if vs else None
+
+
+def write_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep a table folder's schema beside its files: a table without rows may have none."""
+    fs, p = _fs(spark, f"{path}/_schema")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(schema.json().encode()))
+    finally:
+        out.close()
+
+
+def read_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, p = _fs(spark, f"{path}/_schema")
+    if not fs.exists(p):
+        return None
+    with_text = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(with_text, "UTF-8")
+    finally:
+        with_text.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def read_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A table folder; one without files has no rows of the schema kept with it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        schema = read_schema(spark, path)
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA" or schema is None:
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def commit_version(df: DataFrame, base: str, partition_by: Sequence[str] = (), keep: int = 3) -> DataFrame:
@@ -175,10 +209,11 @@ def commit_version(df: DataFrame, base: str, partition_by: Sequence[str] = (), k
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{base}/v={n}")
+    write_schema(spark, f"{base}/v={n}", df.schema)
     for old in versions(spark, base)[:-keep]:
         fs, p = _fs(spark, f"{base}/v={old}")
         fs.delete(p, True)
-    return spark.read.parquet(f"{base}/v={n}")
+    return read_folder(spark, f"{base}/v={n}")
 
 
 def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.arrays import merge_record
+from tidewater.functions.json_paths import once
 from tidewater.functions.scalar import clean_key, digits, map_code
 from tidewater.sources.files import arrival, strip_bom
 
@@ -71,13 +72,6 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("error").isNotNull()).select("file_name", "error")
 
 
-def _once(parsed: Column, name: str) -> Column:
-    """Parse once: a generator's output is never inlined back into later
-    filters and projections, so the parse runs once per document (predicate
-    pushdown would otherwise substitute the parse into every reference)."""
-    return F.explode(F.array(parsed)).alias(name)
-
-
 # ---------------------------------------------------------------- S1 / S2
 
 
@@ -85,7 +79,7 @@ def parse_paged_envelopes(pages: DataFrame, errors: bool = False) -> DataFrame:
     """``data[]`` of every landed list page; ``included`` of list pages
     is dropped (D18). Columns: key, data, page, total_pages, file_name, arrival.
     Each page is parsed once (VARIANT)."""
-    rows = pages.select("file_name", *_when(pages), _once(F.try_parse_json("value"), "v"))
+    rows = pages.select("file_name", *_when(pages), once(F.try_parse_json("value"), "v"))
     rows = rows.select(
         "file_name", "_day", "_time", "v",
         F.coalesce(F.try_variant_get("v", "$.meta.pagination.current_page", "int"), F.lit(1)).alias("page"),
@@ -112,7 +106,7 @@ def incomplete_lists(rows: DataFrame) -> DataFrame:
 def parse_detail_envelopes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Detail envelopes; reject when ``data`` (or its id) is missing;
     hoist ``data.id`` to a root ``id``; ``included`` is kept."""
-    rows = docs.select("file_name", arrival(docs), _once(F.try_parse_json("value"), "v"))
+    rows = docs.select("file_name", arrival(docs), once(F.try_parse_json("value"), "v"))
     rows = rows.select("file_name", "arrival", "v", F.try_variant_get("v", "$.data.id", "string").alias("key"))
     ok = rows.filter(F.col("key").isNotNull()).select("key", _with_fields(F.col("v"), id=F.col("key")).alias("data"),
                                                       "file_name", "arrival")
@@ -132,7 +126,7 @@ def parse_sectioned_json(files: DataFrame, store_codes: Mapping[str, str],
     '' when absent); records from section 2, objects only, non-blank trimmed
     key; each record gains ``id, hotel, source_file`` (its own fields win).
     A file of fewer sections has no records; one that is no JSON array is an error."""
-    files = files.select("file_name", *_when(files), _once(F.try_parse_json("value"), "v"))
+    files = files.select("file_name", *_when(files), once(F.try_parse_json("value"), "v"))
     store = F.coalesce(F.try_variant_get("v", f"$[0][0]['{header_field}']", "string"), F.lit(""))
     sections = F.try_variant_get("v", "$", "array<variant>")
     rows = _elements(files.select("*", map_code(store, store_codes).alias("hotel"), sections.isNotNull().alias("_list"),
@@ -152,7 +146,7 @@ def parse_nested_array_json(files: DataFrame, location_codes: Mapping[str, str],
                             code_field: str = "locationRef", errors: bool = False) -> DataFrame:
     """Line-item file ``[[rec, ...]]``; element 0; skip a falsy key
     (missing, null, 0, '', false); location code -> site, fallback the code."""
-    files = files.select("file_name", *_when(files), _once(F.try_parse_json("value"), "v"))
+    files = files.select("file_name", *_when(files), once(F.try_parse_json("value"), "v"))
     rows = _elements(files, "$[0]")
     raw_key = F.try_variant_get("e", f"$.{key_field}", "string")
     falsy = raw_key.isNull() | raw_key.isin("0", "", "false", "0.0")
@@ -186,7 +180,7 @@ def parse_note_xml(files: DataFrame, hotel: Column | None = None) -> tuple[DataF
     name; rejected unless 44 long. Keeps the whole XML in ``xml_content``."""
     rows = files.select("file_name", arrival(files), strip_bom("value").alias("xml_content"),
                         (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"))
-    rows = rows.select("*", _once(F.from_xml("xml_content", NOTE_XML_SCHEMA), "x"))
+    rows = rows.select("*", once(F.from_xml("xml_content", NOTE_XML_SCHEMA), "x"))
     inf = F.coalesce(F.col("x.NFe.infNFe"), F.col("x.infNFe"))
     raw_id = inf.getField("_Id")
     key = F.when(F.coalesce(raw_id, F.lit("")) != "", clean_key(raw_id)).otherwise(
@@ -221,7 +215,7 @@ def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[Dat
     does not parse or lacks ``evento`` / ``infEvento``."""
     rows = files.select("file_name", arrival(files), strip_bom("value").alias("xml_content"),
                         (hotel if hotel is not None else F.lit(None).cast("string")).alias("hotel"))
-    rows = rows.select("*", _once(F.from_xml("xml_content", CANCEL_XML_SCHEMA), "x"))
+    rows = rows.select("*", once(F.from_xml("xml_content", CANCEL_XML_SCHEMA), "x"))
     inf = F.col("x.evento.infEvento")
     error = (F.when(F.col("x._corrupt_record").isNotNull() | F.col("x").isNull(), F.lit("invalid XML"))
               .when(F.col("x.evento").isNull(), F.lit("evento not found"))
@@ -250,7 +244,7 @@ def parse_json_array(files: DataFrame, key_field: str = "IDLANCAMENTOICMSBASE",
     The record is kept whole (plus the root ``id``); ``arrival`` lets a batch be
     de-duplicated with the last occurrence winning (K2). Records without the
     key keep a NULL key."""
-    files = files.select("file_name", *_when(files), _once(F.try_parse_json("value"), "v"))
+    files = files.select("file_name", *_when(files), once(F.try_parse_json("value"), "v"))
     rows = _elements(files, "$")
     key = F.try_variant_get("e", f"$.{key_field}", "string")
     rows = rows.filter(F.col("error").isNotNull() | F.col("e").isNull() | _as_map(F.col("e")).isNotNull())

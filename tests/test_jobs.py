@@ -83,9 +83,9 @@ def test_jobs_end_to_end(spark, tmp):
     hours = v["v_trabalho_analitico_operador_chamados"].collect()
     assert [(r.failure_id, r.operator_id, r.horas_decimais) for r in hours] == [("F1", 9, 2.5)]
     states = {r.failure_id: r.state for r in audits.ids_by_state(
-        spark.read.parquet(f"{bronze}/raw_failures"), "EXCLUIDO").select("failure_id", "state").collect()}
+        jobs.bronze_table(spark, bronze, "raw_failures", "failure_id"), "EXCLUIDO").select("failure_id", "state").collect()}
     assert states == {"F2": "EXCLUIDO"}
-    det = spark.read.parquet(f"{bronze}/raw_failures_details").filter(F.col("failure_id") == "F2").first()
+    det = jobs.bronze_table(spark, bronze, "raw_failures_details", "failure_id").filter(F.col("failure_id") == "F2").first()
     assert as_json(det.data)["data"]["attributes"]["status"] == "EXCLUIDO"
     assert audits.ledger_period(spark.table("v_fiscal_lancamentos"), "2026-02-19", "2026-02-19").count() == 2
 
@@ -133,7 +133,7 @@ def test_later_arrivals_win_and_bad_files_are_reported(spark, tmp):
         got = jobs.load_maintenance(spark, f"{land}/m", bronze, "failures", "failure_id", rej, "2026-03-02")
         assert got == {"rows": 2, "errors": 1, "detail_errors": 1}
     assert sorted(r.error for r in spark.read.parquet(rej).collect()) == ["envelope without data", "not JSON"]
-    (row,) = spark.read.parquet(f"{bronze}/raw_failures").collect()
+    (row,) = jobs.bronze_table(spark, bronze, "raw_failures", "failure_id").collect()
     assert as_json(row.data)["attributes"]["state"] == "COMPLETED"
     for name, text in (("a_2026-03-01.json", [[{"Store Number": "S"}], [{}], [{"Invoice Data Info 8": k(1), "Sub Total 1": 90.0}]]),
                        ("a_2026-03-02.json", [[{"Store Number": "S"}], [{}], [{"Invoice Data Info 8": k(1), "Sub Total 1": 10.0}]]),
@@ -141,7 +141,7 @@ def test_later_arrivals_win_and_bad_files_are_reported(spark, tmp):
         write(f"{land}/pos", name, text)
     got = jobs.load_pos(spark, f"{land}/pos", bronze, {}, rejects_to=rej, job_date="2026-03-02")
     assert got == {"rows": 2, "errors": 2}
-    (row,) = spark.read.parquet(f"{bronze}/pdv_raw_notas").collect()
+    (row,) = jobs.bronze_table(spark, bronze, "pdv_raw_notas", "nota_id").collect()
     assert as_json(row.data)["Sub Total 1"] == 10.0
     write(f"{land}/items", "x_GCM.json", "{")
     assert jobs.load_line_items(spark, f"{land}/items", bronze, {}) == {"rows": 0, "errors": 1}

@@ -80,6 +80,13 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """``checkpoint_dir``; a master on one machine (``local[*]``) gets a folder
+    there where none is set, a cluster never does."""
+    alone = spark.sparkContext.master.split("[")[0] == "local"
+    return checkpoint_dir(spark, "file:///tmp/checkpoints" if alone else None)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the result-changing settings to an existing session (the driver's)."""
     for k, v in SEMANTIC_CONF.items():

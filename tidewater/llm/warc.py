@@ -16,7 +16,7 @@ cannot know, and a payload may hold anything, whole records included.
    and, from the length in its header, the offset of its successor (``pieces``).
 2. The candidates of one split are followed to where their chains leave it,
    and the first offset in each file to all that it reaches by pointer jumping:
-   each round doubles the length of the jumps (``reachable``). The tables of
+   each round doubles the length of the jumps (``entered``). The tables of
    these steps hold offsets only, a few rows for each split of a file.
 3. Only records on the chain from the start of their file are kept. What else
    looked like a record lies within a payload and is part of it: the pieces of a
@@ -127,7 +127,7 @@ class Split:
     """Cuts one split of a file, chunk by chunk, into pieces that begin at candidates.
 
     A split at the start of a file knows the chain: ``due`` is where the next
-    record starts. Others learn it from ``reachable``."""
+    record starts. Others learn it from ``entered``."""
 
     def __init__(self, file: str, start: int, file_bytes: int):
         self.file, self.start, self.file_bytes = file, start, file_bytes
@@ -171,7 +171,6 @@ class Split:
         return row
 
 
-MEASURED = "http string, payload_bytes long, payload_digest string, payload binary"
 PIECES = pa.schema([
     ("file", pa.string()), ("block", pa.int64()), ("file_bytes", pa.int64()), ("at", pa.int64()), ("size", pa.int64()),
     ("lead", pa.binary()), ("open", pa.binary()), ("head", pa.string()), ("head_bytes", pa.int64()), ("length", pa.int64()),
@@ -229,7 +228,7 @@ def pieces(spark: SparkSession, folder: str, payload: bool) -> DataFrame:
 def placed(found: DataFrame) -> DataFrame:
     """Every piece without its bytes, at its offset in the file; headers that a
     split left open are completed by what the next split begins with."""
-    rows = found.select("file", "block", "file_bytes", "at", "size", "lead", "open", "head", "head_bytes", "length")
+    rows = found.drop("body")
     blocks = rows.groupBy("file", "block").agg(F.sum("size").alias("n"), F.max("lead").alias("first_bytes"))
     in_file = W.partitionBy("file").orderBy("block")  # one row for each split of a file
     blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(in_file.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"),
@@ -243,7 +242,8 @@ def placed(found: DataFrame) -> DataFrame:
         "file", "block", "file_bytes", "at", "off", "size",
         F.when(late, F.decode(F.substring(F.concat("open", "next_bytes"), F.lit(1), end + 3), "UTF-8")).otherwise(F.col("head")).alias("head"),
         F.when(late, end + 3).otherwise(F.col("head_bytes")).cast("long").alias("head_bytes"),
-        (F.col("off") + F.when(late, end + 3 + length.try_cast("long") + 4).otherwise(F.col("length"))).alias("next"))
+        (F.col("off") + F.when(late, end + 3 + length.try_cast("long") + 4).otherwise(F.col("length"))).alias("next"),
+        "http", "payload_bytes", "payload_digest")
 
 
 def leave_split(rows: pd.DataFrame) -> pd.DataFrame:
@@ -255,19 +255,22 @@ def leave_split(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"file": rows["file"], "off": rows["off"], "to": [leaves[x] for x in rows["off"].tolist()]})
 
 
-def stay_in_chain(rows: pd.DataFrame) -> pd.DataFrame:
-    """The candidates of one split on the chain from where it is entered."""
+def owners(rows: pd.DataFrame) -> pd.DataFrame:
+    """The pieces of one split with the offset of the record that each belongs
+    to: the last one on the chain that starts at or before the piece."""
     rows = rows.sort_values("off")
-    on, kept = set(), []
+    due, current, found = set(), None, []
     for off, after, entry in zip(rows["off"].tolist(), rows["next"].tolist(), rows["entry"].tolist()):
-        kept.append(entry or off in on)
-        if kept[-1]:
-            on.add(after)
-    return rows.loc[kept, ["file", "off"]]
+        if after == after and (entry or off in due):  # NaN: no candidate
+            due.add(int(after))
+            current = off
+        found.append(current)
+    return rows.assign(owner=pd.array(found, dtype="Int64")).drop(columns="entry")
 
 
-def reachable(candidates: DataFrame) -> DataFrame:
-    """(file, off) of the candidates (file, block, off, next) on the chain from offset 0 of their file."""
+def entered(candidates: DataFrame) -> DataFrame:
+    """(file, off): where the chain from offset 0 of a file enters each of its
+    splits, from the candidates (file, block, off, next) of all splits."""
     steps = cut(candidates.groupBy("file", "block").applyInPandas(leave_split, "file string, off long, to long"))
     # nodes: where a file begins, or where a chain that left a split goes on
     targets = steps.select("file", F.col("to").alias("off")).distinct()
@@ -282,13 +285,12 @@ def reachable(candidates: DataFrame) -> DataFrame:
             break
         jumps = cut(jumps.join(jumps.select("file", F.col("off").alias("to"), F.col("to").alias("further")), ["file", "to"])
                     .select("file", "off", F.col("further").alias("to")))
-    flagged = candidates.join(on.withColumn("entered", F.lit(True)), ["file", "off"], "left").select(
-        "file", "block", "off", "next", F.coalesce("entered", F.lit(False)).alias("entry"))
-    return flagged.groupBy("file", "block").applyInPandas(stay_in_chain, "file string, off long")
+    return on
 
 
 RECORDS = pa.schema([("file", pa.string()), ("off", pa.int64()), ("length", pa.int64()), ("head", pa.string()), ("http", pa.string()),
                      ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+RECORDS_DDL = "file string, off long, length long, head string, http string, payload_bytes long, payload_digest string, payload binary"
 
 
 class Archive:
@@ -296,46 +298,47 @@ class Archive:
 
     def __init__(self, spark: SparkSession, folder: str, payload: bool):
         found = staged(pieces(spark, folder, payload), "pieces")
-        self.places = staged(placed(found), "places")
-        self.chain = staged(reachable(self.places.where("next is not null").select("file", "block", "off", "next")), "chain")
-        starts = self.places.join(self.chain, ["file", "off"]).where("next <= file_bytes").select(
-            "file", "block", "at", "off", (F.col("next") - F.col("off")).alias("length"), "head", "head_bytes", "size")
-        found = found.select("file", "block", "at", "http", "payload_bytes", "payload_digest", "body")
-        whole = starts.where("length <= size").join(found, ["file", "block", "at"]).select(
-            "file", "off", "length", "head", "http", "payload_bytes", "payload_digest", "head_bytes", "body")
-        # records in several pieces: every piece belongs to the last record that starts at or before it
-        in_split = W.partitionBy("file", "block").orderBy("off")
-        flagged = self.places.join(self.chain.withColumn("start", F.col("off")), ["file", "off"], "left")
-        carried = flagged.groupBy("file", "block").agg(F.max("start").alias("latest")).select("file", "block", F.max("latest").over(
+        places = staged(placed(found), "places")
+        entries = entered(places.where("next is not null").select("file", "block", "off", "next"))
+        flagged = places.join(entries.withColumn("entry", F.lit(True)), ["file", "off"], "left").select(
+            *places.columns, F.coalesce("entry", F.lit(False)).alias("entry"))
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in places.schema)
+        owned = staged(flagged.groupBy("file", "block").applyInPandas(owners, f"{kinds}, owner long"), "owners")
+        # a split begins with the rest of a record of the splits before it
+        carried = owned.groupBy("file", "block").agg(F.max("owner").alias("latest")).select("file", "block", F.max("latest").over(
             W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)).alias("carried"))
-        owned = flagged.withColumn("own", F.max("start").over(in_split)).join(carried, ["file", "block"]).select(
-            "file", "block", "at", F.col("off").alias("piece"), F.coalesce("own", "carried").alias("off"))
-        long = starts.where("length > size").select("file", "off", "length", "head", "head_bytes")
-        parts = owned.join(long, ["file", "off"]).join(found.select("file", "block", "at", "body"), ["file", "block", "at"])
-        several = parts.groupBy("file", "off", "length", "head", "head_bytes").applyInPandas(
-            lambda key, rows: pd.DataFrame([[*key, b"".join(rows.sort_values("piece")["body"])]],
-                                           columns=["file", "off", "length", "head", "head_bytes", "body"]),
-            "file string, off long, length long, head string, head_bytes long, body binary").select(
-            "file", "off", "length", "head", F.lit(None).cast("string").alias("http"), F.lit(None).cast("long").alias("payload_bytes"),
-            F.lit(None).cast("string").alias("payload_digest"), "head_bytes", "body")
+        self.places = owned
+        starts = owned.where("off = owner and next <= file_bytes").withColumn("length", F.col("next") - F.col("off"))
+        bodies = found.select("file", "block", "at", "body")
+        known = starts.where("payload_digest is not null").select(
+            "file", "off", "length", "head", "http", "payload_bytes", "payload_digest", F.lit(None).cast("binary").alias("payload"))
+        whole = starts.where("payload_digest is null and length <= size").join(bodies, ["file", "block", "at"]).select(
+            "file", "off", "length", "head", "head_bytes", "body")
+        long = starts.where("length > size").select("file", F.col("off").alias("owner"), "length", "head", "head_bytes")
+        parts = owned.select("file", "block", "at", "off", F.col("owner").alias("own")).join(carried, ["file", "block"]) \
+            .withColumn("owner", F.coalesce("own", "carried")).join(long, ["file", "owner"]).join(bodies, ["file", "block", "at"])
+
+        def taken(row: dict) -> dict:
+            http, n, digest, data = measured(row["head"], row["body"][row["head_bytes"]:row["length"] - 4])
+            return {"file": row["file"], "off": row["off"], "length": row["length"], "head": row["head"], "http": http,
+                    "payload_bytes": n, "payload_digest": digest, "payload": data if payload else None}
 
         def measure(batches):
             for batch in batches:
-                rows = batch.to_pylist()
-                for row in rows:
-                    if row["payload_digest"] is None:
-                        row["http"], row["payload_bytes"], row["payload_digest"], data = measured(
-                            row["head"], row["body"][row["head_bytes"]:row["length"] - 4])
-                        row["payload"] = data if payload else None
-                yield pa.RecordBatch.from_pylist(rows, schema=RECORDS)
+                yield pa.RecordBatch.from_pylist([taken(row) for row in batch.to_pylist()], schema=RECORDS)
 
-        self.records = whole.union(several).mapInArrow(measure, f"file string, off long, length long, head string, {MEASURED}")
+        def together(key, rows: pd.DataFrame) -> pd.DataFrame:
+            row = dict(zip(("file", "off", "length", "head", "head_bytes"), key))
+            return pd.DataFrame([taken(row | {"body": b"".join(rows.sort_values("off")["body"])})])
+
+        several = parts.groupBy("file", "owner", "length", "head", "head_bytes").applyInPandas(together, RECORDS_DDL)
+        self.records = known.union(whole.mapInArrow(measure, RECORDS_DDL)).union(several)
 
     @property
     def damage(self) -> DataFrame:
         """(file, off, file_bytes): files whose chain does not end where they do, and where it breaks."""
         files = self.places.groupBy("file").agg(F.max("file_bytes").alias("file_bytes"), F.sum("size").alias("seen"))
-        ends = self.places.join(self.chain, ["file", "off"]).where("next <= file_bytes").groupBy("file").agg(F.max("next").alias("off"))
+        ends = self.places.where("off = owner and next <= file_bytes").groupBy("file").agg(F.max("next").alias("off"))
         return files.join(ends, "file", "left").select("file", F.coalesce("off", F.lit(0)).alias("off"), "file_bytes", "seen") \
             .where("off != file_bytes or seen != file_bytes").select("file", "off", "file_bytes")
 
@@ -364,6 +367,7 @@ def pages(found: DataFrame) -> DataFrame:
     rows = found.select(field("Page-Id").cast("long").alias("page_id"), field("WARC-Type").alias("record_type"),
                         field("WARC-Record-ID").alias("id"), field("WARC-Refers-To").alias("to"),
                         F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("said"), "payload_bytes", "payload_digest")
+    rows = staged(rows, "records")
     checked = F.when(F.col("said").eqNullSafe(F.col("payload_digest")), F.col("payload_digest")).otherwise(
         F.raise_error(F.concat(F.lit("digest does not match: record "), F.coalesce("id", F.lit("-")))))
     full = rows.where(F.col("record_type") == RESPONSE).select("page_id", "payload_bytes", checked.alias("payload_digest"), "record_type",

@@ -23,9 +23,9 @@ URLS = ["http://a/b", "http://x/WARC/1.1/spec", "http://WARC/1.0\r\nContent-Leng
 
 @pytest.fixture()
 def splits(spark):
-    """Splits of 6,000 bytes, so that most records cross a border."""
+    """Splits of 20,000 bytes, so that many records cross a border."""
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     yield
     for k, v in before.items():

@@ -202,3 +202,11 @@ def test_new_files_opens_only_unloaded_files(spark, tmp):
             walk(it.next())
     walk(plan)
     assert files_read == [1]                                   # the loaded file was never opened
+
+
+def test_files_of_several_lines_are_one_row(spark, tmp):
+    with open(f"{tmp}/a.json", "w") as f:
+        f.write('[\n {"IDLANCAMENTOICMSBASE": 1},\n {"IDLANCAMENTOICMSBASE": 2}\n]\n')
+    from tidewater.sources import landed, parse_json_array
+    assert landed(spark, tmp).count() == 1
+    assert sorted(r.key for r in parse_json_array(landed(spark, tmp)).collect()) == ["1", "2"]

@@ -25,8 +25,8 @@ from tidewater.plans.line_items import fact_line_items
 from tidewater.sinks.batches import append_batch, compact, read_merged
 from tidewater.sinks.tables import dedupe_last, observed, refresh, register_all, soft_delete, write_rejects
 from tidewater.sources.documents import (
-    parse_cancel_xml, parse_detail_envelopes, parse_json_array, parse_nested_array_json, parse_note_xml,
-    incomplete_lists, parse_paged_envelopes, parse_sectioned_json, records, rejects,
+    incomplete_lists, parse_cancel_xml, parse_detail_envelopes, parse_note_xml, parse_paged_envelopes, records, rejects,
+    scan_json_array, scan_nested_array_json, scan_sectioned_json,
 )
 from tidewater.session import checkpoint_dir
 from tidewater.sources.files import folder_of, fresh_files, key_from_name, landed, listed_files, new_files, select_files, unread_files
@@ -79,15 +79,17 @@ def load_pos(spark: SparkSession, landing: str, bronze: str, store_codes: Mappin
     def chosen(df: DataFrame) -> DataFrame:
         df = select_files(df, **POS_FILES)
         return df.filter(F.col("file_name").contains(day)) if day else df
-    parsed = parse_sectioned_json(chosen(landed(spark, landing)), store_codes, errors=True)
+    parsed = scan_sectioned_json(spark, landing, store_codes, errors=True, chosen=chosen)
     return _load(parsed, chosen(listed_files(spark, landing)), bronze, "pdv_raw_notas", "nota_id", rejects_to, job_date or day)
 
 
 def load_line_items(spark: SparkSession, landing: str, bronze: str, location_codes: Mapping[str, str],
                     rejects_to: str | None = None, job_date: str | None = None) -> dict:
     """E1 for line items -> ``gcm_raw_line_items`` (keyed by line item id)."""
-    parsed = parse_nested_array_json(select_files(landed(spark, landing), **LINE_ITEM_FILES), location_codes, errors=True)
-    return _load(parsed, select_files(listed_files(spark, landing), **LINE_ITEM_FILES), bronze, "gcm_raw_line_items",
+    def chosen(df: DataFrame) -> DataFrame:
+        return select_files(df, **LINE_ITEM_FILES)
+    parsed = scan_nested_array_json(spark, landing, location_codes, errors=True, chosen=chosen)
+    return _load(parsed, chosen(listed_files(spark, landing)), bronze, "gcm_raw_line_items",
                  "line_item_id", rejects_to, job_date)
 
 
@@ -124,7 +126,7 @@ def load_ledger(spark: SparkSession, landing: str, bronze: str, gold: str, compa
                 rejects_to: str | None = None, job_date: str | None = None) -> dict:
     """Ledger arrays -> ``fiscal_raw_lancamentos`` (last occurrence wins),
     then refresh the gold ledger fact (K4)."""
-    got = _load(parse_json_array(landed(spark, landing), errors=True), listed_files(spark, landing), bronze,
+    got = _load(scan_json_array(spark, landing, errors=True), listed_files(spark, landing), bronze,
                 "fiscal_raw_lancamentos", "lancamento_id", rejects_to, job_date)
     refresh_ledger_fact(spark, bronze, gold, company_sites)
     return got

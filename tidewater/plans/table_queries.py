@@ -18,6 +18,7 @@ from tidewater.plans.stand_ins import COVERS, dbl, query, t
 from tidewater.session import scratch_dir
 from tidewater.sinks import append_batch, compact, delete_keys, read_merged
 from tidewater.sinks.tables import _fs
+from tidewater.sources import scan_json_array
 
 
 def in_scratch(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
@@ -104,4 +105,39 @@ def merge_on_read(spark, d):
     return in_scratch(spark, work)
 
 
-COVERS.update({"cast_counts": "F1 F2", "cast_rejects": "F2 K6", "merge_on_read": "K1 K2 T2"})
+# ------------------------------------------------------------------ arrays in splits
+
+ARRAY_ROWS = 50_000  # records of a file
+
+
+def write_arrays(rows: DataFrame, key: str, record: F.Column, folder: str) -> None:
+    """Files of one JSON array each, ``ARRAY_ROWS`` records long or so; no array is built in memory."""
+    files = max(1, rows.count() // ARRAY_ROWS)
+    # keys may repeat: a row is its key and its place
+    rows = rows.select(F.struct(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row")).alias("key"), record.alias("record"),
+                       F.pmod(F.xxhash64(key), F.lit(files)).alias("file"))
+    ends = rows.groupBy("file").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    lines = rows.join(ends, "file").select("file", "key", F.concat(
+        F.when(F.col("key") == F.col("first"), "[").otherwise(","), "record", F.when(F.col("key") == F.col("last"), "]").otherwise("")).alias("value"))
+    lines.repartition("file").sortWithinPartitions("file", "key").select("file", "value").write.partitionBy("file").text(folder)
+
+
+@query("array_splits", f"""
+SELECT {LINE_KEY_SQL} AS key, l_returnflag || '"}},{{[' || l_linestatus AS ANCFOP, l_returnflag = 'R' AS aninhado FROM lineitem""")
+def array_splits(spark, d):
+    """S7 over large array files, read in splits: texts hold brackets and quotes, some records hold others."""
+    li = t(spark, d, "lineitem").withColumn("id", line_key())
+    inner = F.when(F.col("l_returnflag") == "R", F.struct(F.array(F.struct(F.lit("]}").alias("x"))).alias("itens")))
+    rec = F.to_json(F.struct(F.col("id").alias("IDLANCAMENTOICMSBASE"), inner.alias("extra"),
+                             F.concat("l_returnflag", F.lit('"},{['), "l_linestatus").alias("ANCFOP")))
+
+    def work(folder):
+        write_arrays(li, "id", rec, folder)
+        rows = scan_json_array(spark, folder, group_bytes=1 << 16)
+        return rows.select("key", F.try_variant_get("data", "$.ANCFOP", "string").alias("ANCFOP"),
+                           F.coalesce(F.try_variant_get("data", "$.extra.itens[0].x", "string") == "]}", F.lit(False)).alias("aninhado"))
+
+    return in_scratch(spark, work)
+
+
+COVERS.update({"cast_counts": "F1 F2", "cast_rejects": "F2 K6", "merge_on_read": "K1 K2 T2", "array_splits": "S7"})

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from tidewater.functions.arrays import merge_record
 from tidewater.functions.json_paths import once
 from tidewater.functions.scalar import clean_key, digits, map_code
+from tidewater.operators.joins import left_lookup, one_per_key, without
+from tidewater.session import scratch_dir
+from tidewater.sources.arrays import GROUP_BYTES, scan_arrays
 from tidewater.sources.files import arrival, strip_bom
 
 
@@ -132,13 +135,21 @@ def parse_sectioned_json(files: DataFrame, store_codes: Mapping[str, str],
     rows = _elements(files.select("*", map_code(store, store_codes).alias("hotel"), sections.isNotNull().alias("_list"),
                                   (F.size(sections) > 2).alias("_has")), "$[2]")
     rows = rows.withColumn("error", F.when(F.col("_list") & ~F.col("_has"), None).otherwise(F.col("error")))
+    return _out(_pos_records(rows, key_field, errors), errors)
+
+
+def _pos_records(rows: DataFrame, key_field: str, errors: bool) -> DataFrame:
     key = F.trim(F.coalesce(F.try_variant_get("e", f"$['{key_field}']", "string"), F.lit("")))
     rows = rows.withColumn("key", F.when(_as_map(F.col("e")).isNotNull(), F.nullif(key, F.lit(""))))
-    return _out(rows.select("key", "hotel", F.col("file_name").alias("source_file"),
-                            F.when(F.col("key").isNotNull(), _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
-                                                                          source_file=F.col("file_name"))).alias("data"),
-                            _arrived(),
-                            *(["file_name"] if errors else []), "error"), errors)
+    return _site_records(rows, errors)
+
+
+def _site_records(rows: DataFrame, errors: bool) -> DataFrame:
+    """Records with ``key`` and ``hotel`` gain ``id, hotel, source_file``; their own fields win."""
+    return rows.select("key", "hotel", F.col("file_name").alias("source_file"),
+                       F.when(F.col("key").isNotNull(), _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
+                                                                     source_file=F.col("file_name"))).alias("data"),
+                       _arrived(), *(["file_name"] if errors else []), "error")
 
 
 def parse_nested_array_json(files: DataFrame, location_codes: Mapping[str, str],
@@ -147,17 +158,16 @@ def parse_nested_array_json(files: DataFrame, location_codes: Mapping[str, str],
     """Line-item file ``[[rec, ...]]``; element 0; skip a falsy key
     (missing, null, 0, '', false); location code -> site, fallback the code."""
     files = files.select("file_name", *_when(files), once(F.try_parse_json("value"), "v"))
-    rows = _elements(files, "$[0]")
+    return _out(_line_item_records(_elements(files, "$[0]"), location_codes, key_field, code_field, errors), errors)
+
+
+def _line_item_records(rows: DataFrame, location_codes: Mapping[str, str], key_field: str, code_field: str, errors: bool) -> DataFrame:
     raw_key = F.try_variant_get("e", f"$.{key_field}", "string")
     falsy = raw_key.isNull() | raw_key.isin("0", "", "false", "0.0")
     code = F.coalesce(F.try_variant_get("e", f"$.{code_field}", "string"), F.lit(""))
     rows = rows.select("file_name", "_day", "_time", "pos", "e", "error", map_code(code, location_codes).alias("hotel"),
                        F.when(_as_map(F.col("e")).isNotNull() & ~falsy, F.try_variant_get("e", f"$.{key_field}", "bigint")).alias("key"))
-    return _out(rows.select("key", "hotel", F.col("file_name").alias("source_file"),
-                            F.when(F.col("key").isNotNull(), _with_fields(F.col("e"), id=F.col("key"), hotel=F.col("hotel"),
-                                                                          source_file=F.col("file_name"))).alias("data"),
-                            _arrived(),
-                            *(["file_name"] if errors else []), "error"), errors)
+    return _site_records(rows, errors)
 
 
 # ---------------------------------------------------------------- S5 / S6
@@ -235,7 +245,7 @@ def parse_cancel_xml(files: DataFrame, hotel: Column | None = None) -> tuple[Dat
     return ok, rows.filter(F.col("error").isNotNull()).select("file_name", "error")
 
 
-# ---------------------------------------------------------------- S7 / S10 / S14
+# ---------------------------------------------------------------- S7
 
 
 def parse_json_array(files: DataFrame, key_field: str = "IDLANCAMENTOICMSBASE", errors: bool = False) -> DataFrame:
@@ -245,15 +255,68 @@ def parse_json_array(files: DataFrame, key_field: str = "IDLANCAMENTOICMSBASE",
     de-duplicated with the last occurrence winning (K2). Records without the
     key keep a NULL key."""
     files = files.select("file_name", *_when(files), once(F.try_parse_json("value"), "v"))
-    rows = _elements(files, "$")
+    return _array_out(_array_records(_elements(files, "$"), key_field), errors)
+
+
+def _array_records(rows: DataFrame, key_field: str) -> DataFrame:
     key = F.try_variant_get("e", f"$.{key_field}", "string")
     rows = rows.filter(F.col("error").isNotNull() | F.col("e").isNull() | _as_map(F.col("e")).isNotNull())
-    rows = rows.select(key.alias("key"), F.when(F.col("e").isNotNull(), _with_fields(F.col("e"), id=key)).alias("data"), "file_name",
-                       F.coalesce("pos", F.lit(0)).alias("pos"), _arrived(),
-                       "error")
+    return rows.select(key.alias("key"), F.when(F.col("e").isNotNull(), _with_fields(F.col("e"), id=key)).alias("data"), "file_name",
+                       F.coalesce("pos", F.lit(0)).alias("pos"), _arrived(), "error")
+
+
+def _array_out(rows: DataFrame, errors: bool) -> DataFrame:
     return rows if errors else rows.filter(F.col("error").isNull() & F.col("data").isNotNull()).drop("error")
 
 
+# ---------------------------------------------------------------- S3, S4, S7 for files of any size
+
+
+def _scanned(spark, path: str, depth: int, chosen, group_bytes: int) -> DataFrame:
+    """What ``_elements`` gives, from a scan in splits: ``pos`` is the byte at which a
+    record begins, and every file has a row without a record. Parsed once, into a checkpoint."""
+    scratch_dir(spark)
+    found, files = scan_arrays(spark, path, depth, chosen, group_bytes)
+    parsed = found.select("file_path", "file_name", *_when(found), "section", F.col("off").alias("pos"),
+                          once(F.try_parse_json("value"), "e")).checkpoint(eager=True)
+    broken = parsed.where(F.col("e").isNull()).select("file_path").distinct().withColumn("_broken", F.lit("not JSON"))
+    files = files.join(broken, "file_path", "left").withColumn("error", F.coalesce("error", "_broken")).checkpoint(eager=True)
+    good = without(parsed, files.where(F.col("error").isNotNull()), "file_path").withColumn("error", F.lit(None).cast("string"))
+    none = files.select("file_path", "file_name", *_when(files), F.lit(None).cast("long").alias("section"), F.lit(None).cast("long").alias("pos"),
+                        F.lit(None).cast("variant").alias("e"), "error")
+    return good.unionByName(none)
+
+
+def scan_json_array(spark, path: str, key_field: str = "IDLANCAMENTOICMSBASE", errors: bool = False, chosen=None,
+                    group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """S7 as ``parse_json_array``, for files of any size: read in splits
+    (``sources.arrays``), those that ``chosen`` keeps (a filter over ``file_name``)."""
+    return _array_out(_array_records(_scanned(spark, path, 1, chosen, group_bytes), key_field), errors)
+
+
+def scan_nested_array_json(spark, path: str, location_codes: Mapping[str, str], key_field: str = "guestCheckLineItemID",
+                           code_field: str = "locationRef", errors: bool = False, chosen=None,
+                           group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """S4 as ``parse_nested_array_json``, for files of any size: read in splits."""
+    rows = _scanned(spark, path, 2, chosen, group_bytes).where("section = 0 or section is null")
+    return _out(_line_item_records(rows, location_codes, key_field, code_field, errors), errors)
+
+
+def scan_sectioned_json(spark, path: str, store_codes: Mapping[str, str], key_field: str = "Invoice Data Info 8",
+                        header_field: str = "Store Number", errors: bool = False, chosen=None,
+                        group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """S3 as ``parse_sectioned_json``, for files of any size: read in splits."""
+    rows = _scanned(spark, path, 2, chosen, group_bytes)
+    first = one_per_key(rows.where("section = 0").select("file_path", "pos", "e"), "file_path", ["pos"], take=["e"])
+    header = first.select("file_path", F.try_variant_get("e", f"$['{header_field}']", "string").alias("_store"))
+    rows = left_lookup(rows.where("section = 2 or section is null"), header, "file_path", "file_path", ["_store"])
+    rows = rows.withColumn("hotel", map_code(F.coalesce("_store", F.lit("")), store_codes))
+    return _out(_pos_records(rows, key_field, errors), errors)
+
+
+# ---------------------------------------------------------------- S10 / S14
+
+
 def ids_from_text(df: DataFrame, col: str = "value", name: str = "id") -> DataFrame:
     """Strip non-digits, drop empties, distinct."""
     d = F.regexp_replace(F.col(col), r"[^0-9]", "")

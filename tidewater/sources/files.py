@@ -29,13 +29,12 @@ def landed(spark: SparkSession, path: str, glob: str | None = None, recursive: b
     """Whole files under ``path`` (optionally ``pathGlobFilter``)."""
     # a file that cannot be read, or that vanished after listing, does not stop
     # the others; ``unread_files`` finds those and the jobs report them
-    r = (spark.read.option("wholetext", True).option("ignoreCorruptFiles", True)
-         .option("ignoreMissingFiles", True))
+    r = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    return r.text(path).select(*_file_columns())
+    return r.text(path, wholetext=True).select(*_file_columns())  # text() sets wholetext itself: an option for it is lost
 
 
 def landed_stream(spark: SparkSession, path: str, glob: str | None = None, max_files: int = 1000) -> DataFrame:

@@ -134,6 +134,12 @@ def changed_keys(spark: SparkSession, base: str, key, since: int) -> DataFrame |
     return out.distinct() if out is not None else None
 
 
+def changed_rows(spark: SparkSession, base: str, key, since: int) -> DataFrame | None:
+    """The newest rows of the keys of batches after ``since``, with ``_deleted``;
+    only the segments of those batches are read. None if there are none."""
+    return _merged(spark, [s for s in segments(spark, base) if s.last > since], _list(key), True)
+
+
 def to_merge(parts: list[Segment], fanout: int, ratio: float) -> list[Segment]:
     """The newest segments that are to become one, oldest first; none if it is not worth it yet."""
     chosen = parts[-1:]

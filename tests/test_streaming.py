@@ -74,3 +74,34 @@ def test_the_later_day_wins_in_one_batch(spark, tmp):
             json.dump([[{"Store Number": "S"}], [{}], [{"Invoice Data Info 8": "k" * 44, "Sub Total 1": value}], [{}]], f)
     (row,) = ingest_days(spark, land, "2026-03-01", "2026-03-05", parse, table, "key", note_month("key")).collect()
     assert as_json(row.data)["Sub Total 1"] == 10.0
+
+
+def test_backfill_goes_on_after_a_chunk_that_fails(spark, tmp):
+    from pyspark.sql import functions as F
+    from tidewater.streaming import ingest_chunks, ledger
+    land, table, book = (os.path.join(tmp, x) for x in ("land", "bronze", "ledger"))
+    os.makedirs(land)
+
+    def parse(df):
+        rows = parse_sectioned_json(df, {}).select("key", "data", "arrival")
+        poison = F.raise_error(F.lit("no such store"))
+        return rows.withColumn("key", F.when(F.try_variant_get("data", "$.hotel", "string") == "BAD", poison).otherwise(F.col("key")))
+
+    def put(day, key, store="OK"):
+        with open(f"{land}/pos_{day}.json", "w") as f:
+            json.dump([[{"Store Number": store}], [{}], [{"Invoice Data Info 8": key * 44}], [{}]], f)
+
+    run = lambda: ingest_chunks(spark, land, "2026-01-01", "2026-03-05", parse, table, "key", note_month("key"), book, "pos")
+    put("2026-01-10", "a"), put("2026-02-10", "b", "BAD"), put("2026-03-03", "c")
+    got = run()
+    assert [len(got[k]) for k in ("done", "failed", "skipped")] == [2, 1, 0]
+    assert sorted(r.key[0] for r in spark.read.parquet(table).collect()) == ["a", "c"]
+    (bad,) = ledger(spark, book).where("state = 'failed'").collect()
+    assert (str(bad.start), str(bad.end)) == ("2026-01-31", "2026-03-01") and "no such store" in bad.error
+    put("2026-02-10", "b")
+    put("2026-01-11", "x")                                        # in a chunk that is done: not read again
+    got = run()
+    assert [len(got[k]) for k in ("done", "failed", "skipped")] == [1, 0, 2]
+    assert sorted(r.key[0] for r in spark.read.parquet(table).collect()) == ["a", "b", "c"]
+    assert [len(run()[k]) for k in ("done", "failed", "skipped")] == [0, 0, 3]
+    assert ledger(spark, book).where("state = 'done' and error is null").count() == 3

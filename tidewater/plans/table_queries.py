@@ -6,19 +6,25 @@ tables built from the driver's tables, each against DuckDB SQL.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions import cast_counts, cast_rejects, decimal
-from tidewater.plans import fiscal
+from tidewater.functions import cast_counts, cast_rejects, decimal, month_of
+from tidewater.operators.incremental import work_list
+from tidewater.plans import fiscal, jobs
 from tidewater.plans.stand_ins import COVERS, dbl, query, t
 from tidewater.session import scratch_dir
-from tidewater.sinks import append_batch, compact, delete_keys, read_merged
+from tidewater.sinks import (
+    append_batch, commit_version, compact, delete_keys, observed, read_current, read_merged, register_all, verify_count, write_rejects,
+)
+from tidewater.sinks.days import in_days, read_days, vacuum, write_days
 from tidewater.sinks.tables import _fs
-from tidewater.sources import scan_json_array
+from tidewater.sources import key_from_name, only_new, parse_paged_envelopes, rejects, scan_json_array, select_files, with_folder_code
+from tidewater.streaming import backfill, chunks_of
 
 
 def in_scratch(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
@@ -140,4 +146,98 @@ def array_splits(spark, d):
     return in_scratch(spark, work)
 
 
-COVERS.update({"cast_counts": "F1 F2", "cast_rejects": "F2 K6", "merge_on_read": "K1 K2 T2", "array_splits": "S7"})
+# ------------------------------------------------------------------ files, loads and tables
+
+@query("new_files_by_name", """
+SELECT 'NFe' || lpad(CAST(o_orderkey AS VARCHAR), 44, '0') || '-nfe.xml' AS file_name, CASE o_orderpriority WHEN '1-URGENT' THEN 'URGENTE' ELSE o_orderpriority END AS hotel
+FROM orders WHERE o_orderstatus = 'O' AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')""")
+def new_files_by_name(spark, d):
+    """Note files by name (no cancellations, no CFe), those whose key is not loaded, with the site of their folder."""
+    o, st = t(spark, d, "orders"), F.col("o_orderstatus")
+    key = F.lpad(_s("o_orderkey"), 44, "0")
+    name = F.when(st == "O", F.concat(F.lit("NFe"), key, F.lit("-nfe.xml"))).when(st == "F", F.concat(F.lit("ID"), key, F.lit("-can.xml"))) \
+        .otherwise(F.concat(F.lit("CFe"), key, F.lit(".xml")))
+    files = o.select(F.concat(F.lit("shares/"), "o_orderpriority", F.lit("/"), name).alias("file_path"), name.alias("file_name"))
+    loaded = t(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.lpad(_s("l_orderkey"), 44, "0").alias("nota_id"))
+    fresh = only_new(select_files(files, **jobs.NOTE_FILES), loaded, key_from_name(), "nota_id")
+    return with_folder_code(fresh, {"1-URGENT": "URGENTE"}).select("file_name", "hotel")
+
+
+@query("load_report", """
+SELECT 'paginas' AS carga, count(*) FILTER (o_orderstatus <> 'P') AS linhas, count(*) FILTER (o_orderstatus = 'P') AS erros,
+       count(*) FILTER (o_orderstatus <> 'P') AS gravadas FROM orders
+UNION ALL SELECT 'rejeitos', count(*) FILTER (o_orderstatus = 'P'), 0, count(*) FILTER (o_orderstatus = 'P') FROM orders""")
+def load_report(spark, d):
+    """K3, K6, K9: counts of a load from the pass that writes it, its rejects by job and day (run twice), rows verified after."""
+    o = t(spark, d, "orders")
+    page = F.when(F.col("o_orderstatus") == "P", F.lit("{")).otherwise(F.concat(F.lit('{"data":[{"id":"'), _s("o_orderkey"), F.lit('"}]}')))
+    files = o.select(page.alias("value"), F.lit("x").alias("file_path"), F.concat(_s("o_orderkey"), F.lit(".json")).alias("file_name"))
+
+    def work(folder):
+        parsed = parse_paged_envelopes(files, errors=True)
+        for _ in range(2):
+            write_rejects(rejects(parsed), f"{folder}/rejects", "2026-02-20", "pages")
+        seen, metrics = observed(parsed, "pages", errors=F.count_if(F.col("error").isNotNull()))
+        commit_version(seen.where("error is null").select("key"), f"{folder}/pages")
+        written = verify_count(read_current(spark, f"{folder}/pages"))
+        kept = spark.read.parquet(f"{folder}/rejects").where("job = 'pages'").count()
+        got = metrics.get
+        return spark.createDataFrame([("paginas", got["rows"] - got["errors"], got["errors"], written), ("rejeitos", kept, 0, kept)],
+                                     "carga string, linhas long, erros long, gravadas long")
+
+    return in_scratch(spark, work)
+
+
+@query("partition_swap", """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) + CASE WHEN year(o_orderdate) = 1995 AND month(o_orderdate) <= 4 THEN 1 ELSE 0 END AS DOUBLE) AS total
+FROM orders WHERE NOT (year(o_orderdate) = 1995 AND month(o_orderdate) = 3)""")
+def partition_swap(spark, d):
+    """A table by month; four months recomputed and swapped in, one of them empty; the others keep their files."""
+    rows = t(spark, d, "orders").select("o_orderkey", decimal("o_totalprice").alias("total"), month_of("o_orderdate").alias("mes"))
+
+    def work(folder):
+        write_days(rows, folder, "mes")
+        months = [dt.date(1995, n, 1) for n in range(1, 5)]
+        some = rows.where(in_days("mes", months)).where("mes <> DATE '1995-03-01'")
+        write_days(some.withColumn("total", (F.col("total") + 1).cast("decimal(12,2)")), folder, "mes", months)
+        vacuum(spark, folder, keep=1)
+        return read_days(spark, folder).select("o_orderkey", dbl("total").alias("total"))
+
+    return in_scratch(spark, work)
+
+
+@query("backfill_ledger", """
+SELECT CASE WHEN date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) // 30 = 1 THEN 2 ELSE 1 END AS tentativa, count(*) AS notas
+FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1995-06-30' GROUP BY 1""")
+def backfill_ledger(spark, d):
+    """30-day chunks, the second of which fails at first; the re-run loads that one alone."""
+    o = t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("dia"))
+
+    def work(folder):
+        for attempt in (1, 2):
+            def load(lo, hi):
+                if lo == "1995-01-31" and attempt == 1:
+                    raise ValueError("not there yet")
+                rows = o.where(F.col("dia").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+                append_batch(rows.select("o_orderkey", F.lit(attempt).alias("tentativa")), f"{folder}/table", "o_orderkey", stamp=None)
+                return {}
+            backfill(spark, f"{folder}/ledger", "orders", chunks_of(spark, "1995-01-01", "1995-06-29", 30), load)
+        return read_merged(spark, f"{folder}/table", "o_orderkey").groupBy("tentativa").agg(F.count(F.lit(1)).alias("notas"))
+
+    return in_scratch(spark, work)
+
+
+@query("views_by_name", """
+SELECT o_orderpriority AS hotel, count(DISTINCT o_orderkey) AS notas FROM orders WHERE o_orderstatus = 'P' GROUP BY 1""")
+def views_by_name(spark, d):
+    """Registered views read by SQL, over the work list of pending ids."""
+    o = t(spark, d, "orders")
+    register_all(spark, {"v_tw_pendentes": work_list(o.where("o_orderstatus = 'P'"), "o_orderkey"), "v_tw_notas": o})
+    return spark.sql("SELECT n.o_orderpriority AS hotel, count(DISTINCT p.o_orderkey) AS notas FROM v_tw_notas n "
+                     "JOIN v_tw_pendentes p ON p.o_orderkey = n.o_orderkey GROUP BY 1")
+
+
+COVERS.update({
+    "cast_counts": "F1 F2", "cast_rejects": "F2 K6", "merge_on_read": "K1 K2 T2", "array_splits": "S7",
+    "new_files_by_name": "S8 S9 S12 J12", "load_report": "K3 K6 K9 S13", "partition_swap": "K4 S13", "backfill_ledger": "T3 K3", "views_by_name": "K10 T6",
+})

@@ -14,6 +14,7 @@ A generation that names no days in particular (``None``) holds the whole table.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import re
 
@@ -90,18 +91,25 @@ def read_days(spark: SparkSession, base: str) -> DataFrame | None:
     if not done:
         return None
     schema = read_schema(spark, f"{base}/_schema-{done[-1]}")
-    by_generation: dict[int, list[str]] = {}
-    for day, g in sorted(current_days(spark, base).items()):
-        by_generation.setdefault(g, []).append(day)
-    out = None
-    for g, days in sorted(by_generation.items()):
+    taken, out = current_days(spark, base), None
+    for g in done:
+        here = {n.split("=", 1)[1] for n in _names(spark, f"{base}/g={g}") if "=" in n}
+        mine = {day for day in here if taken.get(day) == g}
+        if not mine:
+            continue
+        # one root for each generation; days that a newer one has are pruned
         column = next(n.split("=", 1)[0] for n in _names(spark, f"{base}/g={g}") if "=" in n)
-        rows = spark.read.schema(schema).option("basePath", f"{base}/g={g}").parquet(*[f"{base}/g={g}/{column}={x}" for x in days])
-        rows = rows.select(*schema.names)
+        rows = spark.read.schema(schema).parquet(f"{base}/g={g}").select(*schema.names)
+        if mine != here:
+            rows = rows.where(in_days(column, [_day(x) for x in sorted(mine)]))
         out = rows if out is None else out.unionByName(rows)
     return out if out is not None else spark.createDataFrame([], schema)
 
 
+def _day(folder: str) -> dt.date | None:
+    return None if folder == NO_DAY else dt.date.fromisoformat(folder)
+
+
 def vacuum(spark: SparkSession, base: str, keep: int = 2) -> int:
     """Remove day folders that the newest ``keep`` generations and the table as it is now do not need; returns how many."""
     taken, removed = current_days(spark, base), 0

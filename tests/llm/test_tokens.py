@@ -71,11 +71,24 @@ def test_words_like_the_library(automaton, library):
 
 def test_library_pieces_like_whole_texts(library):
     with open(vocabulary_file("word_bpe_49k.json"), encoding="utf-8") as f:
-        encode = rans.LibraryEncoder(f.read())
+        encode = rans.library_encoder(f.read())
     for x in [r[1] for r in EDGES] + ["ΣΑΣ İ ½ é <|endoftext|> 日本 it's"]:
         assert encode(x) == le(library.encode(x or "", add_special_tokens=False).ids)
 
 
+def test_every_character_is_split_as_by_the_library(automaton, library):
+    """Planes 0 to 3 and 14, in words and alone, with marks and white space beside them."""
+    with open(vocabulary_file("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoders = [automaton.encoder(), rans.library_encoder(f.read())]
+    codes = [c for c in [*range(0x40000), *range(0xE0000, 0xE0200)] if not 0xD800 <= c < 0xE000]
+    texts = [f"ab{chr(c)}cd {chr(c)}{chr(c)}'s, 1{chr(c)}" for c in codes]
+    for start in range(0, len(texts), 20_000):
+        some = texts[start:start + 20_000]
+        for x, want in zip(some, library.encode_batch(some, add_special_tokens=False)):
+            for encode in encoders:
+                assert encode(x) == le(want.ids), ascii(x)
+
+
 def test_bpe_query(spark, rows, library):
     got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op4_bpe"](spark, SF).collect()}
     want = {}

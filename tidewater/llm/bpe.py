@@ -16,7 +16,9 @@ a vocabulary without a decoder asks for.
 
 Texts are normalised and split as the vocabulary file prescribes: its special
 tokens are cut out first; then NFC, lower case, and the runs that its pattern
-finds, as UTF-8 bytes with an end mark. ``load`` refuses files of another make.
+finds, as UTF-8 bytes with an end mark. Python does this, but for texts with
+characters that its Unicode tables do not know yet: those go through the
+library's normaliser and pattern. ``load`` refuses files of another make.
 
 The automaton is compiled once on the driver from a file of fixed size, and
 broadcast; its size depends on the vocabulary alone. Words found in a task are
@@ -87,29 +89,77 @@ def lower(text: str) -> str:
 
 
 def runs(text: str) -> list[str]:
-    """The pieces of a text without special tokens."""
-    if text.isascii():
-        return ASCII_RUNS.findall(text.lower())
-    return RUNS.findall(lower(unicodedata.normalize("NFC", text)))
+    """The pieces of a normalised text without special tokens."""
+    return ASCII_RUNS.findall(text) if text.isascii() else RUNS.findall(text)
 
 
-class Splitter:
-    """Cuts special tokens out of a text: runs, and ids for those."""
+def normal(text: str) -> str:
+    return text.lower() if text.isascii() else lower(unicodedata.normalize("NFC", text))
+
+
+class Newer(Exception):
+    """A word has a character that Python's Unicode tables do not know; the library's are newer."""
+
+
+#: White space for ``str.split`` that is none for the vocabulary's pattern.
+FALSE_WHITE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
-    def __init__(self, special: dict[str, int]):
-        self.special = special
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
-    def __call__(self, text: str) -> list[list[str] | int]:
+class TextEncoder:
+    """text -> ids as little-endian unsigned 32-bit integers, from the ids of its pieces.
+
+    No piece holds white space, so what stands between two spaces is looked up
+    as one in a cache of bounded size, and only new ones are cut into pieces,
+    which are looked up there too. ``file`` is the vocabulary file without its
+    model: a text with characters newer than Python's tables is normalised and
+    cut by the library itself."""
+
+    def __init__(self, special: dict[str, int], file: str, piece, cached: int = CACHED):
+        self.special, self.file, self.piece = special, file, piece
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.words = WordCache(self.word, cached)
+        self.library = None
+
+    def word(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():
+                return self.piece(word)
+        elif any(unicodedata.category(c) == "Cn" for c in word):  # normalising has left it as it was
+            raise Newer
+        found = runs(word)
+        if len(found) > 1:
+            return b"".join(map(self.words.__getitem__, found))
+        # one run, in which numbers that are no digits (such as a half) are pieces of their own
+        parts = exact_runs(word) if word[0].isalnum() and not word.isascii() else found
+        return b"".join(map(self.piece, parts))
+
+    def by_library(self, text: str) -> bytes:
+        if self.library is None:
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_str(self.file)
+            self.byte_of = {s: b for b, s in enumerate(byte_symbols())}
+        found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return b"".join([self.piece(bytes(map(self.byte_of.__getitem__, p)).decode()) for p, _ in found])
+
+    def segment(self, text: str) -> bytes:
+        plain = normal(text)
+        try:
+            return b"".join(map(self.words.__getitem__, runs(plain) if any(c in plain for c in FALSE_WHITE) else plain.split()))
+        except Newer:
+            return self.by_library(text)
+
+    def __call__(self, text: str | None) -> bytes:
+        if not text:
+            return b""
         if self.cut is None or not any(s in text for s in self.special):
-            return [runs(text)]
-        return [self.special[x] if x in self.special else runs(x) for x in self.cut.split(text)]
+            return self.segment(text)
+        return b"".join([self.special[x].to_bytes(4, "little") if x in self.special else self.segment(x) for x in self.cut.split(text)])
 
 
 class Automaton:
     """The compiled tables. Token ids are the vocabulary's; bytes stand for themselves, a space for the end mark."""
 
-    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], special: dict[str, int]):
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], special: dict[str, int], file: str = ""):
         of_symbol = {s: bytes([b]) for b, s in enumerate(byte_symbols())}
 
         def raw(token: str) -> bytes:
@@ -119,7 +169,7 @@ class Automaton:
         space = byte_symbols()[32]
         self.ids = {raw(t): i for t, i in vocab.items() if space not in t}  # no piece holds a space
         self.labels = {i: t for t, i in vocab.items()} | {i: t for t, i in special.items()}
-        self.special, size = special, max(vocab.values()) + 1
+        self.special, self.file, size = special, file, max(vocab.values()) + 1
         made = {u + v for u, v in merges}
         row = {t: k for k, t in enumerate([*(t for t in vocab if t not in made), *dict.fromkeys(u + v for u, v in merges)])}
         behind = np.full(size, -1, dtype=np.int64)  # the state behind a token; -1: the word ends
@@ -185,34 +235,25 @@ class Automaton:
                 return [x[3] for x in path]
             left = iter(sizes.get(s[at:at + 4]) or self.sizes_at(s, at)) if state >= 0 else iter(())
 
-    def encoder(self):
-        """text -> ids as little-endian unsigned 32-bit integers, with a cache of its own."""
-        def make(word: str) -> bytes:
-            parts = exact_runs(word) if not word.isascii() and word[0].isalnum() else [word]
-            return np.array([i for p in parts for i in self.encode_word(p.encode("utf-8", "surrogatepass"))], dtype="<u4").tobytes()
-
-        cache = WordCache(make)
-        split = Splitter(self.special)
-
-        def encode(text: str | None) -> bytes:
-            return b"".join([x.to_bytes(4, "little") if isinstance(x, int) else b"".join([cache[w] for w in x])
-                             for x in split(text)]) if text else b""
-        return encode
+    def encoder(self) -> TextEncoder:
+        """text -> ids, with caches of its own."""
+        return TextEncoder(self.special, self.file, lambda p: np.array(self.encode_word(p.encode("utf-8", "surrogatepass")), dtype="<u4").tobytes())
 
     def decode(self, ids: bytes) -> str:
         """The arcs' labels."""
         return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-def parse(text: str) -> tuple[dict[str, int], list[tuple[str, str]], dict[str, int]]:
-    """(vocabulary, merges, special tokens) of a file of the make that this module handles."""
+def parse(text: str) -> tuple[dict[str, int], list[tuple[str, str]], dict[str, int], str]:
+    """(vocabulary, merges, special tokens, the file without them) of a file of the make that this module handles."""
     file = json.loads(text)
     model, steps = file["model"], file["normalizer"]["normalizers"]
     made = (model["type"], model["end_of_word_suffix"], [x["type"] for x in steps],
             file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"], file["decoder"], file["post_processor"])
     if made != ("BPE", END, ["NFC", "Replace", "Lowercase"], SPLIT, None, None):
         raise ValueError(f"a tokenizer of another make: {made}")
-    return model["vocab"], [tuple(x) for x in model["merges"]], {x["content"]: x["id"] for x in file["added_tokens"]}
+    rest = {**file, "added_tokens": [], "model": {**model, "vocab": {}, "merges": []}}
+    return model["vocab"], [tuple(x) for x in model["merges"]], {x["content"]: x["id"] for x in file["added_tokens"]}, json.dumps(rest)
 
 
 @functools.lru_cache(maxsize=2)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import scratch_dir
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: White space that separates words in the contracts: space and \t \n \v \f \r.
@@ -31,13 +33,9 @@ def python_tasks(spark: SparkSession, rows: int = 256, mb: int = 16) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``. Set only where it
-    is unset, as in tests on one machine."""
-    sc = spark.sparkContext
-    now = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(now or "file:///tmp/checkpoints")
-    return now or sc.getCheckpointDir()
+    """The cluster's shared folder, ``spark.checkpoint.dir``; without one, a
+    cluster is an error, and only a master on one machine gets a folder there."""
+    return scratch_dir(spark)
 
 
 def cut(df: DataFrame) -> DataFrame:

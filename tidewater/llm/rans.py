@@ -22,8 +22,9 @@ number) over range partitions, and coded partition by partition in bounded
 memory. Nothing but the frequency table and the part sizes comes to the driver.
 
 Ids come from the tokenizers library: its model encodes the pieces that the
-vocabulary file's normaliser and pattern give (see ``bpe``), remembered in a
-cache of bounded size, which is what makes whole corpora affordable.
+vocabulary file's normaliser and pattern give (see ``bpe.TextEncoder``),
+remembered in caches of bounded size that a Python worker keeps from task to
+task, which is what makes whole corpora affordable.
 
 Defined cases: a NULL text counts as empty, and a document without tokens has
 just the end id; NULL doc_ids come first; repeated doc_ids follow each other;
@@ -33,9 +34,11 @@ columns never matter.
 
 from __future__ import annotations
 
+import functools
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.bpe import Splitter, WordCache, byte_symbols, exact_runs, parse
+from tidewater.llm.bpe import TextEncoder, byte_symbols, parse
 from tidewater.llm.common import id_text, python_tasks, shared_dir, staged
 
 LANES, STEPS, BLOCK_IDS = 512, 64, 1 << 17
@@ -127,29 +130,19 @@ class Coder:
         return np.concatenate(out) if out else np.zeros(0, "<u4")
 
 
-class LibraryEncoder:
-    """text -> ids (unsigned 32-bit, little-endian), by the tokenizers library's model."""
+@functools.lru_cache(maxsize=1)
+def library_encoder(file: str) -> TextEncoder:
+    """text -> ids by the tokenizers library's model. One per Python worker: later tasks find its caches filled."""
+    from tokenizers import Tokenizer
+    tokenize, symbols = Tokenizer.from_str(file).model.tokenize, byte_symbols()
 
-    def __init__(self, file: str):
-        from tokenizers import Tokenizer
-        self.model = Tokenizer.from_str(file).model
-        self.split = Splitter(parse(file)[2])
-        self.symbols = byte_symbols()
-        self.cache = WordCache(self.piece, size=600_000)
+    def piece(text: str) -> bytes:
+        if not (text.isascii() and text.isprintable()):  # other bytes have characters that stand for them
+            text = "".join([symbols[b] for b in text.encode("utf-8", "surrogatepass")])
+        return array("I", [t.id for t in tokenize(text)]).tobytes()
 
-    def piece(self, word: str) -> bytes:
-        parts = exact_runs(word) if not word.isascii() and word[0].isalnum() else [word]
-        ids: list[int] = []
-        for p in parts:
-            plain = p.isascii() and p.isprintable()
-            p = p if plain else "".join([self.symbols[b] for b in p.encode("utf-8", "surrogatepass")])
-            ids += [t.id for t in self.model.tokenize(p)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __call__(self, text: str | None) -> bytes:
-        cache = self.cache
-        return b"".join([x.to_bytes(4, "little") if isinstance(x, int) else b"".join([cache[w] for w in x])
-                         for x in self.split(text)]) if text else b""
+    _, _, special, rest = parse(file)
+    return TextEncoder(special, rest, piece, cached=600_000)
 
 
 def narrow(ids: bytes) -> bytes:
@@ -172,7 +165,7 @@ def tokens(docs: DataFrame, path: str, end_id: int | None = None, *, id_col: str
     tail = b"" if end_id is None else end_id.to_bytes(4, "little")
 
     def tasks(batches):
-        encode = LibraryEncoder(file.value)
+        encode = library_encoder(file.value)
         for batch in batches:
             ids = pa.array([pack(encode(x.as_py()) + tail) for x in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.scalar import config_key, export_quantity, export_unit_price, int_or_zero
 from tidewater.fixed_values import EXPORT_REQUEST_CONSTANTS, EXPORT_UNIT
+from tidewater.session import scratch_dir
 
 REQUEST_CONSTANTS = EXPORT_REQUEST_CONSTANTS
 
@@ -61,6 +62,13 @@ def _no_keys(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     return [F.lit(None).cast(types[c]) for c in cols]
 
 
+def _evaluated_once(rows: DataFrame) -> DataFrame:
+    """The rows of an export, which its header, item and footer lines all read:
+    checkpointed, so that the input (joins and all) is read once."""
+    scratch_dir(rows.sparkSession)
+    return rows.checkpoint(eager=True)
+
+
 def export_documents(items: DataFrame, group: Sequence[str], order: Sequence[str], venda: Column,
                      movement_date: Column) -> DataFrame:
     """K7: ``(group..., place, line)``, one JSON document per group.
@@ -72,6 +80,7 @@ def export_documents(items: DataFrame, group: Sequence[str], order: Sequence[str
     hdr = ["EmpresaId", "CodigoDaEmpresa", "ChaveDeAcesso"]
     rows = items.select(*group, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], *hdr,
                         venda.alias("_venda"), movement_date.alias("_date"))
+    rows = _evaluated_once(rows)
     keys = [f"_o{i}" for i in range(len(order))]
     at = F.struct(*keys)
     heads = rows.groupBy(*group).agg(F.min(at).alias("_first"), F.min_by(F.struct(*hdr, "_date"), at).alias("_h"))
@@ -98,6 +107,7 @@ def export_receipts_xml(items: DataFrame, group: Sequence[str], check: str, chec
     rows = items.select(*group, F.col(check).alias("_check"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
                         F.struct(*[c.alias(n) for n, c in check_fields.items()]).alias("_head"),
                         F.struct(*[c.alias(n) for n, c in item_fields.items()]).alias("_item"))
+    rows = _evaluated_once(rows)
     keys = [f"_o{i}" for i in range(len(order))]
     c, none = F.col("_check"), _no_keys(rows, keys)
     flat = lambda x, tag: F.regexp_replace(F.to_xml(x, {"rowTag": tag}), r"\n\s*", "")

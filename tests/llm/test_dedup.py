@@ -53,6 +53,37 @@ def test_line_dedup_generalises_variable_fields(spark):
     assert all(len(got[i]) == 1 and got[i][0].startswith("a plain") for i in range(1, 5))
 
 
+NAMES = "Anna Bob Carla Dario Elena Farid Greta Hugo".split()
+
+
+def kept_of(spark, lines):
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    return [i for i, x in sorted((r["doc_id"], r["text"]) for r in L.line_report(df).collect()) if x]
+
+
+def test_short_lines_and_two_variable_words_share_a_template(spark):
+    assert kept_of(spark, [f"Posted in the section Travel by {x}" for x in NAMES]) == [0]
+    long = "all of the readers like {} who came here to see the old town and {} too"
+    assert len(long.split()) == 17
+    assert kept_of(spark, [long.format(x, y) for x, y in zip(NAMES, NAMES[::-1])]) == [0]
+    # fewer documents than a loose template asks for, or too little that is fixed: nothing goes
+    assert kept_of(spark, [f"Posted in the section Travel by {x}" for x in NAMES[:5]]) == [0, 1, 2, 3, 4]
+    assert kept_of(spark, [f"Written there by {x}" for x in NAMES]) == list(range(8))
+    assert kept_of(spark, [f"one two three {x} five {y}" for x, y in zip(NAMES, NAMES[::-1])]) == list(range(8))
+
+
+def test_loose_templates_match_sql(spark, tmp):
+    rng = random.Random(5)
+    texts = ["\n".join(" ".join(["so it is", *rng.choices("u v w".split(), weights=[8, 1, 1], k=rng.randrange(0, 18))])
+                       for _ in range(5)) for _ in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp}/loose")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp}/loose/*.parquet'")
+    got = L.line_report(spark.read.parquet(f"{tmp}/loose"))
+    assert compare(got, con, L.oracle()) is None
+    assert got.where("n_dropped > 0").count() > 20
+
+
 def test_line_dedup_edge_rows(clashing, edges, empty):
     out = L.dedup_lines(clashing, min_docs=2)
     assert out.columns == clashing.columns

@@ -3,12 +3,13 @@
 A line is parsed at fixed depth: its token count is the first level of the
 tree, its ``LEAD`` leading tokens the next ones; a token with a digit is a
 variable field (``<*>``) everywhere. A leaf then holds the templates of its
-lines. The line itself is the narrowest template. Lines of ``GENERAL`` tokens
-or more also get wider ones: the tokens behind the lead are cut into ``PARTS``
-parts, and each template leaves one part variable, so that lines of a leaf that
-differ within one part (at most a fifth of the rest) share a template.
+lines. The line itself is the narrowest template. The tokens behind the lead are
+cut into ``PARTS`` parts (fewer where there are fewer tokens), and wider
+templates leave one part variable, or two. What a template must fix is counted
+in tokens, the lead included: ``ONE`` with one variable part, ``TWO`` with two.
 
-A template recurs if its lines stand in ``min_docs`` documents or more. Of a
+A template recurs if its lines stand in ``min_docs`` documents or more; one with
+two variable parts, or that fixes fewer than ``SURE`` tokens, in twice as many. Of a
 recurring template's lines only the first stays: the one in the document with
 the smallest doc_id (then text hash, then line number); all others are dropped
 from their texts. Copies with another doc_id are other documents.
@@ -24,12 +25,21 @@ result; an empty table gives an empty result; other columns pass through.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import SMALL_SIDE, SPACE, cut, id_text, positional, row_key, small, staged
 
-LEAD, PARTS, GENERAL, MIN_DOCS = 3, 5, 13, 3
+LEAD, PARTS, MIN_DOCS = 3, 5, 3
+ONE, TWO, SURE = 4, 9, 11  # fixed tokens
+VARIABLE = [v for size in (1, 2) for v in itertools.combinations(range(PARTS), size)]
+
+
+def needed(key: Column, min_docs: int) -> Column:
+    """The documents that a key asks for: its lowest bit is set if it asks for twice as many."""
+    return F.when(key.bitwiseAND(F.lit(1)) == 1, 2 * min_docs).otherwise(min_docs)
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
@@ -44,13 +54,23 @@ def line_keys(docs: DataFrame) -> DataFrame:
     # hashes of the lead and of the parts, each computed once
     n, m = F.size("t"), F.size("t") - LEAD
     cuts = [F.floor(m * j / PARTS).cast("int") for j in range(PARTS + 1)]
-    general = lambda c: F.when(n >= GENERAL, c)
+    longer = lambda c: F.when(n > LEAD, c)
     parts = t.select("a", "b", "doc_id", "line", n.alias("n"), F.when(n > 0, F.xxhash64(n, F.lit(-1), "t")).alias("own"),
-                     general(F.xxhash64(F.slice("t", 1, LEAD))).alias("lead"),
-                     *[general(F.xxhash64(F.slice("t", cuts[j] + LEAD + 1, cuts[j + 1] - cuts[j]))).alias(f"p{j}") for j in range(PARTS)])
-    wide = [F.xxhash64("n", F.lit(j), "lead", *[f"p{i}" for i in range(PARTS) if i != j]) for j in range(PARTS)]
-    keys = F.when(F.col("n") >= GENERAL, F.array("own", *wide)).when(F.col("n") > 0, F.array("own")).otherwise(
-        F.array().cast("array<bigint>"))
+                     longer(F.xxhash64(F.slice("t", 1, LEAD))).alias("lead"),
+                     *[longer(cuts[j + 1] - cuts[j]).alias(f"s{j}") for j in range(PARTS)],
+                     *[longer(F.xxhash64(F.slice("t", cuts[j] + LEAD + 1, cuts[j + 1] - cuts[j]))).alias(f"p{j}") for j in range(PARTS)])
+
+    def wide(v: tuple[int, ...]) -> Column:
+        fixed = F.col("n") - sum(F.col(f"s{j}") for j in v)
+        there = fixed >= (ONE if len(v) == 1 else TWO)
+        for j in v:
+            there = there & (F.col(f"s{j}") > 0)
+        h = F.shiftleft(F.xxhash64("n", *[F.lit(j) for j in v], "lead", *[f"p{j}" for j in range(PARTS) if j not in v]), 1)
+        twice = F.lit(1) if len(v) > 1 else F.when(fixed < SURE, 1).otherwise(0)
+        return F.when(there, h.bitwiseOR(twice.cast("long")))
+
+    keys = F.when(F.col("n") > LEAD, F.array_compact(F.array(F.shiftleft("own", 1), *map(wide, VARIABLE)))).when(
+        F.col("n") > 0, F.array(F.shiftleft("own", 1))).otherwise(F.array().cast("array<bigint>"))
     return parts.select("a", "b", "doc_id", "line", keys.alias("keys"))
 
 
@@ -61,12 +81,12 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     lines, found by partial counts, are looked at by document."""
     lines = staged(line_keys(docs), "lines")
     often = cut(lines.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(
-        F.col("n") >= min_docs).select("key"))
+        F.col("n") >= needed(F.col("key"), min_docs)).select("key"))
     found = staged(lines.select("a", "b", "doc_id", "line", F.explode("keys").alias("key")).join(small(often), "key"), "recurring")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "a", "b", "line"))
     per_doc = found.groupBy("key", "a", "b").agg(first.alias("first"))
     recurring = cut(per_doc.groupBy("key").agg(F.count("*").alias("docs"), F.min("first").alias("first")).where(
-        F.col("docs") >= min_docs).select("key", F.col("first.a").alias("fa"), F.col("first.b").alias("fb"), F.col("first.line").alias("fl")))
+        F.col("docs") >= needed(F.col("key"), min_docs)).select("key", F.col("first.a").alias("fa"), F.col("first.b").alias("fb"), F.col("first.line").alias("fl")))
     lost = found.join(small(recurring, SMALL_SIDE // 2), "key").where("a <> fa or b <> fb or line <> fl")
     return cut(lost.groupBy("a", "b").agg(F.collect_set("line").alias("drop")))
 
@@ -107,18 +127,29 @@ def line_report(docs: DataFrame, *, min_docs: int = MIN_DOCS) -> DataFrame:
 def oracle(min_docs: int = MIN_DOCS) -> str:
     """DuckDB SQL for ``line_report`` over ``documents`` (keys are lists, not hashes)."""
     m = f"(len(t) - {LEAD})"
+    size = [f"({m} * {j + 1} // {PARTS} - {m} * {j} // {PARTS})" for j in range(PARTS)]
     part = [f"t[{LEAD} + 1 + ({m} * {j} // {PARTS}) : {LEAD} + ({m} * {j + 1} // {PARTS})]" for j in range(PARTS)]
-    wide = ", ".join(f"[[len(t)::varchar, '{j}'], t[1:{LEAD}], {', '.join(p for i, p in enumerate(part) if i != j)}]" for j in range(PARTS))
+
+    def template(v):
+        fixed = f"(len(t) - {' - '.join(size[j] for j in v)})"
+        there = " AND ".join([f"{fixed} >= {ONE if len(v) == 1 else TWO}", *[f"{size[j]} > 0" for j in v]])
+        need = 2 * min_docs if len(v) > 1 else f"CASE WHEN {fixed} < {SURE} THEN {2 * min_docs} ELSE {min_docs} END"
+        rest = ", ".join(p for j, p in enumerate(part) if j not in v)
+        return f"CASE WHEN {there} THEN {{'need': {need}, 'key': [[len(t)::varchar, '{v}'], t[1:{LEAD}], {rest}]}} END"
+
+    own = f"{{'need': {min_docs}, 'key': [['-1'], t]}}"
+    wide = ", ".join(template(v) for v in VARIABLE)
     return f"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
 l AS (SELECT doc_id, text AS body, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d WHERE text IS NOT NULL),
 k AS (SELECT doc_id, body, i, list_filter(regexp_split_to_array(
         regexp_replace(line, '[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*', '<*>', 'g'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS t FROM l),
-x AS (SELECT doc_id, body, i, unnest(CASE WHEN len(t) >= {GENERAL} THEN [[['-1'], t], {wide}] ELSE [[['-1'], t]] END) AS key
-      FROM k WHERE len(t) > 0),
+x AS (SELECT doc_id, body, i, e.key AS key, e.need AS need FROM (
+        SELECT doc_id, body, i, unnest(CASE WHEN len(t) > {LEAD} THEN [{own}, {wide}] ELSE [{own}] END) AS e
+        FROM k WHERE len(t) > 0) WHERE e IS NOT NULL),
 r AS (SELECT key, min((doc_id IS NULL, doc_id, md5(body), i)) AS first FROM x GROUP BY key
-      HAVING count(DISTINCT (coalesce(doc_id::varchar, ''), doc_id IS NULL, body)) >= {min_docs}),
+      HAVING count(DISTINCT (coalesce(doc_id::varchar, ''), doc_id IS NULL, body)) >= min(need)),
 drops AS (SELECT DISTINCT x.doc_id, x.body, x.i FROM x JOIN r ON x.key = r.key
           WHERE (x.doc_id IS NULL, x.doc_id, md5(x.body), x.i) IS DISTINCT FROM r.first),
 kept AS (SELECT l.doc_id, l.body, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS text,

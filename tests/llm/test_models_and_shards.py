@@ -96,6 +96,55 @@ def test_long_words_do_not_underflow():
     assert np.isfinite(langid.word_scores(v, chances, ["a" * 40_000, "ж" * 1000])).all()
 
 
+def uncut(v, chances, word):
+    """Log of the forward sum over a whole word, in log space."""
+    index, logs = {p: i for i, p in enumerate(v.pieces)}, np.log(chances[:-1])
+    a = [np.zeros(chances.shape[1])]
+    for i in range(1, len(word) + 1):
+        terms = []
+        for size in range(1, min(v.longest, i) + 1):
+            k = index.get(word[i - size:i], v.unknown if size == 1 else None)
+            if k is not None:
+                terms.append(a[i - size] + logs[k])
+        a.append(np.logaddexp.reduce(terms))
+    return a[-1]
+
+
+@pytest.mark.parametrize("size", [31, 32, 40, 63, 64, 65, 80, 500, 5000])
+def test_scores_of_long_runs_are_uncut(size):
+    rng = np.random.default_rng(size)
+    v = langid.Vocabulary([langid.START, "a", "b", "ab", "ba", "aba", "abbabbabbabbabbabbab", langid.START + "a", "日本", "本"])
+    chances = langid.normalised(rng.random((len(v.pieces) + 1, 3)) ** 6)
+    words = ["".join(rng.choice(list("ab日本x"), size - d)) for d in (0, 1, 7)] + ["abb" * (size // 3), "a"]
+    assert np.allclose(langid.word_scores(v, chances, words), [uncut(v, chances, langid.START + w) for w in words], rtol=1e-9)
+
+
+def test_expected_counts_of_long_runs(monkeypatch):
+    rng = np.random.default_rng(1)
+    v = langid.Vocabulary([langid.START, "a", "b", "ab", "ba", "aba"])
+    chances = langid.normalised(rng.random((len(v.pieces) + 1, 2)))
+    word = "".join(rng.choice(list("abx"), 700))
+    got = langid.expected_counts(v, chances, [word, "ab"], np.array([[1.0, 0.0], [0.0, 2.0]]))
+    sizes = np.array([len(p) for p in v.pieces] + [1])
+    assert np.allclose((got * sizes[:, None]).sum(axis=0), [701, 6])
+    # the gradient of the log score with respect to the log chance of a piece is its expected count
+    for k in range(len(v.pieces) + 1):
+        more = chances.copy()
+        more[k] *= np.exp(1e-5)
+        slope = (uncut(v, more, langid.START + word) - uncut(v, chances, langid.START + word))[0] / 1e-5
+        assert abs(slope - got[k, 0]) < 1e-2
+
+
+def test_words_follow_current_letters():
+    import re
+    import sys
+    import unicodedata
+    old = re.compile(r"[^\W\d_]+")
+    known = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) not in ("Cn", "Cs"))
+    assert langid.WORDS.findall(known) == old.findall(known)
+    assert langid.words("\u1c89\ua7cb")
+
+
 def test_language_on_held_out_rows(spark):
     got = QUERIES["op6_language_id"](spark, BIG).collect()
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "lang").collect()}

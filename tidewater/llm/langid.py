@@ -15,9 +15,11 @@ unigram model of a fixed vocabulary gains nothing from more); their word counts
 and the expected counts are gathered by Spark, and only the (language, piece)
 table, whose size the vocabulary bounds, comes to the driver.
 
-A word is a run of letters, lower-cased, with the vocabulary's start mark; runs
-of over ``LONGEST`` characters are taken in pieces of that size. Words are
-scored in batches, all positions and languages at once.
+A word is a run of letters, lower-cased, with the vocabulary's start mark,
+however long. Its forward pass goes ``STEP`` characters at a time, with the sums
+of the last few places carried on and rescaled, so that memory is bounded by
+the batch and nothing underflows. Words are scored in batches, all languages at
+once. Only learning takes runs in parts of ``LEARN`` characters.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0;
 without any labelled text every text is ``und``; ties go to the language that
@@ -39,10 +41,11 @@ from pyspark.sql import functions as F
 from tidewater.llm.bpe import WordCache
 from tidewater.llm.common import col, cut, id_text, positional, python_tasks
 
-LONGEST, ROUNDS, UND = 32, 3, "und"
+STEP, EVERY, LEARN = 32, 16, 4096
+ROUNDS, UND = 3, "und"
 START = "▁"
 ASCII_WORDS = re.compile("[a-z]+")
-WORDS = re.compile(r"[^\W\d_]+")
+WORDS = regex.compile(r"[\p{L}\p{Nl}\p{No}]+")
 LETTERS = regex.compile(r"\p{L}+").findall
 
 
@@ -110,9 +113,8 @@ class Vocabulary:
             for i in range(wide):
                 prefix[i + 1] = prefix[i] * self.base + codes[:, i]
                 power.append(power[-1] * self.base)
-            most = min(self.longest, wide)
-            arcs = np.full((most, wide, len(batch)), -1, dtype=np.int32)
-            for size in range(1, most + 1):
+            arcs = np.full((self.longest, wide, len(batch)), -1, dtype=np.int32)
+            for size in range(1, min(self.longest, wide) + 1):
                 h = prefix[size:] - prefix[:wide + 1 - size] * power[size]
                 arcs[size - 1, size - 1:] = self.lookup(h)
         inside = np.arange(wide)[:, None] < sizes[None, :]
@@ -129,77 +131,90 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary([x for x in pieces if re.fullmatch(START + r"?[^\W\d_]*", x) and x == x.lower()])  # no other can occur in a word
 
 
-def parts(word: str) -> list[str]:
-    marked = START + word
-    return [marked[i:i + LONGEST] for i in range(0, len(marked), LONGEST)]
-
-
 def by_size(items: list[str]) -> list[list[int]]:
     """Numbers of the items, grouped by like size."""
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(items):
-        groups.setdefault(-(-len(w) // 4), []).append(i)
+        groups.setdefault(-(-len(w) // 4) if len(w) <= 2 * STEP else -len(w).bit_length(), []).append(i)
     return list(groups.values())
 
 
-def forward(arcs: np.ndarray, chances: np.ndarray) -> np.ndarray:
-    """alpha[i, word, language]: the summed probability of all segmentations of the first i characters.
-    ``chances`` has a last row of zeros, for -1."""
+def forward(arcs: np.ndarray, chances: np.ndarray, before: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(alpha, logs) by place, word and language: alpha * exp(logs) is the summed
+    probability of all segmentations up to a place. The first ``longest`` places
+    are ``before``, on the scale ``scale``. ``chances`` has a last row of zeros, for -1."""
     most, wide, n = arcs.shape
-    alpha = np.zeros((wide + 1, n, chances.shape[1]))
-    alpha[0] = 1
-    for i in range(1, wide + 1):
-        for size in range(1, min(most, i) + 1):
-            ids = arcs[size - 1, i - 1]
-            if (ids >= 0).any():
-                alpha[i] += alpha[i - size] * chances[ids]
-    return alpha
+    alpha, logs = np.zeros((most + wide, n, chances.shape[1])), np.zeros((most + wide, n, chances.shape[1]))
+    alpha[:most], logs[:most] = before, scale
+    there = (arcs >= 0).any(axis=2)
+    for i in range(wide):
+        k = np.nonzero(there[:, i])[0]
+        alpha[most + i] = np.einsum("knl,knl->nl", alpha[most + i - 1 - k], chances[arcs[k, i]])
+        if i % EVERY == EVERY - 1:
+            last = alpha[i + 1:most + i + 1]
+            top = last.max(axis=0)
+            top[top <= 0] = 1  # words that have ended
+            last /= top
+            scale = scale + np.log(top)
+            logs[i + 1:most + i + 1] = scale
+        else:
+            logs[most + i] = scale
+    return alpha, logs
+
+
+def first_place(vocab: Vocabulary, n: int, langs: int) -> tuple[np.ndarray, np.ndarray]:
+    before = np.zeros((vocab.longest, n, langs))
+    before[-1] = 1
+    return before, np.zeros((n, langs))
 
 
 def word_scores(vocab: Vocabulary, chances: np.ndarray, batch: list[str]) -> np.ndarray:
     """Log-probability of each word, by language."""
-    pieces, owner = [], []
-    for k, w in enumerate(batch):
-        for p in parts(w):
-            pieces.append(p)
-            owner.append(k)
-    owner, out = np.array(owner), np.zeros((len(batch), chances.shape[1]))
-    for group in by_size(pieces):
-        for at in range(0, len(group), 4096):
-            some = np.array(group[at:at + 4096])
-            sizes, arcs = vocab.lattice([pieces[i] for i in some])
-            alpha = forward(arcs, chances)
-            np.add.at(out, owner[some], np.log(alpha[sizes, np.arange(len(some))]))
+    items, most = [START + w for w in batch], vocab.longest
+    sizes, out = np.array([len(w) for w in items]), np.zeros((len(batch), chances.shape[1]))
+    for group in by_size(items):
+        for start in range(0, len(group), 4096):
+            some, at = np.array(group[start:start + 4096]), 0
+            before, scale = first_place(vocab, len(some), chances.shape[1])
+            while len(some):
+                behind = min(at, most)
+                _, arcs = vocab.lattice([items[i][at - behind:at + STEP] for i in some])
+                alpha, logs = forward(arcs[:, behind:], chances, before, scale)
+                ends = sizes[some] <= at + STEP
+                done, place = some[ends], most - 1 + sizes[some[ends]] - at
+                out[done] = np.log(alpha[place, np.nonzero(ends)[0]]) + logs[place, np.nonzero(ends)[0]]
+                some, before, scale, at = some[~ends], alpha[-most:, ~ends], logs[-1, ~ends], at + STEP
     return out
 
 
 def expected_counts(vocab: Vocabulary, chances: np.ndarray, batch: list[str], weight: np.ndarray) -> np.ndarray:
     """Expected uses of each piece, by language, of words that occur ``weight`` (word, language) times."""
-    out = np.zeros((len(vocab.pieces) + 2, chances.shape[1]))
-    pieces, owner = [], []
+    out, most = np.zeros((len(vocab.pieces) + 2, chances.shape[1])), vocab.longest
+    equal: dict[int, list[tuple[str, int]]] = {}
     for k, w in enumerate(batch):
-        for p in parts(w):
-            pieces.append(p)
-            owner.append(k)
-    for group in by_size(pieces):
-        for at in range(0, len(group), 2048):
-            some = group[at:at + 2048]
-            sizes, arcs = vocab.lattice([pieces[i] for i in some])
-            w = weight[np.array([owner[i] for i in some])]
-            alpha = forward(arcs, chances)
-            most, wide, n = arcs.shape
-            beta = np.zeros_like(alpha)
-            beta[sizes, np.arange(n)] = 1
-            for i in range(wide, 0, -1):
-                for size in range(1, min(most, i) + 1):
-                    beta[i - size] += beta[i] * chances[arcs[size - 1, i - 1]]
-            scale = w / alpha[sizes, np.arange(n)]
-            for i in range(1, wide + 1):
-                for size in range(1, min(most, i) + 1):
-                    ids = arcs[size - 1, i - 1]
-                    used = alpha[i - size] * chances[ids] * beta[i] * scale
-                    for lang in range(out.shape[1]):
-                        out[:, lang] += np.bincount(ids + 1, used[:, lang], out.shape[0])[:out.shape[0]]
+        marked = START + w
+        for i in range(0, len(marked), LEARN):
+            part = marked[i:i + LEARN]
+            equal.setdefault(len(part), []).append((part, k))
+    for wide, group in equal.items():
+        n = max(1, (1 << 16) // wide)
+        for at in range(0, len(group), n):
+            some = group[at:at + n]
+            _, arcs = vocab.lattice([w for w, _ in some])
+            w = weight[[k for _, k in some]]
+            back = np.full_like(arcs, -1)  # the same pieces, read from the end
+            for size in range(1, min(most, wide) + 1):
+                back[size - 1, size - 1:] = arcs[size - 1, size - 1:][::-1]
+            alpha, up = forward(arcs, chances, *first_place(vocab, len(some), out.shape[1]))
+            beta, down = forward(back, chances, *first_place(vocab, len(some), out.shape[1]))
+            whole = np.log(alpha[-1]) + up[-1]
+            for size in range(1, min(most, wide) + 1):
+                ids, places = arcs[size - 1, size - 1:], slice(most - 1, most + wide - size)
+                if not (ids >= 0).any():
+                    continue
+                used = alpha[places] * chances[ids] * beta[places][::-1] * np.exp(up[places] + down[places][::-1] - whole) * w
+                for lang in range(out.shape[1]):
+                    out[:, lang] += np.bincount(ids.ravel() + 1, used[:, :, lang].ravel(), out.shape[0])
     return out[1:]
 
 

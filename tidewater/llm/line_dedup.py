@@ -52,25 +52,32 @@ def line_keys(docs: DataFrame) -> DataFrame:
     bare = lines.select("a", "b", "doc_id", "line", F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")).alias("x"))
     t = bare.select("a", "b", "doc_id", "line", F.when(F.col("x") != "", F.split("x", SPACE)).alias("t"))
     # hashes of the lead and of the parts, each computed once
-    n, m = F.size("t"), F.size("t") - LEAD
-    cuts = [F.floor(m * j / PARTS).cast("int") for j in range(PARTS + 1)]
-    longer = lambda c: F.when(n > LEAD, c)
-    parts = t.select("a", "b", "doc_id", "line", n.alias("n"), F.when(n > 0, F.xxhash64(n, F.lit(-1), "t")).alias("own"),
-                     longer(F.xxhash64(F.slice("t", 1, LEAD))).alias("lead"),
-                     *[longer(cuts[j + 1] - cuts[j]).alias(f"s{j}") for j in range(PARTS)],
-                     *[longer(F.xxhash64(F.slice("t", cuts[j] + LEAD + 1, cuts[j + 1] - cuts[j]))).alias(f"p{j}") for j in range(PARTS)])
+    # (projections of this size stay within what the JVM compiles; nothing here but
+    # the keys can be NULL)
+    one, size = ["a", "b", "doc_id", "line"], F.coalesce(F.size("t"), F.lit(0))
+    sized = t.select(*one, "t", size.alias("n"), F.greatest(size - LEAD, F.lit(0)).alias("m"))
+    n, m = F.col("n"), F.col("m")
+    cut_at = sized.select(*one, "t", "n", "m", F.shiftleft(F.xxhash64(n, F.lit(-1), "t"), 1).alias("own"),
+                          F.xxhash64(n, F.slice("t", 1, LEAD)).alias("lead"), *[F.expr(f"m * {j} div {PARTS}").cast("int").alias(f"c{j}") for j in range(1, PARTS)])
+    cuts = [F.lit(0), *[F.col(f"c{j}") for j in range(1, PARTS)], m]
+    parts = cut_at.select(*one, "n", "own", "lead",
+                          *[(n - (cuts[j + 1] - cuts[j])).alias(f"f{j}") for j in range(PARTS)],
+                          *[F.xxhash64(F.lit(j), F.slice("t", cuts[j] + LEAD + 1, cuts[j + 1] - cuts[j])).alias(f"p{j}") for j in range(PARTS)])
 
     def wide(v: tuple[int, ...]) -> Column:
-        fixed = F.col("n") - sum(F.col(f"s{j}") for j in v)
-        there = fixed >= (ONE if len(v) == 1 else TWO)
-        for j in v:
-            there = there & (F.col(f"s{j}") > 0)
-        h = F.shiftleft(F.xxhash64("n", *[F.lit(j) for j in v], "lead", *[f"p{j}" for j in range(PARTS) if j not in v]), 1)
-        twice = F.lit(1) if len(v) > 1 else F.when(fixed < SURE, 1).otherwise(0)
-        return F.when(there, h.bitwiseOR(twice.cast("long")))
-
-    keys = F.when(F.col("n") > LEAD, F.array_compact(F.array(F.shiftleft("own", 1), *map(wide, VARIABLE)))).when(
-        F.col("n") > 0, F.array(F.shiftleft("own", 1))).otherwise(F.array().cast("array<bigint>"))
+        h = F.col("lead")  # the parts' hashes are salted by their place
+        for j in range(PARTS):
+            h = h if j in v else h.bitwiseXOR(F.col(f"p{j}"))
+        h = F.shiftleft(F.xxhash64(h, F.lit(VARIABLE.index(v))), 1)
+        if len(v) > 1:
+            return F.when(F.col(f"f{v[0]}") + F.col(f"f{v[1]}") - n >= TWO, h.bitwiseOR(F.lit(1).cast("long")))
+        # an empty part leaves the line's own template, asked for more documents: it drops nothing by itself
+        fixed = F.col(f"f{v[0]}")
+        return F.when(fixed >= SURE, h).when(fixed >= ONE, h.bitwiseOR(F.lit(1).cast("long")))
+
+    # NULL where a line has no such template
+    keys = F.when(F.col("n") > LEAD, F.array("own", *map(wide, VARIABLE))).when(F.col("n") > 0, F.array("own")).otherwise(
+        F.array().cast("array<bigint>"))
     return parts.select("a", "b", "doc_id", "line", keys.alias("keys"))
 
 
@@ -80,7 +87,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     The texts are parsed once, to a table of key lists. Only keys of enough
     lines, found by partial counts, are looked at by document."""
     lines = staged(line_keys(docs), "lines")
-    often = cut(lines.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(
+    often = cut(lines.select(F.explode("keys").alias("key")).where("key is not null").groupBy("key").agg(F.count("*").alias("n")).where(
         F.col("n") >= needed(F.col("key"), min_docs)).select("key"))
     found = staged(lines.select("a", "b", "doc_id", "line", F.explode("keys").alias("key")).join(small(often), "key"), "recurring")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "a", "b", "line"))

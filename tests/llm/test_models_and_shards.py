@@ -64,6 +64,21 @@ def test_classifier_edge_rows(spark, clashing, empty):
     assert crf.scores(empty, none).count() == 0
 
 
+def test_training_rows_and_lines_are_bounded(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(crf.Model, "fit", lambda self, bins, lengths, labels: read.append([len(b) for b in bins]) or self)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    one = [(ids[0], "a text with some words in it")] * 5000
+    few = spark.createDataFrame(one, "doc_id long, text string")
+    crf.train(few, labels.where(f"doc_id = {ids[0]}"), max_docs=10)  # equal rows
+    many = spark.createDataFrame([(ids[0], f"text number {i}") for i in range(3000)], "doc_id long, text string")
+    crf.train(many, labels.where(f"doc_id = {ids[0]}"), max_docs=10)  # an id of many texts
+    long = spark.createDataFrame([(i, "a line\n" * (9 if k else 5000)) for k, i in enumerate(ids)], "doc_id long, text string")
+    crf.train(long, labels, max_docs=1000)
+    assert len(read[0]) == 1 and len(read[1]) < 30 and len(read[2]) == len(ids) - 1 and max(read[2]) < 20
+
+
 # ------------------------------------------------------------------ language ID
 
 def test_forward_sums_all_segmentations():

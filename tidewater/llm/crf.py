@@ -9,8 +9,10 @@ and a logistic fit turns that into the score.
 
 Training: the lines of a labelled document carry its label. The weights
 maximise the conditional likelihood (Adam, with a small L2 term). It reads at
-most about ``max_docs`` labelled documents, taken by a hash of doc_id; this
-bound is a parameter. Spark extracts the features; the driver fits on them.
+most about ``max_docs`` labelled documents, taken by a hash of doc_id, and then
+of text where ids have several; equal rows teach once, and texts of more than
+``max_lines`` lines teach nothing. Both bounds are parameters. Spark extracts the
+features; the driver fits on them.
 
 Long documents are scored whole. Documents of a batch are worked on side by
 side, line by line, so the cost does not depend on how long a document is.
@@ -158,14 +160,21 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000) -> Model:
-    """Fit on the labelled rows of ``docs`` that are not held out, at most about ``max_docs``."""
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_lines: int = 2000) -> Model:
+    """Fit on the labelled rows of ``docs`` that are not held out, at most about ``max_docs`` of at most ``max_lines`` lines."""
     python_tasks(docs.sparkSession)
     known = labels.select(col(labels, "doc_id").alias("doc_id"), col(labels, "quality").alias("quality")).where(
         "doc_id is not null and quality is not null").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     n = known.count()
-    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) <= int(min(1.0, max_docs / max(1, n)) * (1 << 53))
-    rows = id_text(docs).join(known.where(share), "doc_id").select("text", "quality")
+    def share(h, n):
+        return F.shiftrightunsigned(h, 11) <= int(min(1.0, max_docs / max(1, n)) * (1 << 53))
+
+    found = id_text(docs).join(known.where(share(F.xxhash64("doc_id"), n)), "doc_id").where(
+        F.coalesce(F.size(F.split("text", "\n")), F.lit(1)) <= max_lines).withColumn("h", F.xxhash64("text", "doc_id"))
+    ids = found.agg(F.count_distinct("doc_id").alias("ids"), F.count_distinct("doc_id", "h").alias("rows")).first()
+    if ids["rows"] > ids["ids"]:  # ids with several texts
+        found = found.where(share("h", ids["rows"]))
+    rows = found.dropDuplicates(["doc_id", "h"]).select("text", "quality")
 
     def features(batches):
         for batch in batches:

@@ -10,7 +10,7 @@ from tidewater.operators.incremental import (
     bounds, calendar, date_chunks, gone, lookback, missing_days, work_list,
 )
 from tidewater.operators.joins import (
-    left_lookup, left_lookup_many, lookup_first, match_inner, match_left, missing_detail, one_per_key,
+    left_joins, left_lookup, left_lookup_many, lookup_first, match_inner, match_left, missing_detail, one_per_key,
     prefer, reconcile, resolve, with_exists, without,
 )
 from tidewater.operators.ordering import sort, top

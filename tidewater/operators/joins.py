@@ -10,12 +10,17 @@ Scale rules used throughout:
   and the join can only fan out by one;
 * left rows whose key is NULL cannot match: they join on a salted stand-in
   key and a null flag, so they spread over reducers instead of all hashing
-  to one (see ``left_lookup``);
+  to one (see ``left_lookup``); the flag is a condition, not a key, so a right
+  side that is already partitioned by its key is not shuffled again;
 * several lookups on the same key are merged into one join
-  (``left_lookup_many``), so the big side is shuffled once;
-* no broadcast hints: AQE turns a join into a broadcast join only when the
-  measured size of a side is under ``spark.sql.autoBroadcastJoinThreshold``,
-  and splits skewed partitions of the rest.
+  (``left_lookup_many``) or share one salted key (``left_joins``), so the big
+  side is shuffled once; a chain on several keys carries one small salt, not
+  the columns to hash it from;
+* no broadcast hints. Spark guesses a side's size from its files: the keys of
+  millions of rows may pass for less than ``spark.sql.autoBroadcastJoinThreshold``
+  and then stand whole in every task. A right side that grows as the left
+  does (``grows``) is therefore merged at any size; AQE splits skewed
+  partitions.
 """
 
 from __future__ import annotations
@@ -101,6 +106,10 @@ _ATOMIC = ("string", "bigint", "int", "smallint", "tinyint", "double", "float",
            "timestamp", "timestamp_ntz")
 
 
+def _merged(right: DataFrame, grows: bool) -> DataFrame:
+    return right.hint("merge") if grows else right
+
+
 def _row_hash(df: DataFrame) -> Column:
     """Deterministic hash of a row from up to eight atomic columns (maps,
     variants and arrays are skipped: cheap, and every type hashes)."""
@@ -108,40 +117,64 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
 
 
+SALTS = 1 << 16  # values of a carried salt: enough to spread rows over any number of reducers
+
+
+def _salt(df: DataFrame) -> Column:
+    """A small salt to carry through a chain of joins: two bytes a row where its columns would be hundreds."""
+    return F.pmod(_row_hash(df), F.lit(SALTS))
+
+
 def left_lookup(left: DataFrame, right_unique: DataFrame, left_keys, right_keys,
-                take: Sequence[str]) -> DataFrame:
+                take: Sequence[str], salt: Column | None = None, grows: bool = False) -> DataFrame:
     """Left join to a right side that is unique per key (so no fan-out).
 
     Rows with a NULL key cannot match; in a plain join they would all hash to
-    one reducer. Here they join on a salted stand-in key (a hash of the row)
-    plus a ``null`` flag that the right side never has, so they spread over
+    one reducer. Here they join on a salted stand-in key (``salt``, or a hash
+    of the row) under a condition that they never meet, so they spread over
     all reducers and still never match -- one pass, no second scan. Key types
     without a cheap stand-in fall back to splitting the NULL rows off.
+    ``grows``: the right side grows as the left does; it is never broadcast.
     """
     left_keys, right_keys, take = _list(left_keys), _list(right_keys), list(take)
     g = _tag()
     ltypes = dict(left.dtypes)
     r = right_unique.select(*[F.col(k).alias(f"{g}k{i}") for i, k in enumerate(right_keys)],
-                            F.lit(False).alias(f"{g}n"),
                             *[F.col(c).alias(f"{g}t{j}") for j, c in enumerate(take)])
+    types, r = dict(r.dtypes), _merged(r, grows)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
-    salt = _row_hash(left)
+    salt = _row_hash(left) if salt is None else salt
     stand_ins = [_salt_for(ltypes[k], salt) for k in left_keys]
     out_cols = [*[F.col(c) for c in left.columns], *[F.col(f"{g}t{j}").alias(c) for j, c in enumerate(take)]]
     if all(sv is not None for sv in stand_ins):
         l = left.select("*", any_null.alias(f"{g}ln"),
                         *[F.coalesce(F.col(k), sv).alias(f"{g}lk{i}") for i, (k, sv) in enumerate(zip(left_keys, stand_ins))])
         cond = _all([F.col(f"{g}lk{i}") == F.col(f"{g}k{i}") for i in range(len(left_keys))]
-                    + [F.col(f"{g}ln") == F.col(f"{g}n")])
+                    + [~F.col(f"{g}ln")])
         return l.join(r, cond, "left").select(*out_cols)
     nonnull = ~any_null
     cond = _all([F.col(lk) == F.col(f"{g}k{i}") for i, lk in enumerate(left_keys)])
     hit = left.filter(nonnull).join(r, cond, "left").select(*out_cols)
-    types = dict(r.dtypes)
     miss = left.filter(any_null).select("*", *[F.lit(None).cast(types[f"{g}t{j}"]).alias(c) for j, c in enumerate(take)])
     return hit.unionByName(miss)
 
 
+def left_joins(left: DataFrame, left_key: str, rights: Sequence[tuple]) -> DataFrame:
+    """Several left joins on the same key with ONE shuffle and sort of ``left``.
+
+    ``rights`` is ``[(right, right_key, take), ...]``, sides that grow as the
+    left does and need not be unique: several right rows fan out. NULL keys are
+    spread as in ``left_lookup``, by one salted key for all joins."""
+    g = _tag()
+    salt = _salt_for(dict(left.dtypes)[left_key], _salt(left))
+    key = F.col(left_key) if salt is None else F.coalesce(F.col(left_key), salt)
+    out = left.select("*", key.alias(f"{g}lk"), F.col(left_key).isNull().alias(f"{g}ln"))
+    for i, (right, right_key, take) in enumerate(rights):
+        r = right.select(F.col(right_key).alias(f"{g}k{i}"), *[F.col(c) for c in take if c != right_key])
+        out = out.join(_merged(r, True), (F.col(f"{g}lk") == F.col(f"{g}k{i}")) & ~F.col(f"{g}ln"), "left")
+    return out.select(*[F.col(c) for c in left.columns], *[F.col(c) for _, _, take in rights for c in take])
+
+
 def left_lookup_many(left: DataFrame, left_key: str, rights: Sequence[tuple]) -> DataFrame:
     """Several left lookups on the same key with ONE shuffle of ``left``.
 
@@ -162,7 +195,7 @@ def left_lookup_many(left: DataFrame, left_key: str, rights: Sequence[tuple]) ->
     for p in parts[1:]:
         merged = merged.unionByName(p)
     merged = merged.groupBy("_mk").agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
-    return left_lookup(left, merged, left_key, "_mk", cols)
+    return left_lookup(left, merged, left_key, "_mk", cols, grows=True)
 
 
 def lookup_first(left: DataFrame, right: DataFrame, left_key, right_key, order,
@@ -183,7 +216,7 @@ def resolve(left: DataFrame, right: DataFrame, direct: tuple, composite: tuple,
     ``direct = (left_col, right_col)``; ``composite = ([left cols], [right cols])``.
     One chain of two lookups over one read of ``left``: where the direct key
     hit, the composite keys are NULL, so those rows cannot match again (and are
-    spread by ``left_lookup``). The result has the ``take`` columns of whichever
+    spread by ``left_lookup``, both times by one small salt). The result has the ``take`` columns of whichever
     match won and, if ``matched_by`` is given, a column saying 'direct',
     'composite' or NULL. Both right sides are first reduced to one row per key
     (smallest by ``order``, D4), so neither join can fan out.
@@ -197,31 +230,33 @@ def resolve(left: DataFrame, right: DataFrame, direct: tuple, composite: tuple,
         sides.append(one.select(*[F.col(k).alias(f"{g}{n}k{i}") for i, k in enumerate(keys)],
                                 *[F.col(c).alias(f"{g}{n}{i}") for i, c in enumerate(take)], F.lit(True).alias(f"{g}{n}hit")))
     cols = lambda n: [f"{g}{n}{i}" for i in range(len(take))] + [f"{g}{n}hit"]
-    first = left_lookup(left, sides[0], lk, f"{g}dk0", cols("d"))
+    salted = left.withColumn(f"{g}s", _salt(left))
+    first = left_lookup(salted, sides[0], lk, f"{g}dk0", cols("d"), salt=F.col(f"{g}s"), grows=True)
     first = first.select("*", *[F.when(F.col(f"{g}dhit").isNull(), F.col(c)).alias(f"{g}l{i}") for i, c in enumerate(lcs)])
-    both = left_lookup(first, sides[1], [f"{g}l{i}" for i in range(len(lcs))], [f"{g}ck{i}" for i in range(len(rcs))], cols("c"))
+    both = left_lookup(first, sides[1], [f"{g}l{i}" for i in range(len(lcs))], [f"{g}ck{i}" for i in range(len(rcs))], cols("c"),
+                       salt=F.col(f"{g}s"), grows=True)
     won = [F.when(F.col(f"{g}dhit"), F.col(f"{g}d{i}")).otherwise(F.col(f"{g}c{i}")).alias(c) for i, c in enumerate(take)]
     via = [F.when(F.col(f"{g}dhit"), F.lit("direct")).when(F.col(f"{g}chit"), F.lit("composite")).alias(matched_by)] if matched_by else []
     return both.select(*[F.col(c) for c in left.columns], *won, *via)
 
 
-def with_exists(left: DataFrame, right: DataFrame, left_on, right_on, flag: str) -> DataFrame:
+def with_exists(left: DataFrame, right: DataFrame, left_on, right_on, flag: str, grows: bool = False) -> DataFrame:
     """``EXISTS (...)`` as a boolean column, no fan-out: left join to the
     distinct right keys (distinct is a partial aggregate)."""
     left_on, right_on = _list(left_on), _list(right_on)
     keys = (right.select(*[F.col(r).alias(f"_ek{i}") for i, r in enumerate(right_on)])
                  .distinct().withColumn(flag, F.lit(True)))
-    out = left_lookup(left, keys, left_on, [f"_ek{i}" for i in range(len(right_on))], [flag])
+    out = left_lookup(left, keys, left_on, [f"_ek{i}" for i in range(len(right_on))], [flag], grows=grows)
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def without(left: DataFrame, right: DataFrame, left_on, right_on=None) -> DataFrame:
+def without(left: DataFrame, right: DataFrame, left_on, right_on=None, grows: bool = False) -> DataFrame:
     """Rows of ``left`` with no match in ``right``
-    (``NOT EXISTS``; equals ``NOT IN`` when keys are non-null)."""
-    return _filter_join(left, right, left_on, right_on, "left_anti")
+    (``NOT EXISTS``; equals ``NOT IN`` when keys are non-null). ``grows`` as in ``left_lookup``."""
+    return _filter_join(left, right, left_on, right_on, "left_anti", grows)
 
 
-def _filter_join(left, right, left_on, right_on, how):
+def _filter_join(left, right, left_on, right_on, how, grows):
     left_on = _list(left_on)
     right_on = _list(right_on) if right_on is not None else left_on
     g = _tag()
@@ -230,15 +265,15 @@ def _filter_join(left, right, left_on, right_on, how):
     # as one row and the join needs no further exchange of that side
     r = right.select(*[F.col(c).alias(f"{g}k{i}") for i, c in enumerate(right_on)]).distinct()
     cond = _all([F.col(l) == F.col(f"{g}k{i}") for i, l in enumerate(left_on)])
-    return left.join(r, cond, how)
+    return left.join(_merged(r, grows), cond, how)
 
 
 def missing_detail(bulk: DataFrame, detail: DataFrame, key: str, detail_key: str | None = None) -> DataFrame:
     """Bulk rows whose key has no detail document."""
-    return without(bulk, detail, key, detail_key or key)
+    return without(bulk, detail, key, detail_key or key, grows=True)
 
 
 def prefer(details: DataFrame, bulk: DataFrame, key: str) -> DataFrame:
     """Detail rows, plus bulk rows whose key has no detail (``UNION ALL``
     + ``NOT EXISTS``). Both inputs must have the same columns."""
-    return details.unionByName(without(bulk, details.select(key), key))
+    return details.unionByName(without(bulk, details.select(key), key, grows=True))

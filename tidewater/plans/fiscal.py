@@ -110,7 +110,7 @@ def fact_ledger(ledger: DataFrame, notes: DataFrame, cancels: DataFrame, direct:
     # third shuffle of the (large) ledger on the resolved key
     right = with_exists(notes.select("nota_id", "nNF", "serie", F.col("hotel").alias("_nhotel"),
                                      "cStat", "nProt", "dhRecbto"),
-                        cancels, "nota_id", "chNFe", "_cancelled")
+                        cancels, "nota_id", "chNFe", "_cancelled", grows=True)
     m = resolve(left, right, direct=("_direct", "nota_id"),
                 composite=(["numero_documento", "serie", "hotel"], ["nNF", "serie", "_nhotel"]),
                 order=["nota_id"], take=["nota_id", "cStat", "nProt", "dhRecbto", "_cancelled"])

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import left_joins, left_lookup, resolve
+from tidewater.operators import left_joins, left_lookup, resolve, without
+from tidewater.plans import audits
 
 
 def plan(df, kind="optimizedPlan"):
@@ -30,6 +31,16 @@ def test_resolve_carries_no_columns_for_its_salt(spark):
     assert not any("wide#" in x for x in lines[:deepest + 1])
 
 
+def test_growing_sides_are_not_broadcast(spark):
+    left, right = rows(spark)
+    notes = spark.createDataFrame([("k1", "1997-01-02T00:00:00"), ("k2", "1997-01-03T00:00:00"), ("k2", "1997-01-03T00:00:00"), ("k3", "1996-01-01T00:00:00"), (None, "1997-01-02T00:00:00")],
+                                  "nota_id string, dhEmi string").selectExpr("*", "'H' hotel", "'7' nNF", "1.0 vNF")
+    q8 = audits.notes_without_pos(notes, spark.createDataFrame([("k1",)], "chave_nfe string"), "1997-01-01")
+    assert sorted((r.nota_id or "") for r in q8.collect()) == ["", "k2", "k2"]
+    for df in (resolved(spark), q8, without(left, right, "dk", "nid", grows=True)):
+        assert "BroadcastHashJoin" not in plan(df, "executedPlan")
+
+
 def test_salt_never_matches_a_real_key(spark):
     left = spark.range(2000).select("id", F.lit(None).cast("string").alias("k"))
     right = spark.range(1 << 16).select(F.col("id").cast("string").alias("rk"), F.lit(1).alias("v"))
@@ -37,3 +48,13 @@ def test_salt_never_matches_a_real_key(spark):
     assert (salted.count(), salted.where("v is not null").count()) == (2000, 0)
     many = left_joins(left, "k", [(right, "rk", ["v"])])
     assert (many.count(), many.where("v is not null").count()) == (2000, 0)
+
+
+def test_left_joins_fan_out_and_shuffle_the_left_once(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("c", 5)], "k string, id int")
+    two = spark.createDataFrame([("a", "p"), ("a", "q"), ("b", "r"), (None, "s")], "c string, x string")
+    one = spark.createDataFrame([("b", True), ("c", True)], "p string, y boolean")
+    df = left_joins(left, "k", [(two, "c", ["x"]), (one, "p", ["y"])])
+    assert sorted((r.id, r.x, r.y) for r in df.collect()) == [(1, "p", None), (1, "q", None), (2, "r", True), (3, "r", True), (4, None, None), (5, None, True)]
+    shown = plan(df, "executedPlan").split("== Initial Plan ==")[-1]
+    assert shown.count("SortMergeJoin") == 2 and shown.count("Exchange hashpartitioning") == 3

@@ -40,7 +40,7 @@ def coverage(left: DataFrame, right: DataFrame, key: str, by: Sequence[str],
     rk = right_key or key
     keys = right.select(F.col(rk).alias("_cov_key")).distinct()
     j = left_lookup(left.select(*by, key), keys.withColumn("_cov_hit", F.col("_cov_key")),
-                    key, "_cov_key", ["_cov_hit"])
+                    key, "_cov_key", ["_cov_hit"], grows=True)
     total, com, sem = names
     return (j.groupBy(*by)
              .agg(F.count(F.lit(1)).alias(total), F.count("_cov_hit").alias(com))

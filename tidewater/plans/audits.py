@@ -83,7 +83,7 @@ def notes_without_pos(notes: DataFrame, pos: DataFrame, day) -> DataFrame:
     """Q8: notes issued since ``day`` with no POS record (``notes`` is
     ``silver_notes``; the date is the literal date of ``dhEmi``)."""
     n = notes.withColumn("_d", iso_date("dhEmi"))
-    n = without(since(n, "_d", day), pos, "nota_id", "chave_nfe")
+    n = without(since(n, "_d", day), pos, "nota_id", "chave_nfe", grows=True)
     return sort(n.select("nota_id", "hotel", F.col("dhEmi").alias("data_emissao"), F.col("nNF").alias("numero_nota"),
                          F.col("vNF").alias("valor")), ["-data_emissao"])
 
@@ -97,7 +97,7 @@ def pos_overlap(notes: DataFrame, pos: DataFrame, day) -> DataFrame:
 
 def cancels_without_note(cancels: DataFrame, notes: DataFrame) -> DataFrame:
     """Q10: cancellations whose note is unknown (``cancels`` = ``silver_cancels``)."""
-    return without(cancels, notes, "chNFe", "nota_id").select("cancelamento_id", F.col("chNFe").alias("chave_nota"))
+    return without(cancels, notes, "chNFe", "nota_id", grows=True).select("cancelamento_id", F.col("chNFe").alias("chave_nota"))
 
 
 def note_xml(notes_raw: DataFrame, key: str) -> DataFrame:

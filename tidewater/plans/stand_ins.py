@@ -76,7 +76,7 @@ def sales(spark, d) -> DataFrame:
         F.col("o_orderdate").alias("data_emissao"), decimal("o_totalprice").alias("valor_total"),
         (F.col("o_orderstatus") == "F").alias("cancelada"),
         F.when(F.col("o_orderstatus").isin("O", "F"), F.lit("100")).otherwise(F.lit("105")).alias("status_sefaz"))
-    notes = with_exists(notes, li.filter(F.col("l_linestatus") == "O"), "nota_id", "l_orderkey", "tem_pdv")
+    notes = with_exists(notes, li.filter(F.col("l_linestatus") == "O"), "nota_id", "l_orderkey", "tem_pdv", grows=True)
     ledger = li.select(F.col("l_orderkey").alias("chave_nfe"), F.col("l_returnflag").alias("cfop"))
     return sales_notes(notes, None, ledger)
 
@@ -266,7 +266,7 @@ def first_in_array(spark, d):
     first = docs.select("l_orderkey", first_where("items", lambda x: x["l_returnflag"] == "R").alias("f"))
     o = t(spark, d, "orders").select("o_orderkey")
     # nullable integers leave as DOUBLE in both engines (pandas renders them alike)
-    return left_lookup(o, first, "o_orderkey", "l_orderkey", ["f"]).select(
+    return left_lookup(o, first, "o_orderkey", "l_orderkey", ["f"], grows=True).select(
         "o_orderkey", dbl("f.l_linenumber").alias("first_line"), dbl("f.l_partkey").alias("first_part"),
         dbl("f.l_suppkey").alias("first_supp"))
 
@@ -386,7 +386,7 @@ SELECT o_orderkey, EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_ord
   AS tem_devolucao FROM orders o""")
 def exists_flag(spark, d):
     li = t(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
-    return with_exists(t(spark, d, "orders").select("o_orderkey"), li, "o_orderkey", "l_orderkey", "tem_devolucao")
+    return with_exists(t(spark, d, "orders").select("o_orderkey"), li, "o_orderkey", "l_orderkey", "tem_devolucao", grows=True)
 
 
 @query("gap_anti", """
@@ -401,7 +401,7 @@ def gap_anti(spark, d):
 @query("orphans", """
 SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""")
 def orphans(spark, d):
-    return without(t(spark, d, "customer").select("c_custkey", "c_name"), t(spark, d, "events"), "c_custkey", "user_id")
+    return without(t(spark, d, "customer").select("c_custkey", "c_name"), t(spark, d, "events"), "c_custkey", "user_id", grows=True)
 
 
 @query("value_gap", """
@@ -474,7 +474,7 @@ def note_facts(spark, d):
                      decimal("l_extendedprice").alias("subtotal_1"), F.lit(None).cast("string").alias("ponto_venda"))
     f = fact_notes(notes, cancels, pos)
     cid = one_per_key(cancels, "chNFe", ["dhEvento", "cancelamento_id"], take=["cancelamento_id"], largest=True)
-    f = left_lookup(f, cid, "nota_id", "chNFe", ["cancelamento_id"])
+    f = left_lookup(f, cid, "nota_id", "chNFe", ["cancelamento_id"], grows=True)
     return f.select("nota_id", "cancelada", "cancelamento_id",
                     F.col("data_cancelamento").cast("timestamp_ntz").alias("data_cancelamento"),
                     "tem_pdv", dbl("valor_pdv").alias("valor_pdv"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidewater.operators import left_joins, left_lookup, resolve, without
-from tidewater.plans import audits
+from tidewater.plans import audits, fiscal
 
 
 def plan(df, kind="optimizedPlan"):
@@ -58,3 +58,14 @@ def test_left_joins_fan_out_and_shuffle_the_left_once(spark):
     assert sorted((r.id, r.x, r.y) for r in df.collect()) == [(1, "p", None), (1, "q", None), (2, "r", True), (3, "r", True), (4, None, None), (5, None, True)]
     shown = plan(df, "executedPlan").split("== Initial Plan ==")[-1]
     assert shown.count("SortMergeJoin") == 2 and shown.count("Exchange hashpartitioning") == 3
+
+
+def test_fan_out_of_notes_is_merged(spark):
+    notes = spark.createDataFrame([("n1",), ("n2",), (None,)], "nota_id string").selectExpr(
+        "*", *[f"cast(null as string) {c}" for c in ("hotel", "dhEmi", "nNF", "serie", "mod", "tpAmb", "cnpj_emit", "nome_emit", "nProt", "cStat", "dhRecbto")], "cast(1 as decimal(12,2)) vNF")
+    cancels = spark.createDataFrame([("n1", "c1"), ("n1", "c2"), ("n9", "c3")], "chNFe string, cancelamento_id string").selectExpr(
+        "*", "'1999-01-01T00:00:00' dhEvento", "'1' nProt", "'m' xJust")
+    pos = spark.createDataFrame([("n2",)], "chave_nfe string").selectExpr("*", "date'1999-01-01' data_venda", "cast(2 as decimal(12,2)) subtotal_1", "'P' ponto_venda")
+    got = fiscal.fact_notes(notes, cancels, pos, fan_out=True)
+    assert sorted((r.nota_id or "", r.cancelada, r.tem_pdv) for r in got.collect()) == [("", False, False), ("n1", True, False), ("n1", True, False), ("n2", False, True)]
+    assert "BroadcastHashJoin" not in plan(got, "executedPlan")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.json_paths import project
 from tidewater.functions.scalar import blank_to_null, instant, local_day, map_code, status_of
 from tidewater.operators.aggregates import count_where, main_value, mart, sum_where
-from tidewater.operators.joins import left_lookup, left_lookup_many, one_per_key, resolve, with_exists
+from tidewater.operators.joins import left_joins, left_lookup_many, one_per_key, resolve, with_exists
 from tidewater.fixed_values import STATUS_AUTHORISED, STATUS_CANCELLED, STATUS_PENDING
 
 # Ledger company id -> site code is deployment data (D15: an
@@ -139,8 +139,7 @@ def fact_notes(notes: DataFrame, cancels: DataFrame, pos: DataFrame, fan_out: bo
                    F.col("ponto_venda"))
     pcols = ["_pos", "data_venda_pdv", "valor_pdv", "ponto_venda"]
     if fan_out:
-        n = notes.join(c, notes["nota_id"] == c["chNFe"], "left").drop("chNFe")
-        n = left_lookup(n, p, "nota_id", "_pk", pcols)
+        n = left_joins(notes, "nota_id", [(c, "chNFe", ccols), (p, "_pk", pcols)])
     else:
         latest = one_per_key(c, "chNFe", ["dhEvento", "cancelamento_id"], take=ccols, largest=True)
         n = left_lookup_many(notes, "nota_id", [(latest, "chNFe", ccols), (p, "_pk", pcols)])

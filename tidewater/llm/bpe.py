@@ -53,6 +53,7 @@ END = "</w>"
 ASCII_RUNS = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r a-z0-9]+")
 RUNS = re.compile(r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\w" + WHITE + r"]|_)+")
 exact_runs = regex.compile(r"\p{L}+|\p{N}").findall
+MARKS = '.,;:!?"()#$%&*<>|'  # what often ends a word; any of them together are one piece
 CACHED = 400_000  # words in a task's cache
 
 
@@ -121,10 +122,13 @@ class TextEncoder:
         self.library = None
 
     def word(self, word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():
-                return self.piece(word)
-        elif any(unicodedata.category(c) == "Cn" for c in word):  # normalising has left it as it was
+        if word.isalpha():  # letters alone are one piece
+            return self.piece(word)
+        stem = word.rstrip(MARKS)
+        if stem.isalpha():  # and one run of marks
+            found = self.words.get(stem)  # a rare one takes one place in the cache, not two
+            return (self.piece(stem) if found is None else found) + self.words[word[len(stem):]]
+        if not word.isascii() and any(unicodedata.category(c) == "Cn" for c in word):  # normalising has left it as it was
             raise Newer
         found = runs(word)
         if len(found) > 1:

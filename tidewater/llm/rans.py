@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.bpe import TextEncoder, byte_symbols, parse
 from tidewater.llm.common import id_text, python_tasks, shared_dir, staged
 
-LANES, STEPS, BLOCK_IDS = 512, 64, 1 << 17
+LANES, STEPS, BLOCK_IDS = 1024, 64, 1 << 17
 LOW = np.uint64(1 << 31)  # a coder's state is in [2^31, 2^63)
 HEAD = struct.Struct("<4sBIIII")  # mark, bits, ids, lanes, words, checkpoints
 MARK = b"rANS"
@@ -74,12 +74,22 @@ class Coder:
         self.freq = freqs.astype(np.uint64)
         self.start = (np.cumsum(freqs) - freqs).astype(np.uint64)
         self.symbol_at = np.repeat(np.arange(len(ids), dtype=np.int32), freqs)  # slot -> symbol
+        self.place = None  # id -> symbol, or -1; ids beyond any vocabulary's are searched for
+        if len(ids) and ids[-1] < 1 << 20:
+            self.place = np.full(int(ids[-1]) + 1, -1, dtype=np.int32)
+            self.place[ids] = np.arange(len(ids), dtype=np.int32)
+
+    def symbols(self, ids: np.ndarray) -> np.ndarray:
+        if self.place is not None:
+            found = self.place[np.minimum(ids, len(self.place) - 1)]
+        else:
+            found = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        if len(ids) and (not len(self.ids) or (self.ids[found] != ids).any()):
+            raise ValueError("an id without a frequency")
+        return found
 
     def encode(self, ids: np.ndarray) -> bytes:
-        n, bits = len(ids), np.uint64(self.bits)
-        symbols = np.searchsorted(self.ids, ids)
-        if n and (symbols >= len(self.ids)).any() or (self.ids[symbols] != ids).any():
-            raise ValueError("an id without a frequency")
+        n, bits, symbols = len(ids), np.uint64(self.bits), self.symbols(ids)
         state = np.full(LANES, LOW, dtype=np.uint64)
         steps, words, marks, emitted = -(-n // LANES), [], [], 0
         for t in range(steps - 1, -1, -1):
@@ -134,11 +144,11 @@ class Coder:
 def library_encoder(file: str) -> TextEncoder:
     """text -> ids by the tokenizers library's model. One per Python worker: later tasks find its caches filled."""
     from tokenizers import Tokenizer
-    tokenize, symbols = Tokenizer.from_str(file).model.tokenize, byte_symbols()
+    tokenize, symbols = Tokenizer.from_str(file).model.tokenize, dict(enumerate(byte_symbols()))
 
     def piece(text: str) -> bytes:
         if not (text.isascii() and text.isprintable()):  # other bytes have characters that stand for them
-            text = "".join([symbols[b] for b in text.encode("utf-8", "surrogatepass")])
+            text = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(symbols)
         return array("I", [t.id for t in tokenize(text)]).tobytes()
 
     _, _, special, rest = parse(file)
